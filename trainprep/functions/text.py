@@ -56,3 +56,25 @@ def json_reply(reasoning: str | Column, responding: str | Column) -> Column:
 def zero_pad(c: str | Column, width: int) -> Column:
     """``f"{n:0{width}d}"`` for non-negative integers."""
     return F.lpad(_col(c).cast("string"), width, "0")
+
+
+# Python ``float()`` string syntax (digit groups may use single
+# underscores), and its special words, case-insensitive.
+PY_FLOAT_PATTERN = r"^[+-]?(?:(?:\d(?:_?\d)*)?\.\d(?:_?\d)*|\d(?:_?\d)*\.?)(?:[eE][+-]?\d(?:_?\d)*)?$"
+PY_FLOAT_SPECIAL = r"(?i)^[+-]?(?:inf|infinity|nan)$"
+
+
+def py_float(c: str | Column) -> Column:
+    """Python ``float(str)``: null where Python would raise.
+
+    ``try_cast`` alone differs both ways (it takes ``1d``, rejects ``1_0``),
+    so the text is checked against Python's syntax before the cast.
+    """
+    s = py_strip(c)
+    ok = s.rlike(PY_FLOAT_PATTERN) | s.rlike(PY_FLOAT_SPECIAL)
+    return F.when(ok, F.regexp_replace(s, "_", "").cast("double"))
+
+
+def lossy_utf8(c: str | Column) -> Column:
+    """Invalid UTF-8 byte sequences replaced by U+FFFD."""
+    return F.call_function("make_valid_utf8", _col(c))

@@ -20,3 +20,26 @@ def load_dataset(spark: SparkSession, path: str, fmt: str | None = None, schema=
     if fmt == "csv":
         reader = reader.option("header", "true")
     return reader.load(path)
+
+
+RUN_KEY_PATTERN = r"train_rank(\d+)\.log"
+
+
+def log_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Log lines (S8): ``\\n``, ``\\r\\n`` and lone ``\\r`` end a line (as
+    Python's universal newlines); undecodable bytes become U+FFFD."""
+    from trainprep.functions.text import lossy_utf8
+
+    return spark.read.text(path).select(lossy_utf8("value").alias("value"))
+
+
+def run_log_lines(spark: SparkSession, pattern: str, key_pattern: str = RUN_KEY_PATTERN, key: str = "rank") -> DataFrame:
+    """A family of run logs (S11), the run key taken from each file path."""
+    from pyspark.sql import functions as F
+
+    from trainprep.functions.text import lossy_utf8
+
+    raw = spark.read.text(pattern).select("value", F.col("_metadata.file_path").alias("_path"))
+    return raw.select(
+        F.regexp_extract("_path", key_pattern, 1).cast("long").alias(key), lossy_utf8("value").alias("value")
+    )
