@@ -73,3 +73,154 @@ def write_run_logs(spark: SparkSession, sf_dir: str) -> str:
 
 
 RANK_SQL = "CAST(32 * (user_id % 5 + 1) AS BIGINT)"
+
+
+def _conv_name(conv_id: Column, suffix: str = ".json") -> Column:
+    return F.concat(F.lit("conv_"), F.lpad(conv_id.cast("string"), 6, "0"), F.lit(suffix))
+
+
+def write_json_folder(spark: SparkSession, sf_dir: str) -> str:
+    """One ``conv_<id>.json`` per conversation: ``{"messages": [...]}``;
+    ``conv_id % 10 = 7`` truncated (broken), ``= 3`` without ``messages``."""
+    from trainprep.plans.tables import conversation_messages
+    from trainprep.sinks.files import write_files
+
+    out = scratch_dir(spark, "json")
+    conv = conversation_messages(spark, sf_dir)
+    full = F.to_json(F.struct("messages"))
+    cid = F.col("conv_id")
+    content = (
+        F.when(cid % 10 == 7, F.expr("substring(to_json(struct(messages)), 1, int(length(to_json(struct(messages))) / 2))"))
+        .when(cid % 10 == 3, F.to_json(F.struct(cid.alias("id"))))
+        .otherwise(full)
+    )
+    write_files(conv.select(_conv_name(cid).alias("name"), content.alias("content")), out).collect()
+    return out
+
+
+def doc_file_name(doc_id: Column) -> Column:
+    return F.concat(F.lpad(doc_id.cast("string"), 6, "0"), F.lit(".txt"))
+
+
+def write_txt_folder(spark: SparkSession, sf_dir: str) -> str:
+    """One ``<doc_id:06d>.txt`` per document; ``doc_id % 9 = 0`` empty,
+    ``doc_id % 7 = 0`` with ``\\r\\n`` line ends."""
+    from trainprep.sinks.files import write_files
+
+    out = scratch_dir(spark, "txt")
+    d = table(spark, sf_dir, "documents")
+    did = F.col("doc_id")
+    content = F.when(did % 9 == 0, F.lit("")).when(did % 7 == 0, F.regexp_replace("text", "\n", "\r\n")).otherwise(F.col("text"))
+    write_files(d.select(doc_file_name(did).alias("name"), content.alias("content")), out).collect()
+    return out
+
+
+DOCS_PER_ARCHIVE = 250
+
+
+def _zip_member_name(doc_id: Column) -> Column:
+    """``<id>.txt``; ``doc_id % 10 = 1`` upper-case ``.TXT``; ``= 2`` in ``sub/``."""
+    base = F.lpad(doc_id.cast("string"), 6, "0")
+    return (
+        F.when(doc_id % 10 == 1, F.concat(base, F.lit(".TXT")))
+        .when(doc_id % 10 == 2, F.concat(F.lit("sub/"), base, F.lit(".txt")))
+        .otherwise(F.concat(base, F.lit(".txt")))
+    )
+
+
+def _build_archives(folder: str):
+    def run(pdf):
+        import io
+        import zipfile
+
+        import pandas as pd
+        from pyarrow import fs
+
+        archive = str(pdf["archive"].iloc[0])
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+            zf.writestr("README.md", "not a text member")
+            for name, text in zip(pdf["member"], pdf["content"]):
+                zf.writestr(name, text.encode("utf-8"))
+        filesystem, root = fs.FileSystem.from_uri(folder)
+        filesystem.create_dir(root, recursive=True)
+        with filesystem.open_output_stream(f"{root}/{archive}") as out:
+            out.write(buf.getvalue())
+        return pd.DataFrame({"archive": [archive], "members": [len(pdf)]})
+
+    return run
+
+
+def write_zip_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Documents in ZIP archives of DOCS_PER_ARCHIVE members (``docs_<k>.zip``),
+    one group per archive (bounded by construction); ``doc_id % 9 = 0``
+    empty, ``% 7 = 0`` with ``\\r\\n``; plus a non-text member each."""
+    out = scratch_dir(spark, "zip")
+    d = table(spark, sf_dir, "documents")
+    did = F.col("doc_id")
+    content = F.when(did % 9 == 0, F.lit("")).when(did % 7 == 0, F.regexp_replace("text", "\n", "\r\n")).otherwise(F.col("text"))
+    key = F.concat(F.lit("docs_"), F.lpad(F.floor(did / DOCS_PER_ARCHIVE).cast("string"), 4, "0"), F.lit(".zip"))
+    rows = d.select(key.alias("archive"), _zip_member_name(did).alias("member"), content.alias("content"))
+    rows.groupBy("archive").applyInPandas(_build_archives(out), "archive string, members long").collect()
+    return out
+
+
+def opener_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user turn followed by an assistant turn: ``think`` = user text,
+    ``respond`` = assistant text; ``(conv_id + turn) % 8 = 0`` gets a blank
+    (U+3000) respond; ``% 5 = 0`` gets a quoted phrase in ``think``."""
+    from pyspark.sql import Window
+
+    c = table(spark, sf_dir, "conversations")
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    nxt = c.select(
+        "conv_id", "turn", "role", "text",
+        F.lead("role").over(w).alias("next_role"), F.lead("text").over(w).alias("next_text"),
+    )
+    pairs = nxt.where((F.col("role") == "user") & (F.col("next_role") == "assistant"))
+    k = F.col("conv_id") + F.col("turn")
+    think = F.when(k % 5 == 0, F.concat(F.col("text"), F.lit(' "quoted", too'))).otherwise(F.col("text"))
+    respond = F.when(k % 8 == 0, F.lit("　")).otherwise(F.col("next_text"))
+    return pairs.select("conv_id", "turn", think.alias("think"), respond.alias("respond"))
+
+
+def write_openers_csv(spark: SparkSession, sf_dir: str, parts: int = 3) -> str:
+    """Opener CSV with a header, in (conv_id, turn) order over ``parts``
+    files whose names sort in that order; quotes doubled, newlines kept."""
+    out = scratch_dir(spark, "openers")
+    pairs = opener_pairs(spark, sf_dir)
+    (
+        pairs.repartitionByRange(parts, "conv_id", "turn")
+        .sortWithinPartitions("conv_id", "turn")
+        .select("think", "respond")
+        .write.option("header", "true")
+        .option("quote", '"')
+        .option("escape", '"')
+        .csv(out)
+    )
+    return out
+
+
+# The two agents' system prompts used by the dialogue queries.
+PROMPT_A = "You are agent A. Answer in JSON with reasoning and responding."
+PROMPT_B = "You are agent B. Answer in JSON with reasoning and responding."
+
+
+def write_prompt(spark: SparkSession, text: str) -> str:
+    out = scratch_dir(spark, "prompt")
+    spark.createDataFrame([(f"  {text}\n",)], "value string").coalesce(1).write.text(out)
+    return out
+
+
+OPENERS_SQL = """
+SELECT CAST(row_number() OVER (ORDER BY conv_id, turn) - 1 AS BIGINT) AS opener_id, think, respond FROM (
+  SELECT conv_id, turn,
+         CASE WHEN (conv_id + turn) % 5 = 0 THEN text || ' "quoted", too' ELSE text END AS think,
+         CASE WHEN (conv_id + turn) % 8 = 0 THEN NULL ELSE next_text END AS respond
+  FROM (SELECT conv_id, turn, role, text,
+               lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role,
+               lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text
+        FROM conversations) x
+  WHERE role = 'user' AND next_role = 'assistant') y
+WHERE respond IS NOT NULL
+"""

@@ -43,3 +43,129 @@ def run_log_lines(spark: SparkSession, pattern: str, key_pattern: str = RUN_KEY_
     return raw.select(
         F.regexp_extract("_path", key_pattern, 1).cast("long").alias(key), lossy_utf8("value").alias("value")
     )
+
+
+def _files(spark: SparkSession, folder: str, suffix_glob: str) -> DataFrame:
+    """Whole files directly in ``folder`` matching the glob: ``(path, name, value)``.
+
+    Note: like every Spark file source this hides names starting with
+    ``.`` or ``_``.
+    """
+    from pyspark.sql import functions as F
+
+    raw = spark.read.option("pathGlobFilter", suffix_glob).text(folder, wholetext=True)
+    path = F.col("_metadata.file_path")
+    return raw.select(path.alias("path"), F.element_at(F.split(path, "/"), -1).alias("name"), "value")
+
+
+def scan_json_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """JSON folder scan (S1): one document per ``*.json`` file.
+
+    Columns: ``path, name, status, messages``.  ``status`` is ``ok``,
+    ``missing_messages`` (object without the key: ``messages = []``),
+    ``corrupt`` (not parseable JSON, or not an object, or ``messages`` of
+    the wrong type).  An explicit null ``messages`` stays null.
+    """
+    from pyspark.sql import functions as F
+
+    from trainprep.schemas import MESSAGES
+
+    files = _files(spark, folder, "*.json")
+    v = F.try_parse_json("value")
+    is_obj = F.schema_of_variant(v).startswith("OBJECT")
+    raw_msgs = F.variant_get(v, "$.messages", "variant")
+    typed = F.try_variant_get(v, "$.messages", MESSAGES.simpleString())
+    status = (
+        F.when(v.isNull() | ~is_obj, "corrupt")
+        .when(raw_msgs.isNull(), "missing_messages")
+        .when(F.is_variant_null(raw_msgs), "ok")
+        .when(typed.isNull(), "corrupt")
+        .otherwise("ok")
+    )
+    messages = F.when(status == "missing_messages", F.array().cast(MESSAGES)).when(status == "ok", typed)
+    return files.select("path", "name", status.alias("status"), messages.alias("messages"))
+
+
+def scan_txt_folder(spark: SparkSession, folder: str, on_bad_utf8: str = "error") -> DataFrame:
+    """TXT folder scan (S2): one row per non-empty ``*.txt`` file, newlines
+    translated to ``\\n``.  Invalid UTF-8 fails the job (``error``) or the
+    file is dropped (``reject``)."""
+    from pyspark.sql import functions as F
+
+    from trainprep.functions.text import normalize_newlines
+
+    files = _files(spark, folder, "*.txt")
+    valid = F.is_valid_utf8("value")
+    if on_bad_utf8 == "error":
+        text = F.when(valid, F.col("value")).otherwise(F.raise_error(F.concat(F.lit("invalid UTF-8 in "), "path")))
+    elif on_bad_utf8 == "reject":
+        files = files.where(valid)
+        text = F.col("value")
+    else:
+        raise ValueError("on_bad_utf8 must be 'error' or 'reject'")
+    out = files.select("path", "name", normalize_newlines(text).alias("text"))
+    return out.where(F.length("text") > 0)
+
+
+def _zip_members(batches):
+    import zipfile
+
+    import pandas as pd
+    from pyarrow import fs
+
+    for pdf in batches:
+        for path in pdf["path"]:
+            filesystem, inner = fs.FileSystem.from_uri(path)
+            with filesystem.open_input_file(inner) as f, zipfile.ZipFile(f) as zf:
+                names = sorted(n for n in zf.namelist() if n.lower().endswith(".txt"))
+                rows = {"archive": [], "member": [], "text": []}
+                for n in names:
+                    rows["archive"].append(path)
+                    rows["member"].append(n)
+                    rows["text"].append(zf.read(n).decode("utf-8"))
+                    if len(rows["member"]) >= 1024:
+                        yield pd.DataFrame(rows)
+                        rows = {"archive": [], "member": [], "text": []}
+                if rows["member"]:
+                    yield pd.DataFrame(rows)
+
+
+def scan_zip_txt(spark: SparkSession, folder_or_glob: str) -> DataFrame:
+    """ZIP-of-TXT scan (S3): every member ending ``.txt`` (any case, any
+    depth) of every ``*.zip``; one row per member, empty members kept, no
+    newline translation, strict UTF-8.  Only archive paths are listed by
+    Spark; each task opens its archive with random access (no 2 GB row)."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder_or_glob).select("path")
+    return listing.mapInPandas(_zip_members, "archive string, member string, text string")
+
+
+def scan_openers(spark: SparkSession, path: str, skip_header: bool = False) -> DataFrame:
+    """Opener CSV scan (S6): ``think, respond``; extra fields ignored; rows
+    with a missing or blank field dropped; both stripped.  ``opener_id`` is
+    the 0-based position in (file path, row) order."""
+    from pyspark.sql import functions as F
+
+    from trainprep.functions.text import is_blank, py_strip
+    from trainprep.operators.ordinal import with_ordinal
+
+    raw = (
+        spark.read.schema("think string, respond string")
+        .option("multiLine", "true")
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("header", "true" if skip_header else "false")
+        .option("mode", "PERMISSIVE")
+        .csv(path)
+        .select("think", "respond", F.col("_metadata.file_path").alias("_path"), F.monotonically_increasing_id().alias("_row"))
+    )
+    kept = raw.where(~is_blank("think") & ~is_blank("respond"))
+    ordered = with_ordinal(kept, ["_path", "_row"], name="opener_id")
+    return ordered.select("opener_id", py_strip("think").alias("think"), py_strip("respond").alias("respond"))
+
+
+def read_scalar(spark: SparkSession, path: str) -> str:
+    """A whole small text file as one stripped string (S7: system prompts)."""
+    row = spark.read.text(path, wholetext=True).first()
+    if row is None:
+        raise FileNotFoundError(path)
+    return row[0].strip()
