@@ -224,3 +224,59 @@ SELECT CAST(row_number() OVER (ORDER BY conv_id, turn) - 1 AS BIGINT) AS opener_
   WHERE role = 'user' AND next_role = 'assistant') y
 WHERE respond IS NOT NULL
 """
+
+
+def write_chat_export(spark: SparkSession, sf_dir: str) -> str:
+    """One nested chat-app export per conversation (``export_<id>.json``):
+    messages under ``data.session``; ``conv_id % 5 = 0`` one level deeper
+    (``data.inner.session``); system turns with empty ``contentParts``;
+    ``conv_id % 7 = 0`` frames without ``role``; ``conv_id % 19 = 0`` with
+    the list under another key."""
+    from trainprep.operators.chat import nest_turns
+    from trainprep.sinks.files import write_files
+
+    out = scratch_dir(spark, "export")
+    c = table(spark, sf_dir, "conversations")
+    cid = F.col("conv_id")
+    part = F.struct(F.lit("text").alias("type"), F.col("text").alias("text"))
+    parts = F.when(F.col("role") == "system", F.array().cast("array<struct<type:string,text:string>>")).otherwise(F.array(part))
+    frames = c.select(
+        "conv_id", "turn",
+        F.struct(
+            F.col("turn").alias("id"), F.when(cid % 7 != 0, F.col("role")).alias("role"), parts.alias("contentParts")
+        ).alias("frame"),
+    )
+    conv = nest_turns(frames, fields=("frame",), out="frames").select(
+        "conv_id", F.transform("frames", lambda x: x["frame"]).alias("frames")
+    )
+    listed = F.to_json(F.struct(cid.alias("id"), F.col("frames").alias("messages")))
+    hidden = F.to_json(F.struct(cid.alias("id"), F.col("frames").alias("history")))
+    session = F.when(cid % 19 == 0, hidden).otherwise(listed)
+    meta = '{"meta":{"app":"chat","version":2},"data":{'
+    doc = F.when(cid % 5 == 0, F.concat(F.lit(meta + '"inner":{"session":'), session, F.lit("}}}"))).otherwise(
+        F.concat(F.lit(meta + '"session":'), session, F.lit("}}"))
+    )
+    name = F.concat(F.lit("export_"), F.lpad(cid.cast("string"), 6, "0"), F.lit(".json"))
+    write_files(conv.select(name.alias("name"), doc.alias("content")), out).collect()
+    return out
+
+
+def replies_table(spark: SparkSession, sf_dir: str, turns: int) -> DataFrame:
+    """Agent replies from consecutive documents: session ``doc_id div
+    2*turns + 1``, pairs (A, B) per turn; ``reasoning = lang``,
+    ``responding`` = first 80 characters; ``doc_id % 17 = 0`` lacks
+    ``reasoning``.  B's reply in the last turn is never requested."""
+    per = 2 * turns
+    d = table(spark, sf_dir, "documents")
+    did = F.col("doc_id")
+    k = did % per
+    full = F.to_json(F.struct(F.col("lang").alias("reasoning"), F.substring("text", 1, 80).alias("responding")))
+    partial = F.to_json(F.struct(F.substring("text", 1, 80).alias("responding")))
+    rows = d.select(
+        "doc_id",
+        (F.floor(did / per) + 1).cast("long").alias("session"),
+        F.floor(k / 2).cast("long").alias("turn"),
+        F.when(k % 2 == 0, "A").otherwise("B").alias("agent"),
+        F.when(did % 17 == 0, partial).otherwise(full).alias("raw"),
+    )
+    return rows.where(~((F.col("agent") == "B") & (F.col("turn") == turns - 1)))
