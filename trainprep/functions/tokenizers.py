@@ -48,12 +48,9 @@ def pretrained_tokens_udf(tokenizer_path: str):
     def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tok = _load(tokenizer_path)
         for texts in batches:
-            mask = texts.notna()
-            out = pd.Series([None] * len(texts), dtype=object)
-            if mask.any():
-                enc = tok.encode_batch(texts[mask].astype(str).tolist(), add_special_tokens=False)
-                out[mask.to_numpy()] = [e.tokens for e in enc]
-            yield out
+            present = [t for t in texts if t is not None]
+            encoded = iter(tok.encode_batch(present, add_special_tokens=False)) if present else iter(())
+            yield pd.Series([None if t is None else next(encoded).tokens for t in texts], dtype=object)
 
     return tokens
 

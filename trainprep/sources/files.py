@@ -71,14 +71,15 @@ def scan_json_folder(spark: SparkSession, folder: str) -> DataFrame:
     from trainprep.schemas import MESSAGES
 
     files = _files(spark, folder, "*.json")
-    v = F.try_parse_json("value")
-    is_obj = F.schema_of_variant(v).startswith("OBJECT")
-    raw_msgs = F.variant_get(v, "$.messages", "variant")
-    typed = F.try_variant_get(v, "$.messages", MESSAGES.simpleString())
+    # Top-level keys with their raw JSON text: lenient like Python's json
+    # (NaN / Infinity accepted), null for broken or non-object documents.
+    top = F.from_json("value", "map<string,string>", {"mode": "PERMISSIVE"})
+    raw_msgs = top["messages"]
+    typed = F.from_json(raw_msgs, MESSAGES, {"mode": "PERMISSIVE"})
     status = (
-        F.when(v.isNull() | ~is_obj, "corrupt")
-        .when(raw_msgs.isNull(), "missing_messages")
-        .when(F.is_variant_null(raw_msgs), "ok")
+        F.when(top.isNull(), "corrupt")
+        .when(~F.map_contains_key(top, "messages"), "missing_messages")
+        .when(raw_msgs.isNull(), "ok")
         .when(typed.isNull(), "corrupt")
         .otherwise("ok")
     )
