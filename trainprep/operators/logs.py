@@ -34,8 +34,10 @@ def parse_dict(text: str | Column) -> Column:
     ``null`` / ``true`` / ``false`` first.
     """
     c = F.col(text) if isinstance(text, str) else text
+    rewritten = c
     for py, js in PY_LITERALS:
-        c = F.regexp_replace(c, rf"(?<=[:,\[\{{]\s{{0,8}}){py}(?=\s*[,\}}\]])", js)
+        rewritten = F.regexp_replace(rewritten, rf"(?<=[:,\[\{{]\s{{0,8}}){py}(?=\s*[,\}}\]])", js)
+    c = F.when(c.rlike("None|True|False"), rewritten).otherwise(c)
     return F.from_json(c, "map<string,string>", {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})
 
 

@@ -181,7 +181,7 @@ def chunk_sink_roundtrip(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     packed = pack_by_chars(docs, ["doc_id"], char_length("text"), PACK_LIMIT)
     out = scratch_dir(spark, "chunks")
-    write_chunks(packed, out, "chunk_id", "ord", ["text"])
+    write_chunks(packed, out, "chunk_id", "ord", ["text"], range_ordered=True)
     back = spark.read.parquet(out)
     return back.groupBy("chunk").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(char_length("text")).alias("n_chars"))
 
@@ -211,5 +211,7 @@ def shard_sink_roundtrip(spark, sf_dir):
     deduped = deduped_documents(spark, sf_dir).select("doc_id", "text")
     sharded = pack_by_chars(deduped, ["doc_id"], char_length("text"), SHARD_LIMIT, isolate=True)
     out = scratch_dir(spark, "shards")
-    write_chunks(sharded, out, "chunk_id", "ord", ["text"], partition_name="shard", prefix="part", width=4, base=1)
+    write_chunks(
+        sharded, out, "chunk_id", "ord", ["text"], partition_name="shard", prefix="part", width=4, base=1, range_ordered=True
+    )
     return spark.read.parquet(out).groupBy("shard").agg(F.count(F.lit(1)).alias("n_rows"))

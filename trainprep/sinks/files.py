@@ -35,16 +35,20 @@ def write_chunks(
     width: int = 6,
     base: int = 0,
     mode: str = "overwrite",
+    range_ordered: bool = False,
 ) -> None:
     """Numbered chunk sink (K1) / shard sink (K2): one folder per chunk.
 
     A chunk is bounded by its packing limit, so clustering each chunk into
-    one task is safe; rows keep their order inside the chunk.
+    one task is safe; rows keep their order inside the chunk.  With
+    ``range_ordered=True`` (the output of ``pack_by_chars``: partitions are
+    consecutive ranges of the order) no shuffle is needed: a chunk that
+    straddles two partitions gets two files, named in partition order.
     """
     named = df.withColumn(partition_name, chunk_name(chunk_col, prefix, width, base))
+    clustered = named if range_ordered else named.repartition(partition_name)
     (
-        named.repartition(partition_name)
-        .sortWithinPartitions(partition_name, order_col)
+        clustered.sortWithinPartitions(partition_name, order_col)
         .select(*columns, partition_name)
         .write.mode(mode)
         .partitionBy(partition_name)
