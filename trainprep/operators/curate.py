@@ -20,11 +20,13 @@ def dedup_first(df: DataFrame, key: str = "text", ord_col: str = "ord", copies:
     column with the number of input rows per key.
     """
     rest = [c for c in df.columns if c not in (key, ord_col)]
-    aggs = [F.min(F.struct(F.col(ord_col), *[F.col(c) for c in rest])).alias("_first")]
-    if copies:
-        aggs.append(F.count(F.lit(1)).alias(copies))
+    count = [F.count(F.lit(1)).alias(copies)] if copies else []
+    if not rest:
+        # fixed-width buffer: stays a HashAggregate (no sort of the keys)
+        return df.groupBy(key).agg(F.min(ord_col).alias(ord_col), *count)
+    first = F.min(F.struct(F.col(ord_col), *[F.col(c) for c in rest])).alias("_first")
     out = [key, *[F.col(f"_first.{c}").alias(c) for c in (ord_col, *rest)]] + ([copies] if copies else [])
-    return df.groupBy(key).agg(*aggs).select(*out)
+    return df.groupBy(key).agg(first, *count).select(*out)
 
 
 def dedup_stats(deduped: DataFrame, copies: str = "copies") -> DataFrame:

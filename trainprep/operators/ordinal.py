@@ -34,12 +34,13 @@ def range_sorted(df: DataFrame, order_by: Sequence[str | Column], num_partitions
 
     ``order_by`` must be a total order (append a unique tie-breaker).
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(df.sparkSession)
     keys = [_col(c) for c in order_by]
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    return ranged.withColumn(RID, F.monotonically_increasing_id()).checkpoint(eager=True)
+    # Without an explicit count, AQE sizes the range partitions from the
+    # measured data; it only merges neighbouring ranges, so order is kept.
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    ranged = ranged.sortWithinPartitions(*keys).withColumn(RID, F.monotonically_increasing_id())
+    return ranged.checkpoint(eager=True)
 
 
 def partition_of(rid: str | Column = RID) -> Column:
