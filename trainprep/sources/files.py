@@ -54,23 +54,24 @@ def _files(spark: SparkSession, folder: str, suffix_glob: str) -> DataFrame:
     from pyspark.sql import functions as F
 
     raw = spark.read.option("pathGlobFilter", suffix_glob).text(folder, wholetext=True)
+    return with_file_name(raw)
+
+
+def with_file_name(raw: DataFrame) -> DataFrame:
+    """``value`` -> ``(path, name, value)`` from the file metadata column."""
+    from pyspark.sql import functions as F
+
     path = F.col("_metadata.file_path")
     return raw.select(path.alias("path"), F.element_at(F.split(path, "/"), -1).alias("name"), "value")
 
 
-def scan_json_folder(spark: SparkSession, folder: str) -> DataFrame:
-    """JSON folder scan (S1): one document per ``*.json`` file.
-
-    Columns: ``path, name, status, messages``.  ``status`` is ``ok``,
-    ``missing_messages`` (object without the key: ``messages = []``),
-    ``corrupt`` (not parseable JSON, or not an object, or ``messages`` of
-    the wrong type).  An explicit null ``messages`` stays null.
-    """
+def parse_json_documents(files: DataFrame) -> DataFrame:
+    """``(path, name, value)`` -> ``(path, name, status, messages)`` (see
+    :func:`scan_json_folder`); shared by the batch and streaming reads."""
     from pyspark.sql import functions as F
 
     from trainprep.schemas import MESSAGES
 
-    files = _files(spark, folder, "*.json")
     # Top-level keys with their raw JSON text: lenient like Python's json
     # (NaN / Infinity accepted), null for broken or non-object documents.
     top = F.from_json("value", "map<string,string>", {"mode": "PERMISSIVE"})
@@ -87,15 +88,25 @@ def scan_json_folder(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("path", "name", status.alias("status"), messages.alias("messages"))
 
 
-def scan_txt_folder(spark: SparkSession, folder: str, on_bad_utf8: str = "error") -> DataFrame:
-    """TXT folder scan (S2): one row per non-empty ``*.txt`` file, newlines
-    translated to ``\\n``.  Invalid UTF-8 fails the job (``error``) or the
-    file is dropped (``reject``)."""
+def scan_json_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """JSON folder scan (S1): one document per ``*.json`` file.
+
+    Columns: ``path, name, status, messages``.  ``status`` is ``ok``,
+    ``missing_messages`` (object without the key: ``messages = []``),
+    ``corrupt`` (not parseable JSON, or not an object, or ``messages`` of
+    the wrong type).  An explicit null ``messages`` stays null.
+    """
+    return parse_json_documents(_files(spark, folder, "*.json"))
+
+
+def clean_txt_documents(files: DataFrame, on_bad_utf8: str = "error") -> DataFrame:
+    """``(path, name, value)`` -> ``(path, name, text)``: newlines folded,
+    empty files dropped, invalid UTF-8 fails (``error``) or is dropped
+    (``reject``); shared by the batch and streaming reads."""
     from pyspark.sql import functions as F
 
     from trainprep.functions.text import normalize_newlines
 
-    files = _files(spark, folder, "*.txt")
     valid = F.is_valid_utf8("value")
     if on_bad_utf8 == "error":
         text = F.when(valid, F.col("value")).otherwise(F.raise_error(F.concat(F.lit("invalid UTF-8 in "), "path")))
@@ -108,6 +119,13 @@ def scan_txt_folder(spark: SparkSession, folder: str, on_bad_utf8: str = "error"
     return out.where(F.length("text") > 0)
 
 
+def scan_txt_folder(spark: SparkSession, folder: str, on_bad_utf8: str = "error") -> DataFrame:
+    """TXT folder scan (S2): one row per non-empty ``*.txt`` file, newlines
+    translated to ``\\n``.  Invalid UTF-8 fails the job (``error``) or the
+    file is dropped (``reject``)."""
+    return clean_txt_documents(_files(spark, folder, "*.txt"), on_bad_utf8)
+
+
 def _zip_members(batches):
     import zipfile
 
