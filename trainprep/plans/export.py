@@ -46,3 +46,22 @@ def export_to_messages(spark, sf_dir):
 @query("export_rejects", f"SELECT DISTINCT {_NAME} AS name, 'missing_key' AS status FROM conversations WHERE conv_id % 19 = 0")
 def export_rejects_query(spark, sf_dir):
     return export_rejects(converted(spark, sf_dir)).select("name", "status")
+
+
+@query(
+    "export_json_roundtrip",
+    f"""
+SELECT {_NAME} AS name, CASE WHEN conv_id % 7 = 0 THEN 'unknown' ELSE role END AS role, text AS content
+FROM conversations WHERE conv_id % 19 <> 0 AND role <> 'system'
+""",
+)
+def export_json_roundtrip(spark, sf_dir):
+    """Converted exports written as one JSON array per file (K5), read back."""
+    from trainprep.session import scratch_dir
+    from trainprep.sinks.files import write_json_documents
+
+    out = scratch_dir(spark, "converted")
+    ok = converted(spark, sf_dir).where(F.col("status") == "ok")
+    write_json_documents(ok, out, "name", F.to_json("messages")).collect()
+    back = spark.read.schema("role string, content string").option("multiLine", "true").json(out)
+    return back.select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("name"), "role", "content")

@@ -143,3 +143,16 @@ FROM n LEFT JOIN s ON n.rank = s.rank LEFT JOIN b ON b.rank = s.rank AND b.idx =
 )
 def early_stop_query(spark, sf_dir):
     return early_stop(_evals(spark, sf_dir), "rank", "epoch", PATIENCE, THRESHOLD)
+
+
+@query("log_table_sink", TRAIN_SQL)
+def log_table_sink(spark, sf_dir):
+    """Train table written as CSV with its fixed header (K6), read back."""
+    from trainprep.operators.logs import TRAIN_COLUMNS
+    from trainprep.session import scratch_dir
+    from trainprep.sinks.files import write_log_table
+
+    out = scratch_dir(spark, "train_table")
+    write_log_table(_trains(spark, sf_dir), out, ["rank", *TRAIN_COLUMNS])
+    schema = "rank long, loss double, grad_norm double, learning_rate double, epoch double"
+    return spark.read.schema(schema).option("header", "true").csv(out)

@@ -76,3 +76,19 @@ def corpus_scan_query(spark, sf_dir):
     """Sharder input: every parquet file must hold ``text``; only it is read."""
     d = sf_dir.rstrip("/")
     return corpus_scan(spark, [f"{d}/documents.parquet", f"{d}/benchmark.parquet"], "text")
+
+
+@query(
+    "token_json_roundtrip",
+    f"""
+SELECT token, token AS text, count(*) AS count
+FROM (SELECT unnest(regexp_extract_all(text, '{WORD}')) AS token FROM documents) t GROUP BY token
+""",
+)
+def token_json_roundtrip(spark, sf_dir):
+    """Token counts written as JSON lines sorted by token (K3), read back."""
+    from trainprep.session import scratch_dir
+
+    out = scratch_dir(spark, "tokens")
+    token_frequency(table(spark, sf_dir, "documents"), "text", "word").orderBy("token").write.json(out)
+    return spark.read.schema("token string, text string, count long").json(out)

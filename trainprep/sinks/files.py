@@ -91,9 +91,12 @@ def write_json_documents(df: DataFrame, folder: str, name: str, document: str |
 
 
 def write_log_table(df: DataFrame, path: str, columns: list[str], fmt: str = "csv") -> None:
-    """Log table sink (K6): fixed column order; an empty result still writes
-    its header (CSV) or schema (parquet)."""
-    out = df.select(*columns).coalesce(1) if fmt == "csv" else df.select(*columns)
+    """Log table sink (K6): fixed column order, one file per task, each CSV
+    file with the header; an empty result still writes its header (CSV) or
+    schema (parquet) in a single empty file."""
+    out = df.select(*columns)
+    if out.isEmpty():
+        out = out.coalesce(1)  # no rows: one file that carries the columns
     writer = out.write.mode("overwrite")
     if fmt == "csv":
         writer.option("header", "true").csv(path)
