@@ -3,10 +3,11 @@ best evaluation, rank comparison, early-stop point."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trainprep.functions.text import py_float
+from trainprep.operators.ordinal import with_ordinal
 from trainprep.operators.scan import running
 
 # Output column order of the two log tables.
@@ -85,9 +86,12 @@ def compare_runs(evals: DataFrame, trains: DataFrame, run: str = "rank") -> Data
         F.count(F.lit(1)).alias("n_train"), F.max_by("loss", "epoch").alias("last_train_loss")
     )
     both = best.join(tr, run, "full")
-    # one row per run: the ranking window is over the run table itself
-    place = F.rank().over(Window.orderBy(F.col("best_loss").asc_nulls_last()))
-    return both.withColumn("place", place.cast("long"))
+    # rank() by best loss without a single-partition window: global ordinal
+    # on (best_loss, run), then the first ordinal of each loss value + 1
+    key = F.coalesce(F.col("best_loss"), F.lit(float("inf")))
+    ordered = with_ordinal(both.withColumn("_key", key), [F.col("_key").asc(), F.col("best_loss").isNull(), F.col(run)])
+    first = ordered.groupBy("_key").agg((F.min("ord") + 1).cast("long").alias("place"))
+    return ordered.join(first, "_key").drop("_key", "ord")
 
 
 def early_stop(

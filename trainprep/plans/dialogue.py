@@ -49,11 +49,11 @@ FROM documents
 
 _BASE_SQL = f"""
 WITH o AS ({_OPENERS_CLEAN_SQL}),
-n AS (SELECT count(*) AS n FROM o),
 u AS (SELECT * FROM ({_REPLIES_SQL}) r WHERE (agent = 'A' AND turn < {TURNS}) OR (agent = 'B' AND turn < {TURNS} - 1)),
 good AS (SELECT session FROM u GROUP BY session
          HAVING count(*) FILTER (WHERE valid) = count(*) AND count(*) = {2 * TURNS - 1}),
-so AS (SELECT g.session, o.opener_id, o.think, o.respond FROM good g, n JOIN o ON o.opener_id = (g.session - 1) % n.n),
+so AS (SELECT g.session, o.opener_id, o.think, o.respond FROM good g
+       JOIN o ON o.opener_id = (g.session - 1) % (SELECT count(*) FROM o)),
 k AS (SELECT u.* FROM u JOIN good USING (session))
 """
 
@@ -70,10 +70,10 @@ def reply_valid(spark, sf_dir):
 @query(
     "opener_round_robin",
     f"""
-WITH o AS ({_OPENERS_CLEAN_SQL}), n AS (SELECT count(*) AS n FROM o),
+WITH o AS ({_OPENERS_CLEAN_SQL}),
 s AS (SELECT DISTINCT CAST(floor(doc_id / {PER}) + 1 AS BIGINT) AS session FROM documents)
 SELECT s.session, o.opener_id, substring(o.respond, 1, 50) AS preview
-FROM s, n JOIN o ON o.opener_id = (s.session - 1) % n.n
+FROM s JOIN o ON o.opener_id = (s.session - 1) % (SELECT count(*) FROM o)
 """,
 )
 def opener_round_robin(spark, sf_dir):
