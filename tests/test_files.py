@@ -77,7 +77,7 @@ def test_zip_members(spark, tmp_folder):
         zf.writestr("empty.txt", "")
         zf.writestr("x.md", "no")
     _write(d, "one.zip", buf.getvalue())
-    got = [(r.member, r.text) for r in scan_zip_txt(spark, tmp_folder).collect()]
+    got = sorted((r.member, r.text) for r in scan_zip_txt(spark, tmp_folder).collect())
     assert got == [("b.txt", "B\r\n"), ("dir/a.TXT", "A"), ("empty.txt", "")]
 
 

@@ -126,7 +126,8 @@ def scan_txt_folder(spark: SparkSession, folder: str, on_bad_utf8: str = "error"
     return clean_txt_documents(_files(spark, folder, "*.txt"), on_bad_utf8)
 
 
-def _zip_members(batches):
+def _zip_listing(batches):
+    """Archive path -> one row per ``.txt`` member (central directory only)."""
     import zipfile
 
     import pandas as pd
@@ -136,26 +137,45 @@ def _zip_members(batches):
         for path in pdf["path"]:
             filesystem, inner = fs.FileSystem.from_uri(path)
             with filesystem.open_input_file(inner) as f, zipfile.ZipFile(f) as zf:
-                names = sorted(n for n in zf.namelist() if n.lower().endswith(".txt"))
-                rows = {"archive": [], "member": [], "text": []}
-                for n in names:
-                    rows["archive"].append(path)
-                    rows["member"].append(n)
-                    rows["text"].append(zf.read(n).decode("utf-8"))
-                    if len(rows["member"]) >= 1024:
-                        yield pd.DataFrame(rows)
-                        rows = {"archive": [], "member": [], "text": []}
-                if rows["member"]:
-                    yield pd.DataFrame(rows)
+                names = [n for n in zf.namelist() if n.lower().endswith(".txt")]
+            if names:
+                yield pd.DataFrame({"archive": [path] * len(names), "member": names})
+
+
+def _zip_read(batches):
+    """``(archive, member)`` rows -> member text; each archive opened once per
+    batch with random access, strict UTF-8."""
+    import zipfile
+
+    import pandas as pd
+    from pyarrow import fs
+
+    for pdf in batches:
+        texts = [None] * len(pdf)
+        for archive, idx in pdf.groupby("archive", sort=False).indices.items():
+            filesystem, inner = fs.FileSystem.from_uri(archive)
+            with filesystem.open_input_file(inner) as f, zipfile.ZipFile(f) as zf:
+                for i in idx:
+                    texts[i] = zf.read(pdf["member"].iat[i]).decode("utf-8")
+        yield pd.DataFrame({"archive": pdf["archive"], "member": pdf["member"], "text": texts})
 
 
 def scan_zip_txt(spark: SparkSession, folder_or_glob: str) -> DataFrame:
     """ZIP-of-TXT scan (S3): every member ending ``.txt`` (any case, any
     depth) of every ``*.zip``; one row per member, empty members kept, no
-    newline translation, strict UTF-8.  Only archive paths are listed by
-    Spark; each task opens its archive with random access (no 2 GB row)."""
+    newline translation, strict UTF-8.
+
+    Two steps, so one huge archive is not one task: the central directories
+    are listed (metadata only), the member rows are spread over tasks by
+    hash, and each task opens the archive with random access and reads only
+    its own members.  Order within an archive is the member name.
+    """
+    from pyspark.sql import functions as F
+
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder_or_glob).select("path")
-    return listing.mapInPandas(_zip_members, "archive string, member string, text string")
+    members = listing.mapInPandas(_zip_listing, "archive string, member string")
+    spread = members.repartition(F.xxhash64("archive", "member"))
+    return spread.mapInPandas(_zip_read, "archive string, member string, text string")
 
 
 def scan_openers(spark: SparkSession, path: str, skip_header: bool = False) -> DataFrame:
