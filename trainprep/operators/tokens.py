@@ -31,9 +31,13 @@ def token_frequency(df: DataFrame, text: str = "text", tokenizer: str = "word")
     return counts.select("token", readable_token("token", tokenizer).alias("text"), "count")
 
 
-def distinct_tokens(df: DataFrame, text: str = "text", tokenizer: str = "word") -> DataFrame:
-    """One row: the number of distinct tokens."""
+def distinct_tokens(df: DataFrame, text: str = "text", tokenizer: str = "word", approx_rsd: float | None = None) -> DataFrame:
+    """One row: the number of distinct tokens; exact by default, or a
+    HyperLogLog++ estimate with relative error ``approx_rsd`` (no shuffle of
+    the tokens, fixed-size sketches merged)."""
     toks = df.select(F.explode(tokenize(text, tokenizer)).alias("token"))
+    if approx_rsd is not None:
+        return toks.agg(F.approx_count_distinct("token", approx_rsd).alias("n_distinct_tokens"))
     return toks.agg(F.count_distinct("token").alias("n_distinct_tokens"))
 
 

@@ -83,3 +83,35 @@ def cpt_text_query(spark, sf_dir):
 )
 def cpt_max_context(spark, sf_dir):
     return max_context(cpt_text(table(spark, sf_dir, "documents")))
+
+
+@query(
+    "sft_split",
+    f"""
+WITH r AS ({RENDER_SFT_SQL}),
+o AS (SELECT conv_id, text, CAST(row_number() OVER (ORDER BY conv_id) - 1 AS BIGINT) AS ord, count(*) OVER () AS n FROM r)
+SELECT ord, text, CASE WHEN ord < n - CAST(ceil(CAST(0.1 AS DOUBLE) * n) AS BIGINT) THEN 'train' ELSE 'test' END AS split
+FROM o
+""",
+)
+def sft_split(spark, sf_dir):
+    """The SFT entry flow: a JSON-lines dataset of ``messages`` (written from
+    the conversations in conv_id order) -> load by format -> SFT mapper
+    (source columns dropped) -> ordered split, last 10% test."""
+    from trainprep.operators.ordinal import ordered_split, with_ordinal
+    from trainprep.schemas import CONVERSATION_FILE
+    from trainprep.session import scratch_dir
+    from trainprep.sources.files import load_dataset
+
+    out = scratch_dir(spark, "sft_dataset")
+    conv = conversation_messages(spark, sf_dir)
+    conv.repartitionByRange("conv_id").sortWithinPartitions("conv_id").select("messages").write.json(out)
+    data = load_dataset(spark, out, fmt="json", schema=CONVERSATION_FILE).select(
+        "messages",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    ordered = with_ordinal(data, ["_file", "_block", "_row"])
+    rendered = sft_text(ordered, keep=["ord"])
+    return ordered_split(rendered, "ord", 0.1)

@@ -195,10 +195,16 @@ def scan_openers(spark: SparkSession, path: str, skip_header: bool = False) -> D
         .option("header", "true" if skip_header else "false")
         .option("mode", "PERMISSIVE")
         .csv(path)
-        .select("think", "respond", F.col("_metadata.file_path").alias("_path"), F.monotonically_increasing_id().alias("_row"))
+        .select(
+            "think",
+            "respond",
+            F.col("_metadata.file_path").alias("_path"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_row"),
+        )
     )
     kept = raw.where(~is_blank("think") & ~is_blank("respond"))
-    ordered = with_ordinal(kept, ["_path", "_row"], name="opener_id")
+    ordered = with_ordinal(kept, ["_path", "_block", "_row"], name="opener_id")
     return ordered.select("opener_id", py_strip("think").alias("think"), py_strip("respond").alias("respond"))
 
 
