@@ -30,6 +30,8 @@ def get_spark(cpus: int | str = "*", app: str = "trainprep", shuffle_partitions:
         # not 4 MB, so small files pack into fewer, fuller tasks
         .config("spark.sql.files.openCostInBytes", str(256 * 1024))
         .config("spark.sql.session.timeZone", "UTC")
+        # checkpoint files of frames that went out of scope are removed
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("TRAINPREP_DRIVER_MEMORY", "16g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -60,15 +60,22 @@ def write_chunks(
 def _write_each(folder: str, binary: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
+        from pyspark import TaskContext
 
+        ctx = TaskContext.get()
+        attempt = f"{ctx.stageId()}-{ctx.partitionId()}-{ctx.attemptNumber()}" if ctx else "driver"
         filesystem, root = fs.FileSystem.from_uri(folder)
         filesystem.create_dir(root, recursive=True)
         for pdf in batches:
             sizes = []
             for name, content in zip(pdf["name"], pdf["content"]):
                 data = content if binary else content.encode("utf-8")
-                with filesystem.open_output_stream(f"{root}/{name}") as out:
+                # a retried or speculative attempt writes its own temp file and
+                # moves it over the final name, so readers never see a torn file
+                tmp = f"{root}/.{name}.{attempt}.tmp"
+                with filesystem.open_output_stream(tmp) as out:
                     out.write(data)
+                filesystem.move(tmp, f"{root}/{name}")
                 sizes.append(len(data))
             yield pd.DataFrame({"name": pdf["name"], "bytes": pd.Series(sizes, dtype="int64")})
 
