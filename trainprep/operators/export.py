@@ -50,20 +50,37 @@ def find_key_path(doc, key: str = "messages") -> list:
     return []
 
 
+def _first_part_text(frame):
+    """``frame.contentParts[0].text`` when the frame has that shape, else a
+    marker that the frame is skipped."""
+    if not isinstance(frame, dict):
+        return _SKIP
+    parts = frame.get("contentParts", _SKIP)
+    if not isinstance(parts, list) or not parts or not isinstance(parts[0], dict) or "text" not in parts[0]:
+        return _SKIP
+    return parts[0]["text"]
+
+
+_SKIP = object()
+
+
 def frames_to_messages(frames) -> list[dict]:
     """Each frame -> ``{role, content}``: content is the text of the first
     content part (frames without one are skipped); a missing role is
     ``unknown``, an explicit null stays null."""
+    if isinstance(frames, dict):
+        frames = list(frames)  # iterating a mapping visits its keys (all skipped)
+    elif not isinstance(frames, list):
+        frames = list(frames) if isinstance(frames, str) else []
     out = []
     for frame in frames:
-        try:
-            text = frame["contentParts"][0]["text"]
-        except (KeyError, IndexError, TypeError):
-            continue
-        if not isinstance(frame, dict):
+        text = _first_part_text(frame)
+        if text is _SKIP:
             continue
         role = frame["role"] if "role" in frame else "unknown"
-        out.append({"role": None if role is None else str(role), "content": text if isinstance(text, str) or text is None else json.dumps(text, ensure_ascii=False)})
+        if text is not None and not isinstance(text, str):
+            text = json.dumps(text, ensure_ascii=False)
+        out.append({"role": None if role is None else str(role), "content": text})
     return out
 
 
