@@ -47,9 +47,23 @@ def shuffle_key(text: str = "text", seed: int = 42):
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(text)))
 
 
-def seeded_shuffle(df: DataFrame, text: str = "text", ord_col: str = "ord", seed: int = 42, name: str = "pos") -> DataFrame:
-    """Full permutation by ``(shuffle_key, ord)``; ``name`` is the new position."""
-    return with_ordinal(df, [shuffle_key(text, seed), F.col(ord_col)], name=name)
+def seeded_shuffle(
+    df: DataFrame,
+    text: str = "text",
+    ord_col: str = "ord",
+    seed: int = 42,
+    name: str = "pos",
+    keep: Sequence[str] | None = None,
+) -> DataFrame:
+    """Full permutation by ``(shuffle_key, ord)``; ``name`` is the new position.
+
+    ``keep`` projects the columns to carry before the ordering, so the
+    checkpoint behind the ordinal holds only them and the key.
+    """
+    keyed = df.withColumn("_shuffle_key", shuffle_key(text, seed))
+    if keep is not None:
+        keyed = keyed.select(*dict.fromkeys([*keep, ord_col]), "_shuffle_key")
+    return with_ordinal(keyed, [F.col("_shuffle_key"), F.col(ord_col)], name=name).drop("_shuffle_key")
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

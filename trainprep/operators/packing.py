@@ -276,8 +276,8 @@ def pack_by_chars(
     return packed.drop(RID, LEN)
 
 
-def chunk_stats(df: DataFrame, chunk: str = "chunk_id", text: str = "text") -> DataFrame:
-    """Rows and characters per chunk (A5)."""
-    return df.groupBy(chunk).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum(char_length(text)).cast("long").alias("n_chars")
-    )
+def chunk_stats(df: DataFrame, chunk: str = "chunk_id", text: str = "text", length: str | None = None) -> DataFrame:
+    """Rows and characters per chunk (A5); ``length`` names a precomputed
+    length column (then the text need not be there)."""
+    size = F.col(length) if length else char_length(text)
+    return df.groupBy(chunk).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(size).cast("long").alias("n_chars"))

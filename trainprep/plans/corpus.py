@@ -90,7 +90,8 @@ SELECT doc_id, CAST(row_number() OVER (ORDER BY md5('{SHUFFLE_SEED}:' || text),
 """,
 )
 def seeded_shuffle_query(spark, sf_dir):
-    return seeded_shuffle(deduped_documents(spark, sf_dir), "text", "doc_id", SHUFFLE_SEED).select("doc_id", "pos")
+    deduped = deduped_documents(spark, sf_dir)
+    return seeded_shuffle(deduped, "text", "doc_id", SHUFFLE_SEED, keep=["doc_id"]).select("doc_id", "pos")
 
 
 def _pack_sql(source: str, order: str, limit: int) -> str:
@@ -138,8 +139,9 @@ _DEDUP_SQL = "SELECT text, min(doc_id) AS doc_id FROM documents GROUP BY text"
 )
 def pack_chars(spark, sf_dir):
     """TXT-style packing: documents in name (doc_id) order, 100,000 characters."""
-    docs = documents(spark, sf_dir).select("doc_id", "text")
-    return pack_by_chars(docs, ["doc_id"], char_length("text"), PACK_LIMIT).select("doc_id", "ord", "chunk_id")
+    # only (id, length) is packed: the checkpoint never holds the text
+    lens = documents(spark, sf_dir).select("doc_id", char_length("text").alias("len"))
+    return pack_by_chars(lens, ["doc_id"], "len", PACK_LIMIT).select("doc_id", "ord", "chunk_id")
 
 
 @query(
@@ -148,8 +150,8 @@ def pack_chars(spark, sf_dir):
     + "SELECT chunk_id, count(*) AS n_rows, CAST(sum(len) AS BIGINT) AS n_chars FROM r GROUP BY chunk_id",
 )
 def chunk_stats_query(spark, sf_dir):
-    docs = documents(spark, sf_dir).select("doc_id", "text")
-    return chunk_stats(pack_by_chars(docs, ["doc_id"], char_length("text"), PACK_LIMIT))
+    lens = documents(spark, sf_dir).select("doc_id", char_length("text").alias("len"))
+    return chunk_stats(pack_by_chars(lens, ["doc_id"], "len", PACK_LIMIT), length="len")
 
 
 @query(
@@ -158,8 +160,8 @@ def chunk_stats_query(spark, sf_dir):
 )
 def shard_chars(spark, sf_dir):
     """Sharder: dedup, keep order, shards of 20,000 characters, 1-based ids."""
-    deduped = deduped_documents(spark, sf_dir).select("doc_id", "text")
-    sharded = pack_by_chars(deduped, ["doc_id"], char_length("text"), SHARD_LIMIT, isolate=True)
+    lens = deduped_documents(spark, sf_dir).select("doc_id", char_length("text").alias("len"))
+    sharded = pack_by_chars(lens, ["doc_id"], "len", SHARD_LIMIT, isolate=True)
     return sharded.select("doc_id", (F.col("chunk_id") + 1).alias("shard_id"))
 
 
@@ -169,9 +171,10 @@ def shard_chars(spark, sf_dir):
 )
 def shard_shuffled(spark, sf_dir):
     """Sharder with ``--shuffle``: dedup, seeded shuffle, then shards."""
-    deduped = deduped_documents(spark, sf_dir).select("doc_id", "text")
-    order = [shuffle_key("text", SHUFFLE_SEED), F.col("doc_id")]
-    sharded = pack_by_chars(deduped, order, char_length("text"), SHARD_LIMIT, isolate=True)
+    keyed = deduped_documents(spark, sf_dir).select(
+        "doc_id", shuffle_key("text", SHUFFLE_SEED).alias("_key"), char_length("text").alias("len")
+    )
+    sharded = pack_by_chars(keyed, ["_key", "doc_id"], "len", SHARD_LIMIT, isolate=True)
     return sharded.select("doc_id", (F.col("chunk_id") + 1).alias("shard_id"))
 
 

@@ -120,7 +120,8 @@ SELECT lpad(CAST(doc_id AS VARCHAR), 6, '0') || '.txt' AS name, chunk_id FROM r
 def pack_txt_folder(spark, sf_dir):
     """TXT folder -> chunks of 100,000 characters, in file-name order."""
     files = scan_txt_folder(spark, write_txt_folder(spark, sf_dir))
-    return pack_by_chars(files, ["path"], char_length("text"), PACK_LIMIT).select("name", "chunk_id")
+    lens = files.select("path", "name", char_length("text").alias("len"))
+    return pack_by_chars(lens, ["path"], "len", PACK_LIMIT).select("name", "chunk_id")
 
 
 @query(
