@@ -12,6 +12,24 @@ from pyspark.sql import functions as F
 from trainprep.plans.tables import table
 from trainprep.session import scratch_dir
 
+_WRITTEN: dict[tuple, str] = {}
+
+
+def once_per_session(fn):
+    """Write a derived input once per Spark application and table folder;
+    later queries in the same session read the same files."""
+
+    def wrapper(spark: SparkSession, sf_dir: str, *args):
+        key = (spark.sparkContext.applicationId, fn.__name__, sf_dir.rstrip("/"), args)
+        if key not in _WRITTEN:
+            _WRITTEN[key] = fn(spark, sf_dir, *args)
+        return _WRITTEN[key]
+
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 # The LoRA ranks the rank scan runs, in order.
 RANKS = (32, 64, 96, 128, 160)
 
@@ -59,6 +77,7 @@ def log_line(events: DataFrame) -> Column:
     )
 
 
+@once_per_session
 def write_run_logs(spark: SparkSession, sf_dir: str) -> str:
     """One log per rank, ``train_rank<r>.log`` in the folder name; returns
     a glob of the files.  Spark writes each rank's lines in parallel."""
@@ -79,6 +98,7 @@ def _conv_name(conv_id: Column, suffix: str = ".json") -> Column:
     return F.concat(F.lit("conv_"), F.lpad(conv_id.cast("string"), 6, "0"), F.lit(suffix))
 
 
+@once_per_session
 def write_json_folder(spark: SparkSession, sf_dir: str) -> str:
     """One ``conv_<id>.json`` per conversation: ``{"messages": [...]}``;
     ``conv_id % 10 = 7`` truncated (broken), ``= 3`` without ``messages``."""
@@ -102,6 +122,7 @@ def doc_file_name(doc_id: Column) -> Column:
     return F.concat(F.lpad(doc_id.cast("string"), 6, "0"), F.lit(".txt"))
 
 
+@once_per_session
 def write_txt_folder(spark: SparkSession, sf_dir: str) -> str:
     """One ``<doc_id:06d>.txt`` per document; ``doc_id % 9 = 0`` empty,
     ``doc_id % 7 = 0`` with ``\\r\\n`` line ends."""
@@ -151,6 +172,7 @@ def _build_archives(folder: str):
     return run
 
 
+@once_per_session
 def write_zip_folder(spark: SparkSession, sf_dir: str) -> str:
     """Documents in ZIP archives of DOCS_PER_ARCHIVE members (``docs_<k>.zip``),
     one group per archive (bounded by construction); ``doc_id % 9 = 0``
@@ -184,6 +206,7 @@ def opener_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("conv_id", "turn", think.alias("think"), respond.alias("respond"))
 
 
+@once_per_session
 def write_openers_csv(spark: SparkSession, sf_dir: str, parts: int = 3) -> str:
     """Opener CSV with a header, in (conv_id, turn) order over ``parts``
     files whose names sort in that order; quotes doubled, newlines kept."""
@@ -226,6 +249,7 @@ WHERE respond IS NOT NULL
 """
 
 
+@once_per_session
 def write_chat_export(spark: SparkSession, sf_dir: str) -> str:
     """One nested chat-app export per conversation (``export_<id>.json``):
     messages under ``data.session``; ``conv_id % 5 = 0`` one level deeper
