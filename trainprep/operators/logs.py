@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from trainprep.functions.text import py_float
 from trainprep.operators.ordinal import with_ordinal
-from trainprep.operators.scan import running
+from trainprep.operators.scan import ranged_by_group, running_on_ranged
 
 # Output column order of the two log tables.
 TRAIN_COLUMNS = ["loss", "grad_norm", "learning_rate", "epoch"]
@@ -109,15 +109,13 @@ def early_stop(
     ``idx - last_improved_idx >= patience``.  Runs that never stop get a
     null ``stop_epoch``.  Both running aggregates are skew-safe prefix scans.
     """
-    first = running(
-        evals.select(run, order, "loss"),
-        run,
-        [order],
-        {"best_before": ("min", "loss", True), "idx": ("count", F.lit(1), False)},
+    ranged = ranged_by_group(evals.select(run, order, "loss"), run, [order])
+    first = running_on_ranged(
+        ranged, run, {"best_before": ("min", "loss", True), "idx": ("count", F.lit(1), False)}
     )
     improved = F.col("best_before").isNull() | ((F.col("best_before") - F.col("loss")) > F.lit(float(threshold)))
     flagged = first.withColumn("_imp_idx", F.when(improved, F.col("idx")))
-    second = running(flagged, run, [order], {"last_improved": ("max", "_imp_idx", False)})
+    second = running_on_ranged(flagged, run, {"last_improved": ("max", "_imp_idx", False)})
     stops = second.where(F.col("idx") - F.col("last_improved") >= patience)
     stop = stops.groupBy(run).agg(F.min(F.struct("idx", order)).alias("s"))
     summary = second.groupBy(run).agg(F.count(F.lit(1)).alias("n_evals"))

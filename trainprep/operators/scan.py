@@ -28,20 +28,15 @@ def _combine(kind: str, carry: Column, local: Column) -> Column:
     return F.coalesce(carry, F.lit(0)) + F.coalesce(local, F.lit(0))
 
 
-def running(
-    df: DataFrame,
-    group: str,
-    order: Sequence[str],
-    specs: dict[str, tuple[str, str | Column, bool]],
-    num_partitions: int | None = None,
-) -> DataFrame:
-    """Add running aggregates per ``group`` in ``order``.
+def ranged_by_group(df: DataFrame, group: str, order: Sequence[str], num_partitions: int | None = None) -> DataFrame:
+    """Range-sort on ``(group, *order)`` (checkpointed) and add the range
+    partition ``_p``; feed it to :func:`running_on_ranged` one or more times."""
+    return range_sorted(df, [group, *order], num_partitions).withColumn("_p", partition_of())
 
-    ``specs``: ``name -> (kind, column, exclusive)``; kind is min / max /
-    sum / count; ``exclusive`` leaves the current row out (frame ends one
-    row before it).  ``(group, *order)`` must be unique.
-    """
-    ranged = range_sorted(df, [group, *order], num_partitions).withColumn("_p", partition_of())
+
+def running_on_ranged(ranged: DataFrame, group: str, specs: dict[str, tuple[str, str | Column, bool]]) -> DataFrame:
+    """Add running aggregates to the output of :func:`ranged_by_group`
+    (keeps ``_p`` and the row id, so it can be applied again)."""
     base = Window.partitionBy(group, "_p").orderBy(RID)
     carry_w = Window.partitionBy(group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     totals, carries, locals_ = [], [], []
@@ -58,5 +53,21 @@ def running(
     scanned = ranged.select("*", *locals_).join(carry, [group, "_p"], "left")
     for name, (kind, _col, _ex) in specs.items():
         scanned = scanned.withColumn(name, _combine(kind, F.col(f"_c_{name}"), F.col(f"_l_{name}")))
-    drop = [f"_{x}_{n}" for n in specs for x in ("l", "c")]
-    return scanned.drop("_p", RID, *drop)
+    return scanned.drop(*[f"_{x}_{n}" for n in specs for x in ("l", "c")])
+
+
+def running(
+    df: DataFrame,
+    group: str,
+    order: Sequence[str],
+    specs: dict[str, tuple[str, str | Column, bool]],
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Add running aggregates per ``group`` in ``order``.
+
+    ``specs``: ``name -> (kind, column, exclusive)``; kind is min / max /
+    sum / count; ``exclusive`` leaves the current row out (frame ends one
+    row before it).  ``(group, *order)`` must be unique.
+    """
+    ranged = ranged_by_group(df, group, order, num_partitions)
+    return running_on_ranged(ranged, group, specs).drop("_p", RID)
