@@ -1,9 +1,8 @@
 """Golden strings for the reasoning fold and the chat template."""
 
 import pytest
-from pyspark.sql import functions as F
 
-from trainprep.operators.chat import fold_reasoning, max_context, nest_turns, render_chat, sft_text, sft_text_with_rejects
+from trainprep.operators.chat import fold_reasoning, max_context, nest_turns, sft_text, sft_text_with_rejects
 from trainprep.schemas import MESSAGES
 
 

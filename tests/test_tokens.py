@@ -4,7 +4,6 @@ import re
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from trainprep.operators.tokens import distinct_tokens, text_column, token_frequency, token_length_distribution
 
