@@ -77,3 +77,17 @@ def test_transcript_and_views(spark):
     b = [(r.role, r.content) for r in view_b(kept, so, "PB", turns).orderBy("pos").collect()]
     assert b[1] == ("assistant", '{"reasoning":"why","responding":"open"}')
     assert b[2] == ("user", '{"query": "s1A0"}') and b[3][0] == "assistant" and len(b) == 5
+
+
+def test_export_json_wrap_reads_back(spark, tmp_folder):
+    from trainprep.operators.export import convert_export, export_json
+    from trainprep.sinks.files import write_json_documents
+    from trainprep.sources.files import scan_json_folder
+
+    doc = '{"a": {"messages": [{"role": "user", "contentParts": [{"text": "hi"}]}]}}'
+    conv = convert_export(spark.createDataFrame([("x.json", doc)], "name string, value string"))
+    bare = conv.select(export_json("messages").alias("j")).first().j
+    assert json.loads(bare) == [{"role": "user", "content": "hi"}]
+    write_json_documents(conv, tmp_folder, "name", export_json("messages", wrap=True)).collect()
+    back = scan_json_folder(spark, tmp_folder).first()
+    assert back.status == "ok" and back.messages[0].content == "hi" and back.messages[0].reasoning is None

@@ -120,3 +120,11 @@ def convert_export(df: DataFrame, text: str | Column = "value", key: str = "mess
 def export_rejects(converted: DataFrame) -> DataFrame:
     """Documents without the key (or unreadable): the reference stops on them."""
     return converted.where(F.col("status") != "ok")
+
+
+def export_json(messages: str | Column = "messages", wrap: bool = False) -> Column:
+    """Converted conversation as JSON text (K5): a bare array of
+    ``{role, content}``, or ``{"messages": [...]}`` with ``wrap=True`` so
+    the JSON folder scan can read it back."""
+    m = F.col(messages) if isinstance(messages, str) else messages
+    return F.to_json(F.struct(m.alias("messages"))) if wrap else F.to_json(m)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trainprep.operators.export import convert_export, export_rejects
+from trainprep.operators.export import convert_export, export_json, export_rejects
 from trainprep.plans.fixtures import write_chat_export
 from trainprep.plans.registry import query
 from trainprep.sources.files import _files
@@ -62,6 +62,6 @@ def export_json_roundtrip(spark, sf_dir):
 
     out = scratch_dir(spark, "converted")
     ok = converted(spark, sf_dir).where(F.col("status") == "ok")
-    write_json_documents(ok, out, "name", F.to_json("messages")).collect()
+    write_json_documents(ok, out, "name", export_json("messages")).collect()
     back = spark.read.schema("role string, content string").option("multiLine", "true").json(out)
     return back.select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("name"), "role", "content")
