@@ -41,7 +41,7 @@ def run_log_lines(spark: SparkSession, pattern: str, key_pattern: str = RUN_KEY_
 
     raw = spark.read.text(pattern).select("value", F.col("_metadata.file_path").alias("_path"))
     return raw.select(
-        F.regexp_extract("_path", key_pattern, 1).cast("long").alias(key), lossy_utf8("value").alias("value")
+        F.regexp_extract("_path", key_pattern, 1).try_cast("long").alias(key), lossy_utf8("value").alias("value")
     )
 
 
