@@ -75,3 +75,12 @@ def test_max_context_floor_one(spark):
 def test_render_uses_no_python(spark):
     plan = sft_text(_df(spark, [("user", "x", None)]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_max_context_is_over_all_rows_before_the_split(spark):
+    from trainprep.operators.ordinal import ordered_split, with_ordinal
+
+    df = spark.createDataFrame([(i, "x" * (50 if i == 9 else 5)) for i in range(10)], "id long, text string")
+    split = ordered_split(with_ordinal(df, ["id"]), "ord", 0.1)
+    assert [r.id for r in split.where("split = 'test'").collect()] == [9]
+    assert max_context(split).first().max_context == 50

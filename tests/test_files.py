@@ -114,3 +114,22 @@ def test_log_table_sink_keeps_header_when_empty(spark, tmp_folder):
     write_log_table(empty, tmp_folder + "/eval", ["loss", "epoch"])
     files = [f for f in os.listdir(_local(tmp_folder) + "/eval") if f.endswith(".csv")]
     assert open(os.path.join(_local(tmp_folder), "eval", files[0])).read().strip() == "loss,epoch"
+
+
+def test_every_parquet_file_needs_the_column(spark, tmp_folder):
+    from trainprep.sources.parquet import corpus_scan
+
+    spark.createDataFrame([("a",)], "text string").write.parquet(tmp_folder + "/ok")
+    spark.createDataFrame([(1,)], "other long").write.parquet(tmp_folder + "/bad")
+    assert [r.text for r in corpus_scan(spark, [tmp_folder + "/ok"]).collect()] == ["a"]
+    with pytest.raises(ValueError):
+        corpus_scan(spark, [tmp_folder + "/ok", tmp_folder + "/bad"])
+
+
+def test_hidden_names_are_not_read(spark, tmp_folder):
+    """Spark file sources skip names starting with '_' or '.' (documented gap)."""
+    d = _local(tmp_folder)
+    _write(d, "a.txt", "seen")
+    _write(d, "_b.txt", "hidden")
+    _write(d, ".c.txt", "hidden")
+    assert [r.name for r in scan_txt_folder(spark, tmp_folder).collect()] == ["a.txt"]

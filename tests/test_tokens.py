@@ -53,3 +53,13 @@ def test_pretrained_tokenizer(spark, tmp_folder):
     df = spark.createDataFrame([("hello world hello",), ("again unknownword",)], "text string")
     got = {r.token: (r.text, r["count"]) for r in token_frequency(df, tokenizer=path).collect()}
     assert got["hello"][1] == 2 and got["world"][1] == 1 and got["[UNK]"][1] == 1
+
+
+def test_empty_input_fails_only_when_wholly_empty(spark):
+    import pytest
+
+    empty = spark.createDataFrame([(None,), (None,)], "text string")
+    with pytest.raises(ValueError):
+        text_column(empty, "text", require_rows=True)
+    mixed = spark.createDataFrame([(None,), ("a",)], "text string")
+    assert text_column(mixed, "text", require_rows=True).count() == 1

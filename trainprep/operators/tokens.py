@@ -10,11 +10,18 @@ from pyspark.sql import functions as F
 from trainprep.functions.tokenizers import readable_token, tokenize
 
 
-def text_column(df: DataFrame, column: str = "text") -> DataFrame:
-    """The named column as string, nulls dropped (``IsNotNull`` reaches the scan)."""
+def text_column(df: DataFrame, column: str = "text", require_rows: bool = False) -> DataFrame:
+    """The named column as string, nulls dropped (``IsNotNull`` reaches the scan).
+
+    ``require_rows`` fails when no text is left at all (one cheap probe for
+    a first row); an input that is empty only in some files is fine.
+    """
     if column not in df.columns:
         raise ValueError(f"column {column!r} not found")
-    return df.where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("text"))
+    out = df.where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("text"))
+    if require_rows and out.isEmpty():
+        raise ValueError("no text in the input")
+    return out
 
 
 def token_frequency(df: DataFrame, text: str = "text", tokenizer: str = "word") -> DataFrame:
