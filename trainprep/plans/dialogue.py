@@ -42,7 +42,7 @@ def _prompts(spark):
 _REPLIES_SQL = f"""
 SELECT doc_id, CAST(floor(doc_id / {PER}) + 1 AS BIGINT) AS session, CAST(floor((doc_id % {PER}) / 2) AS BIGINT) AS turn,
        CASE WHEN doc_id % 2 = 0 THEN 'A' ELSE 'B' END AS agent,
-       CASE WHEN doc_id % 17 = 0 THEN NULL ELSE lang END AS reasoning, substring(text, 1, 80) AS responding,
+       CASE WHEN doc_id % 17 = 0 THEN NULL ELSE lang END AS reasoning, text AS responding,
        doc_id % 17 <> 0 AS valid
 FROM documents
 """

@@ -288,14 +288,14 @@ def write_chat_export(spark: SparkSession, sf_dir: str) -> str:
 def replies_table(spark: SparkSession, sf_dir: str, turns: int) -> DataFrame:
     """Agent replies from consecutive documents: session ``doc_id div
     2*turns + 1``, pairs (A, B) per turn; ``reasoning = lang``,
-    ``responding`` = first 80 characters; ``doc_id % 17 = 0`` lacks
+    ``responding`` = the whole text; ``doc_id % 17 = 0`` lacks
     ``reasoning``.  B's reply in the last turn is never requested."""
     per = 2 * turns
     d = table(spark, sf_dir, "documents")
     did = F.col("doc_id")
     k = did % per
-    full = F.to_json(F.struct(F.col("lang").alias("reasoning"), F.substring("text", 1, 80).alias("responding")))
-    partial = F.to_json(F.struct(F.substring("text", 1, 80).alias("responding")))
+    full = F.to_json(F.struct(F.col("lang").alias("reasoning"), F.col("text").alias("responding")))
+    partial = F.to_json(F.struct(F.col("text").alias("responding")))
     rows = d.select(
         "doc_id",
         (F.floor(did / per) + 1).cast("long").alias("session"),
