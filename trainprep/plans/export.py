@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from trainprep.operators.export import convert_export, export_json, export_rejects
 from trainprep.plans.fixtures import write_chat_export
 from trainprep.plans.registry import query
-from trainprep.sources.files import _files
+from trainprep.sources.files import whole_files
 
 _NAME = "'export_' || lpad(CAST(conv_id AS VARCHAR), 6, '0') || '.json'"
 
 
 def converted(spark, sf_dir):
-    return convert_export(_files(spark, write_chat_export(spark, sf_dir), "*.json"), "value")
+    return convert_export(whole_files(spark, write_chat_export(spark, sf_dir), "*.json"), "value")
 
 
 @query(

@@ -3,7 +3,16 @@ opener CSV, whole-file scalars, log lines and run-log families."""
 
 from __future__ import annotations
 
+import zipfile
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from trainprep.functions.text import is_blank, lossy_utf8, normalize_newlines, py_strip
+from trainprep.operators.ordinal import with_ordinal
+from trainprep.schemas import MESSAGES
 
 DATASET_FORMATS = {".json": "json", ".jsonl": "json", ".parquet": "parquet", ".csv": "csv"}
 
@@ -28,39 +37,29 @@ RUN_KEY_PATTERN = r"train_rank(\d+)\.log"
 def log_lines(spark: SparkSession, path: str) -> DataFrame:
     """Log lines (S8): ``\\n``, ``\\r\\n`` and lone ``\\r`` end a line (as
     Python's universal newlines); undecodable bytes become U+FFFD."""
-    from trainprep.functions.text import lossy_utf8
-
     return spark.read.text(path).select(lossy_utf8("value").alias("value"))
 
 
 def run_log_lines(spark: SparkSession, pattern: str, key_pattern: str = RUN_KEY_PATTERN, key: str = "rank") -> DataFrame:
     """A family of run logs (S11), the run key taken from each file path."""
-    from pyspark.sql import functions as F
-
-    from trainprep.functions.text import lossy_utf8
-
     raw = spark.read.text(pattern).select("value", F.col("_metadata.file_path").alias("_path"))
     return raw.select(
         F.regexp_extract("_path", key_pattern, 1).try_cast("long").alias(key), lossy_utf8("value").alias("value")
     )
 
 
-def _files(spark: SparkSession, folder: str, suffix_glob: str) -> DataFrame:
+def whole_files(spark: SparkSession, folder: str, suffix_glob: str) -> DataFrame:
     """Whole files directly in ``folder`` matching the glob: ``(path, name, value)``.
 
     Note: like every Spark file source this hides names starting with
     ``.`` or ``_``.
     """
-    from pyspark.sql import functions as F
-
     raw = spark.read.option("pathGlobFilter", suffix_glob).text(folder, wholetext=True)
     return with_file_name(raw)
 
 
 def with_file_name(raw: DataFrame) -> DataFrame:
     """``value`` -> ``(path, name, value)`` from the file metadata column."""
-    from pyspark.sql import functions as F
-
     path = F.col("_metadata.file_path")
     return raw.select(path.alias("path"), F.element_at(F.split(path, "/"), -1).alias("name"), "value")
 
@@ -68,10 +67,6 @@ def with_file_name(raw: DataFrame) -> DataFrame:
 def parse_json_documents(files: DataFrame) -> DataFrame:
     """``(path, name, value)`` -> ``(path, name, status, messages)`` (see
     :func:`scan_json_folder`); shared by the batch and streaming reads."""
-    from pyspark.sql import functions as F
-
-    from trainprep.schemas import MESSAGES
-
     # Top-level keys with their raw JSON text: lenient like Python's json
     # (NaN / Infinity accepted), null for broken or non-object documents.
     top = F.from_json("value", "map<string,string>", {"mode": "PERMISSIVE"})
@@ -96,17 +91,13 @@ def scan_json_folder(spark: SparkSession, folder: str) -> DataFrame:
     ``corrupt`` (not parseable JSON, or not an object, or ``messages`` of
     the wrong type).  An explicit null ``messages`` stays null.
     """
-    return parse_json_documents(_files(spark, folder, "*.json"))
+    return parse_json_documents(whole_files(spark, folder, "*.json"))
 
 
 def clean_txt_documents(files: DataFrame, on_bad_utf8: str = "error") -> DataFrame:
     """``(path, name, value)`` -> ``(path, name, text)``: newlines folded,
     empty files dropped, invalid UTF-8 fails (``error``) or is dropped
     (``reject``); shared by the batch and streaming reads."""
-    from pyspark.sql import functions as F
-
-    from trainprep.functions.text import normalize_newlines
-
     valid = F.is_valid_utf8("value")
     if on_bad_utf8 == "error":
         text = F.when(valid, F.col("value")).otherwise(F.raise_error(F.concat(F.lit("invalid UTF-8 in "), "path")))
@@ -123,16 +114,11 @@ def scan_txt_folder(spark: SparkSession, folder: str, on_bad_utf8: str = "error"
     """TXT folder scan (S2): one row per non-empty ``*.txt`` file, newlines
     translated to ``\\n``.  Invalid UTF-8 fails the job (``error``) or the
     file is dropped (``reject``)."""
-    return clean_txt_documents(_files(spark, folder, "*.txt"), on_bad_utf8)
+    return clean_txt_documents(whole_files(spark, folder, "*.txt"), on_bad_utf8)
 
 
 def _zip_listing(batches):
     """Archive path -> one row per ``.txt`` member (central directory only)."""
-    import zipfile
-
-    import pandas as pd
-    from pyarrow import fs
-
     for pdf in batches:
         for path in pdf["path"]:
             filesystem, inner = fs.FileSystem.from_uri(path)
@@ -145,11 +131,6 @@ def _zip_listing(batches):
 def _zip_read(batches):
     """``(archive, member)`` rows -> member text; each archive opened once per
     batch with random access, strict UTF-8."""
-    import zipfile
-
-    import pandas as pd
-    from pyarrow import fs
-
     for pdf in batches:
         texts = [None] * len(pdf)
         for archive, idx in pdf.groupby("archive", sort=False).indices.items():
@@ -170,8 +151,6 @@ def scan_zip_txt(spark: SparkSession, folder_or_glob: str) -> DataFrame:
     hash, and each task opens the archive with random access and reads only
     its own members.  Order within an archive is the member name.
     """
-    from pyspark.sql import functions as F
-
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder_or_glob).select("path")
     members = listing.mapInPandas(_zip_listing, "archive string, member string")
     spread = members.repartition(F.xxhash64("archive", "member"))
@@ -182,11 +161,6 @@ def scan_openers(spark: SparkSession, path: str, skip_header: bool = False) -> D
     """Opener CSV scan (S6): ``think, respond``; extra fields ignored; rows
     with a missing or blank field dropped; both stripped.  ``opener_id`` is
     the 0-based position in (file path, row) order."""
-    from pyspark.sql import functions as F
-
-    from trainprep.functions.text import is_blank, py_strip
-    from trainprep.operators.ordinal import with_ordinal
-
     raw = (
         spark.read.schema("think string, respond string")
         .option("multiLine", "true")
