@@ -223,7 +223,9 @@ def fold_summaries(summaries: list[dict], limit: int) -> dict[int, tuple[int, bo
     return plan
 
 
-def _assign(limit: int, isolate: bool, plan: dict, names: list[str]):
+def _assign(limit: int, isolate: bool, plan, names: list[str]):
+    """``plan`` is a broadcast of :func:`fold_summaries`' result."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = None
         offset = 0
@@ -233,7 +235,7 @@ def _assign(limit: int, isolate: bool, plan: dict, names: list[str]):
                 continue
             rid = b.column(RID).to_numpy(zero_copy_only=False)
             if state is None:
-                offset, *entry = plan[int(rid[0]) >> ROW_BITS]
+                offset, *entry = plan.value[int(rid[0]) >> ROW_BITS]
                 state = tuple(entry)
             if rid[0] <= prev or np.any(np.diff(rid) <= 0):
                 raise RuntimeError("rows left their range-partition order")
@@ -268,7 +270,8 @@ def pack_by_chars(
     length_col = F.col(length) if isinstance(length, str) else length
     ranged = range_sorted(df.withColumn(LEN, length_col.cast("long")), order_by, num_partitions)
     summaries = [r.asDict() for r in ranged.select(RID, LEN).mapInArrow(_summarize(limit, isolate), _SUMMARY).collect()]
-    plan = fold_summaries(summaries, limit)
+    # one small tuple per range partition, shipped once per executor
+    plan = df.sparkSession.sparkContext.broadcast(fold_summaries(summaries, limit))
     out_struct = T.StructType(
         ranged.schema.fields + [T.StructField(ord_name, T.LongType()), T.StructField(chunk_name, T.LongType())]
     )
