@@ -14,7 +14,7 @@ from trainprep.operators.dialogue import (
     view_b,
 )
 from trainprep.plans.files import _OPENERS_CLEAN_SQL, openers
-from trainprep.plans.fixtures import PROMPT_A, PROMPT_B, replies_table, write_prompt
+from trainprep.plans.fixtures import PROMPT_A, PROMPT_B, once_per_session, replies_table, write_prompt
 from trainprep.plans.registry import query
 from trainprep.session import scratch_dir
 from trainprep.sinks.files import write_json_documents
@@ -35,7 +35,9 @@ def _parts(spark, sf_dir):
     return kept, session_openers, bad
 
 
-def _prompts(spark):
+@once_per_session
+def prompts(spark, sf_dir):
+    """The two system prompts, written as text files and read back."""
     return read_scalar(spark, write_prompt(spark, PROMPT_A)), read_scalar(spark, write_prompt(spark, PROMPT_B))
 
 
@@ -96,7 +98,7 @@ UNION ALL SELECT session, CAST(CASE WHEN agent = 'A' THEN turn * 2 + 2 ELSE turn
 @query("transcript", _TRANSCRIPT_SQL)
 def transcript_query(spark, sf_dir):
     kept, session_openers, _ = _parts(spark, sf_dir)
-    prompt_a, _ = _prompts(spark)
+    prompt_a, _ = prompts(spark, sf_dir)
     return transcript(kept, session_openers, prompt_a, TURNS)
 
 
@@ -114,7 +116,7 @@ UNION ALL SELECT session, CAST(CASE WHEN agent = 'A' THEN turn * 2 + 2 ELSE turn
 )
 def view_a_query(spark, sf_dir):
     kept, session_openers, _ = _parts(spark, sf_dir)
-    prompt_a, _ = _prompts(spark)
+    prompt_a, _ = prompts(spark, sf_dir)
     return view_a(kept, session_openers, prompt_a, TURNS)
 
 
@@ -133,7 +135,7 @@ UNION ALL SELECT session, CAST(CASE WHEN agent = 'A' THEN turn * 2 + 2 ELSE turn
 )
 def view_b_query(spark, sf_dir):
     kept, session_openers, _ = _parts(spark, sf_dir)
-    _, prompt_b = _prompts(spark)
+    _, prompt_b = prompts(spark, sf_dir)
     return view_b(kept, session_openers, prompt_b, TURNS)
 
 
@@ -161,7 +163,7 @@ FROM t GROUP BY session
 def session_json(spark, sf_dir):
     """Transcripts written as ``session_%04d.json`` files, read back."""
     kept, session_openers, _ = _parts(spark, sf_dir)
-    prompt_a, _ = _prompts(spark)
+    prompt_a, _ = prompts(spark, sf_dir)
     nested = nest_by(transcript(kept, session_openers, prompt_a, TURNS))
     name = F.concat(F.lit("session_"), F.lpad(F.col("session").cast("string"), 4, "0"), F.lit(".json"))
     out = scratch_dir(spark, "sessions")
