@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,12 +30,26 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def range_sorted(df: DataFrame, order_by: Sequence[str | Column], num_partitions: int | None = None) -> DataFrame:
+def range_sorted(
+    df: DataFrame,
+    order_by: Sequence[str | Column],
+    num_partitions: int | None = None,
+    persist_input: bool = False,
+) -> DataFrame:
     """Range-partition and sort by ``order_by``; add ``_rid``; checkpoint.
 
-    ``order_by`` must be a total order (append a unique tie-breaker).
+    ``order_by`` must be a total order (append a unique tie-breaker).  The
+    range exchange first samples its whole input in a separate job; with
+    ``persist_input`` a narrow but costly input (keys and lengths computed
+    from a file scan) is kept for that second read instead of recomputed.
     """
     ensure_checkpoint_dir(df.sparkSession)
+    if persist_input:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return range_sorted(df, order_by, num_partitions)
+        finally:
+            df.unpersist()
     keys = [_col(c) for c in order_by]
     # Without an explicit count, AQE sizes the range partitions from the
     # measured data; it only merges neighbouring ranges, so order is kept.
@@ -63,9 +78,10 @@ def with_ordinal(
     order_by: Sequence[str | Column],
     name: str = "ord",
     num_partitions: int | None = None,
+    persist_input: bool = False,
 ) -> DataFrame:
     """Add ``name`` = 0-based position of the row in ``order_by`` order."""
-    ranged = range_sorted(df, order_by, num_partitions)
+    ranged = range_sorted(df, order_by, num_partitions, persist_input)
     offsets = partition_offsets(ranged)
     joined = ranged.withColumn("_p", partition_of()).join(F.broadcast(offsets), "_p")
     return joined.withColumn(name, F.col("_offset") + row_in_partition()).drop("_p", "_offset", RID)

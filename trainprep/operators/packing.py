@@ -258,6 +258,7 @@ def pack_by_chars(
     ord_name: str = "ord",
     chunk_name: str = "chunk_id",
     num_partitions: int | None = None,
+    persist_input: bool = False,
 ) -> DataFrame:
     """Add ``ord`` and a 0-based chunk id packed by a character budget.
 
@@ -268,7 +269,7 @@ def pack_by_chars(
     if limit < 0:
         raise ValueError("limit must be >= 0")
     length_col = F.col(length) if isinstance(length, str) else length
-    ranged = range_sorted(df.withColumn(LEN, length_col.cast("long")), order_by, num_partitions)
+    ranged = range_sorted(df.withColumn(LEN, length_col.cast("long")), order_by, num_partitions, persist_input)
     summaries = [r.asDict() for r in ranged.select(RID, LEN).mapInArrow(_summarize(limit, isolate), _SUMMARY).collect()]
     # one small tuple per range partition, shipped once per executor
     plan = df.sparkSession.sparkContext.broadcast(fold_summaries(summaries, limit))

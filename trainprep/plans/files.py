@@ -87,7 +87,7 @@ def json_chunks(spark, sf_dir):
     """Fixed-count chunks of good files, in file-name order (broken ones
     do not count)."""
     good = json_files(spark, sf_dir).where(F.col("status") != "corrupt").select("path", "name")
-    ordered = with_ordinal(good, ["path"])
+    ordered = with_ordinal(good, ["path"], persist_input=True)
     return chunk_by_count(ordered, "ord", FILES_PER_CHUNK).select("name", "ord", "chunk_id")
 
 
@@ -121,7 +121,7 @@ def pack_txt_folder(spark, sf_dir):
     """TXT folder -> chunks of 100,000 characters, in file-name order."""
     files = scan_txt_folder(spark, write_txt_folder(spark, sf_dir))
     lens = files.select("path", "name", char_length("text").alias("len"))
-    return pack_by_chars(lens, ["path"], "len", PACK_LIMIT).select("name", "chunk_id")
+    return pack_by_chars(lens, ["path"], "len", PACK_LIMIT, persist_input=True).select("name", "chunk_id")
 
 
 @query(

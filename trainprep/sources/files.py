@@ -178,7 +178,7 @@ def scan_openers(spark: SparkSession, path: str, skip_header: bool = False) -> D
         )
     )
     kept = raw.where(~is_blank("think") & ~is_blank("respond"))
-    ordered = with_ordinal(kept, ["_path", "_block", "_row"], name="opener_id")
+    ordered = with_ordinal(kept, ["_path", "_block", "_row"], name="opener_id", persist_input=True)
     return ordered.select("opener_id", py_strip("think").alias("think"), py_strip("respond").alias("respond"))
 
 
