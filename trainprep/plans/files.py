@@ -216,3 +216,27 @@ def shard_sink_roundtrip(spark, sf_dir):
         sharded, out, "chunk_id", "ord", ["text"], partition_name="shard", prefix="part", width=4, base=1, range_ordered=True
     )
     return spark.read.parquet(out).groupBy("shard").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query(
+    "json_chunk_sink",
+    f"""
+WITH f AS (SELECT conv_id, CASE WHEN conv_id % 10 = 3 THEN 0 ELSE count(*) END AS n_messages
+           FROM conversations WHERE conv_id % 10 <> 7 GROUP BY conv_id),
+o AS (SELECT n_messages, CAST(floor((row_number() OVER (ORDER BY conv_id) - 1) / {FILES_PER_CHUNK}) AS BIGINT) AS chunk_id FROM f)
+SELECT 'chunk_' || lpad(CAST(chunk_id AS VARCHAR), 6, '0') AS chunk, count(*) AS n_rows,
+       CAST(sum(n_messages) AS BIGINT) AS n_messages
+FROM o GROUP BY chunk_id
+""",
+)
+def json_chunk_sink(spark, sf_dir):
+    """JSON folder -> good files in name order -> chunks of 100 files
+    written as gzip parquet with the ``messages`` column, read back."""
+    good = json_files(spark, sf_dir).where(F.col("status") != "corrupt").select("path", "messages")
+    chunked = chunk_by_count(with_ordinal(good, ["path"], persist_input=True), "ord", FILES_PER_CHUNK)
+    out = scratch_dir(spark, "json_chunks")
+    write_chunks(chunked, out, "chunk_id", "ord", ["messages"], range_ordered=True)
+    back = spark.read.parquet(out)
+    return back.groupBy("chunk").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.size("messages")).cast("long").alias("n_messages")
+    )
