@@ -124,9 +124,7 @@ def pack_txt_folder(spark, sf_dir):
     return pack_by_chars(lens, ["path"], "len", PACK_LIMIT, persist_input=True).select("name", "chunk_id")
 
 
-@query(
-    "scan_zip_txt",
-    f"""
+_ZIP_MEMBERS_SQL = """
 SELECT 'docs_' || lpad(CAST(CAST(floor(doc_id / 250) AS BIGINT) AS VARCHAR), 4, '0') || '.zip' AS archive,
        CASE WHEN doc_id % 10 = 1 THEN lpad(CAST(doc_id AS VARCHAR), 6, '0') || '.TXT'
             WHEN doc_id % 10 = 2 THEN 'sub/' || lpad(CAST(doc_id AS VARCHAR), 6, '0') || '.txt'
@@ -134,8 +132,10 @@ SELECT 'docs_' || lpad(CAST(CAST(floor(doc_id / 250) AS BIGINT) AS VARCHAR), 4,
        CASE WHEN doc_id % 9 = 0 THEN '' WHEN doc_id % 7 = 0 THEN replace(text, chr(10), chr(13) || chr(10))
             ELSE text END AS text
 FROM documents
-""",
-)
+"""
+
+
+@query("scan_zip_txt", _ZIP_MEMBERS_SQL)
 def scan_zip_txt_query(spark, sf_dir):
     members = scan_zip_txt(spark, write_zip_folder(spark, sf_dir))
     return members.select(F.element_at(F.split("archive", "/"), -1).alias("archive"), "member", "text")
@@ -240,3 +240,32 @@ def json_chunk_sink(spark, sf_dir):
     return back.groupBy("chunk").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(F.size("messages")).cast("long").alias("n_messages")
     )
+
+
+
+
+@query(
+    "pack_zip_txt",
+    f"""
+WITH RECURSIVE d AS (
+  SELECT archive, member, CAST(row_number() OVER (ORDER BY archive, member) AS BIGINT) AS rn,
+         CAST(length(text) AS BIGINT) AS len
+  FROM ({_ZIP_MEMBERS_SQL}) z),
+r AS (
+  SELECT rn, archive, member, len AS cur, CAST(0 AS BIGINT) AS chunk_id FROM d WHERE rn = 1
+  UNION ALL
+  SELECT d.rn, d.archive, d.member,
+         CASE WHEN r.cur + d.len <= {PACK_LIMIT} THEN r.cur + d.len ELSE d.len END,
+         CASE WHEN r.cur + d.len <= {PACK_LIMIT} THEN r.chunk_id ELSE r.chunk_id + 1 END
+  FROM r JOIN d ON d.rn = r.rn + 1)
+SELECT archive, member, chunk_id FROM r
+""",
+)
+def pack_zip_txt(spark, sf_dir):
+    """ZIP mode of the text packer: members in (archive, name) order, empty
+    members kept, raw newlines, chunks of 100,000 characters."""
+    members = scan_zip_txt(spark, write_zip_folder(spark, sf_dir)).select(
+        F.element_at(F.split("archive", "/"), -1).alias("archive"), "member", char_length("text").alias("len")
+    )
+    packed = pack_by_chars(members, ["archive", "member"], "len", PACK_LIMIT, persist_input=True)
+    return packed.select("archive", "member", "chunk_id")
