@@ -10,7 +10,40 @@ from trainprep.operators.chat import nest_turns
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table, spread over the cluster when its file yields fewer
+    scan tasks than there are cores (see :func:`spread_if_narrow`)."""
+    return spread_if_narrow(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+MIN_BYTES_PER_CORE = 1 << 20
+
+
+def _footer(path: str) -> tuple[int, int]:
+    """(row groups, file bytes) of one parquet file."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    filesystem, inner = fs.FileSystem.from_uri(path)
+    with filesystem.open_input_file(inner) as f:
+        return pq.ParquetFile(f).metadata.num_row_groups, f.size()
+
+
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over ``defaultParallelism`` tasks when its parquet
+    files hold fewer row groups than that and are big enough to matter
+    (``MIN_BYTES_PER_CORE`` per core): a row group is read by one task, so a
+    file with a single row group is one task whatever its size.  With at
+    least as many files as cores nothing is checked or changed (no footer
+    reads, no shuffle) -- the case of any large input."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if len(files) >= cores:
+        return df
+    footers = [_footer(f) for f in files]
+    groups, size = sum(g for g, _ in footers), sum(b for _, b in footers)
+    if groups >= cores or size < cores * MIN_BYTES_PER_CORE:
+        return df
+    return df.repartition(cores)
 
 
 def message_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
