@@ -70,9 +70,18 @@ def py_float(c: str | Column) -> Column:
     ``try_cast`` alone differs both ways (it takes ``1d``, rejects ``1_0``),
     so the text is checked against Python's syntax before the cast.
     """
-    s = py_strip(c)
-    ok = s.rlike(PY_FLOAT_PATTERN) | s.rlike(PY_FLOAT_SPECIAL)
-    return F.when(ok, F.regexp_replace(s, "_", "").cast("double"))
+    raw = _col(c)
+    stripped = py_strip(raw)
+
+    def number(s: Column) -> Column:
+        return F.translate(s, "_", "").cast("double")
+
+    # common case first: no surrounding whitespace, so no strip is evaluated
+    return (
+        F.when(raw.rlike(PY_FLOAT_PATTERN), number(raw))
+        .when(raw.rlike(PY_FLOAT_SPECIAL), number(raw))
+        .when(stripped.rlike(PY_FLOAT_PATTERN) | stripped.rlike(PY_FLOAT_SPECIAL), number(stripped))
+    )
 
 
 def lossy_utf8(c: str | Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trainprep.functions.text import json_query, json_reply
+from trainprep.operators.columns import computed_once
 
 
 def _is_string(v: Column) -> Column:
@@ -22,15 +23,20 @@ def validate_replies(replies: DataFrame, raw: str = "raw") -> DataFrame:
     """C4: a reply is valid when it is a JSON object whose ``reasoning`` and
     ``responding`` are both present and strings.  Adds ``reasoning``,
     ``responding`` (null when invalid) and ``valid``."""
-    v = F.try_parse_json(F.col(raw))
-    r = F.variant_get(v, "$.reasoning", "variant")
-    s = F.variant_get(v, "$.responding", "variant")
-    valid = v.isNotNull() & _is_string(r) & _is_string(s)
-    return replies.select(
-        "*",
-        F.when(valid, F.variant_get(v, "$.reasoning", "string")).alias("reasoning"),
-        F.when(valid, F.variant_get(v, "$.responding", "string")).alias("responding"),
-        valid.alias("valid"),
+    keep = replies.columns
+    parsed = computed_once(replies, keep, _v=F.try_parse_json(F.col(raw)))
+    v = F.col("_v")
+    fields = computed_once(
+        parsed, keep,
+        _r=F.variant_get(v, "$.reasoning", "variant"), _s=F.variant_get(v, "$.responding", "variant"), _ok=v.isNotNull(),
+    )
+    r, s = F.col("_r"), F.col("_s")
+    valid = F.col("_ok") & _is_string(r) & _is_string(s)
+    return computed_once(
+        fields, keep,
+        reasoning=F.when(valid, F.variant_get(r, "$", "string")),
+        responding=F.when(valid, F.variant_get(s, "$", "string")),
+        valid=valid,
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trainprep.functions.text import py_float
+from trainprep.operators.columns import computed_once
 from trainprep.operators.ordinal import with_ordinal
 from trainprep.operators.scan import ranged_by_group, running_on_ranged
 
@@ -44,16 +45,18 @@ def parse_dict(text: str | Column) -> Column:
 
 def log_dicts(lines: DataFrame, line: str = "value") -> DataFrame:
     """Lines -> parsed dicts (column ``d``), unmatched or unparsable lines dropped."""
-    parsed = lines.withColumn("d", parse_dict(first_dict(line)))
-    return parsed.where(F.col("d").isNotNull()).drop(line)
+    keep = [c for c in lines.columns if c != line]
+    parsed = computed_once(lines, keep, d=parse_dict(first_dict(line)))
+    return parsed.where(F.col("d").isNotNull())
 
 
 def eval_rows(dicts: DataFrame, keep=()) -> DataFrame:
     """Dicts with ``eval_loss`` -> ``(loss, epoch)``; a value that is missing
     or not a float drops the row (L3)."""
     d = F.col("d")
-    rows = dicts.where(F.map_contains_key(d, "eval_loss")).select(
-        *keep, py_float(d["eval_loss"]).alias("loss"), py_float(d["epoch"]).alias("epoch")
+    rows = computed_once(
+        dicts.where(F.map_contains_key(d, "eval_loss")), keep,
+        loss=py_float(d["eval_loss"]), epoch=py_float(d["epoch"]),
     )
     return rows.where(F.col("loss").isNotNull() & F.col("epoch").isNotNull())
 
@@ -63,7 +66,7 @@ def train_rows(dicts: DataFrame, keep=()) -> DataFrame:
     columns, all required (L4)."""
     d = F.col("d")
     has = F.map_contains_key(d, "loss") & ~F.map_contains_key(d, "eval_loss")
-    rows = dicts.where(has).select(*keep, *[py_float(d[c]).alias(c) for c in TRAIN_COLUMNS])
+    rows = computed_once(dicts.where(has), keep, **{c: py_float(d[c]) for c in TRAIN_COLUMNS})
     cond = F.lit(True)
     for c in TRAIN_COLUMNS:
         cond = cond & F.col(c).isNotNull()

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trainprep.functions.text import is_blank, lossy_utf8, normalize_newlines, py_strip
+from trainprep.operators.columns import computed_once
 from trainprep.operators.ordinal import with_ordinal
 from trainprep.schemas import MESSAGES
 
@@ -69,9 +70,14 @@ def parse_json_documents(files: DataFrame) -> DataFrame:
     :func:`scan_json_folder`); shared by the batch and streaming reads."""
     # Top-level keys with their raw JSON text: lenient like Python's json
     # (NaN / Infinity accepted), null for broken or non-object documents.
-    top = F.from_json("value", "map<string,string>", {"mode": "PERMISSIVE"})
+    # Each document is parsed once, whatever filters follow.
+    keep = ["path", "name"]
+    parsed = computed_once(files, keep, top=F.from_json("value", "map<string,string>", {"mode": "PERMISSIVE"}))
+    parsed = computed_once(
+        parsed, [*keep, "top"], typed=F.from_json(F.col("top")["messages"], MESSAGES, {"mode": "PERMISSIVE"})
+    )
+    top, typed = F.col("top"), F.col("typed")
     raw_msgs = top["messages"]
-    typed = F.from_json(raw_msgs, MESSAGES, {"mode": "PERMISSIVE"})
     status = (
         F.when(top.isNull(), "corrupt")
         .when(~F.map_contains_key(top, "messages"), "missing_messages")
@@ -80,7 +86,7 @@ def parse_json_documents(files: DataFrame) -> DataFrame:
         .otherwise("ok")
     )
     messages = F.when(status == "missing_messages", F.array().cast(MESSAGES)).when(status == "ok", typed)
-    return files.select("path", "name", status.alias("status"), messages.alias("messages"))
+    return parsed.select("path", "name", status.alias("status"), messages.alias("messages"))
 
 
 def scan_json_folder(spark: SparkSession, folder: str) -> DataFrame:
