@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trainprep.functions.text import char_length
+from trainprep.operators.columns import computed_once
 from trainprep.schemas import MESSAGES
 
 # The literal pieces of the shipped chat template.  Roles other
@@ -115,8 +116,11 @@ def sft_text(
 
 
 def sft_text_with_rejects(df: DataFrame, messages: str = "messages", keep: Sequence[str] = (), **kw) -> tuple[DataFrame, DataFrame]:
-    """``sft_text`` split into rendered rows and rows that could not render."""
-    out = sft_text(df.select(*keep, messages), messages, keep=(*keep, messages), **kw)
+    """``sft_text`` split into rendered rows and rows that could not render
+    (each conversation is rendered once, whatever filters follow)."""
+    on_null = kw.get("on_null_reasoning", "empty")
+    text = render_chat(fold_reasoning(messages, on_null), kw.get("add_generation_prompt", False))
+    out = computed_once(df, [*keep, messages], text=text)
     good = out.where(F.col("text").isNotNull()).drop(messages)
     rejects = out.where(F.col("text").isNull()).drop("text")
     return good, rejects

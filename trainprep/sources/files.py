@@ -10,7 +10,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trainprep.functions.text import is_blank, lossy_utf8, normalize_newlines, py_strip
+from trainprep.functions.text import lossy_utf8, normalize_newlines, py_strip
 from trainprep.operators.columns import computed_once
 from trainprep.operators.ordinal import with_ordinal
 from trainprep.schemas import MESSAGES
@@ -112,8 +112,9 @@ def clean_txt_documents(files: DataFrame, on_bad_utf8: str = "error") -> DataFra
         text = F.col("value")
     else:
         raise ValueError("on_bad_utf8 must be 'error' or 'reject'")
-    out = files.select("path", "name", normalize_newlines(text).alias("text"))
-    return out.where(F.length("text") > 0)
+    # newline folding never empties a file, so empty files are dropped on
+    # the raw value (a filter on the folded text would fold twice)
+    return files.where(F.length("value") > 0).select("path", "name", normalize_newlines(text).alias("text"))
 
 
 def scan_txt_folder(spark: SparkSession, folder: str, on_bad_utf8: str = "error") -> DataFrame:
@@ -183,9 +184,11 @@ def scan_openers(spark: SparkSession, path: str, skip_header: bool = False) -> D
             F.monotonically_increasing_id().alias("_row"),
         )
     )
-    kept = raw.where(~is_blank("think") & ~is_blank("respond"))
-    ordered = with_ordinal(kept, ["_path", "_block", "_row"], name="opener_id", persist_input=True)
-    return ordered.select("opener_id", py_strip("think").alias("think"), py_strip("respond").alias("respond"))
+    order = ["_path", "_block", "_row"]
+    stripped = computed_once(raw, order, think=py_strip("think"), respond=py_strip("respond"))
+    kept = stripped.where((F.length("think") > 0) & (F.length("respond") > 0))
+    ordered = with_ordinal(kept, order, name="opener_id", persist_input=True)
+    return ordered.select("opener_id", "think", "respond")
 
 
 def read_scalar(spark: SparkSession, path: str) -> str:
