@@ -46,7 +46,8 @@ def parse_dict(text: str | Column) -> Column:
 def log_dicts(lines: DataFrame, line: str = "value") -> DataFrame:
     """Lines -> parsed dicts (column ``d``), unmatched or unparsable lines dropped."""
     keep = [c for c in lines.columns if c != line]
-    parsed = computed_once(lines, keep, d=parse_dict(first_dict(line)))
+    matched = computed_once(lines, keep, _m=first_dict(line))
+    parsed = computed_once(matched, keep, d=parse_dict("_m"))
     return parsed.where(F.col("d").isNotNull())
 
 
