@@ -39,6 +39,7 @@ def get_spark(cpus: int | str = "*", app: str = "trainprep", shuffle_partitions:
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -59,3 +60,38 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for written tables, under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/trainprep-{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``trainprep`` importable on the executors (``addPyFile``).
+
+    Arrow / pandas functions are pickled by reference to their module, so
+    the workers must be able to import the package wherever the driver runs.
+    The zip is written once per application into the shared scratch folder.
+    """
+    import io
+    import zipfile
+
+    from pyarrow import fs
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _dirs, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.join("trainprep", os.path.relpath(full, root)))
+    target = f"{scratch_dir(spark, 'pyfiles')}/trainprep.zip"
+    filesystem, inner = fs.FileSystem.from_uri(target)
+    filesystem.create_dir(os.path.dirname(inner), recursive=True)
+    with filesystem.open_output_stream(inner) as out:
+        out.write(buf.getvalue())
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
