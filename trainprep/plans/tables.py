@@ -36,6 +36,8 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     least as many files as cores nothing is checked or changed (no footer
     reads, no shuffle) -- the case of any large input."""
     cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() > cores:
+        return df  # a large input: many splits already, nothing is listed
     files = df.inputFiles()
     if len(files) >= cores:
         return df
