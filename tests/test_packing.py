@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 
 from trainprep.operators.packing import (
     assign_segment,
-    chain_stats,
     fold_summaries,
-    head_limit,
-    next_starts,
     pack_by_chars,
+    partition_summary,
     sequential_pack,
 )
 
@@ -58,16 +56,8 @@ def simulate(lengths, limit, isolate, cuts, batch):
         prev = c
     sums = []
     for p, seg in enumerate(segs):
-        n = seg.size
-        if not n:
-            continue
-        s, nxt = next_starts(seg, limit, isolate)
-        cnt, last = chain_stats(nxt)
-        k = head_limit(seg, s, limit, isolate)
-        ks = np.arange(min(k, n - 1) + 1)
-        t = last[ks]
-        sums.append(dict(p=p, n=n, total=int(s[n]), head=s[: k + 1].tolist(), cnt=cnt[ks].tolist(),
-                         tail_len=(s[n] - s[t]).tolist(), tail_closed=((seg[t] >= limit) & isolate).tolist()))
+        if seg.size:
+            sums.append(dict(partition_summary(seg, limit, isolate), p=p))
     plan = fold_summaries(sums, limit)
     out = []
     for p, seg in enumerate(segs):
@@ -81,6 +71,15 @@ def simulate(lengths, limit, isolate, cuts, batch):
     return out
 
 
+def test_summary_is_run_length_encoded():
+    """Varied lengths: chains from different head counts merge, so the
+    summary is far smaller than the number of candidate head counts."""
+    rnd = random.Random(5)
+    lengths = np.asarray([rnd.randint(1, 50) for _ in range(20000)], dtype=np.int64)
+    sm = partition_summary(lengths, 2000, False)
+    assert sm["k_max"] > 50 and len(sm["cnt"]) < sm["k_max"] / 5
+
+
 @settings(max_examples=400, deadline=None)
 @given(
     lengths=st.lists(st.sampled_from([0, 0, 1, 2, 3, 5, 7, 10, 11, 12, 30]), max_size=40),

@@ -146,7 +146,9 @@ _SUMMARY = T.StructType(
         T.StructField("p", T.LongType()),
         T.StructField("n", T.LongType()),
         T.StructField("total", T.LongType()),
-        T.StructField("head", T.ArrayType(T.LongType())),
+        T.StructField("k_max", T.LongType()),
+        T.StructField("s_kmax", T.LongType()),
+        T.StructField("start_s", T.ArrayType(T.LongType())),
         T.StructField("cnt", T.ArrayType(T.LongType())),
         T.StructField("tail_len", T.ArrayType(T.LongType())),
         T.StructField("tail_closed", T.ArrayType(T.BooleanType())),
@@ -154,6 +156,39 @@ _SUMMARY = T.StructType(
 )
 
 
+def partition_summary(lengths: np.ndarray, limit: int, isolate: bool) -> dict:
+    """What one partition does for each number ``k`` of head rows joining
+    the chunk left open before it: chunks it starts and the chunk it leaves.
+
+    The outcome is constant over long ranges of ``k`` (chains from nearby
+    starts merge), so it is run-length encoded: one entry per range, keyed
+    by the prefix sum at the range start.  ``k`` itself is found from the
+    open chunk's length by the largest prefix sum that still fits.  Worst
+    case (all rows of one length, chains never merge): one entry per head
+    row that fits the budget.
+    """
+    n = lengths.size
+    s, nxt = next_starts(lengths, limit, isolate)
+    cnt, last = chain_stats(nxt)
+    k_max = head_limit(lengths, s, limit, isolate)
+    ks = np.arange(min(k_max, n - 1) + 1, dtype=np.int64)
+    c, t = cnt[ks], last[ks]
+    tail_len = s[n] - s[t]
+    closed = (lengths[t] >= limit) & isolate
+    change = np.ones(ks.size, dtype=bool)
+    change[1:] = (c[1:] != c[:-1]) | (tail_len[1:] != tail_len[:-1]) | (closed[1:] != closed[:-1])
+    return {
+        "n": n,
+        "total": int(s[n]),
+        "k_max": k_max,
+        "s_kmax": int(s[k_max]),
+        "start_s": s[ks[change]].tolist(),
+        "cnt": c[change].tolist(),
+        "tail_len": tail_len[change].tolist(),
+        "tail_closed": closed[change].tolist(),
+    }
+
+
 def _summarize(limit: int, isolate: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rids, lens = [], []
@@ -166,41 +201,28 @@ def _summarize(limit: int, isolate: bool):
         rid = np.concatenate(rids)
         lengths = np.concatenate(lens).astype(np.int64)
         order = np.argsort(rid, kind="stable")
-        rid, lengths = rid[order], lengths[order]
-        n = lengths.size
-        s, nxt = next_starts(lengths, limit, isolate)
-        cnt, last = chain_stats(nxt)
-        k_max = head_limit(lengths, s, limit, isolate)
-        ks = np.arange(min(k_max, n - 1) + 1, dtype=np.int64) if n else np.zeros(0, np.int64)
-        tails = last[ks]
-        yield pa.RecordBatch.from_pylist(
-            [
-                {
-                    "p": int(rid[0]) >> ROW_BITS,
-                    "n": n,
-                    "total": int(s[n]),
-                    "head": s[: k_max + 1].tolist(),
-                    "cnt": cnt[ks].tolist(),
-                    "tail_len": (s[n] - s[tails]).tolist(),
-                    "tail_closed": ((lengths[tails] >= limit) & isolate).tolist(),
-                }
-            ],
-            schema=pa.schema(
-                [
-                    ("p", pa.int64()),
-                    ("n", pa.int64()),
-                    ("total", pa.int64()),
-                    ("head", pa.list_(pa.int64())),
-                    ("cnt", pa.list_(pa.int64())),
-                    ("tail_len", pa.list_(pa.int64())),
-                    ("tail_closed", pa.list_(pa.bool_())),
-                ]
-            ),
-        )
+        summary = partition_summary(lengths[order], limit, isolate)
+        summary["p"] = int(rid[order][0]) >> ROW_BITS
+        yield pa.RecordBatch.from_pylist([summary], schema=_SUMMARY_ARROW)
 
     return run
 
 
+_SUMMARY_ARROW = pa.schema(
+    [
+        ("p", pa.int64()),
+        ("n", pa.int64()),
+        ("total", pa.int64()),
+        ("k_max", pa.int64()),
+        ("s_kmax", pa.int64()),
+        ("start_s", pa.list_(pa.int64())),
+        ("cnt", pa.list_(pa.int64())),
+        ("tail_len", pa.list_(pa.int64())),
+        ("tail_closed", pa.list_(pa.bool_())),
+    ]
+)
+
+
 def fold_summaries(summaries: list[dict], limit: int) -> dict[int, tuple[int, bool, int, int]]:
     """Driver fold over per-partition summaries, in partition order.
 
@@ -212,14 +234,19 @@ def fold_summaries(summaries: list[dict], limit: int) -> dict[int, tuple[int, bo
     for sm in sorted(summaries, key=lambda r: r["p"]):
         plan[sm["p"]] = (offset, is_open, open_len, open_id)
         offset += sm["n"]
-        head = np.asarray(sm["head"], dtype=np.int64)
-        k = head_join_count(head, head.size - 1, open_len, limit) if is_open else 0
-        if k >= sm["n"]:
-            open_len += sm["total"]
+        budget = limit - open_len
+        if is_open and sm["s_kmax"] <= budget and sm["k_max"] >= sm["n"]:
+            open_len += sm["total"]  # every row joins the open chunk
             continue
-        open_id += sm["cnt"][k]
-        open_len = sm["tail_len"][k]
-        is_open = not sm["tail_closed"][k]
+        if not is_open:
+            j = 0  # k = 0: the first row starts a chunk
+        elif sm["s_kmax"] <= budget:
+            j = len(sm["cnt"]) - 1  # k = k_max < n: the last range
+        else:
+            j = max(0, int(np.searchsorted(sm["start_s"], budget, side="right")) - 1)
+        open_id += sm["cnt"][j]
+        open_len = sm["tail_len"][j]
+        is_open = not sm["tail_closed"][j]
     return plan
 
 
