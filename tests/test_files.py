@@ -133,3 +133,14 @@ def test_hidden_names_are_not_read(spark, tmp_folder):
     _write(d, "_b.txt", "hidden")
     _write(d, ".c.txt", "hidden")
     assert [r.name for r in scan_txt_folder(spark, tmp_folder).collect()] == ["a.txt"]
+
+
+def test_chunk_sink_sorted_layout(spark, tmp_folder):
+    df = spark.createDataFrame([(i, i // 4, f"t{i}") for i in range(40)], "ord long, chunk_id long, text string")
+    write_chunks(df, tmp_folder + "/s", "chunk_id", "ord", ["text"], layout="sorted")
+    back = spark.read.parquet(tmp_folder + "/s")
+    assert back.columns == ["chunk", "text"]
+    got = sorted((r.chunk, r.text) for r in back.collect())
+    assert got == sorted((f"chunk_{i // 4:06d}", f"t{i}") for i in range(40))
+    one = back.where("chunk = 'chunk_000003'").collect()
+    assert sorted(r.text for r in one) == ["t12", "t13", "t14", "t15"]

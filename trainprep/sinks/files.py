@@ -36,16 +36,36 @@ def write_chunks(
     base: int = 0,
     mode: str = "overwrite",
     range_ordered: bool = False,
+    layout: str = "folders",
 ) -> None:
-    """Numbered chunk sink (K1) / shard sink (K2): one folder per chunk.
-
-    A chunk is bounded by its packing limit, so clustering each chunk into
-    one task is safe; rows keep their order inside the chunk.  With
-    ``range_ordered=True`` (the output of ``pack_by_chars``: partitions are
-    consecutive ranges of the order) no shuffle is needed: a chunk that
-    straddles two partitions gets two files, named in partition order.
+    """Numbered chunk sink (K1) / shard sink (K2), gzip parquet.
+
+    ``layout="folders"``: one folder per chunk (``chunk=chunk_000000``), as
+    the reference has one file per chunk.  A chunk is bounded by its
+    packing limit, so clustering each chunk into one task is safe; rows
+    keep their order inside the chunk.  With ``range_ordered=True`` (the
+    output of ``pack_by_chars``: partitions are consecutive ranges of the
+    order) no shuffle is needed: a chunk that straddles two partitions gets
+    two files, named in partition order.
+
+    ``layout="sorted"``: the chunk name stays a column and every file holds
+    a contiguous run of chunks sorted by ``(chunk, order)``; readers select
+    a chunk by row-group statistics.  Use it when chunks are many (millions
+    of folders are a burden for any file system).
     """
+    if layout not in ("folders", "sorted"):
+        raise ValueError("layout must be 'folders' or 'sorted'")
     named = df.withColumn(partition_name, chunk_name(chunk_col, prefix, width, base))
+    if layout == "sorted":
+        ordered = named if range_ordered else named.repartitionByRange(F.col(chunk_col), F.col(order_col))
+        (
+            ordered.sortWithinPartitions(partition_name, order_col)
+            .select(partition_name, *columns)
+            .write.mode(mode)
+            .option("compression", "gzip")
+            .parquet(path)
+        )
+        return
     clustered = named if range_ordered else named.repartition(partition_name)
     (
         clustered.sortWithinPartitions(partition_name, order_col)
