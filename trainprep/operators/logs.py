@@ -24,8 +24,7 @@ PY_LITERALS = (("None", "null"), ("True", "true"), ("False", "false"))
 def first_dict(line: str | Column) -> Column:
     """Shortest ``{...}`` on the line, null when there is none (L1)."""
     c = F.col(line) if isinstance(line, str) else line
-    m = F.regexp_extract(c, DICT_PATTERN, 0)
-    return F.when(m == "", F.lit(None)).otherwise(m)
+    return F.nullif(F.regexp_extract(c, DICT_PATTERN, 0), F.lit(""))
 
 
 def parse_dict(text: str | Column) -> Column:
