@@ -206,14 +206,19 @@ SELECT 'part_' || lpad(CAST(shard_id AS VARCHAR), 4, '0') AS shard, count(*) AS
 """,
 )
 def shard_sink_roundtrip(spark, sf_dir):
-    """Dedup, shard with oversize isolation, write ``shard=part_0001`` files, read back."""
+    """Dedup, shard with oversize isolation, write the shards, read back.
+
+    Shards are many (one per 20,000 characters here, one per 10 M at the
+    reference default), so they use the sorted layout: ``shard`` is a
+    sorted column (``part_0001`` ...) instead of one folder per shard."""
     from trainprep.plans.corpus import deduped_documents
 
     deduped = deduped_documents(spark, sf_dir).select("doc_id", "text")
     sharded = pack_by_chars(deduped, ["doc_id"], char_length("text"), SHARD_LIMIT, isolate=True)
     out = scratch_dir(spark, "shards")
     write_chunks(
-        sharded, out, "chunk_id", "ord", ["text"], partition_name="shard", prefix="part", width=4, base=1, range_ordered=True
+        sharded, out, "chunk_id", "ord", ["text"], partition_name="shard", prefix="part", width=4, base=1,
+        range_ordered=True, layout="sorted",
     )
     return spark.read.parquet(out).groupBy("shard").agg(F.count(F.lit(1)).alias("n_rows"))
 
