@@ -84,3 +84,8 @@ def test_running_splits_a_hot_group(spark):
             s += v
             assert got[(g, i)] == (m, i + 1, s)
             m = v if m is None else min(m, v)
+
+
+def test_duplicate_keys_last_wins(spark):
+    df = spark.createDataFrame([("{'loss': 1.0, 'loss': 2.0, 'epoch': 0.5, 'grad_norm': 1, 'learning_rate': 1}",)], "value string")
+    assert [r.loss for r in train_rows(log_dicts(df)).collect()] == [2.0]

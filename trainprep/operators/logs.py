@@ -42,6 +42,14 @@ def parse_dict(text: str | Column) -> Column:
     return F.from_json(c, "map<string,string>", {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})
 
 
+def dict_get(d: Column, key: str) -> Column:
+    """Value of ``key`` in a parsed dict, the last one when the key repeats
+    (as a Python dict keeps it; a parsed map keeps every entry and ``d[key]``
+    would return the first)."""
+    hits = F.filter(F.map_entries(d), lambda e: e["key"] == F.lit(key))
+    return F.try_element_at(hits, F.lit(-1))["value"]
+
+
 def log_dicts(lines: DataFrame, line: str = "value") -> DataFrame:
     """Lines -> parsed dicts (column ``d``), unmatched or unparsable lines dropped."""
     keep = [c for c in lines.columns if c != line]
@@ -56,7 +64,7 @@ def eval_rows(dicts: DataFrame, keep=()) -> DataFrame:
     d = F.col("d")
     rows = computed_once(
         dicts.where(F.map_contains_key(d, "eval_loss")), keep,
-        loss=py_float(d["eval_loss"]), epoch=py_float(d["epoch"]),
+        loss=py_float(dict_get(d, "eval_loss")), epoch=py_float(dict_get(d, "epoch")),
     )
     return rows.where(F.col("loss").isNotNull() & F.col("epoch").isNotNull())
 
@@ -66,7 +74,7 @@ def train_rows(dicts: DataFrame, keep=()) -> DataFrame:
     columns, all required (L4)."""
     d = F.col("d")
     has = F.map_contains_key(d, "loss") & ~F.map_contains_key(d, "eval_loss")
-    rows = computed_once(dicts.where(has), keep, **{c: py_float(d[c]) for c in TRAIN_COLUMNS})
+    rows = computed_once(dicts.where(has), keep, **{c: py_float(dict_get(d, c)) for c in TRAIN_COLUMNS})
     cond = F.lit(True)
     for c in TRAIN_COLUMNS:
         cond = cond & F.col(c).isNotNull()
