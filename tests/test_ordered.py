@@ -55,3 +55,16 @@ def test_seeded_shuffle_is_reproducible(spark):
     a = {r.ord: r.pos for r in seeded_shuffle(df, seed=42).collect()}
     b = {r.ord: r.pos for r in seeded_shuffle(df.repartition(7), seed=42).collect()}
     assert a == b and sorted(a.values()) == list(range(100)) and a != {i: i for i in range(100)}
+
+
+def test_empty_inputs(spark):
+    from trainprep.operators.packing import pack_by_chars
+    from trainprep.operators.tokens import token_frequency, token_length_distribution
+
+    empty = spark.createDataFrame([], "ord long, text string")
+    assert with_ordinal(empty, ["ord"]).count() == 0
+    assert ordered_split(with_ordinal(empty, ["ord"]), "ord", 0.1).count() == 0
+    assert pack_by_chars(empty, ["ord"], F.length("text"), 10).count() == 0
+    assert dedup_first(empty, "text", "ord", copies="c").count() == 0
+    assert token_frequency(empty).count() == 0
+    assert token_length_distribution(empty).first().n_rows == 0
