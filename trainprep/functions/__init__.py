@@ -1,0 +1 @@
+"""Column functions: text helpers and tokenizers."""

@@ -1,0 +1 @@
+"""Chunk, shard, per-file and table sinks."""

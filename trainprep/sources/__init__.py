@@ -1,0 +1 @@
+"""File and parquet sources."""

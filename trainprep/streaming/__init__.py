@@ -1,0 +1 @@
+"""Structured Streaming: incremental folder ingestion."""
