@@ -144,3 +144,16 @@ def test_chunk_sink_sorted_layout(spark, tmp_folder):
     assert got == sorted((f"chunk_{i // 4:06d}", f"t{i}") for i in range(40))
     one = back.where("chunk = 'chunk_000003'").collect()
     assert sorted(r.text for r in one) == ["t12", "t13", "t14", "t15"]
+
+
+def test_one_archive_is_read_by_many_tasks(spark, tmp_folder):
+    d = _local(tmp_folder)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as zf:
+        for i in range(200):
+            zf.writestr(f"m{i:03d}.txt", f"text {i}")
+    _write(d, "big.zip", buf.getvalue())
+    members = scan_zip_txt(spark, tmp_folder)
+    assert members.count() == 200
+    tasks = members.groupBy(F.spark_partition_id()).count().count()
+    assert tasks > 1
