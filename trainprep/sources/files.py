@@ -160,7 +160,10 @@ def scan_zip_txt(spark: SparkSession, folder_or_glob: str) -> DataFrame:
     """
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder_or_glob).select("path")
     members = listing.mapInPandas(_zip_listing, "archive string, member string")
-    spread = members.repartition(F.xxhash64("archive", "member"))
+    # an explicit count: the shuffle carries only names, so AQE would
+    # otherwise coalesce it into one task and one task would read everything
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spread = members.repartition(tasks, F.xxhash64("archive", "member"))
     return spread.mapInPandas(_zip_read, "archive string, member string, text string")
 
 
