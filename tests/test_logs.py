@@ -89,3 +89,14 @@ def test_running_splits_a_hot_group(spark):
 def test_duplicate_keys_last_wins(spark):
     df = spark.createDataFrame([("{'loss': 1.0, 'loss': 2.0, 'epoch': 0.5, 'grad_norm': 1, 'learning_rate': 1}",)], "value string")
     assert [r.loss for r in train_rows(log_dicts(df)).collect()] == [2.0]
+
+
+def test_early_stop_hot_run_across_partitions(spark):
+    """One run holds nearly all evaluations and spans many range partitions."""
+    rnd = random.Random(9)
+    losses = [2.0 - 0.01 * i if i < 250 else 0.5 + rnd.random() * 1e-4 for i in range(400)]
+    rows = [(1, float(i), x) for i, x in enumerate(losses)] + [(2, float(i), 1.0) for i in range(5)]
+    df = spark.createDataFrame(rows, "rank long, epoch double, loss double")
+    got = {r.rank: r for r in early_stop(df, patience=3, threshold=1e-3, num_partitions=16).collect()}
+    assert int(got[1].stop_epoch) + 1 == loop_early_stop(losses, 3, 1e-3)
+    assert int(got[2].stop_epoch) + 1 == loop_early_stop([1.0] * 5, 3, 1e-3)

@@ -111,6 +111,7 @@ def early_stop(
     order: str = "epoch",
     patience: int = 3,
     threshold: float = 1e-3,
+    num_partitions: int | None = None,
 ) -> DataFrame:
     """First evaluation at which ``patience`` evaluations in a row failed to
     beat the best so far by more than ``threshold`` (W6), per run.
@@ -120,7 +121,7 @@ def early_stop(
     ``idx - last_improved_idx >= patience``.  Runs that never stop get a
     null ``stop_epoch``.  Both running aggregates are skew-safe prefix scans.
     """
-    ranged = ranged_by_group(evals.select(run, order, "loss"), run, [order])
+    ranged = ranged_by_group(evals.select(run, order, "loss"), run, [order], num_partitions)
     first = running_on_ranged(
         ranged, run, {"best_before": ("min", "loss", True), "idx": ("count", F.lit(1), False)}
     )
