@@ -63,3 +63,10 @@ def test_empty_input_fails_only_when_wholly_empty(spark):
         text_column(empty, "text", require_rows=True)
     mixed = spark.createDataFrame([(None,), ("a",)], "text string")
     assert text_column(mixed, "text", require_rows=True).count() == 1
+
+
+def test_approximate_distinct_is_close(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    exact = distinct_tokens(df).first().n_distinct_tokens
+    approx = distinct_tokens(df, approx_rsd=0.02).first().n_distinct_tokens
+    assert abs(approx - exact) <= 0.06 * exact
