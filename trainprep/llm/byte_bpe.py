@@ -8,7 +8,7 @@ numpy, and decoding joins the bytes of the ids.
 
 The vocabulary is read once on the driver and broadcast; its size is fixed
 by the public file.  Each Python worker keeps the merged misses it has seen,
-at most ``MEMO`` of them.  Defined results: a null or empty text has no ids;
+two generations of ``MEMO``.  Defined results: a null or empty text has no ids;
 rows with equal ids each give a row; an id outside the vocabulary is an
 error in decoding; extra columns are ignored.
 """
@@ -16,6 +16,7 @@ error in decoding; extra columns are ignored.
 from __future__ import annotations
 
 import base64
+from array import array
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -25,9 +26,9 @@ from pyspark.sql import functions as F
 
 from trainprep.llm import textbytes as tb
 from trainprep.llm.common import sliced
-from trainprep.llm.pretokens import pretokens, spread
+from trainprep.llm.pretokens import Recent, pretokens, spread
 
-MEMO = 400_000
+MEMO = 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -121,31 +122,27 @@ class ByteBPE:
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
         self.table = PerfectHash(sorted(ranks))
-        self.slot_id = [ranks[k] for k in self.table.slot_key]
+        self.slot_id = [array("I", [ranks[k]]).tobytes() for k in self.table.slot_key]
         top = max(ranks.values(), default=-1) + 1
         by_id = [b""] * top
         for k, r in ranks.items():
             by_id[r] = k
         self.id_bytes = np.frombuffer(b"".join(by_id), np.uint8)
         self.id_sizes = np.array([len(k) for k in by_id], np.int64)
-        self.memo: dict[bytes, list[int]] = {}
+        self.memo = Recent(MEMO)
 
-    def __getstate__(self):
-        return self.__dict__ | {"memo": {}}
-
-    def encode_distinct(self, pieces: list[bytes]) -> list[list[int]]:
+    def encode_distinct(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece as unsigned 32-bit integers."""
         out = []
         for piece, slot in zip(pieces, self.table.slots(pieces)):
             if slot >= 0:
-                out.append([self.slot_id[slot]])
+                out.append(self.slot_id[slot])
                 continue
             ids = self.memo.get(piece)
             if ids is None:
-                ids = merge_bytes(piece, self.ranks)
+                ids = array("I", merge_bytes(piece, self.ranks)).tobytes()
                 if len(piece) <= 64:
-                    if len(self.memo) >= MEMO:
-                        self.memo.clear()
-                    self.memo[piece] = ids
+                    self.memo.put(piece, ids)
             out.append(ids)
         return out
 
@@ -153,9 +150,9 @@ class ByteBPE:
         """(ids of all texts end to end, offsets of the texts)."""
         pieces, first = pretokens(texts)
         coded = pieces.dictionary_encode()
-        each = self.encode_distinct(coded.dictionary.to_pylist())
-        flat = np.array([i for ids in each for i in ids], np.uint32)
-        sizes = np.array([len(ids) for ids in each], np.int64)
+        each = self.encode_distinct(tb.to_bytes(coded.dictionary))
+        flat = np.frombuffer(b"".join(each), np.uint32)
+        sizes = np.array([len(ids) for ids in each], np.int64) // 4
         ids, offsets = spread(flat, sizes, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64))
         return ids, offsets[first]
 

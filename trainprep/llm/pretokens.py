@@ -92,3 +92,27 @@ def spread(flat: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.n
     offsets = np.zeros(len(codes) + 1, np.int64)
     np.cumsum(lengths, out=offsets[1:])
     return flat[np.arange(offsets[-1]) + np.repeat(begin[codes] - offsets[:-1], lengths)], offsets
+
+
+class Recent:
+    """What was computed for the pieces seen lately: two generations of at
+    most ``size`` entries, the older dropped when the newer is full."""
+
+    def __init__(self, size: int) -> None:
+        self.size, self.new, self.old = size, {}, {}
+
+    def __getstate__(self):
+        return {"size": self.size, "new": {}, "old": {}}
+
+    def get(self, piece: bytes):
+        value = self.new.get(piece)
+        if value is None:
+            value = self.old.get(piece)
+            if value is not None:
+                self.put(piece, value)
+        return value
+
+    def put(self, piece: bytes, value) -> None:
+        if len(self.new) >= self.size:
+            self.new, self.old = {}, self.new
+        self.new[piece] = value

@@ -102,3 +102,10 @@ def gather(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(
         pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[at]))]
     )
+
+
+def to_bytes(values: pa.Array) -> list[bytes]:
+    """The elements of a binary array."""
+    data, offsets = buffer_of(values)
+    raw, at = data.tobytes(), offsets.tolist()
+    return [raw[a:b] for a, b in zip(at, at[1:])]
