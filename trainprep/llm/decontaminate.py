@@ -7,8 +7,8 @@ The CGK random walk turns edit distance into Hamming distance: reading step
 j of the walk outputs the word under the cursor, and a random bit drawn
 from (j, that word) says whether the cursor moves on.  Two passages that
 differ by few edits walk together again soon after each edit.  For every
-start word of a document (an item-sized window) and for several starts in
-each item, a signature samples ``samples`` steps of the walk; equal
+start word of a document (an item-sized window) and for ``anchors`` starts
+spread over each item, a signature samples ``samples`` steps of the walk; equal
 signatures make a candidate.  ``repeats`` independent walks and samples
 reach the recall, and every candidate is decided by an exact edit distance
 on the words themselves.
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from trainprep.llm import textbytes as tb
 from trainprep.llm.common import sliced
 
-STEPS = (24, 12, 6, 3, 1)
+STEPS = (12, 6, 3, 1)  # a walk reads no further than the item goes on
 
 
 def edit_distance_within(item: list, region: list, limit: int) -> int | None:
@@ -66,25 +66,45 @@ def _walk_plan(repeats: int, samples: int, seed: int) -> list[tuple[list[int], d
 
 
 def _signatures(words, starts, moves, sampled, repeat):
-    """For each walk length: the signature of the walk from every start."""
+    """For each walk length: the signature of the walk from every start;
+    ``words`` goes on for the longest walk after the last start."""
     import numpy as np
 
     last = max(sampled)
     cursor = starts.copy()
-    top = np.int64(len(words) - 1)
     out = {n: np.full(len(starts), np.uint64(0x9E37 + 977 * repeat + n), np.uint64) for n in sampled}
     factor = np.uint64(0x9E3779B97F4A7C15)
     for step in range(last):
         here = words[cursor]
         for n, steps in sampled.items():
             if step in steps:
-                out[n] = (out[n] ^ here) * factor
+                np.bitwise_xor(out[n], here, out=out[n])
+                np.multiply(out[n], factor, out=out[n])
         if step + 1 < last:
-            cursor += ((here >> np.uint64(moves[step])) & np.uint64(1)).view(np.int64)
-            np.minimum(cursor, top, out=cursor)
+            here >>= np.uint64(moves[step])
+            here &= np.uint64(1)
+            cursor += here.view(np.int64)
     return out
 
 
+def _widest(words, starts, item, off, moves, steps, anchors):
+    """Up to ``anchors`` starts of each item: those whose sample reads the
+    most different words, as a walk that stands still matches by chance;
+    equal ones are spread over the item."""
+    import numpy as np
+
+    cursor, seen = starts.copy(), []
+    for step in range(max(steps) + 1):
+        if step in steps:
+            seen.append(words[cursor])
+        cursor += ((words[cursor] >> np.uint64(moves[step])) & np.uint64(1)).view(np.int64)
+    ranked = np.sort(np.stack(seen, axis=1), axis=1)
+    distinct = 1 + (ranked[:, 1:] != ranked[:, :-1]).sum(axis=1)
+    order = np.lexsort((off * 0.6180339887 % 1, -distinct, item))
+    place = np.arange(len(order)) - np.searchsorted(item[order], item[order])
+    return np.sort(order[place < anchors])
+
+
 def _prepare(texts: list[str]) -> list[list[bytes]]:
     data, offsets = tb.buffer_of(pa.array(texts, pa.string()))
     low = tb.LOWER[data]
@@ -107,25 +127,29 @@ class ItemIndex:
                 self.ids.append(item)
                 self.words.append(words)
                 self.limits.append(int((1 - similarity) * len(words) + 1e-9))
-        starts: dict[int, list[tuple[int, int, int]]] = {}  # walk length: (word position, item, offset)
+        where: dict[int, list[tuple[int, int, int]]] = {}  # walk length: (word position, item, offset)
         base, flat = 0, []
         for k, words in enumerate(self.words):
-            for a in sorted({len(words) * i // anchors for i in range(anchors)}):
-                longest = next(n for n in STEPS if n <= len(words) - a)
-                starts.setdefault(longest, []).append((base + a, k, a))
+            for off in range(len(words)):
+                # short walks only where an item has no room for a longer one
+                longest = next(n for n in STEPS if n <= len(words) - off)
+                if longest == next(n for n in STEPS if n <= len(words)):
+                    where.setdefault(longest, []).append((base + off, k, off))
             flat += words
             base += len(words)
-        self.lengths = sorted(starts)
-        hashes = word_hashes(flat)
+        self.lengths = sorted(where)
+        hashes = np.append(word_hashes(flat), np.zeros(max(STEPS), np.uint64))
         self.tables = []
         for r, (moves, sampled) in enumerate(self.plan):
             row = {}
             for n in self.lengths:
-                at, item, off = (np.array(x, np.int64) for x in zip(*starts[n]))
+                at, item, off = (np.array(x, np.int64) for x in zip(*where[n]))
+                best = _widest(hashes, at, item, off, moves, sampled[n], anchors)
+                at, item, off = at[best], item[best], off[best]
                 sig = _signatures(hashes, at, moves, {n: sampled[n]}, r)[n]
                 order = np.argsort(sig)
-                bitmap = np.zeros(1 << 16, bool)
-                bitmap[(sig >> np.uint64(48)).astype(np.int64)] = True
+                bitmap = np.zeros(1 << 18, bool)
+                bitmap[(sig >> np.uint64(46)).astype(np.int64)] = True
                 row[n] = (sig[order], item[order], off[order], bitmap)
             self.tables.append(row)
 
@@ -152,10 +176,10 @@ def _matches(index: ItemIndex, texts: pa.Array) -> list[dict[int, int]]:
     starts, ends, first = tb.words_in(low, offsets, tb.ALNUM[low])
     if not len(starts) or not index.ids:
         return found
-    hashes = tb.span_hash(tb.prefix_hash(low), starts, ends)
+    longest = max(index.lengths)
+    hashes = np.append(tb.span_hash(tb.prefix_hash(low), starts, ends), np.zeros(longest, np.uint64))
     tried: set[tuple[int, int, int]] = set()
     block = 1 << 15  # windows at a time: the arrays stay in the cache
-    longest = max(index.lengths)
     for at in range(0, len(starts), block):
         near = hashes[at : at + block + longest]
         here = np.arange(min(block, len(starts) - at))
@@ -163,7 +187,7 @@ def _matches(index: ItemIndex, texts: pa.Array) -> list[dict[int, int]]:
             sigs = _signatures(near, here, moves, {n: sampled[n] for n in index.lengths}, r)
             for n, sig in sigs.items():
                 known, items, offs, bitmap = index.tables[r][n]
-                maybe = np.flatnonzero(bitmap[(sig >> np.uint64(48)).view(np.int64)])
+                maybe = np.flatnonzero(bitmap[(sig >> np.uint64(46)).view(np.int64)])
                 lo = np.searchsorted(known, sig[maybe], "left")
                 hi = np.searchsorted(known, sig[maybe], "right")
                 hit = hi > lo
@@ -190,7 +214,7 @@ def _matches(index: ItemIndex, texts: pa.Array) -> list[dict[int, int]]:
 
 def contamination(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
-    similarity: float = 0.8, repeats: int = 5, samples: int = 4, anchors: int = 4, seed: int = 7,
+    similarity: float = 0.8, repeats: int = 3, samples: int = 5, anchors: int = 16, seed: int = 7,
     max_index_bytes: int = 64 << 20, extra: list[str] | None = None,
 ) -> DataFrame:
     """``docs``'s id and ``extra`` columns with ``contaminated boolean``,
@@ -204,7 +228,7 @@ def contamination(
     rows = rows.where(F.col("i").isNotNull() & F.col("t").isNotNull())
     # items per pass, so that one broadcast index stays within its bound
     size = rows.agg(F.sum(F.octet_length("t")), F.count("*")).first()
-    passes = max(1, -(-int(size[0] or 0) * 40 // max_index_bytes))
+    passes = max(1, -(-int(size[0] or 0) * 160 // max_index_bytes))
     for p in range(passes if size[1] else 0):
         part = rows.where(F.pmod(F.xxhash64("i"), F.lit(passes)) == p) if passes > 1 else rows
         got = part.orderBy("i", "t").collect()
