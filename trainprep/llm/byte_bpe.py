@@ -28,7 +28,7 @@ from trainprep.llm import textbytes as tb
 from trainprep.llm.common import sliced
 from trainprep.llm.pretokens import Recent, pretokens, spread
 
-MEMO = 300_000
+MEMO = 150_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
