@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 
 from trainprep.llm import textbytes as tb
 from trainprep.llm.common import sliced, staged
+from trainprep.llm.pretokens import Recent
 
 MARK = "▁".encode()
+MEMO = 150_000  # words that a worker keeps, in each of two generations
 LONG = 64  # bytes; longer training words are left out of the expected counts
 
 
@@ -181,7 +183,19 @@ def _expected(a, b, pieces, own, cuts, alpha, probs, sizes, first, last, counts,
 class LanguageModel:
     def __init__(self, languages: list[str], pieces: list[bytes], probs: np.ndarray) -> None:
         self.languages, self.pieces, self.probs = languages, pieces, probs
-        self._lattice = None
+        self._lattice, self._memo = None, Recent(MEMO)
+
+    def log_probs(self, words: pa.Array) -> np.ndarray:
+        """As :func:`forward`; words seen lately are not walked again."""
+        each = [self._memo.get(w) for w in (plain := tb.to_bytes(words))]
+        new = [i for i, e in enumerate(each) if e is None]
+        for at in range(0, len(new), 20_000):  # bounded arcs at a time
+            some = new[at : at + 20_000]
+            for i, row in zip(some, forward(self.lattice(), words.take(pa.array(some)), self.probs)):
+                each[i] = row.tobytes()
+                if len(plain[i]) <= 64:
+                    self._memo.put(plain[i], each[i])
+        return np.frombuffer(b"".join(each)).reshape(len(plain), len(self.languages))
 
     def lattice(self) -> Lattice:
         if self._lattice is None:
@@ -189,7 +203,7 @@ class LanguageModel:
         return self._lattice
 
     def __getstate__(self):
-        return {"languages": self.languages, "pieces": self.pieces, "probs": self.probs, "_lattice": None}
+        return {"languages": self.languages, "pieces": self.pieces, "probs": self.probs, "_lattice": None, "_memo": self._memo}
 
 
 def _words(texts: pa.Array):
@@ -214,7 +228,7 @@ def fit(
     sample = rows.where(F.col("h") <= bound).select("l", "t")
 
     def count(batches):
-        for batch in sliced(batches, 1, 8 << 20):
+        for batch in sliced(batches, 1, 1 << 20):
             names = batch.column(0).dictionary_encode()
             lang = names.indices.to_numpy(zero_copy_only=False)
             words, codes, first = _words(batch.column(1))
@@ -237,7 +251,7 @@ def fit(
             m = shared.value
             index = {l: i for i, l in enumerate(m.languages)}
             out = np.zeros((len(m.languages), len(m.pieces)))
-            for batch in sliced(batches, 1, 1 << 20):
+            for batch in sliced(batches, 1, 1 << 18):
                 langs = np.array([index[l] for l in batch.column(0).to_pylist()])
                 counts = batch.column(2).to_numpy(zero_copy_only=False).astype(float)
                 out += forward(m.lattice(), batch.column(1), m.probs, counts, langs)
@@ -276,13 +290,13 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
 
     def run(batches):
         m = shared.value
-        for batch in sliced(batches, len(keep), 4 << 20):
+        for batch in sliced(batches, len(keep), 2 << 20):
             texts = batch.column(len(keep))
             known = _has_letter(texts) if m.languages else np.zeros(len(batch), bool)
             best, sure = np.zeros(len(batch), np.int64), np.zeros(len(batch))
             if known.any():
                 words, codes, first = _words(texts)
-                per_word = forward(m.lattice(), words, m.probs)
+                per_word = m.log_probs(words)
                 sums = np.zeros((len(codes) + 1, len(m.languages)))
                 np.cumsum(per_word[codes], axis=0, out=sums[1:])
                 total = sums[first[1:]] - sums[first[:-1]]
