@@ -173,7 +173,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", tex
     shape = df.drop("_body").schema.add("n_tokens", "long").add("ids", "binary")
 
     def run(batches):
-        for batch in sliced(batches, len(keep), 4 << 20):
+        for batch in sliced(batches, len(keep), 2 << 20):
             ids, offsets = shared.value.encode_column(batch.column(len(keep)))
             body = pa.Array.from_buffers(
                 pa.large_binary(), len(batch), [None, pa.py_buffer((offsets * 4).astype(np.int64)), pa.py_buffer(ids.astype("<u4"))]
@@ -194,7 +194,7 @@ def decode(coded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", out_
     shape = coded.select("*").schema.add(out_col, "binary")
 
     def run(batches):
-        for batch in sliced(batches, at, 8 << 20):
+        for batch in sliced(batches, at, 4 << 20):
             raw, ends = tb.buffer_of(batch.column(at))
             data, offsets = shared.value.decode_column(np.frombuffer(raw.tobytes(), "<u4"), ends // 4)
             body = pa.Array.from_buffers(pa.large_binary(), len(batch), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)])

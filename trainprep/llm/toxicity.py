@@ -47,7 +47,7 @@ class ToxicModel:
     smooth: float
     ids: np.ndarray  # of examples, ascending
     labels: np.ndarray
-    postings: list[list[tuple[np.ndarray, np.ndarray]]]  # per block, per term: example rows, weights
+    postings: list[dict[int, tuple[np.ndarray, np.ndarray]]]  # per block, by term: example rows, weights
     maxima: np.ndarray  # blocks x terms
     block: int
 
@@ -98,7 +98,7 @@ def _word_stats(sample: DataFrame) -> DataFrame:
     """``(word, toxic, clean)``: documents of each label that hold a word."""
 
     def run(batches):
-        for batch in sliced(batches, 0, 8 << 20):
+        for batch in sliced(batches, 0, 1 << 20):
             data, offsets = tb.buffer_of(batch.column(0))
             low = tb.LOWER[data]
             starts, ends, first = tb.words_in(low, offsets, tb.ALNUM[low])
@@ -157,7 +157,7 @@ def fit(
     lookup = model.lookup() if terms else None
 
     def vectors(batches):
-        for batch in sliced(batches, 0, 8 << 20):
+        for batch in sliced(batches, 0, 1 << 20):
             text, term, count = term_counts(batch.column(0), terms, lookup)
             lists = [([], []) for _ in range(len(batch))]
             for a, b, c in zip(text.tolist(), term.tolist(), count.tolist()):
@@ -181,13 +181,12 @@ def fit(
     weight = _unit(text, term, count, idf, len(rows)) if len(rows) else empty
     model.maxima = np.zeros((-(-len(rows) // block), len(terms)))
     for b in range(len(model.maxima)):
-        own = (text // block) == b
-        lists = []
-        for t in range(len(terms)):
-            hit = own & (term == t) if own.any() else own
-            lists.append((text[hit], weight[hit]))
-            if hit.any():
-                model.maxima[b, t] = weight[hit].max()
+        own = np.flatnonzero(text // block == b)
+        lists = {}
+        for t in np.unique(term[own]).tolist():
+            hit = own[term[own] == t]
+            lists[t] = text[hit], weight[hit]
+            model.maxima[b, t] = weight[hit].max()
         model.postings.append(lists)
     return model
 
@@ -212,9 +211,10 @@ def neighbours(model: ToxicModel, term: np.ndarray, weight: np.ndarray) -> tuple
         if bound[b] <= 0 or (len(rows) >= model.k and bound[b] < least - 1e-12):
             break
         total = np.zeros(model.block)
-        for t, w in zip(term, weight):
-            at, x = model.postings[b][t]
-            total[at - b * model.block] += w * x
+        for t, w in zip(term.tolist(), weight):
+            if t in model.postings[b]:
+                at, x = model.postings[b][t]
+                total[at - b * model.block] += w * x
         hit = np.flatnonzero(total)
         rows = np.concatenate([rows, hit + b * model.block])
         cosines = np.round(np.concatenate([cosines, total[hit]]), 12)
@@ -244,7 +244,7 @@ def score(
     def run(batches):
         m = shared.value
         memo: dict = {}
-        for batch in sliced(batches, len(keep), 4 << 20):
+        for batch in sliced(batches, len(keep), 1 << 20):
             values, why = [m.base] * len(batch), [[] for _ in range(len(batch))]
             if m.terms and len(m.ids):
                 text, term, count = term_counts(batch.column(len(keep)), m.terms, m.lookup())
@@ -254,7 +254,7 @@ def score(
                     a, b = int(a), int(b)
                     key = (term[a:b].tobytes(), count[a:b].tobytes())
                     if key not in memo:
-                        if len(memo) > 50_000:
+                        if len(memo) > 20_000:
                             memo.clear()
                         rows, cos = neighbours(m, term[a:b], weight[a:b])
                         memo[key] = _vote(m, rows, cos), [
