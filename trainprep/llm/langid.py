@@ -187,7 +187,8 @@ class LanguageModel:
 
     def log_probs(self, words: pa.Array) -> np.ndarray:
         """As :func:`forward`; words seen lately are not walked again."""
-        each = [self._memo.get(w) for w in (plain := tb.to_bytes(words))]
+        plain = tb.to_bytes(words)
+        each = [self._memo.get(w) for w in plain]
         new = [i for i, e in enumerate(each) if e is None]
         for at in range(0, len(new), 20_000):  # bounded arcs at a time
             some = new[at : at + 20_000]
