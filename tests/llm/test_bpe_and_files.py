@@ -90,6 +90,12 @@ def test_query_round_trip(spark, make_docs, sf_dir, library):
     assert all((r.n_tokens, r.ids_sha256, r.decoded_sha256) == want[r.doc_id] for r in got)
 
 
+def test_decode_from_ids_alone(spark, make_docs, ranks):
+    docs = make_docs(HARD)
+    back = byte_bpe.decode(byte_bpe.encode(docs, ranks, extra=["text"]), ranks)
+    assert all(bytes(r.decoded) == (r.text or "").encode() for r in back.collect())
+
+
 def test_decode_refuses_unknown_ids(bpe):
     with pytest.raises(ValueError):
         bpe.decode_column(np.array([10**6], np.uint32), np.array([0, 1]))

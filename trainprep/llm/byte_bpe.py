@@ -28,7 +28,7 @@ from trainprep.llm import textbytes as tb
 from trainprep.llm.common import sliced
 from trainprep.llm.pretokens import Recent, pretokens, spread
 
-MEMO = 150_000
+MEMO = 100_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -164,24 +164,32 @@ class ByteBPE:
         return data, at[offsets]
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text", extra: list[str] | None = None) -> DataFrame:
+def _column(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    body = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)])
+    return body.cast(pa.binary())
+
+
+def encode(
+    docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text", extra: list[str] | None = None, decoded: bool = False
+) -> DataFrame:
     """id and ``extra`` columns with ``n_tokens long`` and ``ids binary``
-    (little-endian unsigned 32-bit integers)."""
+    (little-endian unsigned 32-bit integers); with ``decoded``, the bytes
+    that the ids decode to, in the same pass."""
     keep = list(dict.fromkeys([id_col, *(extra or [])]))
     df = docs.select(*keep, F.col(text_col).cast("string").alias("_body"))
     shared = docs.sparkSession.sparkContext.broadcast(ByteBPE(ranks))
     shape = df.drop("_body").schema.add("n_tokens", "long").add("ids", "binary")
+    names = [*keep, "n_tokens", "ids"]
+    if decoded:
+        shape, names = shape.add("decoded", "binary"), [*names, "decoded"]
 
     def run(batches):
-        for batch in sliced(batches, len(keep), 2 << 20):
+        for batch in sliced(batches, len(keep), 1 << 20):
             ids, offsets = shared.value.encode_column(batch.column(len(keep)))
-            body = pa.Array.from_buffers(
-                pa.large_binary(), len(batch), [None, pa.py_buffer((offsets * 4).astype(np.int64)), pa.py_buffer(ids.astype("<u4"))]
-            )
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(len(keep))), pa.array(np.diff(offsets), pa.int64()), body.cast(pa.binary())],
-                names=[*keep, "n_tokens", "ids"],
-            )
+            cells = [pa.array(np.diff(offsets), pa.int64()), _column(ids.astype("<u4"), offsets * 4)]
+            if decoded:
+                cells.append(_column(*shared.value.decode_column(ids, offsets)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *cells], names=names)
 
     return df.mapInArrow(run, shape)
 
@@ -197,13 +205,12 @@ def decode(coded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", out_
         for batch in sliced(batches, at, 4 << 20):
             raw, ends = tb.buffer_of(batch.column(at))
             data, offsets = shared.value.decode_column(np.frombuffer(raw.tobytes(), "<u4"), ends // 4)
-            body = pa.Array.from_buffers(pa.large_binary(), len(batch), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)])
-            yield pa.RecordBatch.from_arrays([*batch.columns, body.cast(pa.binary())], names=[*names, out_col])
+            yield pa.RecordBatch.from_arrays([*batch.columns, _column(data, offsets)], names=[*names, out_col])
 
     return coded.mapInArrow(run, shape)
 
 
 def digests(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, ``n_tokens``, and sha-256 of the ids and of the decoded bytes."""
-    coded = decode(encode(docs, ranks, id_col, text_col), ranks)
+    coded = encode(docs, ranks, id_col, text_col, decoded=True)
     return coded.select(id_col, "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

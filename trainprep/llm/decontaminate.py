@@ -246,7 +246,7 @@ def _pass(df: DataFrame, text_col: str, shared) -> DataFrame:
     kind = pa.list_(pa.struct([("item", pa.int64()), ("edits", pa.int32())]))
 
     def run(batches):
-        for batch in sliced(batches, body, 2 << 20):
+        for batch in sliced(batches, body, 1 << 20):
             new = _matches(shared.value, batch.column(body))
             old = batch.column(hits).to_pylist()
             merged = [[*o, *({"item": i, "edits": e} for i, e in sorted(m.items()))] for o, m in zip(old, new)]

@@ -69,7 +69,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("body"))
 
     def compute(batches):
-        for batch in sliced(batches, 1, 8 << 20):
+        for batch in sliced(batches, 1, 2 << 20):
             fps = [simhash64(shingle_hashes(t or b"", shingle, seed)) for t in batch.column(1).to_pylist()]
             signed = [f - (1 << 64) if f >> 63 else f for f in fps]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed, pa.int64())], names=["id", "fp"])
