@@ -31,7 +31,7 @@ from trainprep.llm.common import sliced, staged
 from trainprep.llm.pretokens import Recent
 
 MARK = "▁".encode()
-MEMO = 150_000  # words that a worker keeps, in each of two generations
+MEMO = 100_000  # words that a worker keeps, in each of two generations
 LONG = 64  # bytes; longer training words are left out of the expected counts
 
 
@@ -190,8 +190,8 @@ class LanguageModel:
         plain = tb.to_bytes(words)
         each = [self._memo.get(w) for w in plain]
         new = [i for i, e in enumerate(each) if e is None]
-        for at in range(0, len(new), 20_000):  # bounded arcs at a time
-            some = new[at : at + 20_000]
+        for at in range(0, len(new), 10_000):  # bounded arcs at a time
+            some = new[at : at + 10_000]
             for i, row in zip(some, forward(self.lattice(), words.take(pa.array(some)), self.probs)):
                 each[i] = row.tobytes()
                 if len(plain[i]) <= 64:
@@ -291,7 +291,7 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
 
     def run(batches):
         m = shared.value
-        for batch in sliced(batches, len(keep), 2 << 20):
+        for batch in sliced(batches, len(keep), 1 << 20):
             texts = batch.column(len(keep))
             known = _has_letter(texts) if m.languages else np.zeros(len(batch), bool)
             best, sure = np.zeros(len(batch), np.int64), np.zeros(len(batch))
