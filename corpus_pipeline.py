@@ -63,7 +63,7 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with the digests of the round trip."""
     _ready(spark)
     ranks = byte_bpe.read_ranks(vocabulary_path("byte_bpe_multi_50k.tiktoken"))
-    coded = byte_bpe.decode(byte_bpe.encode(docs, ranks), ranks)
+    coded = byte_bpe.encode(docs, ranks, decoded=True)
     return coded.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
