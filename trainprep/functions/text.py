@@ -39,8 +39,10 @@ def normalize_newlines(c: str | Column) -> Column:
 
 
 def json_string(c: str | Column) -> Column:
-    """A string encoded as a JSON string literal (quotes included)."""
-    return F.regexp_extract(F.to_json(F.struct(_col(c).alias("v"))), r'^\{"v":(.*)\}$', 1)
+    """A string encoded as a JSON string literal (quotes included); null is
+    ``null``.  Cut by length, as a pattern would stop at line separators."""
+    whole = F.to_json(F.struct(_col(c).alias("v")), {"ignoreNullFields": "false"})
+    return F.substr(whole, F.lit(6), F.length(whole) - 6)
 
 
 def json_query(c: str | Column) -> Column:
@@ -55,7 +57,8 @@ def json_reply(reasoning: str | Column, responding: str | Column) -> Column:
 
 def zero_pad(c: str | Column, width: int) -> Column:
     """``f"{n:0{width}d}"`` for non-negative integers."""
-    return F.lpad(_col(c).cast("string"), width, "0")
+    n = _col(c).cast("long")
+    return F.when(n.isNotNull(), F.format_string(f"%0{width}d", n))
 
 
 # Python ``float()`` string syntax (digit groups may use single

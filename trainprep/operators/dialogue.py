@@ -56,12 +56,19 @@ def complete_sessions(replies: DataFrame, turns: int) -> tuple[DataFrame, DataFr
     need = F.when(F.col("agent") == "A", F.col("turn") < turns).otherwise(F.col("turn") < turns - 1)
     used = replies.where(need)
     stats = used.groupBy("session").agg(
-        F.count(F.when(F.col("valid"), 1)).alias("n_valid"), F.count(F.lit(1)).alias("n_used")
+        F.count(F.when(F.col("valid"), 1)).alias("n_valid"),
+        F.count(F.lit(1)).alias("n_used"),
+        F.count_distinct("turn", "agent").alias("n_places"),
     )
-    ok = (F.col("n_valid") == F.col("n_used")) & (F.col("n_used") == 2 * turns - 1)
+    whole = F.col("n_places") == 2 * turns - 1
+    ok = (F.col("n_valid") == F.col("n_used")) & whole & (F.col("n_used") == F.col("n_places"))
     good = stats.where(ok).select("session")
     bad = stats.where(~ok).select(
-        "session", F.when(F.col("n_valid") < F.col("n_used"), "invalid_reply").otherwise("missing_reply").alias("reason")
+        "session",
+        F.when(F.col("n_valid") < F.col("n_used"), "invalid_reply")
+        .when(~whole, "missing_reply")
+        .otherwise("duplicate_reply")
+        .alias("reason"),
     )
     return good, bad
 

@@ -15,7 +15,7 @@ from trainprep.operators.scan import ranged_by_group, running_on_ranged
 TRAIN_COLUMNS = ["loss", "grad_norm", "learning_rate", "epoch"]
 EVAL_COLUMNS = ["loss", "epoch"]
 
-DICT_PATTERN = r"\{.*?\}"
+DICT_PATTERN = r"\{[^}]*\}"
 
 # Python literals and their JSON spelling.
 PY_LITERALS = (("None", "null"), ("True", "true"), ("False", "false"))
@@ -123,9 +123,19 @@ def early_stop(
     """
     ranged = ranged_by_group(evals.select(run, order, "loss"), run, [order], num_partitions)
     first = running_on_ranged(
-        ranged, run, {"best_before": ("min", "loss", True), "idx": ("count", F.lit(1), False)}
+        ranged,
+        run,
+        {
+            "best_before": ("min", "loss", True),
+            "idx": ("count", F.lit(1), False),
+            "earliest": ("min", F.struct(order, "loss"), True),
+        },
     )
-    improved = F.col("best_before").isNull() | ((F.col("best_before") - F.col("loss")) > F.lit(float(threshold)))
+    # no comparison with NaN holds: a NaN loss improves nothing, and nothing
+    # improves on a NaN that came first
+    beats = (F.col("best_before") - F.col("loss")) > F.lit(float(threshold))
+    known = ~F.isnan("loss") & ~F.isnan(F.col("earliest.loss")) & ~F.isnan("best_before")
+    improved = F.col("earliest").isNull() | F.coalesce(known & beats, F.lit(False))
     flagged = first.withColumn("_imp_idx", F.when(improved, F.col("idx")))
     second = running_on_ranged(flagged, run, {"last_improved": ("max", "_imp_idx", False)})
     stops = second.where(F.col("idx") - F.col("last_improved") >= patience)

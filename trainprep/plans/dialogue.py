@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from trainprep.functions.text import zero_pad
+
 from trainprep.operators.dialogue import (
     assign_openers,
     complete_sessions,
@@ -155,7 +157,7 @@ def dialogue_rejects(spark, sf_dir):
     "session_json",
     f"""
 WITH t AS ({_TRANSCRIPT_SQL})
-SELECT 'session_' || lpad(CAST(session AS VARCHAR), 4, '0') || '.json' AS name, count(*) AS n_messages,
+SELECT 'session_' || printf('%04d', session) || '.json' AS name, count(*) AS n_messages,
        CAST(sum(length(content)) AS BIGINT) AS n_chars
 FROM t GROUP BY session
 """,
@@ -165,7 +167,7 @@ def session_json(spark, sf_dir):
     kept, session_openers, _ = _parts(spark, sf_dir)
     prompt_a, _ = prompts(spark, sf_dir)
     nested = nest_by(transcript(kept, session_openers, prompt_a, TURNS))
-    name = F.concat(F.lit("session_"), F.lpad(F.col("session").cast("string"), 4, "0"), F.lit(".json"))
+    name = F.concat(F.lit("session_"), zero_pad(F.col("session"), 4), F.lit(".json"))
     out = scratch_dir(spark, "sessions")
     write_json_documents(nested.withColumn("name", name), out, "name", F.to_json(F.struct("messages"))).collect()
     back = scan_json_folder(spark, out)

@@ -9,7 +9,7 @@ from trainprep.plans.fixtures import write_chat_export
 from trainprep.plans.registry import query
 from trainprep.sources.files import whole_files
 
-_NAME = "'export_' || lpad(CAST(conv_id AS VARCHAR), 6, '0') || '.json'"
+_NAME = "'export_' || printf('%06d', conv_id) || '.json'"
 
 
 def converted(spark, sf_dir):

@@ -29,7 +29,7 @@ FILES_PER_CHUNK = 100
 PACK_LIMIT = 100_000
 SHARD_LIMIT = 20_000
 
-_NAME_SQL = "'conv_' || lpad(CAST(conv_id AS VARCHAR), 6, '0') || '.json'"
+_NAME_SQL = "'conv_' || printf('%06d', conv_id) || '.json'"
 
 
 def json_files(spark, sf_dir):
@@ -94,7 +94,7 @@ def json_chunks(spark, sf_dir):
 @query(
     "scan_txt_folder",
     """
-SELECT lpad(CAST(doc_id AS VARCHAR), 6, '0') || '.txt' AS name, text FROM documents WHERE doc_id % 9 <> 0
+SELECT printf('%06d', doc_id) || '.txt' AS name, text FROM documents WHERE doc_id % 9 <> 0
 """,
 )
 def scan_txt_folder_query(spark, sf_dir):
@@ -114,7 +114,7 @@ r AS (
          CASE WHEN r.cur + d.len <= {PACK_LIMIT} THEN r.cur + d.len ELSE d.len END,
          CASE WHEN r.cur + d.len <= {PACK_LIMIT} THEN r.chunk_id ELSE r.chunk_id + 1 END
   FROM r JOIN d ON d.rn = r.rn + 1)
-SELECT lpad(CAST(doc_id AS VARCHAR), 6, '0') || '.txt' AS name, chunk_id FROM r
+SELECT printf('%06d', doc_id) || '.txt' AS name, chunk_id FROM r
 """,
 )
 def pack_txt_folder(spark, sf_dir):
@@ -125,10 +125,10 @@ def pack_txt_folder(spark, sf_dir):
 
 
 _ZIP_MEMBERS_SQL = """
-SELECT 'docs_' || lpad(CAST(CAST(floor(doc_id / 250) AS BIGINT) AS VARCHAR), 4, '0') || '.zip' AS archive,
-       CASE WHEN doc_id % 10 = 1 THEN lpad(CAST(doc_id AS VARCHAR), 6, '0') || '.TXT'
-            WHEN doc_id % 10 = 2 THEN 'sub/' || lpad(CAST(doc_id AS VARCHAR), 6, '0') || '.txt'
-            ELSE lpad(CAST(doc_id AS VARCHAR), 6, '0') || '.txt' END AS member,
+SELECT 'docs_' || printf('%04d', CAST(floor(doc_id / 250) AS BIGINT)) || '.zip' AS archive,
+       CASE WHEN doc_id % 10 = 1 THEN printf('%06d', doc_id) || '.TXT'
+            WHEN doc_id % 10 = 2 THEN 'sub/' || printf('%06d', doc_id) || '.txt'
+            ELSE printf('%06d', doc_id) || '.txt' END AS member,
        CASE WHEN doc_id % 9 = 0 THEN '' WHEN doc_id % 7 = 0 THEN replace(text, chr(10), chr(13) || chr(10))
             ELSE text END AS text
 FROM documents
@@ -172,7 +172,7 @@ r AS (
          CASE WHEN r.cur + d.len <= {PACK_LIMIT} THEN r.cur + d.len ELSE d.len END,
          CASE WHEN r.cur + d.len <= {PACK_LIMIT} THEN r.chunk_id ELSE r.chunk_id + 1 END
   FROM r JOIN d ON d.rn = r.rn + 1)
-SELECT 'chunk_' || lpad(CAST(chunk_id AS VARCHAR), 6, '0') AS chunk, count(*) AS n_rows,
+SELECT 'chunk_' || printf('%06d', chunk_id) AS chunk, count(*) AS n_rows,
        CAST(sum(len) AS BIGINT) AS n_chars
 FROM r GROUP BY chunk_id
 """,
@@ -202,7 +202,7 @@ r AS (
          d.len >= {SHARD_LIMIT},
          CASE WHEN d.len >= {SHARD_LIMIT} OR r.closed OR r.cur + d.len > {SHARD_LIMIT} THEN r.shard_id + 1 ELSE r.shard_id END
   FROM r JOIN d ON d.rn = r.rn + 1)
-SELECT 'part_' || lpad(CAST(shard_id AS VARCHAR), 4, '0') AS shard, count(*) AS n_rows FROM r GROUP BY shard_id
+SELECT 'part_' || printf('%04d', shard_id) AS shard, count(*) AS n_rows FROM r GROUP BY shard_id
 """,
 )
 def shard_sink_roundtrip(spark, sf_dir):
@@ -229,7 +229,7 @@ def shard_sink_roundtrip(spark, sf_dir):
 WITH f AS (SELECT conv_id, CASE WHEN conv_id % 10 = 3 THEN 0 ELSE count(*) END AS n_messages
            FROM conversations WHERE conv_id % 10 <> 7 GROUP BY conv_id),
 o AS (SELECT n_messages, CAST(floor((row_number() OVER (ORDER BY conv_id) - 1) / {FILES_PER_CHUNK}) AS BIGINT) AS chunk_id FROM f)
-SELECT 'chunk_' || lpad(CAST(chunk_id AS VARCHAR), 6, '0') AS chunk, count(*) AS n_rows,
+SELECT 'chunk_' || printf('%06d', chunk_id) AS chunk, count(*) AS n_rows,
        CAST(sum(n_messages) AS BIGINT) AS n_messages
 FROM o GROUP BY chunk_id
 """,

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trainprep.functions.text import zero_pad
+
 from trainprep.plans.tables import table
 from trainprep.session import scratch_dir
 
@@ -95,7 +97,7 @@ RANK_SQL = "CAST(32 * (user_id % 5 + 1) AS BIGINT)"
 
 
 def _conv_name(conv_id: Column, suffix: str = ".json") -> Column:
-    return F.concat(F.lit("conv_"), F.lpad(conv_id.cast("string"), 6, "0"), F.lit(suffix))
+    return F.concat(F.lit("conv_"), zero_pad(conv_id, 6), F.lit(suffix))
 
 
 @once_per_session
@@ -119,7 +121,7 @@ def write_json_folder(spark: SparkSession, sf_dir: str) -> str:
 
 
 def doc_file_name(doc_id: Column) -> Column:
-    return F.concat(F.lpad(doc_id.cast("string"), 6, "0"), F.lit(".txt"))
+    return F.concat(zero_pad(doc_id, 6), F.lit(".txt"))
 
 
 @once_per_session
@@ -141,7 +143,7 @@ DOCS_PER_ARCHIVE = 250
 
 def _zip_member_name(doc_id: Column) -> Column:
     """``<id>.txt``; ``doc_id % 10 = 1`` upper-case ``.TXT``; ``= 2`` in ``sub/``."""
-    base = F.lpad(doc_id.cast("string"), 6, "0")
+    base = zero_pad(doc_id, 6)
     return (
         F.when(doc_id % 10 == 1, F.concat(base, F.lit(".TXT")))
         .when(doc_id % 10 == 2, F.concat(F.lit("sub/"), base, F.lit(".txt")))
@@ -181,7 +183,7 @@ def write_zip_folder(spark: SparkSession, sf_dir: str) -> str:
     d = table(spark, sf_dir, "documents")
     did = F.col("doc_id")
     content = F.when(did % 9 == 0, F.lit("")).when(did % 7 == 0, F.regexp_replace("text", "\n", "\r\n")).otherwise(F.col("text"))
-    key = F.concat(F.lit("docs_"), F.lpad(F.floor(did / DOCS_PER_ARCHIVE).cast("string"), 4, "0"), F.lit(".zip"))
+    key = F.concat(F.lit("docs_"), zero_pad(F.floor(did / DOCS_PER_ARCHIVE), 4), F.lit(".zip"))
     rows = d.select(key.alias("archive"), _zip_member_name(did).alias("member"), content.alias("content"))
     rows.groupBy("archive").applyInPandas(_build_archives(out), "archive string, members long").collect()
     return out
@@ -280,7 +282,7 @@ def write_chat_export(spark: SparkSession, sf_dir: str) -> str:
     doc = F.when(cid % 5 == 0, F.concat(F.lit(meta + '"inner":{"session":'), session, F.lit("}}}"))).otherwise(
         F.concat(F.lit(meta + '"session":'), session, F.lit("}}"))
     )
-    name = F.concat(F.lit("export_"), F.lpad(cid.cast("string"), 6, "0"), F.lit(".json"))
+    name = F.concat(F.lit("export_"), zero_pad(cid, 6), F.lit(".json"))
     write_files(conv.select(name.alias("name"), doc.alias("content")), out).collect()
     return out
 

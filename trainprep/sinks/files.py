@@ -59,7 +59,7 @@ def write_chunks(
     if layout == "sorted":
         ordered = named if range_ordered else named.repartitionByRange(F.col(chunk_col), F.col(order_col))
         (
-            ordered.sortWithinPartitions(partition_name, order_col)
+            ordered.sortWithinPartitions(chunk_col, order_col)
             .select(partition_name, *columns)
             .write.mode(mode)
             .option("compression", "gzip")

@@ -7,7 +7,7 @@ import zipfile
 
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trainprep.functions.text import lossy_utf8, normalize_newlines, py_strip
@@ -65,6 +65,10 @@ def with_file_name(raw: DataFrame) -> DataFrame:
     return raw.select(path.alias("path"), F.element_at(F.split(path, "/"), -1).alias("name"), "value")
 
 
+def _last_messages(top: Column) -> Column:
+    return F.try_element_at(F.filter(F.map_entries(top), lambda e: e["key"] == "messages"), F.lit(-1))["value"]
+
+
 def parse_json_documents(files: DataFrame) -> DataFrame:
     """``(path, name, value)`` -> ``(path, name, status, messages)`` (see
     :func:`scan_json_folder`); shared by the batch and streaming reads."""
@@ -74,10 +78,11 @@ def parse_json_documents(files: DataFrame) -> DataFrame:
     keep = ["path", "name"]
     parsed = computed_once(files, keep, top=F.from_json("value", "map<string,string>", {"mode": "PERMISSIVE"}))
     parsed = computed_once(
-        parsed, [*keep, "top"], typed=F.from_json(F.col("top")["messages"], MESSAGES, {"mode": "PERMISSIVE"})
+        parsed, [*keep, "top"], typed=F.from_json(_last_messages(F.col("top")), MESSAGES, {"mode": "PERMISSIVE"})
     )
     top, typed = F.col("top"), F.col("typed")
-    raw_msgs = top["messages"]
+    # the last of equal keys counts, as in a Python dict
+    raw_msgs = _last_messages(top)
     status = (
         F.when(top.isNull(), "corrupt")
         .when(~F.map_contains_key(top, "messages"), "missing_messages")

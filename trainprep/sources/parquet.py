@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _files_missing(column: str):
@@ -32,9 +33,9 @@ def require_column(spark: SparkSession, paths: Sequence[str], column: str) -> No
     if not files:
         raise FileNotFoundError(f"no parquet files under {list(paths)}")
     listing = spark.createDataFrame(pd.DataFrame({"path": sorted(files)}))
-    bad = listing.mapInPandas(_files_missing(column), "path string").limit(5).collect()
-    if bad:
-        raise ValueError(f"files without required column {column!r}: {[r.path for r in bad]}")
+    bad = listing.mapInPandas(_files_missing(column), "path string").agg(F.count("*").alias("n"), F.min("path").alias("path")).first()
+    if bad.n:
+        raise ValueError(f"{bad.n} files without required column {column!r}, the first {bad.path}")
 
 
 def corpus_scan(spark: SparkSession, paths: Sequence[str], column: str = "text", check: bool = True) -> DataFrame:
