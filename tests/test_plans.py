@@ -1,4 +1,4 @@
-"""Plan-level properties: single evaluation of parses, input spreading."""
+"""Plan-level properties: single evaluation of parses, plans without size switches."""
 
 import os
 
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from trainprep.operators.columns import computed_once
 from trainprep.operators.logs import eval_rows, log_dicts
-from trainprep.plans.tables import spread_if_narrow
+from trainprep.plans.tables import table
 from trainprep.sources.files import parse_json_documents
 
 
@@ -30,15 +30,7 @@ def test_computed_once_keeps_values(spark):
     assert [tuple(r) for r in out.collect()] == [(2, 2, "BB")]
 
 
-def test_single_row_group_file_is_spread(spark, tmp_folder):
-    base = tmp_folder.replace("file:", "")
-    os.makedirs(base, exist_ok=True)
-    cores = spark.sparkContext.defaultParallelism
-    big = pa.table({"text": [os.urandom(2048).hex() for _ in range(cores * 400)]})  # > 1 MB per core
-    pq.write_table(big, f"{base}/big.parquet", row_group_size=len(big), compression="none", use_dictionary=False)
-    pq.write_table(pa.table({"text": ["y"] * 10}), f"{base}/small.parquet")
-    spread = spread_if_narrow(spark.read.parquet(f"{base}/big.parquet"))
-    assert spread.rdd.getNumPartitions() == cores
-    assert spread.groupBy(F.spark_partition_id()).count().count() == cores
-    small = spark.read.parquet(f"{base}/small.parquet")
-    assert spread_if_narrow(small) is small
+def test_tables_have_one_plan_at_every_size(spark):
+    for size in ("sf0.001", "sf0.01", "sf0.1"):
+        plan = table(spark, f"/root/testdata/{size}", "documents")._jdf.queryExecution().toString()
+        assert "Repartition" not in plan

@@ -10,47 +10,13 @@ from trainprep.operators.chat import nest_turns
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, spread over the cluster when its file yields fewer
-    scan tasks than there are cores (see :func:`spread_if_narrow`)."""
-    return spread_if_narrow(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-
-
-MIN_BYTES_PER_CORE = 1 << 20
-
-
-def _footer(path: str) -> tuple[int, int]:
-    """(row groups, file bytes) of one parquet file."""
-    import pyarrow.parquet as pq
-    from pyarrow import fs
-
-    filesystem, inner = fs.FileSystem.from_uri(path)
-    with filesystem.open_input_file(inner) as f:
-        return pq.ParquetFile(f).metadata.num_row_groups, f.size()
-
-
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over ``defaultParallelism`` tasks when its parquet
-    files hold fewer row groups than that and are big enough to matter
-    (``MIN_BYTES_PER_CORE`` per core): a row group is read by one task, so a
-    file with a single row group is one task whatever its size.  With at
-    least as many files as cores nothing is checked or changed (no footer
-    reads, no shuffle) -- the case of any large input."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() > cores:
-        return df  # a large input: many splits already, nothing is listed
-    files = df.inputFiles()
-    if len(files) >= cores:
-        return df
-    footers = [_footer(f) for f in files]
-    groups, size = sum(g for g, _ in footers), sum(b for _, b in footers)
-    if groups >= cores or size < cores * MIN_BYTES_PER_CORE:
-        return df
-    return df.repartition(cores)
+    """A given table, with the same plan at every size."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def message_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns as messages: ``content = text``; assistant
-    ``reasoning`` = first 20 characters, null where ``(conv_id + turn) % 11 = 0``;
+    ``reasoning`` = the text, null where ``(conv_id + turn) % 11 = 0``;
     a user turn becomes role ``tool`` where ``(conv_id + turn) % 13 = 0``."""
     c = table(spark, sf_dir, "conversations")
     k = F.col("conv_id") + F.col("turn")
@@ -59,7 +25,7 @@ def message_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
         "turn",
         F.when((F.col("role") == "user") & (k % 13 == 0), F.lit("tool")).otherwise(F.col("role")).alias("role"),
         F.col("text").alias("content"),
-        F.when((F.col("role") == "assistant") & (k % 11 != 0), F.substring("text", 1, 20)).alias("reasoning"),
+        F.when((F.col("role") == "assistant") & (k % 11 != 0), F.col("text")).alias("reasoning"),
     )
 
 
@@ -73,6 +39,6 @@ MESSAGE_TURNS_SQL = """
 SELECT conv_id, turn,
        CASE WHEN role = 'user' AND (conv_id + turn) % 13 = 0 THEN 'tool' ELSE role END AS role,
        text AS content,
-       CASE WHEN role = 'assistant' AND (conv_id + turn) % 11 <> 0 THEN substring(text, 1, 20) END AS reasoning
+       CASE WHEN role = 'assistant' AND (conv_id + turn) % 11 <> 0 THEN text END AS reasoning
 FROM conversations
 """
