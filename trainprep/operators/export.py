@@ -107,7 +107,8 @@ def _convert_udf(key: str):
             rows = [convert_document(t, key) for t in texts]
             yield pd.DataFrame(rows, columns=["status", "key_path", "messages"])
 
-    return convert
+    # a filter on the status must not run the search a second time
+    return convert.asNondeterministic()
 
 
 def convert_export(df: DataFrame, text: str | Column = "value", key: str = "messages") -> DataFrame:

@@ -3,6 +3,9 @@ best evaluation, rank comparison, early-stop point."""
 
 from __future__ import annotations
 
+import ast
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +45,34 @@ def parse_dict(text: str | Column) -> Column:
     return F.from_json(c, "map<string,string>", {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})
 
 
+def _literal_items(text: str | None) -> dict | None:
+    """String-keyed entries of a Python dict literal as text that Python's
+    ``float`` reads where it reads the value; anything else is None."""
+    try:
+        d = ast.literal_eval(text)
+    except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
+        return None
+    if not isinstance(d, dict):
+        return None
+    return {
+        k: v if v is None or isinstance(v, str) else str(int(v)) if isinstance(v, bool) else repr(v)
+        for k, v in d.items()
+        if isinstance(k, str)
+    }
+
+
+def parse_literal(text: str | Column) -> Column:
+    """L2 by Python's own rules (trailing commas, ``.5``, ``1_0``, tuples,
+    other keys; ``true`` is no literal).  An Arrow-batched helper: slower
+    than :func:`parse_dict`, for logs that hold more than plain entries."""
+
+    @F.pandas_udf("map<string,string>")
+    def parse(texts: pd.Series) -> pd.Series:
+        return texts.map(_literal_items)
+
+    return parse.asNondeterministic()(F.col(text) if isinstance(text, str) else text)
+
+
 def dict_get(d: Column, key: str) -> Column:
     """Value of ``key`` in a parsed dict, the last one when the key repeats
     (as a Python dict keeps it; a parsed map keeps every entry and ``d[key]``
@@ -50,10 +81,14 @@ def dict_get(d: Column, key: str) -> Column:
     return F.try_element_at(hits, F.lit(-1))["value"]
 
 
-def log_dicts(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Lines -> parsed dicts (column ``d``), unmatched or unparsable lines dropped."""
+def log_dicts(lines: DataFrame, line: str = "value", exact: bool = False) -> DataFrame:
+    """Lines -> parsed dicts (column ``d``), unmatched or unparsable lines
+    dropped; ``exact`` reads every form of a Python dict literal."""
     keep = [c for c in lines.columns if c != line]
     matched = computed_once(lines, keep, _m=first_dict(line))
+    if exact:
+        found = matched.where(F.col("_m").isNotNull()).select(*keep, parse_literal("_m").alias("d"))
+        return found.where(F.col("d").isNotNull())
     parsed = computed_once(matched, keep, d=parse_dict("_m"))
     return parsed.where(F.col("d").isNotNull())
 

@@ -203,3 +203,21 @@ def load_dataset_query(spark, sf_dir):
     from trainprep.sources.files import load_dataset
 
     return cpt_text(load_dataset(spark, f"{sf_dir.rstrip('/')}/documents.parquet"))
+
+
+@query("load_dataset_json", "SELECT doc_id, text, lang FROM documents")
+def load_dataset_json(spark, sf_dir):
+    """JSON files that hold one array each (100 documents by id), loaded
+    by format."""
+    from trainprep.session import scratch_dir
+    from trainprep.sinks.files import write_files
+    from trainprep.sources.files import load_dataset
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    block = F.floor(F.col("doc_id") / 100).cast("long")
+    arrays = docs.groupBy(block.alias("block")).agg(
+        F.to_json(F.collect_list(F.struct("doc_id", "text", "lang")), {"ignoreNullFields": "false"}).alias("content")
+    )
+    out = scratch_dir(spark, "json_arrays")
+    write_files(arrays.select(F.format_string("block_%06d.json", "block").alias("name"), "content"), out).collect()
+    return load_dataset(spark, out, fmt="json").select("doc_id", "text", "lang")

@@ -27,14 +27,14 @@ PER = 2 * TURNS
 
 
 def _parts(spark, sf_dir):
-    """(valid replies of complete sessions, sessions with their opener, rejects)."""
+    """(valid replies of complete sessions, sessions with their opener)."""
     replies = validate_replies(replies_table(spark, sf_dir, TURNS))
-    good, bad = complete_sessions(replies, TURNS)
+    good, _ = complete_sessions(replies, TURNS)
     ops = openers(spark, sf_dir)
     n = ops.count()
     session_openers = assign_openers(good, ops, n)
     kept = replies.join(good, "session", "left_semi")
-    return kept, session_openers, bad
+    return kept, session_openers
 
 
 @once_per_session
@@ -99,7 +99,7 @@ UNION ALL SELECT session, CAST(CASE WHEN agent = 'A' THEN turn * 2 + 2 ELSE turn
 
 @query("transcript", _TRANSCRIPT_SQL)
 def transcript_query(spark, sf_dir):
-    kept, session_openers, _ = _parts(spark, sf_dir)
+    kept, session_openers = _parts(spark, sf_dir)
     prompt_a, _ = prompts(spark, sf_dir)
     return transcript(kept, session_openers, prompt_a, TURNS)
 
@@ -117,7 +117,7 @@ UNION ALL SELECT session, CAST(CASE WHEN agent = 'A' THEN turn * 2 + 2 ELSE turn
 """,
 )
 def view_a_query(spark, sf_dir):
-    kept, session_openers, _ = _parts(spark, sf_dir)
+    kept, session_openers = _parts(spark, sf_dir)
     prompt_a, _ = prompts(spark, sf_dir)
     return view_a(kept, session_openers, prompt_a, TURNS)
 
@@ -136,7 +136,7 @@ UNION ALL SELECT session, CAST(CASE WHEN agent = 'A' THEN turn * 2 + 2 ELSE turn
 """,
 )
 def view_b_query(spark, sf_dir):
-    kept, session_openers, _ = _parts(spark, sf_dir)
+    kept, session_openers = _parts(spark, sf_dir)
     _, prompt_b = prompts(spark, sf_dir)
     return view_b(kept, session_openers, prompt_b, TURNS)
 
@@ -150,7 +150,7 @@ FROM u GROUP BY session HAVING NOT (count(*) FILTER (WHERE valid) = count(*) AND
 """,
 )
 def dialogue_rejects(spark, sf_dir):
-    return _parts(spark, sf_dir)[2]
+    return complete_sessions(validate_replies(replies_table(spark, sf_dir, TURNS)), TURNS)[1]
 
 
 @query(
@@ -164,7 +164,7 @@ FROM t GROUP BY session
 )
 def session_json(spark, sf_dir):
     """Transcripts written as ``session_%04d.json`` files, read back."""
-    kept, session_openers, _ = _parts(spark, sf_dir)
+    kept, session_openers = _parts(spark, sf_dir)
     prompt_a, _ = prompts(spark, sf_dir)
     nested = nest_by(transcript(kept, session_openers, prompt_a, TURNS))
     name = F.concat(F.lit("session_"), zero_pad(F.col("session"), 4), F.lit(".json"))

@@ -209,13 +209,14 @@ def opener_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @once_per_session
-def write_openers_csv(spark: SparkSession, sf_dir: str, parts: int = 3) -> str:
-    """Opener CSV with a header, in (conv_id, turn) order over ``parts``
-    files whose names sort in that order; quotes doubled, newlines kept."""
+def write_openers_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Opener CSV with a header, in (conv_id, turn) order over files whose
+    names sort in that order and whose number follows the data; quotes
+    doubled, newlines kept."""
     out = scratch_dir(spark, "openers")
     pairs = opener_pairs(spark, sf_dir)
     (
-        pairs.repartitionByRange(parts, "conv_id", "turn")
+        pairs.repartitionByRange("conv_id", "turn")
         .sortWithinPartitions("conv_id", "turn")
         .select("think", "respond")
         .write.option("header", "true")

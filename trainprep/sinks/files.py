@@ -89,6 +89,8 @@ def _write_each(folder: str, binary: bool):
         for pdf in batches:
             sizes = []
             for name, content in zip(pdf["name"], pdf["content"]):
+                if content is None:
+                    raise ValueError(f"no content for {name}")
                 data = content if binary else content.encode("utf-8")
                 # a retried or speculative attempt writes its own temp file and
                 # moves it over the final name, so readers never see a torn file
@@ -104,11 +106,15 @@ def _write_each(folder: str, binary: bool):
 
 def write_files(df: DataFrame, folder: str, name: str = "name", content: str = "content", binary: bool = False) -> DataFrame:
     """Write each row's ``content`` to ``folder/<name>``; returns the per-file
-    report ``(name, bytes)`` after running the job (the report is small:
-    one row per file written, aggregated here to totals)."""
+    totals ``(files, bytes)`` as a frame whose action runs the job.  Rows
+    that share a name, and null contents, are errors."""
     rows = df.select(F.col(name).alias("name"), F.col(content).alias("content"))
     report = rows.mapInPandas(_write_each(folder, binary), "name string, bytes long")
-    return report.agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
+    totals = report.agg(F.count(F.lit(1)).alias("files"), F.count_distinct("name").alias("_names"), F.sum("bytes").alias("bytes"))
+    files = F.when(F.col("files") == F.col("_names"), F.col("files")).otherwise(
+        F.raise_error(F.lit("several rows share a file name")).cast("long")
+    )
+    return totals.select(files.alias("files"), "bytes")
 
 
 def write_json_documents(df: DataFrame, folder: str, name: str, document: str | Column) -> DataFrame:
@@ -120,11 +126,8 @@ def write_json_documents(df: DataFrame, folder: str, name: str, document: str |
 def write_log_table(df: DataFrame, path: str, columns: list[str], fmt: str = "csv") -> None:
     """Log table sink (K6): fixed column order, one file per task, each CSV
     file with the header; an empty result still writes its header (CSV) or
-    schema (parquet) in a single empty file."""
-    out = df.select(*columns)
-    if out.isEmpty():
-        out = out.coalesce(1)  # no rows: one file that carries the columns
-    writer = out.write.mode("overwrite")
+    schema (parquet), as Spark's first task always writes a file."""
+    writer = df.select(*columns).write.mode("overwrite")
     if fmt == "csv":
         writer.option("header", "true").csv(path)
     else:

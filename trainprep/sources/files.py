@@ -19,8 +19,11 @@ DATASET_FORMATS = {".json": "json", ".jsonl": "json", ".parquet": "parquet", ".c
 
 
 def load_dataset(spark: SparkSession, path: str, fmt: str | None = None, schema=None) -> DataFrame:
-    """Generic dataset load (S10): format by suffix unless given; JSON is
-    read as JSON lines.  Callers ``persist()`` if they want a cache."""
+    """Generic dataset load (S10): format by suffix unless given.  JSON is
+    read as JSON lines when the first line that is not blank is a whole
+    object, else as one array or object per file; malformed records and
+    folders that mix both forms are errors.  Callers ``persist()`` if they
+    want a cache."""
     if fmt is None:
         stem = path.rstrip("/").lower()
         fmt = next((f for suf, f in DATASET_FORMATS.items() if stem.endswith(suf)), "parquet")
@@ -29,9 +32,26 @@ def load_dataset(spark: SparkSession, path: str, fmt: str | None = None, schema=
         reader = reader.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", "true")
+    if fmt == "json":
+        reader = reader.option("mode", "FAILFAST").option("multiLine", str(_whole_json(spark, path)).lower())
     return reader.load(path)
 
 
+def _whole_json(spark: SparkSession, path: str) -> bool:
+    """True when the files hold one JSON value each, False for JSON lines."""
+    start = spark.read.text(path).where("value rlike '\\\\S'").select(
+        (F.get_json_object("value", "$").isNotNull() & F.col("value").rlike(r"^\s*\{")).alias("line")
+    ).first()
+    if start is None or start["line"]:
+        return False
+    # an object, a line end and an object never stand in one JSON value
+    lines = spark.read.text(path, wholetext=True).where(F.col("value").rlike(r"\}[ \t\r]*\n\s*\{"))
+    mixed = lines.select(F.col("_metadata.file_path")).first()
+    if mixed is not None:
+        raise ValueError(f"JSON lines beside whole JSON files: {mixed[0]}")
+    return True
+
+
 RUN_KEY_PATTERN = r"train_rank(\d+)\.log"
 
 
