@@ -12,8 +12,12 @@ def test_entry_runs(spark):
     assert len(rows) > 0 and df.columns == ["conv_id", "text"]
 
 
-def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+def test_every_query_of_the_library_has_an_oracle():
+    """Training-data operators may have none: their tests hold them against
+    plain Python."""
+    from trainprep.plans.catalog import QUERIES
+
+    assert set(QUERIES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
