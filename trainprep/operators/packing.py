@@ -9,8 +9,10 @@ fold in three steps over the range-sorted, checkpointed frame of
    ``k`` join the chunk that is still open*; after that every cut is fixed.
    Each partition reports, for each ``k`` that can occur (head rows whose
    total fits the limit), how many chunks it starts and the state it leaves.
-2. The driver folds those per-partition summaries in partition order
-   (one small record per partition) into each partition's entry state.
+2. Summaries of neighbouring partitions compose into summaries of the same
+   form and size, so blocks of them meet in a tree of tasks; walking the
+   tree down again gives each partition's entry state.  The driver gets
+   those states only: four numbers per range partition.
 3. ``mapInArrow`` over the full rows again streams each partition batch by
    batch, carrying the open chunk across batches, and appends ``ord`` and
    the chunk id.  Text is never shuffled or joined back; it only passes
@@ -28,6 +30,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +38,7 @@ from pyspark.sql import types as T
 
 from trainprep.functions.text import char_length
 from trainprep.operators.ordinal import RID, ROW_BITS, ROW_MASK, range_sorted
+from trainprep.session import scratch_dir
 
 LEN = "_len"
 
@@ -146,47 +150,74 @@ _SUMMARY = T.StructType(
         T.StructField("p", T.LongType()),
         T.StructField("n", T.LongType()),
         T.StructField("total", T.LongType()),
-        T.StructField("k_max", T.LongType()),
-        T.StructField("s_kmax", T.LongType()),
-        T.StructField("start_s", T.ArrayType(T.LongType())),
+        T.StructField("whole", T.BooleanType()),
+        T.StructField("start", T.ArrayType(T.LongType())),
         T.StructField("cnt", T.ArrayType(T.LongType())),
         T.StructField("tail_len", T.ArrayType(T.LongType())),
         T.StructField("tail_closed", T.ArrayType(T.BooleanType())),
     ]
 )
 
+_ENTRY = "p long, row_offset long, open boolean, open_len long, open_id long"
+
+
+def _runs(start, cnt, tail_len, closed) -> dict:
+    """The four columns with neighbouring equal outcomes as one entry."""
+    change = np.ones(start.size, dtype=bool)
+    change[1:] = (cnt[1:] != cnt[:-1]) | (tail_len[1:] != tail_len[:-1]) | (closed[1:] != closed[:-1])
+    return {"start": start[change], "cnt": cnt[change], "tail_len": tail_len[change], "tail_closed": closed[change]}
+
 
 def partition_summary(lengths: np.ndarray, limit: int, isolate: bool) -> dict:
-    """What one partition does for each number ``k`` of head rows joining
-    the chunk left open before it: chunks it starts and the chunk it leaves.
-
-    The outcome is constant over long ranges of ``k`` (chains from nearby
-    starts merge), so it is run-length encoded: one entry per range, keyed
-    by the prefix sum at the range start.  ``k`` itself is found from the
-    open chunk's length by the largest prefix sum that still fits.  Worst
-    case (all rows of one length, chains never merge): one entry per head
-    row that fits the budget.
+    """What one partition does for each room ``b`` (``limit`` less the open
+    chunk's length; -1: no open chunk) it can be entered with: the chunks it
+    starts and the chunk it leaves.
+
+    ``whole`` and ``b >= total``: every row joins the open chunk.  Otherwise
+    the last entry with ``start <= b`` holds.  The outcome is constant over
+    long ranges (chains from nearby starts merge); there are never more
+    entries than head rows that fit the budget.
     """
     n = lengths.size
     s, nxt = next_starts(lengths, limit, isolate)
     cnt, last = chain_stats(nxt)
     k_max = head_limit(lengths, s, limit, isolate)
     ks = np.arange(min(k_max, n - 1) + 1, dtype=np.int64)
+    # of head counts with one prefix sum (rows without length) the largest holds
+    ks = ks[np.append(s[ks][1:] != s[ks][:-1], True)] if n else ks
+    start = s[ks]
     c, t = cnt[ks], last[ks]
-    tail_len = s[n] - s[t]
+    if ks[0] != 0:  # entered with no open chunk, no row joins
+        ks, start, c, t = (np.insert(x, 0, y) for x, y in ((ks, 0), (start, 0), (c, cnt[0]), (t, last[0])))
+        start[0] = -1
+    else:
+        # b = 0 and b = -1 alike: the first row does not join
+        start[0] = -1
     closed = (lengths[t] >= limit) & isolate
-    change = np.ones(ks.size, dtype=bool)
-    change[1:] = (c[1:] != c[:-1]) | (tail_len[1:] != tail_len[:-1]) | (closed[1:] != closed[:-1])
-    return {
-        "n": n,
-        "total": int(s[n]),
-        "k_max": k_max,
-        "s_kmax": int(s[k_max]),
-        "start_s": s[ks[change]].tolist(),
-        "cnt": c[change].tolist(),
-        "tail_len": tail_len[change].tolist(),
-        "tail_closed": closed[change].tolist(),
-    }
+    return {"n": n, "total": int(s[n]), "whole": k_max >= n, **_runs(start, c, s[n] - s[t], closed)}
+
+
+def _lookup(sm: dict, room: np.ndarray) -> np.ndarray:
+    return np.searchsorted(sm["start"], room, side="right") - 1
+
+
+def compose_summaries(f: dict, g: dict, limit: int) -> dict:
+    """The summary of two neighbouring stretches, ``f`` before ``g``."""
+    # entries of f, carried through g
+    keep = f["start"] < f["total"] if f["whole"] else np.ones(f["start"].size, dtype=bool)
+    keep[0] = True
+    start, cnt, tail, closed = f["start"][keep], f["cnt"][keep], f["tail_len"][keep], f["tail_closed"][keep]
+    room = np.where(closed, -1, np.maximum(limit - tail, -1))
+    joins = (room >= g["total"]) & g["whole"]
+    j = _lookup(g, room)
+    cnt = cnt + np.where(joins, 0, g["cnt"][j])
+    closed = np.where(joins, False, g["tail_closed"][j])
+    tail = np.where(joins, tail + g["total"], g["tail_len"][j])
+    if f["whole"]:
+        # room for all of f: the entries of g, further up
+        start = np.append(start, f["total"] + np.maximum(g["start"], 0))
+        cnt, tail, closed = np.append(cnt, g["cnt"]), np.append(tail, g["tail_len"]), np.append(closed, g["tail_closed"])
+    return {"n": f["n"] + g["n"], "total": f["total"] + g["total"], "whole": f["whole"] and g["whole"], **_runs(start, cnt, tail, closed)}
 
 
 def _summarize(limit: int, isolate: bool):
@@ -213,45 +244,89 @@ _SUMMARY_ARROW = pa.schema(
         ("p", pa.int64()),
         ("n", pa.int64()),
         ("total", pa.int64()),
-        ("k_max", pa.int64()),
-        ("s_kmax", pa.int64()),
-        ("start_s", pa.list_(pa.int64())),
+        ("whole", pa.bool_()),
+        ("start", pa.list_(pa.int64())),
         ("cnt", pa.list_(pa.int64())),
         ("tail_len", pa.list_(pa.int64())),
         ("tail_closed", pa.list_(pa.bool_())),
     ]
 )
 
+NO_ROWS = (0, False, 0, -1)
 
-def fold_summaries(summaries: list[dict], limit: int) -> dict[int, tuple[int, bool, int, int]]:
-    """Driver fold over per-partition summaries, in partition order.
 
-    Returns ``p -> (row_offset, open, open_len, open_id)``: the state each
-    partition starts in.  Size: one tuple per non-empty partition.
-    """
+def fold_summaries(summaries: list[dict], limit: int, entry: tuple[int, bool, int, int] = NO_ROWS) -> dict[int, tuple[int, bool, int, int]]:
+    """``p -> (row_offset, open, open_len, open_id)``: the state each of the
+    neighbouring stretches starts in, ``entry`` being that of the first."""
     plan = {}
-    is_open, open_len, open_id, offset = False, 0, -1, 0
+    offset, is_open, open_len, open_id = entry
     for sm in sorted(summaries, key=lambda r: r["p"]):
         plan[sm["p"]] = (offset, is_open, open_len, open_id)
         offset += sm["n"]
-        budget = limit - open_len
-        if is_open and sm["s_kmax"] <= budget and sm["k_max"] >= sm["n"]:
+        room = max(limit - open_len, -1) if is_open else -1
+        if sm["whole"] and room >= sm["total"]:
             open_len += sm["total"]  # every row joins the open chunk
             continue
-        if not is_open:
-            j = 0  # k = 0: the first row starts a chunk
-        elif sm["s_kmax"] <= budget:
-            j = len(sm["cnt"]) - 1  # k = k_max < n: the last range
-        else:
-            j = max(0, int(np.searchsorted(sm["start_s"], budget, side="right")) - 1)
-        open_id += sm["cnt"][j]
-        open_len = sm["tail_len"][j]
+        j = int(_lookup(sm, room))
+        open_id += int(sm["cnt"][j])
+        open_len = int(sm["tail_len"][j])
         is_open = not sm["tail_closed"][j]
     return plan
 
 
+#: Summaries that meet in one task of the tree.
+FAN = 16
+
+
+def _compose_block(limit: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = pdf.sort_values("p").to_dict("records")
+        whole = rows[0]
+        for sm in rows[1:]:
+            whole = compose_summaries(whole, sm, limit)
+        return pd.DataFrame([{**whole, "p": rows[0]["p"] // FAN}])[_SUMMARY.fieldNames()]
+
+    return run
+
+
+def _enter_block(limit: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = pdf.iloc[0]
+        entry = (int(first["row_offset"]), bool(first["open"]), int(first["open_len"]), int(first["open_id"]))
+        plan = fold_summaries(pdf[_SUMMARY.fieldNames()].to_dict("records"), limit, entry)
+        rows = [(p, *state) for p, state in plan.items()]
+        return pd.DataFrame(rows, columns=["p", "row_offset", "open", "open_len", "open_id"])
+
+    return run
+
+
+def entry_states(summaries: DataFrame, partitions: int, limit: int) -> DataFrame:
+    """``(p, row_offset, open, open_len, open_id)`` of every partition, from
+    the summaries of ``partitions`` range partitions.
+
+    No task holds more than :data:`FAN` summaries.  Levels of the tree are
+    written to the shared folder, each a :data:`FAN`-th of the one below.
+    """
+    spark = summaries.sparkSession
+    block = F.floor(F.col("p") / FAN).cast("long")
+    levels = [summaries]
+    while partitions > FAN:
+        path = scratch_dir(spark, "packing")
+        levels[-1].write.parquet(path)
+        levels[-1] = spark.read.parquet(path)
+        levels.append(levels[-1].groupBy(block.alias("b")).applyInPandas(_compose_block(limit), _SUMMARY))
+        partitions = -(-partitions // FAN)
+    offset, is_open, open_len, open_id = NO_ROWS
+    state = {"row_offset": F.lit(offset), "open": F.lit(is_open), "open_len": F.lit(open_len), "open_id": F.lit(open_id)}
+    entries = levels.pop().withColumns(state).groupBy(F.lit(0).alias("b")).applyInPandas(_enter_block(limit), _ENTRY)
+    while levels:
+        above = entries.withColumnRenamed("p", "b")
+        entries = levels.pop().withColumn("b", block).join(above, "b").groupBy("b").applyInPandas(_enter_block(limit), _ENTRY)
+    return entries
+
+
 def _assign(limit: int, isolate: bool, plan, names: list[str]):
-    """``plan`` is a broadcast of :func:`fold_summaries`' result."""
+    """``plan`` is a broadcast of :func:`entry_states` by partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = None
@@ -297,9 +372,10 @@ def pack_by_chars(
         raise ValueError("limit must be >= 0")
     length_col = F.col(length) if isinstance(length, str) else length
     ranged = range_sorted(df.withColumn(LEN, length_col.cast("long")), order_by, num_partitions, persist_input)
-    summaries = [r.asDict() for r in ranged.select(RID, LEN).mapInArrow(_summarize(limit, isolate), _SUMMARY).collect()]
-    # one small tuple per range partition, shipped once per executor
-    plan = df.sparkSession.sparkContext.broadcast(fold_summaries(summaries, limit))
+    summaries = ranged.select(RID, LEN).mapInArrow(_summarize(limit, isolate), _SUMMARY)
+    entries = entry_states(summaries, ranged.rdd.getNumPartitions(), limit)
+    # four numbers per range partition, shipped once per executor
+    plan = df.sparkSession.sparkContext.broadcast({r["p"]: tuple(r)[1:] for r in entries.collect()})
     out_struct = T.StructType(
         ranged.schema.fields + [T.StructField(ord_name, T.LongType()), T.StructField(chunk_name, T.LongType())]
     )
