@@ -6,8 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trainprep.functions.text import py_float
-from trainprep.operators.logs import early_stop, eval_rows, first_dict, log_dicts, parse_dict, train_rows
-from trainprep.operators.scan import running
+from trainprep.operators.logs import compare_runs, early_stop, eval_rows, first_dict, log_dicts, parse_dict, train_rows
 
 
 @pytest.mark.parametrize(
@@ -56,6 +55,18 @@ def loop_early_stop(losses, patience, threshold):
     return None
 
 
+def loop_early_stop_nan(losses, patience, threshold):
+    first_bad, best, counter = losses[0] != losses[0], None, 0
+    for i, x in enumerate(losses, start=1):
+        better = i == 1 or (not first_bad and best is not None and best - x > threshold)
+        counter = 0 if better else counter + 1
+        if x == x:
+            best = x if best is None else min(best, x)
+        if counter >= patience:
+            return i
+    return None
+
+
 def test_early_stop_matches_loop(spark):
     rnd = random.Random(3)
     rows, want = [], {}
@@ -70,20 +81,38 @@ def test_early_stop_matches_loop(spark):
         assert (None if got[run].stop_epoch is None else int(got[run].stop_epoch) + 1) == stop
 
 
-def test_running_splits_a_hot_group(spark):
-    """One run holds most rows; the scan spans many range partitions."""
-    rows = [(0, i, float((i * 37) % 101)) for i in range(2000)] + [(r, i, float(i)) for r in range(1, 4) for i in range(50)]
-    df = spark.createDataFrame(rows, "g long, t long, v double")
-    out = running(df, "g", ["t"], {"m": ("min", "v", True), "c": ("count", F.lit(1), False), "s": ("sum", "v", False)},
-                  num_partitions=16)
-    got = {(r.g, r.t): (r.m, r.c, r.s) for r in out.collect()}
-    for g in range(4):
-        vals = [v for (gg, _t, v) in rows if gg == g]
-        m, s = None, 0.0
-        for i, v in enumerate(vals):
-            s += v
-            assert got[(g, i)] == (m, i + 1, s)
-            m = v if m is None else min(m, v)
+@pytest.mark.parametrize("parts", [1, 3, 16])
+@pytest.mark.parametrize("patience", [1, 3, 7])
+def test_early_stop_is_the_loop_at_any_partitioning(spark, parts, patience):
+    """A hot run over many range partitions, runs that begin and end inside one,
+    plateaus that cross borders, NaN losses."""
+    rnd = random.Random(parts * 10 + patience)
+    rows, want = [], {}
+    for run, n in [(0, 700), *((r, rnd.randint(1, 40)) for r in range(1, 25))]:
+        losses = [float("nan") if rnd.random() < 0.05 else round(3.0 - 0.004 * i * rnd.choice([1, 1, 0.2]), 3) for i in range(n)]
+        want[run] = loop_early_stop_nan(losses, patience, 1e-3)
+        rows += [(run, float(i), x) for i, x in enumerate(losses)]
+    df = spark.createDataFrame(rows, "rank long, epoch double, loss double")
+    got = early_stop(df, patience=patience, threshold=1e-3, num_partitions=parts).collect()
+    assert {r.rank: None if r.stop_epoch is None else int(r.stop_epoch) + 1 for r in got} == want
+    sizes = {run: sum(r[0] == run for r in rows) for run in want}
+    assert all(r.n_evals == sizes[r.rank] and r.evals_seen == (want[r.rank] or sizes[r.rank]) for r in got)
+
+
+def test_early_stop_plan_has_no_row_shuffle(spark):
+    df = spark.range(100).selectExpr("id % 3 AS rank", "id AS epoch", "1D / (id + 1) AS loss")
+    out = early_stop(df)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_runs_without_evaluation_are_last(spark):
+    lines = ["1 {'eval_loss': 0.5, 'epoch': 1}", "1 {'eval_loss': 0.5, 'epoch': 2}", "2 {'eval_loss': 1e999, 'epoch': 1}",
+             "3 {'loss': 1, 'grad_norm': 1, 'learning_rate': 1, 'epoch': 1}", "4 {'eval_loss': 0.5, 'epoch': 3}"]
+    df = spark.createDataFrame([(int(x[0]), x) for x in lines], "rank long, value string")
+    got = {r["rank"]: (r.place, r.n_evals, r.n_train, r.best_epoch) for r in compare_runs(log_dicts(df, exact=True)).collect()}
+    assert got == {1: (1, 2, None, 1.0), 4: (1, 1, None, 3.0), 2: (3, 1, None, 1.0), 3: (4, None, 1, None)}
 
 
 def test_duplicate_keys_last_wins(spark):

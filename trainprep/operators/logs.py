@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from trainprep.functions.text import py_float
 from trainprep.operators.columns import computed_once
-from trainprep.operators.ordinal import with_ordinal
-from trainprep.operators.scan import ranged_by_group, running_on_ranged
+from trainprep.operators.ordinal import range_sorted, with_ordinal
+from trainprep.operators.scan import stop_points
 
 # Output column order of the two log tables.
 TRAIN_COLUMNS = ["loss", "grad_norm", "learning_rate", "epoch"]
@@ -124,20 +124,36 @@ def best_eval(evals: DataFrame, run: str = "rank") -> DataFrame:
     )
 
 
-def compare_runs(evals: DataFrame, trains: DataFrame, run: str = "rank") -> DataFrame:
-    """Runs side by side (A7): best eval loss and epoch, eval / train row
-    counts, last train loss, and the place of each run by best loss."""
-    best = best_eval(evals, run)
-    tr = trains.groupBy(run).agg(
-        F.count(F.lit(1)).alias("n_train"), F.max_by("loss", "epoch").alias("last_train_loss")
+def compare_runs(dicts: DataFrame, run: str = "rank") -> DataFrame:
+    """Runs side by side (A7), from the parsed dicts of :func:`log_dicts` in
+    one pass: best eval loss and epoch, eval / train row counts, last train
+    loss, and the place of each run by best loss.
+
+    Equal losses share a place (NaN behind infinity, runs without an
+    evaluation last, as SQL's ``rank`` with nulls last).
+    """
+    d = F.col("d")
+    wanted = dict.fromkeys(["eval_loss", *TRAIN_COLUMNS])
+    rows = computed_once(dicts, [run], _eval=F.map_contains_key(d, "eval_loss"), **{c: py_float(dict_get(d, c)) for c in wanted})
+    evaluated = F.col("_eval") & F.col("eval_loss").isNotNull() & F.col("epoch").isNotNull()
+    trained = ~F.col("_eval")
+    for c in TRAIN_COLUMNS:
+        trained = trained & F.col(c).isNotNull()
+    per_run = rows.where(evaluated | trained).groupBy(run).agg(
+        F.min(F.when(evaluated, F.struct("eval_loss", "epoch"))).alias("_best"),
+        F.nullif(F.count_if(evaluated), F.lit(0)).alias("n_evals"),
+        F.nullif(F.count_if(trained), F.lit(0)).alias("n_train"),
+        F.max_by(F.when(trained, F.col("loss")), F.when(trained, F.col("epoch"))).alias("last_train_loss"),
+    )
+    runs = per_run.select(
+        run, F.col("_best.eval_loss").alias("best_loss"), F.col("_best.epoch").alias("best_epoch"),
+        "n_evals", "n_train", "last_train_loss",
     )
-    both = best.join(tr, run, "full")
     # rank() by best loss without a single-partition window: global ordinal
     # on (best_loss, run), then the first ordinal of each loss value + 1
-    key = F.coalesce(F.col("best_loss"), F.lit(float("inf")))
-    ordered = with_ordinal(both.withColumn("_key", key), [F.col("_key").asc(), F.col("best_loss").isNull(), F.col(run)])
-    first = ordered.groupBy("_key").agg((F.min("ord") + 1).cast("long").alias("place"))
-    return ordered.join(first, "_key").drop("_key", "ord")
+    ordered = with_ordinal(runs, [F.col("best_loss").asc_nulls_last(), F.col(run)])
+    first = ordered.groupBy(F.col("best_loss").alias("_loss")).agg((F.min("ord") + 1).cast("long").alias("place"))
+    return ordered.join(first, F.col("best_loss").eqNullSafe(F.col("_loss"))).drop("_loss", "ord")
 
 
 def early_stop(
@@ -154,32 +170,17 @@ def early_stop(
     An evaluation improves when no earlier one exists or
     ``best_before - loss > threshold``; the stop is the first row with
     ``idx - last_improved_idx >= patience``.  Runs that never stop get a
-    null ``stop_epoch``.  Both running aggregates are skew-safe prefix scans.
+    null ``stop_epoch``.  A NaN or null loss improves nothing, and nothing
+    improves on one that came first.  The scans are those of
+    :mod:`trainprep.operators.scan`: a run may span many partitions.
     """
-    ranged = ranged_by_group(evals.select(run, order, "loss"), run, [order], num_partitions)
-    first = running_on_ranged(
-        ranged,
-        run,
-        {
-            "best_before": ("min", "loss", True),
-            "idx": ("count", F.lit(1), False),
-            "earliest": ("min", F.struct(order, "loss"), True),
-        },
-    )
-    # no comparison with NaN holds: a NaN loss improves nothing, and nothing
-    # improves on a NaN that came first
-    beats = (F.col("best_before") - F.col("loss")) > F.lit(float(threshold))
-    known = ~F.isnan("loss") & ~F.isnan(F.col("earliest.loss")) & ~F.isnan("best_before")
-    improved = F.col("earliest").isNull() | F.coalesce(known & beats, F.lit(False))
-    flagged = first.withColumn("_imp_idx", F.when(improved, F.col("idx")))
-    second = running_on_ranged(flagged, run, {"last_improved": ("max", "_imp_idx", False)})
-    stops = second.where(F.col("idx") - F.col("last_improved") >= patience)
-    stop = stops.groupBy(run).agg(F.min(F.struct("idx", order)).alias("s"))
-    summary = second.groupBy(run).agg(F.count(F.lit(1)).alias("n_evals"))
-    out = summary.join(stop, run, "left")
-    return out.select(
+    if patience < 1:
+        raise ValueError("patience must be >= 1")
+    ranged = range_sorted(evals.select(run, order, "loss"), [run, order], num_partitions)
+    found = stop_points(ranged, run, order, "loss", patience, float(threshold))
+    return found.select(
         run,
-        F.col(f"s.{order}").alias("stop_epoch"),
-        F.coalesce(F.col("s.idx"), F.col("n_evals")).cast("long").alias("evals_seen"),
-        "n_evals",
+        F.col("stop_order").alias("stop_epoch"),
+        F.coalesce(F.col("stop"), F.col("n")).cast("long").alias("evals_seen"),
+        F.col("n").alias("n_evals"),
     )

@@ -1,73 +1,170 @@
-"""Skew-safe running aggregates ("prefix scans") per group.
-
-A window ``partitionBy(group).orderBy(...)`` puts a whole group in one
-task; a run holding a third of all rows would then be one task.  Here the
-rows are range-partitioned on ``(group, order)`` so a hot group spans many
-partitions; each ``(group, partition)`` piece is scanned locally and the
-running value is carried in from a small table of per-piece totals (at
-most ``groups + partitions`` rows).
+"""Early stopping as ordered scans over range partitions.
+
+A window ``partitionBy(run).orderBy(...)`` puts a whole run in one task; a run
+holding a third of all rows would then be one task.  Here rows lie in range
+partitions of ``(run, order)``, so only a partition's first run can have begun
+before it.  One pass reports where each partition's last run stands (a record
+of fixed size per partition), which gives every partition its entry state;
+a second pass reports each ``(run, partition)`` piece.  No row is shuffled
+after the range exchange.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from trainprep.operators.ordinal import RID, ROW_BITS
+
+#: (rows seen, lowest loss so far or None, first loss is no number)
+FRESH = (0, None, False)
+
+
+def _segments(batch: pa.RecordBatch) -> Iterator[tuple[object, list, np.ndarray]]:
+    """``(run, orders, losses)`` of each stretch of one run in a batch."""
+    runs = batch.column(0).to_pylist()
+    orders = batch.column(1).to_pylist()
+    losses = batch.column(2).to_numpy(zero_copy_only=False).astype(np.float64)
+    start = 0
+    for i in range(1, len(runs) + 1):
+        if i == len(runs) or runs[i] != runs[start]:
+            yield runs[start], orders[start:i], losses[start:i]
+            start = i
+
+
+def _advance(state, losses: np.ndarray):
+    """State after more losses of one run."""
+    seen, best, bad_first = state
+    if seen == 0:
+        bad_first = bool(np.isnan(losses[0]))
+    known = losses[~np.isnan(losses)]
+    if known.size:
+        low = float(known.min())
+        best = low if best is None else min(best, low)
+    return seen + losses.size, best, bad_first
+
+
+def _tails(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """One record per partition: its last run, and that run's state counted
+    from the partition's start (``alone``: the partition has no other run)."""
+    part, run, state, alone = None, None, FRESH, True
+    for b in batches:
+        if b.num_rows == 0:
+            continue
+        if part is None:
+            part = b.column(3)[0].as_py() >> ROW_BITS
+            run = b.column(0)[0].as_py()
+        for r, _orders, losses in _segments(b):
+            if r != run:
+                run, state, alone = r, FRESH, False
+            state = _advance(state, losses)
+    if part is not None:
+        row = dict(zip(schema.names, (part, run, alone, *state)))
+        yield pa.RecordBatch.from_pylist([row], schema=schema)
+
+
+def entry_states(tails: list) -> dict[int, tuple]:
+    """``p -> (run, state)``: the run that may go on in partition ``p`` and its
+    state there; a tuple of fixed size per partition."""
+    out, run, state = {}, None, FRESH
+    for p, last, alone, seen, best, bad_first in sorted(tails, key=lambda t: t[0]):
+        out[p] = (run, state)
+        if alone and last == run and state[0]:
+            lows = [x for x in (state[1], best) if x is not None]
+            state = (state[0] + seen, min(lows) if lows else None, state[2])
+        else:
+            run, state = last, (seen, best, bad_first)
+    return out
+
+
+def _improved(state, losses: np.ndarray, threshold: float) -> np.ndarray:
+    """Which losses beat the lowest before them by more than ``threshold``.  No
+    comparison with NaN holds: a NaN improves nothing, and nothing improves
+    on a NaN that came first.  A run's first loss always counts."""
+    seen, best, bad_first = state
+    lows = np.fmin.accumulate(np.append(np.nan if best is None else best, losses))[:-1]
+    bad = bad_first if seen else bool(np.isnan(losses[0]))
+    out = np.zeros(losses.size, dtype=bool) if bad else lows - losses > threshold
+    if seen == 0:
+        out[0] = True
+    return out
+
+
+def _pieces(batches, entries, patience: int, threshold: float, schema: pa.Schema):
+    """One record per (run, partition): rows, first row number, first and last
+    improvement, the first stop after a local improvement, and the orders of
+    the first ``patience`` rows (a stop before it falls among these)."""
+    state, piece, run, entered = FRESH, None, None, False
+    done = []
+    for b in batches:
+        if b.num_rows == 0:
+            continue
+        if not entered:
+            run, state = entries.value[b.column(3)[0].as_py() >> ROW_BITS]
+            entered = True
+        for r, orders, losses in _segments(b):
+            if piece is None or r != run:
+                if piece is not None:
+                    done.append(piece)
+                if r != run:
+                    state = FRESH
+                run = r
+                piece = dict.fromkeys(schema.names)
+                piece.update(run=r, n=0, first=state[0] + 1, head=[])
+            at = state[0] + 1 + np.arange(losses.size)
+            hits = at[_improved(state, losses, threshold)]
+            if piece["stop"] is None and (piece["last_imp"] is not None or hits.size):
+                # distance of each row to the last improvement before or at it
+                marks = hits if piece["last_imp"] is None else np.append(piece["last_imp"], hits)
+                j = np.searchsorted(marks, at, side="right") - 1
+                over = np.nonzero((j >= 0) & (at - marks[j] >= patience))[0]
+                if over.size:
+                    piece.update(stop=int(at[over[0]]), stop_order=orders[over[0]])
+            if hits.size:
+                piece["first_imp"] = int(hits[0]) if piece["first_imp"] is None else piece["first_imp"]
+                piece["last_imp"] = int(hits[-1])
+            piece["n"] += losses.size
+            piece["head"] += orders[: max(0, patience - len(piece["head"]))]
+            state = _advance(state, losses)
+        if len(done) >= 1000:
+            yield pa.RecordBatch.from_pylist(done, schema=schema)
+            done = []
+    if piece is not None:
+        yield pa.RecordBatch.from_pylist([*done, piece], schema=schema)
+
+
+def stop_points(ranged: DataFrame, run: str, order: str, loss: str, patience: int, threshold: float) -> DataFrame:
+    """``(run, n, stop, stop_order)`` per run of a :func:`range_sorted` frame on
+    ``(run, order)``: rows, and the row number and order value of the first
+    row at which ``patience`` rows in a row did not improve."""
+    key, by = ranged.schema[run].dataType, ranged.schema[order].dataType
+    rows = ranged.select(F.col(run).alias("run"), order, F.col(loss).cast("double").alias("loss"), RID)
+    tail = T.StructType().add("p", "long").add("last", key).add("alone", "boolean")
+    tail = tail.add("seen", "long").add("best", "double").add("bad_first", "boolean")
+    tail_arrow = to_arrow_schema(tail)
+    tails = rows.mapInArrow(lambda bs: _tails(bs, tail_arrow), tail).collect()  # one row per range partition
+    entries = ranged.sparkSession.sparkContext.broadcast(entry_states([tuple(t) for t in tails]))
+
+    piece = T.StructType().add("run", key).add("n", "long").add("first", "long").add("first_imp", "long").add("last_imp", "long")
+    piece = piece.add("stop", "long").add("stop_order", by).add("head", T.ArrayType(by))
+    piece_arrow = to_arrow_schema(piece)
+    pieces = rows.mapInArrow(lambda bs: _pieces(bs, entries, patience, threshold, piece_arrow), piece)
 
-from trainprep.operators.ordinal import RID, partition_of, range_sorted
-
-_KINDS = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.count}
-
-
-def _combine(kind: str, carry: Column, local: Column) -> Column:
-    if kind in ("min",):
-        return F.least(carry, local)
-    if kind in ("max",):
-        return F.greatest(carry, local)
-    return F.coalesce(carry, F.lit(0)) + F.coalesce(local, F.lit(0))
-
-
-def ranged_by_group(df: DataFrame, group: str, order: Sequence[str], num_partitions: int | None = None) -> DataFrame:
-    """Range-sort on ``(group, *order)`` (checkpointed) and add the range
-    partition ``_p``; feed it to :func:`running_on_ranged` one or more times."""
-    return range_sorted(df, [group, *order], num_partitions).withColumn("_p", partition_of())
-
-
-def running_on_ranged(ranged: DataFrame, group: str, specs: dict[str, tuple[str, str | Column, bool]]) -> DataFrame:
-    """Add running aggregates to the output of :func:`ranged_by_group`
-    (keeps ``_p`` and the row id, so it can be applied again)."""
-    base = Window.partitionBy(group, "_p").orderBy(RID)
-    carry_w = Window.partitionBy(group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    totals, carries, locals_ = [], [], []
-    for name, (kind, col, exclusive) in specs.items():
-        c = F.col(col) if isinstance(col, str) else col
-        agg = _KINDS[kind]
-        end = -1 if exclusive else Window.currentRow
-        locals_.append(agg(c).over(base.rowsBetween(Window.unboundedPreceding, end)).alias(f"_l_{name}"))
-        totals.append(agg(c).alias(f"_t_{name}"))
-        outer = F.min if kind == "min" else F.max if kind == "max" else F.sum
-        carries.append(outer(f"_t_{name}").over(carry_w).alias(f"_c_{name}"))
-    pieces = ranged.groupBy(group, "_p").agg(*totals)
-    carry = pieces.select(group, "_p", *carries)
-    scanned = ranged.select("*", *locals_).join(carry, [group, "_p"], "left")
-    for name, (kind, _col, _ex) in specs.items():
-        scanned = scanned.withColumn(name, _combine(kind, F.col(f"_c_{name}"), F.col(f"_l_{name}")))
-    return scanned.drop(*[f"_{x}_{n}" for n in specs for x in ("l", "c")])
-
-
-def running(
-    df: DataFrame,
-    group: str,
-    order: Sequence[str],
-    specs: dict[str, tuple[str, str | Column, bool]],
-    num_partitions: int | None = None,
-) -> DataFrame:
-    """Add running aggregates per ``group`` in ``order``.
-
-    ``specs``: ``name -> (kind, column, exclusive)``; kind is min / max /
-    sum / count; ``exclusive`` leaves the current row out (frame ends one
-    row before it).  ``(group, *order)`` must be unique.
-    """
-    ranged = ranged_by_group(df, group, order, num_partitions)
-    return running_on_ranged(ranged, group, specs).drop("_p", RID)
+    # an improvement in an earlier piece can run out in a later one's head
+    before = Window.partitionBy("run").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    due = F.last("last_imp", ignorenulls=True).over(before) + F.lit(patience)
+    end = F.coalesce(F.col("first_imp"), F.col("first") + F.col("n"))
+    carried = (F.col("due") >= F.col("first")) & (F.col("due") < end)
+    at = F.struct(
+        F.when(carried, F.col("due")).otherwise(F.col("stop")).alias("stop"),
+        F.when(carried, F.try_element_at("head", (F.col("due") - F.col("first") + 1).cast("int"))).otherwise(F.col("stop_order")).alias("order"),
+    )
+    stops = pieces.withColumn("due", due).withColumn("at", F.when(carried | F.col("stop").isNotNull(), at))
+    per_run = stops.groupBy("run").agg(F.sum("n").alias("n"), F.min("at").alias("at"))
+    return per_run.select(F.col("run").alias(run), "n", F.col("at.stop").alias("stop"), F.col("at.order").alias("stop_order"))

@@ -121,7 +121,7 @@ FROM b FULL JOIN t ON b.rank = t.rank
 """,
 )
 def rank_compare(spark, sf_dir):
-    return compare_runs(_evals(spark, sf_dir), _trains(spark, sf_dir))
+    return compare_runs(log_dicts(_lines(spark, sf_dir)))
 
 
 @query(
