@@ -10,23 +10,26 @@ from pyspark.sql import functions as F
 from trainprep.operators.ordinal import with_ordinal
 
 
-def dedup_first(df: DataFrame, key: str = "text", ord_col: str = "ord", copies: str | None = None) -> DataFrame:
+def dedup_first(df: DataFrame, key: str | Sequence[str] = "text", ord_col: str = "ord", copies: str | None = None) -> DataFrame:
     """Exact dedup keeping the first row (smallest ``ord``) of each ``key``.
 
     One aggregate: ``min(struct(ord, ...))`` is computed partially on the
     map side, so a key repeated in a third of all rows is reduced to one
     row per task before the shuffle.  ``dropDuplicates`` would keep an
     arbitrary row instead of the first.  ``copies`` names an optional
-    column with the number of input rows per key.
+    column with the number of input rows per key.  ``key`` may be several
+    columns: where the texts themselves are not needed, a digest and a
+    length keep them out of the shuffle.
     """
-    rest = [c for c in df.columns if c not in (key, ord_col)]
+    keys = [key] if isinstance(key, str) else list(key)
+    rest = [c for c in df.columns if c not in (*keys, ord_col)]
     count = [F.count(F.lit(1)).alias(copies)] if copies else []
     if not rest:
         # fixed-width buffer: stays a HashAggregate (no sort of the keys)
-        return df.groupBy(key).agg(F.min(ord_col).alias(ord_col), *count)
+        return df.groupBy(*keys).agg(F.min(ord_col).alias(ord_col), *count)
     first = F.min(F.struct(F.col(ord_col), *[F.col(c) for c in rest])).alias("_first")
-    out = [key, *[F.col(f"_first.{c}").alias(c) for c in (ord_col, *rest)]] + ([copies] if copies else [])
-    return df.groupBy(key).agg(first, *count).select(*out)
+    out = [*keys, *[F.col(f"_first.{c}").alias(c) for c in (ord_col, *rest)]] + ([copies] if copies else [])
+    return df.groupBy(*keys).agg(first, *count).select(*out)
 
 
 def dedup_stats(deduped: DataFrame, copies: str = "copies") -> DataFrame:
@@ -54,13 +57,15 @@ def seeded_shuffle(
     seed: int = 42,
     name: str = "pos",
     keep: Sequence[str] | None = None,
+    key: str | None = None,
 ) -> DataFrame:
     """Full permutation by ``(shuffle_key, ord)``; ``name`` is the new position.
+    ``key`` names a column that holds the shuffle key already.
 
     ``keep`` projects the columns to carry before the ordering, so the
     checkpoint behind the ordinal holds only them and the key.
     """
-    keyed = df.withColumn("_shuffle_key", shuffle_key(text, seed))
+    keyed = df.withColumn("_shuffle_key", F.col(key) if key else shuffle_key(text, seed))
     if keep is not None:
         keyed = keyed.select(*dict.fromkeys([*keep, ord_col]), "_shuffle_key")
     return with_ordinal(keyed, [F.col("_shuffle_key"), F.col(ord_col)], name=name).drop("_shuffle_key")

@@ -32,6 +32,16 @@ def deduped_documents(spark, sf_dir):
     return dedup_first(docs, key="text", ord_col="doc_id", copies="copies")
 
 
+def deduped_ids(spark, sf_dir, **of_text):
+    """As :func:`deduped_documents` without the texts: ``doc_id``, ``copies``,
+    ``len`` and any other value computed from the text.  Copies meet by
+    their digest and length, so no text is shuffled."""
+    docs = documents(spark, sf_dir).select(
+        "doc_id", F.sha2("text", 256).alias("digest"), char_length("text").alias("len"), *[c.alias(n) for n, c in of_text.items()]
+    )
+    return dedup_first(docs, key=["digest", "len", *of_text], ord_col="doc_id", copies="copies")
+
+
 @query(
     "global_ordinal",
     "SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS ord FROM documents",
@@ -67,7 +77,7 @@ def chunk_by_count_query(spark, sf_dir):
 
 @query("dedup_exact", "SELECT min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY text")
 def dedup_exact(spark, sf_dir):
-    return deduped_documents(spark, sf_dir).select("doc_id", "copies")
+    return deduped_ids(spark, sf_dir).select("doc_id", "copies")
 
 
 @query(
@@ -79,7 +89,7 @@ FROM documents
 """,
 )
 def dedup_stats_query(spark, sf_dir):
-    return dedup_stats(deduped_documents(spark, sf_dir), "copies")
+    return dedup_stats(deduped_ids(spark, sf_dir), "copies")
 
 
 @query(
@@ -90,8 +100,8 @@ SELECT doc_id, CAST(row_number() OVER (ORDER BY md5('{SHUFFLE_SEED}:' || text),
 """,
 )
 def seeded_shuffle_query(spark, sf_dir):
-    deduped = deduped_documents(spark, sf_dir)
-    return seeded_shuffle(deduped, "text", "doc_id", SHUFFLE_SEED, keep=["doc_id"]).select("doc_id", "pos")
+    keyed = deduped_ids(spark, sf_dir, _key=shuffle_key("text", SHUFFLE_SEED)).select("doc_id", "_key")
+    return seeded_shuffle(keyed, ord_col="doc_id", key="_key", keep=["doc_id"]).select("doc_id", "pos")
 
 
 def _pack_sql(source: str, order: str, limit: int) -> str:
@@ -160,7 +170,7 @@ def chunk_stats_query(spark, sf_dir):
 )
 def shard_chars(spark, sf_dir):
     """Sharder: dedup, keep order, shards of 20,000 characters, 1-based ids."""
-    lens = deduped_documents(spark, sf_dir).select("doc_id", char_length("text").alias("len"))
+    lens = deduped_ids(spark, sf_dir).select("doc_id", "len")
     sharded = pack_by_chars(lens, ["doc_id"], "len", SHARD_LIMIT, isolate=True)
     return sharded.select("doc_id", (F.col("chunk_id") + 1).alias("shard_id"))
 
@@ -171,9 +181,7 @@ def shard_chars(spark, sf_dir):
 )
 def shard_shuffled(spark, sf_dir):
     """Sharder with ``--shuffle``: dedup, seeded shuffle, then shards."""
-    keyed = deduped_documents(spark, sf_dir).select(
-        "doc_id", shuffle_key("text", SHUFFLE_SEED).alias("_key"), char_length("text").alias("len")
-    )
+    keyed = deduped_ids(spark, sf_dir, _key=shuffle_key("text", SHUFFLE_SEED)).select("doc_id", "_key", "len")
     sharded = pack_by_chars(keyed, ["_key", "doc_id"], "len", SHARD_LIMIT, isolate=True)
     return sharded.select("doc_id", (F.col("chunk_id") + 1).alias("shard_id"))
 
