@@ -61,3 +61,13 @@ def test_doubled_replies_do_not_make_a_session_complete(spark):
     good, bad = complete_sessions(df, 2)
     assert [r.session for r in good.collect()] == [2]
     assert {r.session: r.reason for r in bad.collect()} == {1: "missing_reply", 3: "duplicate_reply"}
+
+
+def test_sessions_asked_for_without_replies(spark):
+    df = spark.createDataFrame([(1, 0, "A", True)], "session int, turn int, agent string, valid boolean")
+    asked = spark.createDataFrame([(1,), (2,), (2,)], "session int")
+    good, bad = complete_sessions(df, 1, asked)
+    assert [r.session for r in good.collect()] == [1]
+    assert [(r.session, r.reason) for r in bad.collect()] == [(2, "missing_reply")]
+    good, bad = complete_sessions(df, 0, asked)
+    assert sorted(r.session for r in good.collect()) == [1, 2] and bad.count() == 0

@@ -50,15 +50,30 @@ def assign_openers(sessions: DataFrame, openers: DataFrame, n_openers: int, sess
     return keyed.join(openers, "opener_id")
 
 
-def complete_sessions(replies: DataFrame, turns: int) -> tuple[DataFrame, DataFrame]:
+def complete_sessions(replies: DataFrame, turns: int, sessions: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Sessions with every needed reply valid (``turns`` from A, ``turns - 1``
-    from B) and the rejected ones with the reason."""
+    from B) and the rejected ones with the reason.
+
+    ``sessions`` lists the sessions asked for (default: those of any reply);
+    one without a needed reply is a ``missing_reply``.  With no turns no
+    reply is needed: every session is complete.
+    """
+    if turns < 0:
+        raise ValueError("turns must be >= 0")
+    if sessions is None:
+        sessions = replies
+    sessions = sessions.select("session").distinct()
+    if turns == 0:
+        return sessions, sessions.where(F.lit(False)).select("session", F.lit("").alias("reason"))
     need = F.when(F.col("agent") == "A", F.col("turn") < turns).otherwise(F.col("turn") < turns - 1)
     used = replies.where(need)
-    stats = used.groupBy("session").agg(
-        F.count(F.when(F.col("valid"), 1)).alias("n_valid"),
-        F.count(F.lit(1)).alias("n_used"),
-        F.count_distinct("turn", "agent").alias("n_places"),
+    # two partial aggregates: a session of very many rows is small after the first
+    places = used.groupBy("session", "turn", "agent").agg(
+        F.count(F.when(F.col("valid"), 1)).alias("v"), F.count(F.lit(1)).alias("n")
+    )
+    asked = sessions.select("session", F.lit(0).cast("long").alias("v"), F.lit(0).cast("long").alias("n"))
+    stats = places.select("session", "v", "n").unionByName(asked).groupBy("session").agg(
+        F.sum("v").alias("n_valid"), F.sum("n").alias("n_used"), F.count_if(F.col("n") > 0).alias("n_places")
     )
     whole = F.col("n_places") == 2 * turns - 1
     ok = (F.col("n_valid") == F.col("n_used")) & whole & (F.col("n_used") == F.col("n_places"))
