@@ -15,6 +15,8 @@ from trainprep.sources.files import (
     scan_openers,
     scan_txt_folder,
     scan_zip_txt,
+    txt_rejects,
+    whole_files,
 )
 
 
@@ -126,13 +128,27 @@ def test_every_parquet_file_needs_the_column(spark, tmp_folder):
         corpus_scan(spark, [tmp_folder + "/ok", tmp_folder + "/bad"])
 
 
-def test_hidden_names_are_not_read(spark, tmp_folder):
-    """Spark file sources skip names starting with '_' or '.' (documented gap)."""
+def test_underscore_names_are_read(spark, tmp_folder):
+    """``*.txt`` covers ``_b.txt``; names that begin with a dot are hidden."""
     d = _local(tmp_folder)
     _write(d, "a.txt", "seen")
-    _write(d, "_b.txt", "hidden")
+    _write(d, "_b c.txt", "seen too\r\n")
+    _write(d, "_c.json", "no text")
     _write(d, ".c.txt", "hidden")
-    assert [r.name for r in scan_txt_folder(spark, tmp_folder).collect()] == ["a.txt"]
+    rows = scan_txt_folder(spark, tmp_folder).collect()
+    assert {r.name.replace("%20", " "): r.text for r in rows} == {"a.txt": "seen", "_b c.txt": "seen too\n"}
+    assert len({r.path.rsplit("/", 1)[0] for r in rows}) == 1
+
+
+def test_bad_utf8_files_are_named(spark, tmp_folder):
+    d = _local(tmp_folder)
+    _write(d, "a.txt", "good")
+    for name in ("b.txt", "_c.txt"):
+        with open(os.path.join(d, name), "wb") as f:
+            f.write(b"bad \xff")
+    files = whole_files(spark, tmp_folder, "*.txt")
+    assert sorted(r.name for r in txt_rejects(files).collect()) == ["_c.txt", "b.txt"]
+    assert [r.name for r in scan_txt_folder(spark, tmp_folder, "reject").collect()] == ["a.txt"]
 
 
 def test_chunk_sink_sorted_layout(spark, tmp_folder):

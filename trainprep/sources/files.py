@@ -72,11 +72,36 @@ def run_log_lines(spark: SparkSession, pattern: str, key_pattern: str = RUN_KEY_
 def whole_files(spark: SparkSession, folder: str, suffix_glob: str) -> DataFrame:
     """Whole files directly in ``folder`` matching the glob: ``(path, name, value)``.
 
-    Note: like every Spark file source this hides names starting with
-    ``.`` or ``_``.
+    Names that start with ``.`` are hidden, as for a shell's ``*``.  Names
+    that start with ``_`` are data; Spark's file sources hide them, so they
+    are listed apart and read by the tasks.
     """
-    raw = spark.read.option("pathGlobFilter", suffix_glob).text(folder, wholetext=True)
-    return with_file_name(raw)
+    files = with_file_name(spark.read.option("pathGlobFilter", suffix_glob).text(folder, wholetext=True))
+    apart = _underscore_files(spark, folder, suffix_glob)
+    if not apart:
+        return files
+    listed = spark.createDataFrame([(p,) for p in apart], "path string").repartition(len(apart))
+    read = listed.mapInPandas(_read_bytes, "path string, value binary")
+    return files.unionByName(
+        read.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), F.col("value").cast("string").alias("value"))
+    )
+
+
+def _underscore_files(spark: SparkSession, folder: str, suffix_glob: str) -> list[str]:
+    """Paths of the files that Spark's listing leaves out, written as the
+    ``file_path`` metadata column writes them."""
+    sc = spark.sparkContext
+    pattern = sc._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/_{suffix_glob}")
+    found = pattern.getFileSystem(sc._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(s.getPath().toUri().toString() for s in found or [] if s.isFile())
+
+
+def _read_bytes(batches):
+    for pdf in batches:
+        for path in pdf["path"]:
+            filesystem, inner = fs.FileSystem.from_uri(path)
+            with filesystem.open_input_stream(inner) as f:
+                yield pd.DataFrame({"path": [path], "value": [f.read()]})
 
 
 def with_file_name(raw: DataFrame) -> DataFrame:
@@ -142,10 +167,15 @@ def clean_txt_documents(files: DataFrame, on_bad_utf8: str = "error") -> DataFra
     return files.where(F.length("value") > 0).select("path", "name", normalize_newlines(text).alias("text"))
 
 
+def txt_rejects(files: DataFrame) -> DataFrame:
+    """``(path, name)`` of the files that ``on_bad_utf8="reject"`` leaves out."""
+    return files.where(~F.is_valid_utf8("value")).select("path", "name")
+
+
 def scan_txt_folder(spark: SparkSession, folder: str, on_bad_utf8: str = "error") -> DataFrame:
     """TXT folder scan (S2): one row per non-empty ``*.txt`` file, newlines
     translated to ``\\n``.  Invalid UTF-8 fails the job (``error``) or the
-    file is dropped (``reject``)."""
+    file is left out (``reject``; :func:`txt_rejects` names those)."""
     return clean_txt_documents(whole_files(spark, folder, "*.txt"), on_bad_utf8)
 
 
@@ -160,17 +190,39 @@ def _zip_listing(batches):
                 yield pd.DataFrame({"archive": [path] * len(names), "member": names})
 
 
+#: Decoded bytes after which a batch of member texts is handed on.
+ZIP_BATCH_BYTES = 16 << 20
+
+
 def _zip_read(batches):
-    """``(archive, member)`` rows -> member text; each archive opened once per
-    batch with random access, strict UTF-8."""
-    for pdf in batches:
-        texts = [None] * len(pdf)
-        for archive, idx in pdf.groupby("archive", sort=False).indices.items():
-            filesystem, inner = fs.FileSystem.from_uri(archive)
-            with filesystem.open_input_file(inner) as f, zipfile.ZipFile(f) as zf:
-                for i in idx:
-                    texts[i] = zf.read(pdf["member"].iat[i]).decode("utf-8")
-        yield pd.DataFrame({"archive": pdf["archive"], "member": pdf["member"], "text": texts})
+    """``(archive, member)`` rows in order -> member texts, strict UTF-8.  An
+    archive stays open while its members follow each other, so a task parses
+    the directory of each archive it meets once."""
+    current, handle, archive_zip = None, None, None
+    rows, held = [], 0
+    try:
+        for pdf in batches:
+            for archive, member in zip(pdf["archive"], pdf["member"]):
+                if archive != current:
+                    if handle is not None:
+                        archive_zip.close()
+                        handle.close()
+                    filesystem, inner = fs.FileSystem.from_uri(archive)
+                    handle = filesystem.open_input_file(inner)
+                    archive_zip = zipfile.ZipFile(handle)
+                    current = archive
+                raw = archive_zip.read(member)
+                rows.append((archive, member, raw.decode("utf-8")))
+                held += len(raw)
+                if held >= ZIP_BATCH_BYTES:
+                    yield pd.DataFrame(rows, columns=["archive", "member", "text"])
+                    rows, held = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=["archive", "member", "text"])
+    finally:
+        if handle is not None:
+            archive_zip.close()
+            handle.close()
 
 
 def scan_zip_txt(spark: SparkSession, folder_or_glob: str) -> DataFrame:
@@ -179,16 +231,17 @@ def scan_zip_txt(spark: SparkSession, folder_or_glob: str) -> DataFrame:
     newline translation, strict UTF-8.
 
     Two steps, so one huge archive is not one task: the central directories
-    are listed (metadata only), the member rows are spread over tasks by
-    hash, and each task opens the archive with random access and reads only
-    its own members.  Order within an archive is the member name.
+    are listed (metadata only), the member rows are cut into ranges of
+    (archive, member), and each task reads its own range with random access:
+    archives are opened once per range that holds members of them.  Order
+    within an archive is the member name.
     """
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder_or_glob).select("path")
     members = listing.mapInPandas(_zip_listing, "archive string, member string")
     # an explicit count: the shuffle carries only names, so AQE would
     # otherwise coalesce it into one task and one task would read everything
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    spread = members.repartition(tasks, F.xxhash64("archive", "member"))
+    spread = members.repartitionByRange(tasks, "archive", "member").sortWithinPartitions("archive", "member")
     return spread.mapInPandas(_zip_read, "archive string, member string, text string")
 
 

@@ -26,12 +26,15 @@ def ingest_folder(
     kind: str = "txt",
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    on_bad_utf8: str = "error",
 ) -> StreamingQuery:
     """Start a stream from ``folder`` into the parquet table at ``table_path``.
 
     ``kind="txt"`` writes ``(path, name, text)``; ``kind="json"`` writes
     ``(path, name, status, messages)``.  With ``available_now`` the query
     processes what is there and stops; otherwise it keeps watching.
+    ``on_bad_utf8`` is that of ``clean_txt_documents``: by default a file of
+    invalid UTF-8 stops the stream, so none is lost unseen.
     """
     if kind not in _KINDS:
         raise ValueError("kind must be 'json' or 'txt'")
@@ -39,7 +42,7 @@ def ingest_folder(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     files = with_file_name(reader.load(folder))
-    parsed = clean_txt_documents(files, "reject") if kind == "txt" else parse_json_documents(files)
+    parsed = clean_txt_documents(files, on_bad_utf8) if kind == "txt" else parse_json_documents(files)
     writer = parsed.writeStream.format("parquet").option("path", table_path).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
