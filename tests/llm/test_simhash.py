@@ -90,6 +90,19 @@ def test_chains_and_split_trees(spark, tree_rows):
     assert all((got[i] == got[j]) == (want[i] == want[j]) for i in range(len(fps)) for j in range(i))
 
 
+def test_many_fingerprints_on_one_value(spark):
+    """200 fingerprints that agree on all but 12 bits: many trees on one value,
+    no link between two of them lost."""
+    rng = random.Random(5)
+    fps = sorted(rng.sample(range(1 << 12), 200))
+    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    want = brute_components(fps, list(range(len(fps))))
+    for tree_rows in (7, 64):
+        roots = {r.node: r.root for r in simhash.components(simhash.near_links(df, 2, tree_rows)).collect()}
+        got = [roots.get(f, f) for f in fps]
+        assert all((got[i] == got[j]) == (want[i] == want[j]) for i in range(len(fps)) for j in range(i))
+
+
 def test_empty_nulls_and_repeats(spark, sf_dir):
     docs = spark.createDataFrame([(None, "a b c d"), (5, "a b c d"), (5, "a b c d"), (None, "zz yy xx ww vv"), (9, None)], "doc_id long, text string")
     rows = QUERIES["op10_simhash"](spark, sf_dir(documents=docs)).collect()

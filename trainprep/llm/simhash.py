@@ -10,10 +10,11 @@ sharded: the bits fall into ``radius + 2`` blocks, so two fingerprints
 within the radius agree on at least two whole blocks, and there is one tree
 for every pair of blocks and value on them.  Shard trees are dealt out by
 a shuffle, not broadcast: together they grow with the data.  A value that
-more than ``tree_rows`` fingerprints share is split into several trees, each
-searched by all of them, so no task holds an unbounded tree.  A tree reports
-one link to a root per member (a spanning forest of its links, not all
-pairs); components over all trees follow by repeated minimum over stars.
+more than ``tree_rows`` fingerprints share is split into several trees, and
+each is searched by the members of one other tree at a time, so no group
+holds more than two trees' members.  A search reports one link to a root per
+member (a spanning forest of its links, not all pairs); components over all
+trees follow by repeated minimum over stars.
 
 Defined results: a null or blank text has fingerprint zero and links like
 any other; equal texts share a fingerprint, hence a component; a null id
@@ -113,7 +114,8 @@ class BKTree:
 
 def _forest(members: list[int], others: list[int], radius: int) -> list[tuple[int, int]]:
     """(value, root) for each value linked to another: a spanning forest of
-    the links with at least one end in ``members``."""
+    the links among ``members``, or from ``others``, where there are any, to
+    ``members``."""
     tree, parent = BKTree(), {}
 
     def root(x: int) -> int:
@@ -122,7 +124,7 @@ def _forest(members: list[int], others: list[int], radius: int) -> list[tuple[in
         return x
 
     for value in members:
-        for near in tree.within(value, radius):
+        for near in tree.within(value, radius) if not others else ():
             a, b = sorted((root(value), root(near)))
             parent[b] = a
         tree.add(value)
@@ -150,16 +152,18 @@ def near_links(distinct: DataFrame, radius: int = 2, tree_rows: int = TREE_ROWS)
         part = [F.shiftrightunsigned("fp", at).bitwiseAND((1 << w) - 1) for at, w in (blocks[i], blocks[j])]
         keys.append(F.struct(F.lit(t).alias("t"), F.shiftleft(part[0], blocks[j][1]).bitwiseOR(part[1]).alias("v")))
     banded = distinct.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.t", "k.v")
-    # values that very many fingerprints share: several trees, all searched
+    # values that very many fingerprints share: several trees; tree s meets
+    # its own members (o = s) and those of each later tree o
     hot = banded.groupBy("t", "v").count().where(F.col("count") > tree_rows)
     hot = hot.select("t", "v", F.ceil(F.col("count") / tree_rows).cast("int").alias("trees"))
+    trees, own, other = F.coalesce("trees", F.lit(1)), F.col("own"), F.col("other")
     dealt = banded.join(hot, ["t", "v"], "left").select(
-        "fp", "t", "v", F.pmod(F.xxhash64("fp"), F.coalesce("trees", F.lit(1))).cast("int").alias("own"),
-        F.explode(F.sequence(F.lit(0), F.coalesce("trees", F.lit(1)) - 1)).alias("s"),
-    )
+        "fp", "t", "v", F.pmod(F.xxhash64("fp"), trees).cast("int").alias("own"), F.explode(F.sequence(F.lit(0), trees - 1)).alias("other")
+    )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = dealt.select("fp", "t", "v", "s", (F.col("own") == F.col("s")).alias("member"))
-    ordered = ordered.repartition(parts, "t", "v", "s").sortWithinPartitions("t", "v", "s")
+    key = ["t", "v", "s", "o"]
+    ordered = dealt.select("fp", "t", "v", F.least(own, other).alias("s"), F.greatest(own, other).alias("o"), (own <= other).alias("member"))
+    ordered = ordered.repartition(parts, *key).sortWithinPartitions(*key)
 
     def search(batches):
         import numpy as np
@@ -180,19 +184,19 @@ def near_links(distinct: DataFrame, radius: int = 2, tree_rows: int = TREE_ROWS)
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         def ready(final: bool):
-            cols = [np.concatenate([h[i] for h in held]) for i in range(5)]
-            fp, t, v, s, member = cols
+            cols = [np.concatenate([h[i] for h in held]) for i in range(6)]
+            fp, t, v, s, o, member = cols
             change = np.ones(len(fp), bool)
-            change[1:] = (t[1:] != t[:-1]) | (v[1:] != v[:-1]) | (s[1:] != s[:-1])
+            change[1:] = (t[1:] != t[:-1]) | (v[1:] != v[:-1]) | (s[1:] != s[:-1]) | (o[1:] != o[:-1])
             last = len(fp) if final else int(np.flatnonzero(change)[-1])
             held[:] = [] if final else [[c[last:] for c in cols]]
             return solve(fp[:last], change[:last], member[:last])
 
         for batch in batches:
             if batch.num_rows:
-                held.append([batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)])
+                held.append([batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)])
                 first, last = held[0], held[-1]
-                if any(first[i][0] != last[i][-1] for i in (1, 2, 3)):
+                if any(first[i][0] != last[i][-1] for i in (1, 2, 3, 4)):
                     yield ready(False)
         if held:
             yield ready(True)
