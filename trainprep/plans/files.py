@@ -25,7 +25,7 @@ from trainprep.session import scratch_dir
 from trainprep.sinks.files import write_chunks
 from trainprep.sources.files import scan_json_folder, scan_openers, scan_txt_folder, scan_zip_txt
 
-FILES_PER_CHUNK = 100
+FILES_PER_CHUNK = 10
 PACK_LIMIT = 100_000
 SHARD_LIMIT = 20_000
 
@@ -172,19 +172,18 @@ r AS (
          CASE WHEN r.cur + d.len <= {PACK_LIMIT} THEN r.cur + d.len ELSE d.len END,
          CASE WHEN r.cur + d.len <= {PACK_LIMIT} THEN r.chunk_id ELSE r.chunk_id + 1 END
   FROM r JOIN d ON d.rn = r.rn + 1)
-SELECT 'chunk_' || printf('%06d', chunk_id) AS chunk, count(*) AS n_rows,
-       CAST(sum(len) AS BIGINT) AS n_chars
-FROM r GROUP BY chunk_id
+SELECT 'chunk_' || printf('%06d', chunk_id) AS chunk, rn - 1 AS ord, md5(text) AS text_md5
+FROM r JOIN documents USING (doc_id)
 """,
 )
 def chunk_sink_roundtrip(spark, sf_dir):
-    """Pack, write gzip parquet chunks (``chunk=chunk_000000``), read back."""
+    """Pack, write gzip parquet chunks (``chunk=chunk_000000``), read back with
+    each row's place and text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     packed = pack_by_chars(docs, ["doc_id"], char_length("text"), PACK_LIMIT)
     out = scratch_dir(spark, "chunks")
-    write_chunks(packed, out, "chunk_id", "ord", ["text"], range_ordered=True)
-    back = spark.read.parquet(out)
-    return back.groupBy("chunk").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(char_length("text")).alias("n_chars"))
+    write_chunks(packed, out, "chunk_id", "ord", ["ord", "text"], range_ordered=True)
+    return spark.read.parquet(out).select("chunk", "ord", F.md5("text").alias("text_md5"))
 
 
 @query(
@@ -202,7 +201,8 @@ r AS (
          d.len >= {SHARD_LIMIT},
          CASE WHEN d.len >= {SHARD_LIMIT} OR r.closed OR r.cur + d.len > {SHARD_LIMIT} THEN r.shard_id + 1 ELSE r.shard_id END
   FROM r JOIN d ON d.rn = r.rn + 1)
-SELECT 'part_' || printf('%04d', shard_id) AS shard, count(*) AS n_rows FROM r GROUP BY shard_id
+SELECT 'part_' || printf('%04d', shard_id) AS shard, rn - 1 AS ord, md5(text) AS text_md5
+FROM r JOIN documents USING (doc_id)
 """,
 )
 def shard_sink_roundtrip(spark, sf_dir):
@@ -217,10 +217,10 @@ def shard_sink_roundtrip(spark, sf_dir):
     sharded = pack_by_chars(deduped, ["doc_id"], char_length("text"), SHARD_LIMIT, isolate=True)
     out = scratch_dir(spark, "shards")
     write_chunks(
-        sharded, out, "chunk_id", "ord", ["text"], partition_name="shard", prefix="part", width=4, base=1,
+        sharded, out, "chunk_id", "ord", ["ord", "text"], partition_name="shard", prefix="part", width=4, base=1,
         range_ordered=True, layout="sorted",
     )
-    return spark.read.parquet(out).groupBy("shard").agg(F.count(F.lit(1)).alias("n_rows"))
+    return spark.read.parquet(out).select("shard", "ord", F.md5("text").alias("text_md5"))
 
 
 @query(
@@ -235,7 +235,7 @@ FROM o GROUP BY chunk_id
 """,
 )
 def json_chunk_sink(spark, sf_dir):
-    """JSON folder -> good files in name order -> chunks of 100 files
+    """JSON folder -> good files in name order -> chunks of 10 files
     written as gzip parquet with the ``messages`` column, read back."""
     good = json_files(spark, sf_dir).where(F.col("status") != "corrupt").select("path", "messages")
     chunked = chunk_by_count(with_ordinal(good, ["path"], persist_input=True), "ord", FILES_PER_CHUNK)
@@ -247,8 +247,6 @@ def json_chunk_sink(spark, sf_dir):
     )
 
 
-
-
 @query(
     "pack_zip_txt",
     f"""
