@@ -28,7 +28,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity operator does not predict as toxic."""
     _ready(spark)
-    model = toxicity.fit(toxicity.training_sample(docs, _table(spark, sf_dir, "labels").where(~fold_is(5, 0))))
+    model = toxicity.fit(toxicity.training_sample(docs, _table(spark, sf_dir, "labels").where(~fold_is(5, 0))), whole=True)
     extra = [c for c in docs.columns if c != "doc_id"]
     return toxicity.score(docs, model, extra=extra).where("predicted = 0").select(*docs.columns)
 

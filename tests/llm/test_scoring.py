@@ -156,6 +156,32 @@ def test_toxicity_query_held_out_accuracy(spark, make_docs, sf_dir):
     assert QUERIES["op4_toxicity"](spark, sf_dir(documents=docs.limit(0), labels=labels)).collect() == []
 
 
+def test_toxicity_whole_vocabulary_in_small_samples(spark, make_docs, sf_dir):
+    """Words with few toxic documents count, at any size of the sample."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(300)], k=40)) for _ in range(70)]
+    toxic = [int(i % 7 == 0) for i in range(70)]
+    texts = [t + " scum" * y for t, y in zip(texts, toxic)]
+    probes = ["w1 w2 scum w3", "w1 w2 w3 w4", "unseen", None]
+    docs = make_docs([*texts, *probes])
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    rows = sorted(QUERIES["op4_toxicity"](spark, sf_dir(documents=docs, labels=labels)).collect())[len(texts) :]
+    assert [r.predicted for r in rows] == [1, 0, 0, 0]
+    model = toxicity.fit(toxicity.training_sample(docs, labels), block=4, whole=True)
+    has, bad = Counter(), Counter()
+    for t, y in zip(texts, toxic):
+        has.update(set(t.encode().split()))
+        bad.update(set(t.encode().split()) if y else [])
+    assert set(model.terms) == {w for w in has if bad[w] * 70 != has[w] * sum(toxic)}  # all but words independent of the label
+    example = [brute_tfidf(model, texts[i]) for i in model.ids]
+    for r, text in zip(sorted(toxicity.score(docs, model, evidence=50).collect()), [*texts, *probes]):
+        near = sorted((-round(float(brute_tfidf(model, text) @ v), 12), i) for i, v in enumerate(example))
+        near = [(c, i) for c, i in near if c < 0][: model.k]
+        weight = sum(c * c for c, _ in near)
+        assert r.score == pytest.approx((sum(c * c * toxic[i] for c, i in near) + model.smooth * model.base) / (weight + model.smooth))
+        assert [round(e.cosine, 9) for e in r.evidence] == [round(-c, 9) for c, _ in near]
+
+
 @pytest.fixture(scope="module")
 def pieces():
     pytest.importorskip("public_tokenizers")

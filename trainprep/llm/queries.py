@@ -66,7 +66,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document by its nearest labelled examples."""
     docs, labels = documents(spark, sf_dir), _table(spark, sf_dir, "labels")
-    model = toxicity.fit(toxicity.training_sample(docs, labels.where(~fold_is(5, 0))))
+    model = toxicity.fit(toxicity.training_sample(docs, labels.where(~fold_is(5, 0))), whole=True)
     return _held(toxicity.score(docs, model), 5, 0).select("doc_id", "held_out", "score", "predicted", "evidence")
 
 

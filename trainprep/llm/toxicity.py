@@ -1,31 +1,35 @@
-"""Toxicity by nearest labelled examples under exact TF-IDF cosine.
+"""Toxicity by nearest labelled examples under exact weighted cosine.
 
 Model (:func:`fit`): a bounded sample of labelled training documents
-(``max_examples``, drawn by a hash of the id) gives document frequencies of
-all its words; the ``max_terms`` words most associated with the toxic label
-(G-squared of at least ``min_g2``, at least ``min_docs`` toxic documents)
-become the terms.  Each example is a unit vector of (1 + log tf) * idf over
-them, kept in an inverted index cut in blocks of ``block`` examples with
-the largest weight of each term in each block.
-
-Scoring (:func:`score`): the block maxima bound the cosine of a document to
-any example of a block, so blocks are read in descending order of the bound
-and left out only when the bound is under the k-th best cosine found: the
-neighbours are exact.  Votes are weighted by cosine and smoothed towards
-the rate of toxic labels among the examples without any term, which is also
-the score of documents without any term; so a score is a calibrated share
-of toxic neighbours.  The neighbours are returned as evidence.
-
-Model size is bounded by the parameters, so it is broadcast.  Defined
-results: null and empty texts score as documents without terms; without
-training labels every score is 0; equal cosines go to the smaller example
-id; rows with equal ids each give a row; labels that contradict for one id
-count as toxic; extra columns are ignored.
+(``max_examples``, drawn by a hash of the id) gives the document frequencies
+of all its words.  With ``whole`` every word of every example is a term, its
+weight idf times the mutual information of word and label (G-squared over
+twice the rows, so no size of sample switches a word on or off); a word of no
+information weighs nothing.  Without ``whole`` only the ``max_terms`` words
+most associated with the toxic label (G-squared of at least ``min_g2``, at
+least ``min_docs`` toxic documents) are terms, with plain idf.  Each example
+is a unit vector of (1 + log tf) * weight in an inverted index.
+
+Scoring (:func:`score`): the cosines of a document to all examples are summed
+in full, so the neighbours are exact: the most common terms as one product of
+dense matrices for ``block`` documents at a time, the others from their lists
+of examples.  Votes are weighted by cosine and smoothed towards the rate of
+toxic labels among the examples without any term, which is also the score of
+documents without any term; so a score is a calibrated share of toxic
+neighbours.  The neighbours are returned as evidence.
+
+Model size is bounded by the sample, so it is broadcast.  Defined results:
+null and empty texts score as documents without terms; without training
+labels every score is 0; equal cosines go to the smaller example id; rows
+with equal ids each give a row; labels that contradict for one id count as
+toxic; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -38,54 +42,88 @@ from trainprep.llm import textbytes as tb
 from trainprep.llm.common import sliced
 
 
+DENSE = 512  # terms
+
+
 @dataclass
 class ToxicModel:
     terms: list[bytes]
-    idf: np.ndarray
+    idf: np.ndarray  # weight of each term
     base: float  # toxic rate of examples without any term
     k: int
     smooth: float
     ids: np.ndarray  # of examples, ascending
     labels: np.ndarray
-    postings: list[dict[int, tuple[np.ndarray, np.ndarray]]]  # per block, by term: example rows, weights
-    maxima: np.ndarray  # blocks x terms
-    block: int
+    first: np.ndarray  # of each term in rows and weights
+    rows: np.ndarray  # examples
+    weights: np.ndarray
+    block: int  # documents in one product
 
     def lookup(self):
         """Sorted hashes of the terms, for :func:`term_counts`."""
         if not hasattr(self, "_sorted"):
             joined = np.frombuffer(b"".join(self.terms), np.uint8)
-            ends = np.cumsum([len(t) for t in self.terms]).astype(np.int64)
-            starts = ends - np.array([len(t) for t in self.terms], np.int64)
-            hashes = tb.span_hash(tb.prefix_hash(joined), starts, ends)
+            sizes = np.array([len(t) for t in self.terms], np.int64)
+            ends = np.cumsum(sizes)
+            hashes = tb.span_hash(tb.prefix_hash(joined), ends - sizes, ends)
             order = np.argsort(hashes)
-            bitmap = np.zeros(1 << 16, bool)
-            bitmap[(hashes >> np.uint64(48)).astype(np.int64)] = True
-            self._sorted = hashes[order], order, bitmap
+            self._sorted = hashes[order], order, joined, ends - sizes, sizes
         return self._sorted
 
+    def dense(self):
+        """Place of each term among the ``DENSE`` most common ones (the others
+        -1), and their weights in every example."""
+        if not hasattr(self, "_dense"):
+            held = np.diff(self.first)
+            common = np.argsort(-held, kind="stable")[:DENSE]
+            common = common[held[common] * 64 > len(self.ids)]
+            place = np.full(len(held), -1, np.int64)
+            place[common] = np.arange(len(common))
+            table = np.zeros((len(common), len(self.ids)))
+            for i, t in enumerate(common.tolist()):
+                table[i, self.rows[self.first[t] : self.first[t + 1]]] = self.weights[self.first[t] : self.first[t + 1]]
+            self._dense = place, table
+        return self._dense
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k not in ("_sorted", "_dense")}
+
+
+def _ragged(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The positions ``first[i] : first[i] + sizes[i]``, end to end."""
+    before = np.cumsum(sizes) - sizes
+    return np.arange(sizes.sum()) + np.repeat(first - before, sizes)
 
-def term_counts(texts: pa.Array, terms: list[bytes], lookup) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+
+def term_counts(texts: pa.Array, lookup) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, term, count) of every term that occurs, by text then term."""
+    known, order, joined, begin, sizes = lookup
     none = np.empty(0, np.int64)
-    if not terms:
+    low, starts, ends, first = _split(texts)
+    if not len(starts) or not len(known):
+        return none, none, none
+    hashes = tb.span_hash(tb.prefix_hash(low), starts, ends)
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    word = np.flatnonzero(known[at] == hashes)
+    term = order[at[word]]
+    same = sizes[term] == ends[word] - starts[word]
+    word, term = word[same], term[same]
+    if not len(word):
         return none, none, none
+    n = sizes[term]
+    differ = low[_ragged(starts[word], n)] != joined[_ragged(begin[term], n)]
+    same = ~np.logical_or.reduceat(differ, np.cumsum(n) - n)
+    word, term = word[same], term[same]
+    doc = np.searchsorted(first, word, "right") - 1
+    key, count = np.unique(doc * len(known) + term, return_counts=True)
+    return key // len(known), key % len(known), count
+
+
+def _split(texts: pa.Array):
+    """(lower-cased bytes, starts, ends, first) of the words of all texts."""
     data, offsets = tb.buffer_of(texts)
     low = tb.LOWER[data]
-    starts, ends, first = tb.words_in(low, offsets, tb.ALNUM[low])
-    if not len(starts):
-        return none, none, none
-    known, order, bitmap = lookup
-    hashes = tb.span_hash(tb.prefix_hash(low), starts, ends)
-    maybe = np.flatnonzero(bitmap[(hashes >> np.uint64(48)).view(np.int64)])
-    at = np.minimum(np.searchsorted(known, hashes[maybe]), len(known) - 1)
-    equal = known[at] == hashes[maybe]
-    maybe, term = maybe[equal], order[at[equal]]
-    same = [low[s:e].tobytes() == terms[t] for s, e, t in zip(starts[maybe], ends[maybe], term)]
-    maybe, term = maybe[same], term[same]
-    doc = np.searchsorted(first, maybe, "right") - 1
-    key, count = np.unique(doc * len(terms) + term, return_counts=True)
-    return key // len(terms), key % len(terms), count
+    return low, *tb.words_in(low, offsets, tb.ALNUM[low])
 
 
 def _unit(text, term, count, idf, n) -> np.ndarray:
@@ -94,101 +132,103 @@ def _unit(text, term, count, idf, n) -> np.ndarray:
     return weight / norm[text]
 
 
-def _word_stats(sample: DataFrame) -> DataFrame:
-    """``(word, toxic, clean)``: documents of each label that hold a word."""
+def _word_lists(sample: DataFrame) -> pa.Table:
+    """``(i, y, words, n)`` of each row: its different words, and how often
+    each occurs."""
 
     def run(batches):
         for batch in sliced(batches, 0, 1 << 20):
-            data, offsets = tb.buffer_of(batch.column(0))
-            low = tb.LOWER[data]
-            starts, ends, first = tb.words_in(low, offsets, tb.ALNUM[low])
+            low, starts, ends, first = _split(batch.column(0))
             words = tb.gather(low, starts, ends).dictionary_encode()
             codes = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
             doc = np.repeat(np.arange(len(batch)), np.diff(first))
-            n = max(1, len(words.dictionary))
-            pairs = np.unique(doc * n + codes)
-            toxic = batch.column(1).to_numpy(zero_copy_only=False)[pairs // n] == 1
-            every = np.bincount(pairs % n, minlength=n)[: len(words.dictionary)]
-            bad = np.bincount(pairs[toxic] % n, minlength=n)[: len(words.dictionary)]
+            key, count = np.unique(doc * max(1, len(words.dictionary)) + codes, return_counts=True)
+            offsets = pa.array(np.searchsorted(key, np.arange(len(batch) + 1) * max(1, len(words.dictionary))), pa.int32())
+            each = words.dictionary.cast(pa.binary()).take(pa.array(key % max(1, len(words.dictionary))))
             yield pa.RecordBatch.from_arrays(
-                [words.dictionary.cast(pa.binary()), pa.array(bad, pa.int64()), pa.array(every - bad, pa.int64())],
-                names=["word", "toxic", "clean"],
+                [batch.column(2), batch.column(1), pa.ListArray.from_arrays(offsets, each), pa.ListArray.from_arrays(offsets, pa.array(count, pa.int32()))],
+                names=["i", "y", "words", "n"],
             )
 
-    parts = sample.mapInArrow(run, "word binary, toxic long, clean long")
-    return parts.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    return sample.mapInArrow(run, "i long, y int, words array<binary>, n array<int>").toArrow()
 
 
-def _g2(toxic: str, clean: str, n_toxic: int, n_clean: int):
-    """G-squared of a word and the label, as a column."""
-    n = float(n_toxic + n_clean)
-    a, b = F.col(toxic).cast("double"), F.col(clean).cast("double")
-    c, d = F.lit(float(n_toxic)) - a, F.lit(float(n_clean)) - b
+def _g2(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
+    """G-squared of each word and the label."""
+    n = n_toxic + n_clean
 
     def part(x, row, col):
-        return F.when(x > 0, x * F.log(x * F.lit(n) / (row * col))).otherwise(F.lit(0.0))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where(x > 0, x * np.log(x * n / (row * float(col))), 0.0)
 
-    return 2 * (part(a, a + b, F.lit(float(n_toxic))) + part(b, a + b, F.lit(float(n_clean)))
-                + part(c, c + d, F.lit(float(n_toxic))) + part(d, c + d, F.lit(float(n_clean))))
+    has, lacks = toxic + clean, n - toxic - clean
+    return 2 * (part(toxic, has, n_toxic) + part(clean, has, n_clean) + part(n_toxic - toxic, lacks, n_toxic) + part(n_clean - clean, lacks, n_clean))
 
 
 def fit(
     labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    max_terms: int = 2048, min_g2: float = 60.0, min_docs: int = 5, k: int = 25, smooth: float = 0.5, block: int = 64,
+    max_terms: int = 2048, min_g2: float = 60.0, min_docs: int = 5, k: int = 25, smooth: float = 0.5, block: int = 128,
+    whole: bool = False,
 ) -> ToxicModel:
     """Model from a bounded frame of labelled documents (see :func:`training_sample`)."""
     sample = labelled.select(F.col(text_col).cast("string").alias("t"), F.col(label_col).cast("int").alias("y"), F.col(id_col).cast("long").alias("i"))
-    total = {r[0]: r[1] for r in sample.groupBy("y").count().collect()}
-    n_toxic, n_clean = total.get(1, 0), total.get(0, 0)
-    n = n_toxic + n_clean
-    terms: list[bytes] = []
-    df: list[int] = []
+    found = _word_lists(sample.where(F.col("y").isin(0, 1)))
+    labels, ids = found["y"].to_numpy().astype(np.int64), found["i"].to_pylist()
+    n, n_toxic = len(labels), int(labels.sum())
+    n_clean = n - n_toxic
+    sizes = pc.fill_null(pc.list_value_length(found["words"]), 0).to_numpy().astype(np.int64)
+    # a few values per word of the sample: narrow, and dropped once used
+    count = pc.list_flatten(found["n"]).to_numpy()
+    flat = pc.list_flatten(found["words"])
+    del found
+    coded = flat.dictionary_encode().combine_chunks()
+    del flat
+    words, term = tb.to_bytes(coded.dictionary), coded.indices.to_numpy(zero_copy_only=False)
+    del coded
+    pa.default_memory_pool().release_unused()
+    row = np.repeat(np.arange(n, dtype=np.int32), sizes)
+    df = np.bincount(term, minlength=len(words))
+    toxic = np.bincount(term[labels[row] == 1], minlength=len(words))
+    chosen = np.empty(0, np.int64)
     if n_toxic and n_clean:
-        stats = _word_stats(sample.select("t", "y"))
-        g2 = _g2("toxic", "clean", n_toxic, n_clean)
-        more = F.col("toxic") * n_clean > F.col("clean") * n_toxic
-        rows = stats.where(more & (F.col("toxic") >= min_docs)).withColumn("g", g2).where(F.col("g") >= min_g2)
-        top = rows.orderBy(F.desc("g"), "word").limit(max_terms).collect()
-        top.sort(key=lambda r: bytes(r["word"]))
-        terms, df = [bytes(r["word"]) for r in top], [r["toxic"] + r["clean"] for r in top]
-    idf = np.log((1 + n) / (1 + np.array(df, float))) + 1
-    empty = np.empty(0)
-    model = ToxicModel(terms, idf, 0.0, k, smooth, empty, empty, [], empty, block)
-    lookup = model.lookup() if terms else None
-
-    def vectors(batches):
-        for batch in sliced(batches, 0, 1 << 20):
-            text, term, count = term_counts(batch.column(0), terms, lookup)
-            lists = [([], []) for _ in range(len(batch))]
-            for a, b, c in zip(text.tolist(), term.tolist(), count.tolist()):
-                lists[a][0].append(b)
-                lists[a][1].append(c)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(2), batch.column(1), pa.array([x for x, _ in lists], pa.list_(pa.int32())), pa.array([x for _, x in lists], pa.list_(pa.int64()))],
-                names=["i", "y", "term", "n"],
-            )
-
-    found = sample.mapInArrow(vectors, "i long, y int, term array<int>, n array<long>")
-    bare = found.where(F.size("term") == 0).agg(F.count("*"), F.sum("y")).first()
+        g2 = _g2(toxic, df - toxic, n_toxic, n_clean)
+        if whole:
+            chosen = np.flatnonzero(g2 > 1e-9)
+        else:
+            chosen = np.flatnonzero((toxic * n_clean > (df - toxic) * n_toxic) & (toxic >= min_docs) & (g2 >= min_g2))
+            chosen = np.array(sorted(chosen.tolist(), key=lambda w: (-g2[w], words[w]))[:max_terms], np.int64)
+    chosen = np.array(sorted(chosen.tolist(), key=words.__getitem__), np.int64)
+    idf = np.log((1 + n) / (1 + df[chosen])) + 1
+    if whole and len(chosen):
+        idf *= g2[chosen] / (2 * n)
+    terms = [words[w] for w in chosen.tolist()]
+    number = np.full(len(words), -1, np.int32)
+    number[chosen] = np.arange(len(chosen))
+    del words
+    term = number[term]
+    kept = term >= 0
+    row, term, count = row[kept], term[kept], count[kept]
+    weight = _unit(row, term, count, idf, n)
+    held = np.bincount(row, minlength=n)
     rate = n_toxic / n if n else 0.0
-    model.base = ((bare[1] or 0) + rate) / (bare[0] + 1) if n else 0.0
-    rows = sorted(found.where(F.size("term") > 0).collect(), key=lambda r: (r["i"] is None, r["i"] or 0, r["y"], r["term"], r["n"]))
-    model.ids = np.array([-1 if r["i"] is None else r["i"] for r in rows], np.int64)
-    model.labels = np.array([r["y"] for r in rows], np.int64)
-    text = np.repeat(np.arange(len(rows)), [len(r["term"]) for r in rows])
-    term = np.array([t for r in rows for t in r["term"]], np.int64)
-    count = np.array([c for r in rows for c in r["n"]], np.int64)
-    weight = _unit(text, term, count, idf, len(rows)) if len(rows) else empty
-    model.maxima = np.zeros((-(-len(rows) // block), len(terms)))
-    for b in range(len(model.maxima)):
-        own = np.flatnonzero(text // block == b)
-        lists = {}
-        for t in np.unique(term[own]).tolist():
-            hit = own[term[own] == t]
-            lists[t] = text[hit], weight[hit]
-            model.maxima[b, t] = weight[hit].max()
-        model.postings.append(lists)
-    return model
+    base = (int(labels[held == 0].sum()) + rate) / (int((held == 0).sum()) + 1) if n else 0.0
+    # examples by id and label, equal ones by what they hold
+    names = [(i is None, i or 0, y) for i, y in zip(ids, labels.tolist())]
+    often, end = Counter(names), np.cumsum(held)
+    own = []
+    for r in np.flatnonzero(held).tolist():
+        body = slice(end[r] - held[r], end[r])
+        own.append((names[r], sorted(zip(term[body].tolist(), count[body].tolist())) if often[names[r]] > 1 else [], r))
+    examples = np.array([x[-1] for x in sorted(own)], np.int64)
+    del count, kept
+    rank = np.zeros(n, np.int32)
+    rank[examples] = np.arange(len(examples))
+    row = rank[row]
+    order = np.lexsort((row, term))
+    return ToxicModel(
+        terms, idf, base, k, smooth, np.array([-1 if ids[r] is None else ids[r] for r in examples.tolist()], np.int64), labels[examples],
+        np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(terms)))]).astype(np.int64), row[order], weight[order], block,
+    )
 
 
 def training_sample(
@@ -203,25 +243,34 @@ def training_sample(
     return texts.join(F.broadcast(ids), "_i").select(F.col("_i").alias(id_col), F.col("_t").alias(text_col), F.col("_y").alias(label_col))
 
 
-def neighbours(model: ToxicModel, term: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(rows, cosines) of the exact k nearest examples that share a term."""
-    bound = model.maxima[:, term] @ weight
-    rows, cosines, least = np.empty(0, np.int64), np.empty(0), 0.0
-    for b in np.argsort(-bound, kind="stable"):
-        if bound[b] <= 0 or (len(rows) >= model.k and bound[b] < least - 1e-12):
-            break
-        total = np.zeros(model.block)
-        for t, w in zip(term.tolist(), weight):
-            if t in model.postings[b]:
-                at, x = model.postings[b][t]
-                total[at - b * model.block] += w * x
-        hit = np.flatnonzero(total)
-        rows = np.concatenate([rows, hit + b * model.block])
-        cosines = np.round(np.concatenate([cosines, total[hit]]), 12)
-        order = np.lexsort((rows, -cosines))[: model.k]
-        rows, cosines = rows[order], cosines[order]
-        least = cosines[-1] if len(rows) >= model.k else 0.0
-    return rows, cosines
+def neighbours(model: ToxicModel, cuts: np.ndarray, term: np.ndarray, weight: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(rows, cosines) of the exact k nearest examples that share a term, for
+    each document ``d`` with terms ``cuts[d]:cuts[d + 1]``."""
+    place, table = model.dense()
+    n, out = len(model.ids), []
+    common = place[term] >= 0
+    for at in range(0, len(cuts) - 1, model.block):
+        some = cuts[at : at + model.block + 1]
+        own = np.flatnonzero(common[some[0] : some[-1]]) + some[0]
+        asked = np.zeros((len(some) - 1, len(table)))
+        asked[np.searchsorted(some, own, "right") - 1, place[term[own]]] = weight[own]
+        totals = asked @ table
+        for total, a, b in zip(totals, some.tolist(), some[1:].tolist()):
+            rare = np.flatnonzero(~common[a:b]) + a
+            if len(rare):
+                begin, end = model.first[term[rare]], model.first[term[rare] + 1]
+                lists = list(zip(begin.tolist(), end.tolist()))
+                rows = np.concatenate([model.rows[x:y] for x, y in lists])
+                weights = np.concatenate([model.weights[x:y] for x, y in lists])
+                weights *= np.repeat(weight[rare], end - begin)
+                total += np.bincount(rows, weights, n)
+            least = np.partition(total, n - model.k)[n - model.k] if n > model.k else 0.0
+            near = np.flatnonzero((total >= least - 1e-11) & (total > 0))
+            cosines = np.round(total[near], 12)
+            best = np.lexsort((near, -cosines))[: model.k]
+            best = best[cosines[best] > 0]
+            out.append((near[best], cosines[best]))
+    return out
 
 
 def _vote(model: ToxicModel, rows: np.ndarray, cosines: np.ndarray) -> float:
@@ -247,20 +296,23 @@ def score(
         for batch in sliced(batches, len(keep), 1 << 20):
             values, why = [m.base] * len(batch), [[] for _ in range(len(batch))]
             if m.terms and len(m.ids):
-                text, term, count = term_counts(batch.column(len(keep)), m.terms, m.lookup())
+                text, term, count = term_counts(batch.column(len(keep)), m.lookup())
                 weight = _unit(text, term, count, m.idf, len(batch))
-                cuts = np.flatnonzero(np.r_[True, text[1:] != text[:-1]]) if len(text) else []
-                for a, b in zip(cuts, np.r_[cuts[1:], len(text)] if len(text) else []):
-                    a, b = int(a), int(b)
-                    key = (term[a:b].tobytes(), count[a:b].tobytes())
-                    if key not in memo:
-                        if len(memo) > 20_000:
-                            memo.clear()
-                        rows, cos = neighbours(m, term[a:b], weight[a:b])
-                        memo[key] = _vote(m, rows, cos), [
-                            {"example": int(m.ids[r]), "cosine": float(c), "toxic": int(m.labels[r])} for r, c in zip(rows[:evidence], cos)
-                        ]
-                    values[text[a]], why[text[a]] = memo[key]
+                cuts = np.flatnonzero(np.r_[True, text[1:] != text[:-1]]) if len(text) else np.empty(0, np.int64)
+                ends = np.r_[cuts[1:], len(text)]
+                if len(memo) > 20_000:
+                    memo.clear()
+                keys = [sha256(term[a:b].tobytes() + count[a:b].tobytes()).digest() for a, b in zip(cuts.tolist(), ends.tolist())]
+                new = {key: d for d, key in enumerate(keys) if key not in memo}  # equal documents once
+                some = np.array(list(new.values()), np.int64)
+                sizes = ends[some] - cuts[some]
+                at = _ragged(cuts[some], sizes)
+                for key, (rows, cos) in zip(new, neighbours(m, np.append(0, np.cumsum(sizes)), term[at], weight[at])):
+                    memo[key] = _vote(m, rows, cos), [
+                        {"example": int(m.ids[r]), "cosine": float(c), "toxic": int(m.labels[r])} for r, c in zip(rows[:evidence], cos)
+                    ]
+                for d, key in zip(text[cuts].tolist(), keys):
+                    values[d], why[d] = memo[key]
             column = pa.array(values, pa.float64())
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in range(len(keep))), column, pc.cast(pc.greater_equal(column, 0.5), pa.int32()), pa.array(why, kind)],
