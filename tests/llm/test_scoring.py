@@ -182,6 +182,13 @@ def test_toxicity_whole_vocabulary_in_small_samples(spark, make_docs, sf_dir):
         assert [round(e.cosine, 9) for e in r.evidence] == [round(-c, 9) for c, _ in near]
 
 
+def test_toxicity_sample_holds_one_row_per_id(spark, make_docs):
+    docs = make_docs(["b", "c", None]).unionByName(make_docs(["a", None] * 50).selectExpr("cast(0 as long) doc_id", "text", "lang", "source", "n_chars", "row", "fp", "kind"))
+    labels = spark.createDataFrame([(0, 0), (0, 1), (1, 0), (2, 0), (9, 1)], "doc_id long, toxic int")
+    assert sorted(map(tuple, toxicity.training_sample(docs, labels).collect())) == [(0, "a", 1), (1, "c", 0), (2, None, 0)]
+    assert toxicity.training_sample(docs.where("doc_id = 0"), labels.where("doc_id = 0"), max_examples=1).count() == 1
+
+
 @pytest.fixture(scope="module")
 def pieces():
     pytest.importorskip("public_tokenizers")

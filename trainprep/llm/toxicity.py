@@ -234,13 +234,15 @@ def fit(
 def training_sample(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_examples: int = 20_000
 ) -> DataFrame:
-    """Labelled documents, at most ``max_examples`` ids by order of a hash."""
+    """Labelled documents, at most ``max_examples`` rows: ids by order of a
+    hash, of rows with one id the least text."""
     ids = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
     ids = ids.groupBy(F.col(id_col).cast("long").alias("_i")).agg(F.max(F.col(label_col).cast("int")).alias("_y"))
     ids = ids.orderBy(F.xxhash64("_i"), "_i").limit(max_examples)
     texts = docs.select(F.col(id_col).cast("long").alias("_i"), F.col(text_col).alias("_t"))
     # at most max_examples rows of 12 bytes
-    return texts.join(F.broadcast(ids), "_i").select(F.col("_i").alias(id_col), F.col("_t").alias(text_col), F.col("_y").alias(label_col))
+    rows = texts.join(F.broadcast(ids), "_i").groupBy("_i").agg(F.min("_t").alias("_t"), F.first("_y").alias("_y"))
+    return rows.select(F.col("_i").alias(id_col), F.col("_t").alias(text_col), F.col("_y").alias(label_col))
 
 
 def neighbours(model: ToxicModel, cuts: np.ndarray, term: np.ndarray, weight: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
