@@ -54,9 +54,10 @@ class ToxicModel:
     smooth: float
     ids: np.ndarray  # of examples, ascending
     labels: np.ndarray
-    first: np.ndarray  # of each term in rows and weights
+    first: np.ndarray  # of each term in rows and counts
     rows: np.ndarray  # examples
-    weights: np.ndarray
+    counts: np.ndarray  # of the term in the example
+    norms: np.ndarray  # of the examples
     block: int  # documents in one product
 
     def lookup(self):
@@ -72,17 +73,18 @@ class ToxicModel:
 
     def dense(self):
         """Place of each term among the ``DENSE`` most common ones (the others
-        -1), and their weights in every example."""
+        -1), their weights in every example, and the weights of all ``rows``."""
         if not hasattr(self, "_dense"):
             held = np.diff(self.first)
+            weights = (1 + np.log(self.counts, dtype=np.float64)) * np.repeat(self.idf, held) / self.norms[self.rows]
             common = np.argsort(-held, kind="stable")[:DENSE]
             common = common[held[common] * 64 > len(self.ids)]
             place = np.full(len(held), -1, np.int64)
             place[common] = np.arange(len(common))
             table = np.zeros((len(common), len(self.ids)))
             for i, t in enumerate(common.tolist()):
-                table[i, self.rows[self.first[t] : self.first[t + 1]]] = self.weights[self.first[t] : self.first[t + 1]]
-            self._dense = place, table
+                table[i, self.rows[self.first[t] : self.first[t + 1]]] = weights[self.first[t] : self.first[t + 1]]
+            self._dense = place, table, weights
         return self._dense
 
     def __getstate__(self):
@@ -145,12 +147,16 @@ def _word_lists(sample: DataFrame) -> pa.Table:
             key, count = np.unique(doc * max(1, len(words.dictionary)) + codes, return_counts=True)
             offsets = pa.array(np.searchsorted(key, np.arange(len(batch) + 1) * max(1, len(words.dictionary))), pa.int32())
             each = words.dictionary.cast(pa.binary()).take(pa.array(key % max(1, len(words.dictionary))))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(2), batch.column(1), pa.ListArray.from_arrays(offsets, each), pa.ListArray.from_arrays(offsets, pa.array(count, pa.int32()))],
-                names=["i", "y", "words", "n"],
-            )
+            lists = pa.ListArray.from_arrays(offsets, each), pa.ListArray.from_arrays(offsets, pa.array(count, pa.int32()))
+            rows = pa.RecordBatch.from_arrays([batch.column(2), batch.column(1), *lists], names=["i", "y", "words", "n"])
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                writer.write_batch(rows)
+            yield pa.RecordBatch.from_arrays([pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["rows"])
 
-    return sample.mapInArrow(run, "i long, y int, words array<binary>, n array<int>").toArrow()
+    schema = pa.schema([("i", pa.int64()), ("y", pa.int32()), ("words", pa.list_(pa.binary())), ("n", pa.list_(pa.int32()))])
+    packed = sample.mapInArrow(run, "rows binary").toArrow()["rows"]
+    return pa.Table.from_batches([b.cast(schema) for p in packed for b in pa.ipc.open_stream(p.as_buffer())], schema)
 
 
 def _g2(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
@@ -208,7 +214,10 @@ def fit(
     term = number[term]
     kept = term >= 0
     row, term, count = row[kept], term[kept], count[kept]
-    weight = _unit(row, term, count, idf, n)
+    square = np.zeros(n)
+    for at in range(0, len(row), 1 << 20):
+        some = slice(at, at + (1 << 20))
+        square += np.bincount(row[some], ((1 + np.log(count[some])) * idf[term[some]]) ** 2, n)
     held = np.bincount(row, minlength=n)
     rate = n_toxic / n if n else 0.0
     base = (int(labels[held == 0].sum()) + rate) / (int((held == 0).sum()) + 1) if n else 0.0
@@ -220,14 +229,16 @@ def fit(
         body = slice(end[r] - held[r], end[r])
         own.append((names[r], sorted(zip(term[body].tolist(), count[body].tolist())) if often[names[r]] > 1 else [], r))
     examples = np.array([x[-1] for x in sorted(own)], np.int64)
-    del count, kept
+    del kept
     rank = np.zeros(n, np.int32)
     rank[examples] = np.arange(len(examples))
     row = rank[row]
-    order = np.lexsort((row, term))
+    order = np.argsort(term, kind="stable")
+    first = np.searchsorted(term[order], np.arange(len(terms) + 1)).astype(np.int64)
+    narrow = np.min_scalar_type(int(count.max())) if len(count) else np.uint8
     return ToxicModel(
         terms, idf, base, k, smooth, np.array([-1 if ids[r] is None else ids[r] for r in examples.tolist()], np.int64), labels[examples],
-        np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(terms)))]).astype(np.int64), row[order], weight[order], block,
+        first, row[order], count.astype(narrow)[order], np.sqrt(square[examples]), block,
     )
 
 
@@ -248,7 +259,7 @@ def training_sample(
 def neighbours(model: ToxicModel, cuts: np.ndarray, term: np.ndarray, weight: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """(rows, cosines) of the exact k nearest examples that share a term, for
     each document ``d`` with terms ``cuts[d]:cuts[d + 1]``."""
-    place, table = model.dense()
+    place, table, every = model.dense()
     n, out = len(model.ids), []
     common = place[term] >= 0
     for at in range(0, len(cuts) - 1, model.block):
@@ -263,7 +274,7 @@ def neighbours(model: ToxicModel, cuts: np.ndarray, term: np.ndarray, weight: np
                 begin, end = model.first[term[rare]], model.first[term[rare] + 1]
                 lists = list(zip(begin.tolist(), end.tolist()))
                 rows = np.concatenate([model.rows[x:y] for x, y in lists])
-                weights = np.concatenate([model.weights[x:y] for x, y in lists])
+                weights = np.concatenate([every[x:y] for x, y in lists])
                 weights *= np.repeat(weight[rare], end - begin)
                 total += np.bincount(rows, weights, n)
             least = np.partition(total, n - model.k)[n - model.k] if n > model.k else 0.0
