@@ -238,6 +238,41 @@ def test_expected_pieces_are_the_posterior(pieces):
     assert got == pytest.approx(want)
 
 
+def test_expected_pieces_of_long_words(pieces):
+    """Words of any length count, with numbers far below those of a float."""
+    import pyarrow as pa
+
+    rng = random.Random(11)
+    words = ["".join(rng.choices("日本語の文章今天氣很好我們去公園", k=n)).encode() for n in (30, 700)] + [b"short", "ab".encode() * 2000]
+    probs = np.random.default_rng(4).dirichlet(np.ones(len(pieces)), 2).T
+    index = {p: i for i, p in enumerate(pieces)}
+    langs = np.array([0, 1, 1, 0])
+    want = np.zeros((2, len(pieces)))
+    for w, lang, n in zip(words, langs, (2.0, 1.0, 3.0, 1.0)):
+        body = langid.MARK + w
+        arcs = [(i, j, index[body[i:j]]) for i in range(len(body)) for j in range(i + 1, min(len(body), i + 48) + 1) if body[i:j] in index]
+        up, down = np.full(len(body) + 1, -np.inf), np.full(len(body) + 1, -np.inf)
+        up[0] = down[-1] = 0
+        for i, j, p in arcs:
+            up[j] = np.logaddexp(up[j], up[i] + math.log(probs[p, lang]))
+        for i, j, p in reversed(arcs):
+            down[i] = np.logaddexp(down[i], down[j] + math.log(probs[p, lang]))
+        for i, j, p in arcs:
+            want[lang, p] += n * math.exp(up[i] + math.log(probs[p, lang]) + down[j] - up[-1])
+    got = langid.forward(langid.Lattice(pieces), pa.array(words), probs, np.array([2.0, 1.0, 3.0, 1.0]), langs)
+    assert got == pytest.approx(want, rel=1e-7, abs=1e-12)
+
+
+def test_languages_without_spaces_are_told_apart(spark, sf_dir, pieces):
+    letters = {"ja": "日本語の文章を書いています公園に行きました", "zh": "今天天氣很好我們去公園散步他們喜歡學習"}
+    rng = random.Random(12)
+    rows = [(i, "".join(rng.choices(letters[lang], k=60)) + "。", lang) for i, lang in enumerate(["ja", "zh"] * 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = QUERIES["op5_language_id"](spark, sf_dir(documents=docs)).collect()
+    held = [r.lang_pred == rows[r.doc_id][2] for r in got if r.held_out]
+    assert len(held) > 10 and all(held)
+
+
 SAMPLES = {
     "en": "the house and the garden were with this thing that should have been there when they came home from working",
     "de": "das haus und der garten waren mit dieser sache die nicht hätte sein sollen als sie nach hause gekommen sind",

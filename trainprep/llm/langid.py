@@ -32,7 +32,7 @@ from trainprep.llm.pretokens import Recent
 
 MARK = "▁".encode()
 MEMO = 100_000  # words that a worker keeps, in each of two generations
-LONG = 64  # bytes; longer training words are left out of the expected counts
+LONG = 64  # bytes; the numbers of longer words are kept in range as they are walked
 
 
 def read_pieces(path: str) -> list[bytes]:
@@ -119,11 +119,13 @@ def forward(lattice: Lattice, words: pa.Array, probs: np.ndarray, counts: np.nda
     a, b, pieces, own, step = a[order], b[order], pieces[order], own[order], step[order]
     cuts = np.searchsorted(step, np.arange(1, (step[-1] if len(step) else 0) + 2))
     nodes = len(data) + len(sizes)
-    first = offsets[:-1] + np.arange(len(sizes))
+    first, last = offsets[:-1] + np.arange(len(sizes)), offsets[1:] + np.arange(len(sizes))
+    reach = max(lattice.widths)
+    if counts is not None:
+        return _expected(a, b, pieces, own, cuts, nodes, probs, first, last, reach, counts, langs)
     alpha = np.zeros((nodes, n_lang))
     alpha[first] = 1.0
     scale = np.zeros((len(sizes), n_lang))
-    reach = max(lattice.widths)
     for t, (i, j) in enumerate(zip(cuts[:-1], cuts[1:]), 1):
         if i == j:
             continue
@@ -132,19 +134,15 @@ def forward(lattice: Lattice, words: pa.Array, probs: np.ndarray, counts: np.nda
         gain = alpha[a[i:j]] * probs[pieces[i:j]]
         for l in range(n_lang):
             alpha[new, l] = np.bincount(inverse, gain[:, l], len(new))
-        if counts is None and t % 16 == 0:  # long words: keep the numbers in range
+        if t % 16 == 0:  # long words: keep the numbers in range
             live = np.unique(w)
             span = first[live][:, None] + np.arange(max(0, t - reach), t + 1)
             top = alpha[span].max(axis=1)
             top[top == 0] = 1.0
             alpha[span] /= top[:, None, :]
             scale[live] += np.log(top)
-    last = offsets[1:] + np.arange(len(sizes))
     with np.errstate(divide="ignore"):
-        total = np.log(alpha[last]) + scale
-    if counts is None:
-        return total
-    return _expected(a, b, pieces, own, cuts, alpha, probs, sizes, first, last, counts, langs)
+        return np.log(alpha[last]) + scale
 
 
 def _runs(to: np.ndarray):
@@ -158,11 +156,39 @@ def _runs(to: np.ndarray):
     return ranked[change], inverse
 
 
-def _expected(a, b, pieces, own, cuts, alpha, probs, sizes, first, last, counts, langs):
-    """Forward-backward in the word's own language (words up to LONG bytes)."""
+def _rescale(values, level, scale, live, span):
+    """Divides the nodes ``span`` of the words ``live`` by their largest
+    value, whose logarithm goes into their level."""
+    top = values[span].max(axis=1)
+    top[top == 0] = 1.0
+    values[span] /= top[:, None]
+    level[span] += np.log(top)[:, None]
+    scale[live] += np.log(top)
+
+
+def _expected(a, b, pieces, own, cuts, nodes, probs, first, last, reach, counts, langs):
+    """Forward-backward in the word's own language.  In words over LONG bytes
+    a value stands for itself times exp(its level)."""
     lang = langs[own]
     p = probs[pieces, lang]
-    beta = np.zeros(len(alpha))
+    long = last - first > LONG
+    any_long = bool(long.any())
+    alpha, up, scale = np.zeros(nodes), np.zeros(nodes), np.zeros(len(first))
+    alpha[first] = 1.0
+    for t, (i, j) in enumerate(zip(cuts[:-1], cuts[1:]), 1):
+        if i == j:
+            continue
+        new, inverse = _runs(b[i:j])
+        alpha[new] = np.bincount(inverse, alpha[a[i:j]] * p[i:j], len(new))
+        if any_long:
+            up[b[i:j]] = scale[own[i:j]]
+            if t % 16 == 0:
+                live = np.unique(own[i:j])
+                live = live[long[live]]
+                _rescale(alpha, up, scale, live, first[live][:, None] + np.arange(max(0, t - reach), t + 1))
+    with np.errstate(divide="ignore"):
+        whole = np.log(alpha[last]) + up[last]
+    beta, down, scale = np.zeros(nodes), np.zeros(nodes), np.zeros(len(first))
     beta[last] = 1.0
     # backward by descending start: arcs sorted by start position in the word
     rel = a - first[own]
@@ -173,9 +199,21 @@ def _expected(a, b, pieces, own, cuts, alpha, probs, sizes, first, last, counts,
         if len(k):
             new, inverse = _runs(a[k])
             beta[new] = np.bincount(inverse, p[k] * beta[b[k]], len(new))
-    whole = alpha[last, langs]
-    ok = (sizes <= LONG) & (whole > 0)
-    share = np.where(ok[own], alpha[a, lang] * p * beta[b] / np.where(whole > 0, whole, 1)[own] * counts[own], 0.0)
+            if any_long:
+                down[a[k]] = scale[own[k]]
+                if rel[k[0]] % 16 == 0:
+                    live = np.unique(own[k])
+                    live = live[long[live]]
+                    span = first[live][:, None] + rel[k[0]] + np.arange(reach + 1)
+                    _rescale(beta, down, scale, live, np.minimum(span, last[live][:, None]))
+    share = np.zeros(len(a))
+    ok = np.isfinite(whole)
+    k = np.flatnonzero(ok[own] & ~long[own])
+    share[k] = alpha[a[k]] * p[k] * beta[b[k]] / np.exp(whole[own[k]]) * counts[own[k]]
+    k = np.flatnonzero(ok[own] & long[own])
+    with np.errstate(divide="ignore"):
+        logs = np.log(alpha[a[k]]) + np.log(p[k]) + np.log(beta[b[k]])
+    share[k] = np.exp(logs + up[a[k]] + down[b[k]] - whole[own[k]]) * counts[own[k]]
     key = lang * len(probs) + pieces
     return np.bincount(key, share, probs.shape[1] * len(probs)).reshape(probs.shape[1], len(probs))
 
