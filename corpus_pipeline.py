@@ -34,14 +34,17 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of every SimHash component (of rows with
-    one id: one)."""
+    """One document of every SimHash component: that of smallest id (a null
+    id comes last), of rows with one id that of the least digest of its
+    values."""
     _ready(spark)
-    found = simhash.near_duplicates(docs, shingle=3, radius=2)
-    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
-    # a row whose id is null has no smallest id to stand behind: it stays
-    once = docs.where("doc_id is not null").join(first, F.col("doc_id") == F.col("_first"), "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    values = F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"})
+    row = F.unhex(F.sha2(values, 256))
+    found = simhash.grouped(docs, shingle=3, radius=2, key=row)
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("m"))
+    kept = docs.withColumn("_row", row).join(best.select(F.col("m.key").alias("_row")), "_row", "left_semi")
+    # equal rows have one digest
+    return kept.dropDuplicates(["_row"]).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from __future__ import annotations
 from itertools import accumulate, combinations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trainprep.llm.common import sliced, staged
@@ -65,17 +65,23 @@ def shingle_hashes(text: bytes, shingle: int, seed: int) -> list[int]:
     return [xxh64_intdigest(joined[s : e - 1], seed) for s, e in zip(starts, ends[shingle - 1 :])]
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
-    """``(id, fp)``: one signed 64-bit fingerprint per row."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("body"))
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42, key: Column | None = None
+) -> DataFrame:
+    """``(id, fp)``, with ``key`` ``(id, fp, key)``: one signed 64-bit
+    fingerprint per row."""
+    keys = [] if key is None else [key.cast("binary").alias("key")]
+    extra = len(keys)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("body"), *keys)
 
     def compute(batches):
         for batch in sliced(batches, 1, 2 << 20):
             fps = [simhash64(shingle_hashes(t or b"", shingle, seed)) for t in batch.column(1).to_pylist()]
             signed = [f - (1 << 64) if f >> 63 else f for f in fps]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed, pa.int64())], names=["id", "fp"])
+            own = [batch.column(2)] if extra else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed, pa.int64()), *own], names=["id", "fp", "key"][: 2 + len(own)])
 
-    return rows.mapInArrow(compute, "id long, fp long")
+    return rows.mapInArrow(compute, "id long, fp long" + ", key binary" * extra)
 
 
 class BKTree:
@@ -227,19 +233,28 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2, seed: int = 42, tree_rows: int = TREE_ROWS
-) -> DataFrame:
-    """``(id, fingerprint, component_id)``, one row per row of ``docs``:
-    16 lower-case hex digits and the smallest id that links reach."""
-    fps = staged(fingerprints(docs, id_col, text_col, shingle, seed), "simhash")
+def grouped(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2, seed: int = 42, tree_rows: int = TREE_ROWS,
+    key: Column | None = None,
+) -> DataFrame:
+    """``(fp, id, component_id, root)`` and, if given, ``key``, one row per
+    row of ``docs``; ``root`` names the component whatever its ids."""
+    fps = staged(fingerprints(docs, id_col, text_col, shingle, seed, key), "simhash")
     classes = staged(fps.groupBy("fp").agg(F.min("id").alias("first")), "simhash-classes")
     roots = components(near_links(classes.select("fp"), radius, tree_rows))
     named = classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     # committed before the join, so that a fingerprint of very many copies
     # is a plain skewed join, which Spark splits
-    of_fp = staged(named.join(least, "root").select("fp", "component_id"), "simhash-components")
-    return fps.join(of_fp, "fp").select(
+    of_fp = staged(named.join(least, "root").select("fp", "component_id", "root"), "simhash-components")
+    return fps.join(of_fp, "fp")
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2, seed: int = 42, tree_rows: int = TREE_ROWS
+) -> DataFrame:
+    """``(id, fingerprint, component_id)``, one row per row of ``docs``:
+    16 lower-case hex digits and the smallest id that links reach."""
+    return grouped(docs, id_col, text_col, shingle, radius, seed, tree_rows).select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
