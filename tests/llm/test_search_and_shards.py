@@ -185,3 +185,22 @@ def test_decontamination_in_passes_and_edges(spark, make_docs):
     none = decontaminate.contamination(df, bench.limit(0)).collect()
     assert len(none) == len(docs) and not any(r.contaminated for r in none)
     assert decontaminate.contamination(df.limit(0), bench).collect() == []
+
+
+@pytest.mark.parametrize("n_words", [5, 10, 12, 13, 15, 16, 18, 20, 24, 31])
+def test_short_items_are_found_at_their_own_limit(n_words):
+    import pyarrow as pa
+
+    rng = random.Random(n_words)
+    limit = n_words // 5
+    items = [[f"i{k}w{i}" for i in range(n_words)] for k in range(100)]
+    texts = []
+    for words in items:
+        t = list(words)
+        for n, at in enumerate(sorted(rng.sample(range(n_words), limit), reverse=True)):
+            t[at : at + 1] = rng.choice([[f"x{n}"], [], [t[at], f"y{n}"]])
+        texts.append(" ".join(["before"] * 9 + t + ["after"] * 9))
+    index = decontaminate.ItemIndex(list(range(100)), [" ".join(w) for w in items], 0.8, 3, 5, 16, 7)
+    found = decontaminate._matches(index, pa.array(texts))
+    assert [i for i, f in enumerate(found) if i not in f] == []
+    assert all(f[i] <= limit for i, f in enumerate(found))

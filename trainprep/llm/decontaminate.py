@@ -10,8 +10,10 @@ differ by few edits walk together again soon after each edit.  For every
 start word of a document (an item-sized window) and for ``anchors`` starts
 spread over each item, a signature samples ``samples`` steps of the walk; equal
 signatures make a candidate.  ``repeats`` independent walks and samples
-reach the recall, and every candidate is decided by an exact edit distance
-on the words themselves.
+reach the recall.  An item under ``SHORT`` words has too few starts for that:
+it is cut in one run of words more than the edits it allows, one of which
+every such passage holds unchanged, so all of its passages are candidates.
+Every candidate is decided by an exact edit distance on the words themselves.
 
 Windows of all documents are walked by numpy inside the tasks that scan
 them, without a shuffle.  The index of the items is broadcast: its size is
@@ -36,6 +38,7 @@ from trainprep.llm import textbytes as tb
 from trainprep.llm.common import sliced
 
 STEPS = (12, 6, 3, 1)  # a walk reads no further than the item goes on
+SHORT = 32  # words
 
 
 def edit_distance_within(item: list, region: list, limit: int) -> int | None:
@@ -87,6 +90,29 @@ def _signatures(words, starts, moves, sampled, repeat):
     return out
 
 
+def _runs(words, starts, widths):
+    """For each width: a hash of the run of words from every start."""
+    import numpy as np
+
+    sig, out = np.full(len(starts), np.uint64(0x5EED), np.uint64), {}
+    for n in range(1, max(widths, default=0) + 1):
+        np.bitwise_xor(sig, words[starts + (n - 1)], out=sig)
+        np.multiply(sig, np.uint64(0x9E3779B97F4A7C15), out=sig)
+        if n in widths:
+            out[n] = tb.mix64(sig)
+    return out
+
+
+def _table(sig, item, off):
+    """Signatures in order with their items and offsets, and a bitmap."""
+    import numpy as np
+
+    order = np.argsort(sig)
+    bitmap = np.zeros(1 << 18, bool)
+    bitmap[(sig >> np.uint64(46)).astype(np.int64)] = True
+    return sig[order], item[order], off[order], bitmap
+
+
 def _widest(words, starts, item, off, moves, steps, anchors):
     """Up to ``anchors`` starts of each item: those whose sample reads the
     most different words, as a walk that stands still matches by chance;
@@ -128,9 +154,14 @@ class ItemIndex:
                 self.words.append(words)
                 self.limits.append(int((1 - similarity) * len(words) + 1e-9))
         where: dict[int, list[tuple[int, int, int]]] = {}  # walk length: (word position, item, offset)
+        runs: dict[int, list[tuple[int, int, int]]] = {}  # width: the same
         base, flat = 0, []
         for k, words in enumerate(self.words):
-            for off in range(len(words)):
+            parts = min(self.limits[k] + 1, len(words))
+            cuts = [len(words) * i // parts for i in range(parts + 1)]
+            for off, end in zip(cuts, cuts[1:]) if len(words) < SHORT else ():
+                runs.setdefault(end - off, []).append((base + off, k, off))
+            for off in range(len(words)) if len(words) >= SHORT else ():
                 # short walks only where an item has no room for a longer one
                 longest = next(n for n in STEPS if n <= len(words) - off)
                 if longest == next(n for n in STEPS if n <= len(words)):
@@ -139,6 +170,10 @@ class ItemIndex:
             base += len(words)
         self.lengths = sorted(where)
         hashes = np.append(word_hashes(flat), np.zeros(max(STEPS), np.uint64))
+        self.runs = {}
+        for n in sorted(runs):
+            at, item, off = (np.array(x, np.int64) for x in zip(*runs[n]))
+            self.runs[n] = _table(_runs(hashes, at, [n])[n], item, off)
         self.tables = []
         for r, (moves, sampled) in enumerate(self.plan):
             row = {}
@@ -147,14 +182,11 @@ class ItemIndex:
                 best = _widest(hashes, at, item, off, moves, sampled[n], anchors)
                 at, item, off = at[best], item[best], off[best]
                 sig = _signatures(hashes, at, moves, {n: sampled[n]}, r)[n]
-                order = np.argsort(sig)
-                bitmap = np.zeros(1 << 18, bool)
-                bitmap[(sig >> np.uint64(46)).astype(np.int64)] = True
-                row[n] = (sig[order], item[order], off[order], bitmap)
+                row[n] = _table(sig, item, off)
             self.tables.append(row)
 
     def nbytes(self) -> int:
-        return sum(len(w) + 60 for ws in self.words for w in ws) + sum(a.nbytes for t in self.tables for e in t.values() for a in e)
+        return sum(len(w) + 60 for ws in self.words for w in ws) + sum(a.nbytes for t in [*self.tables, self.runs] for e in t.values() for a in e)
 
 
 def word_hashes(words: list[bytes]):
@@ -176,24 +208,25 @@ def _matches(index: ItemIndex, texts: pa.Array) -> list[dict[int, int]]:
     starts, ends, first = tb.words_in(low, offsets, tb.ALNUM[low])
     if not len(starts) or not index.ids:
         return found
-    longest = max(index.lengths)
+    longest = max([*index.lengths, *index.runs])
     hashes = np.append(tb.span_hash(tb.prefix_hash(low), starts, ends), np.zeros(longest, np.uint64))
     tried: set[tuple[int, int, int]] = set()
     block = 1 << 15  # windows at a time: the arrays stay in the cache
     for at in range(0, len(starts), block):
         near = hashes[at : at + block + longest]
         here = np.arange(min(block, len(starts) - at))
-        for r, (moves, sampled) in enumerate(index.plan):
+        looked = [(sig, index.runs[n]) for n, sig in _runs(near, here, index.runs).items()]
+        for r, (moves, sampled) in enumerate(index.plan if index.lengths else ()):
             sigs = _signatures(near, here, moves, {n: sampled[n] for n in index.lengths}, r)
-            for n, sig in sigs.items():
-                known, items, offs, bitmap = index.tables[r][n]
-                maybe = np.flatnonzero(bitmap[(sig >> np.uint64(46)).view(np.int64)])
-                lo = np.searchsorted(known, sig[maybe], "left")
-                hi = np.searchsorted(known, sig[maybe], "right")
-                hit = hi > lo
-                for p, a, b in zip((maybe[hit] + at).tolist(), lo[hit].tolist(), hi[hit].tolist()):
-                    doc = int(np.searchsorted(first, p, "right")) - 1
-                    tried.update((doc, int(items[c]), p - int(offs[c])) for c in range(a, b))
+            looked += [(sig, index.tables[r][n]) for n, sig in sigs.items()]
+        for sig, (known, items, offs, bitmap) in looked:
+            maybe = np.flatnonzero(bitmap[(sig >> np.uint64(46)).view(np.int64)])
+            lo = np.searchsorted(known, sig[maybe], "left")
+            hi = np.searchsorted(known, sig[maybe], "right")
+            hit = hi > lo
+            for p, a, b in zip((maybe[hit] + at).tolist(), lo[hit].tolist(), hi[hit].tolist()):
+                doc = int(np.searchsorted(first, p, "right")) - 1
+                tried.update((doc, int(items[c]), p - int(offs[c])) for c in range(a, b))
     raw = low.tobytes()
     for doc, k, begin in sorted(tried):
         words, limit = index.words[k], index.limits[k]
