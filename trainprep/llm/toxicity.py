@@ -42,12 +42,12 @@ from trainprep.llm import textbytes as tb
 from trainprep.llm.common import sliced
 
 
-DENSE = 512  # terms
+DENSE = 384  # terms
 
 
 @dataclass
 class ToxicModel:
-    terms: list[bytes]
+    terms: list[bytes]  # in a worker: their bytes and sizes
     idf: np.ndarray  # weight of each term
     base: float  # toxic rate of examples without any term
     k: int
@@ -63,8 +63,7 @@ class ToxicModel:
     def lookup(self):
         """Sorted hashes of the terms, for :func:`term_counts`."""
         if not hasattr(self, "_sorted"):
-            joined = np.frombuffer(b"".join(self.terms), np.uint8)
-            sizes = np.array([len(t) for t in self.terms], np.int64)
+            joined, sizes = self.terms if isinstance(self.terms, tuple) else _joined(self.terms)
             ends = np.cumsum(sizes)
             hashes = tb.span_hash(tb.prefix_hash(joined), ends - sizes, ends)
             order = np.argsort(hashes)
@@ -76,7 +75,11 @@ class ToxicModel:
         -1), their weights in every example, and the weights of all ``rows``."""
         if not hasattr(self, "_dense"):
             held = np.diff(self.first)
-            weights = (1 + np.log(self.counts, dtype=np.float64)) * np.repeat(self.idf, held) / self.norms[self.rows]
+            weights = np.log(self.counts, dtype=np.float64)
+            weights += 1
+            weights *= np.repeat(self.idf, held)
+            for at in range(0, len(weights), 1 << 18):
+                weights[at : at + (1 << 18)] /= self.norms[self.rows[at : at + (1 << 18)]]
             common = np.argsort(-held, kind="stable")[:DENSE]
             common = common[held[common] * 64 > len(self.ids)]
             place = np.full(len(held), -1, np.int64)
@@ -88,7 +91,12 @@ class ToxicModel:
         return self._dense
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("_sorted", "_dense")}
+        state = {k: v for k, v in self.__dict__.items() if k not in ("_sorted", "_dense")}
+        return state | {"terms": _joined(self.terms) if isinstance(self.terms, list) else self.terms}  # a worker holds no object per term
+
+
+def _joined(terms: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(terms), np.uint8), np.array([len(t) for t in terms], np.int64)
 
 
 def _ragged(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -306,14 +314,14 @@ def score(
     def run(batches):
         m = shared.value
         memo: dict = {}
-        for batch in sliced(batches, len(keep), 1 << 20):
+        for batch in sliced(batches, len(keep), 1 << 19):
             values, why = [m.base] * len(batch), [[] for _ in range(len(batch))]
-            if m.terms and len(m.ids):
+            if len(m.ids):
                 text, term, count = term_counts(batch.column(len(keep)), m.lookup())
                 weight = _unit(text, term, count, m.idf, len(batch))
                 cuts = np.flatnonzero(np.r_[True, text[1:] != text[:-1]]) if len(text) else np.empty(0, np.int64)
                 ends = np.r_[cuts[1:], len(text)]
-                if len(memo) > 20_000:
+                if len(memo) > 10_000:
                     memo.clear()
                 keys = [sha256(term[a:b].tobytes() + count[a:b].tobytes()).digest() for a, b in zip(cuts.tolist(), ends.tolist())]
                 new = {key: d for d, key in enumerate(keys) if key not in memo}  # equal documents once
