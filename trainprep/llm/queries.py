@@ -15,10 +15,11 @@ from trainprep.llm import (
     secret_scan,
     sharding,
     simhash,
+    source_audit,
     token_files,
     toxicity,
 )
-from trainprep.llm.common import documents, fold_is, id_crc
+from trainprep.llm.common import documents, fold_is
 
 QUERIES = {}
 ORACLES = {}
@@ -124,3 +125,48 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of every document and the component that links reach."""
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, radius=2)
+
+
+@_query
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of each language, and each source's most overused terms."""
+    return source_audit.audit(documents(spark, sf_dir), min_docs=30, top=50, scale=1_000_000_000)
+
+
+ORACLES["op11_source_audit"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), w AS (
+  SELECT row_id, lang, source,
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM d
+), k AS (
+  SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT row_id) >= 30
+), c AS (
+  SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY ALL
+), v AS (
+  SELECT lang, count(*) AS v FROM k GROUP BY lang
+), g AS (
+  SELECT g.lang, g.source, coalesce(sum(c.n), 0)::HUGEINT AS n, coalesce(any_value(v.v), 0) AS v
+  FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN c USING (lang, source) LEFT JOIN v ON v.lang = g.lang
+  GROUP BY g.lang, g.source
+), p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (g.n + 5 * g.v) AS p
+  FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)
+), q AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang) + 5 * count(*) OVER (PARTITION BY lang)) AS q
+  FROM (SELECT lang, term, sum(n)::HUGEINT AS n FROM c GROUP BY lang, term)
+), f AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+), terms AS (
+  SELECT p.lang, p.source, 'term' AS part, p.term AS item, (p.p - q.q)::BIGINT AS value FROM p JOIN q USING (lang, term) WHERE p.n > 0 AND p.p > q.q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INTEGER AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
