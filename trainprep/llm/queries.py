@@ -10,6 +10,7 @@ from trainprep.llm import (
     byte_bpe,
     decontaminate,
     exact_topk,
+    fingerprint,
     langid,
     lm_scoring,
     secret_scan,
@@ -170,3 +171,9 @@ WITH d AS (
 )
 SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
 """
+
+
+@_query
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and their likeness."""
+    return fingerprint.compare_with_next(documents(spark, sf_dir))
