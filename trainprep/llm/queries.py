@@ -13,6 +13,7 @@ from trainprep.llm import (
     fingerprint,
     langid,
     lm_scoring,
+    prefix_trie,
     secret_scan,
     sharding,
     simhash,
@@ -177,3 +178,47 @@ SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR
 def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document and of its edited text, and their likeness."""
     return fingerprint.compare_with_next(documents(spark, sf_dir))
+
+
+@_query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all conversations, rebuilt to share beginnings."""
+    return prefix_trie.trie(prefix_trie.share_beginnings(prefix_trie.sequences(_table(spark, sf_dir, "conversations")), every=20, most=4))
+
+
+ORACLES["op13_prefix_trie"] = r"""
+WITH RECURSIVE tab(i, k, c) AS (
+  SELECT i, 0, i FROM range(256) r(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM tab WHERE k < 8
+), crc(conv_id, s, pos, v) AS (
+  SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR), 0, 4294967295 FROM conversations WHERE conv_id IS NOT NULL
+  UNION ALL
+  SELECT conv_id, s, pos + 1, xor(v >> 8, c) FROM crc JOIN tab ON k = 8 AND i = xor(v & 255, ascii(substr(s, pos + 1, 1))) WHERE pos < length(s)
+), own AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST,
+    md5(concat(octet_length(encode(coalesce(role, ''))), ':', coalesce(role, ''), coalesce(text, '')))) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), built AS (
+  SELECT own.conv_id, coalesce(base.turns, own.turns[1:0])[1:h] || own.turns[h + 1:] AS turns
+  FROM own JOIN (SELECT conv_id, xor(v, 4294967295) % 4 AS h FROM crc WHERE pos = length(s)) USING (conv_id)
+  LEFT JOIN own base ON base.conv_id = own.conv_id - own.conv_id % 20
+), begins AS (
+  SELECT conv_id, len(turns) AS n, d, turns[1:d] AS path FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM built)
+), node AS (
+  SELECT d, path, min(conv_id) AS least, count(*) AS members,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = d), '')) AS ends_sha256,
+    CASE WHEN d > 0 THEN len(regexp_extract_all(path[d].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS words
+  FROM begins GROUP BY d, path
+), child AS (
+  SELECT d - 1 AS d, path[1:d - 1] AS path, count(*) AS n_children FROM node WHERE d > 0 GROUP BY ALL
+), full_node AS (
+  SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN child USING (d, path)
+), below AS (
+  SELECT a AS d, path[1:a] AS path, sum(CAST(n_children = 0 AS INT)) AS n_leaves, sum((members - 1) * words) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM full_node) GROUP BY ALL
+)
+SELECT x.least AS conv_id, CAST(x.d AS BIGINT) AS depth, p.least AS parent_conv_id, x.members AS n_convs, CAST(x.n_children AS BIGINT) AS n_children,
+  CAST(below.n_leaves AS BIGINT) AS n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens, x.ends_sha256
+FROM full_node x JOIN below ON below.d = x.d AND below.path = x.path LEFT JOIN node p ON p.d = x.d - 1 AND p.path = x.path[1:x.d - 1]
+"""
