@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from table_paths import SF_SMALL
 
 QUERIES = [
     "render_sft", "token_freq", "dedup_exact", "seeded_shuffle", "pack_chars", "shard_shuffled",
