@@ -16,7 +16,7 @@ from trainprep.llm.queries import QUERIES, vocabulary_path
 
 P = pytest.importorskip("public_tokenizers")
 HARD = ["", None, " ", "  a", "a  ", "don't we'll 's '' 're'llx", "a\n\n b\t c", "I'M i'm\n's", "é ü 漢字 12½ ٣", " x y \x1cz\x85", "x" * 5000,
-        "<|endoftext|> hi", "' s ''s 've", "\U0001f600\U0001f601 a", "the the the", "the the the", " 's", "a's's", "\r\n \r\n x"]
+        "<|endoftext|> hi", "a <|endoftext|> b<|endoftext|><|endoftext|>", " <|", "endoftext|> <|endoftext |>", "' s ''s 've", "\U0001f600\U0001f601 a", "the the the", "the the the", " 's", "a's's", "\r\n \r\n x"]
 
 
 @pytest.fixture(scope="module")
@@ -39,9 +39,7 @@ def bpe(ranks):
 def _tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(vocabulary_path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(vocabulary_path("byte_bpe_50k.json"))
 
 
 @settings(max_examples=300, deadline=None)
@@ -132,10 +130,22 @@ def test_file_query_null_ids_repeats_and_empty(spark, make_docs, sf_dir):
     assert QUERIES["op3_byte_bpe"](spark, sf_dir(documents=docs.limit(0))).collect() == []
 
 
+def test_added_tokens_are_cut_out_first(spark, make_docs, sf_dir):
+    """Also in the midst of texts whose pre-tokens are known already."""
+    texts = [f"x{'y' * i} a <|endoftext|> b <|endoftext" + "|>" * (i % 2) for i in range(40)] + ["a b", " <|endo", "text|>"]
+    got = sorted(QUERIES["op8_token_files"](spark, sf_dir(documents=make_docs(texts))).collect())
+    library = _tokenizer()
+    assert library.encode("a <|endoftext|> b", add_special_tokens=False).ids.count(50256) == 1
+    for r, text in zip(got, texts):
+        ids = library.encode(text, add_special_tokens=False).ids + [2]
+        assert (r.n_tokens, r.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
 def test_frequent_ids_take_one_byte(spark, make_docs):
     with open(vocabulary_path("byte_bpe_50k.json"), encoding="utf-8") as f:
-        path, order = token_files.write(make_docs(["the the the cat", "the"]), f.read(), end_id=2)
-    files = spark.read.parquet(path).collect()
+        path = token_files.write(make_docs(["the the the cat", "the"]), f.read(), end_id=2)
+    files = spark.read.parquet(f"{path}/chunks").collect()
     # one byte each, filled up to whole control bytes
     assert all(len(r["data"]) == -(-r["n_ids"] // 4) * 4 for r in files)
-    assert token_files.read(spark, path, order).count() == 2
+    # nothing but the files is needed to read them
+    assert token_files.read(spark.newSession(), path).count() == 2

@@ -98,8 +98,8 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token ids, written to files and read back."""
     with open(vocabulary_path("byte_bpe_50k.json"), encoding="utf-8") as f:
-        path, order = token_files.write(documents(spark, sf_dir), f.read(), end_id=2)
-    return token_files.digests(token_files.read(spark, path, order))
+        path = token_files.write(documents(spark, sf_dir), f.read(), end_id=2)
+    return token_files.digests(token_files.read(spark, path))
 
 
 @_query

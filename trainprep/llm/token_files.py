@@ -9,11 +9,12 @@ numpy table.
 Files are tables of chunks in ascending id order: each row holds the ids and
 sizes of some whole documents and the two streams.  They are written by
 Spark's committed writer into the shared folder, and read back from there.
-The only driver data is the rank table (bounded by the vocabulary) and one
-total per file.
+The rank table lies beside them, so the files can be read on their own.  The
+only driver data is that table (bounded by the vocabulary).
 
 Equal pre-tokens always get equal ids, so the tokenizers library encodes each
-distinct pre-token of a batch once.  Defined results: a null or empty text
+distinct pre-token of a batch once.  A text that holds one of the vocabulary's
+added tokens (which the library cuts out first) is encoded whole.  Defined results: a null or empty text
 holds the end id alone; rows with equal ids each are a document, ordered by
 their tokens; a null id sorts first; an empty table writes no chunk; extra
 columns are ignored.
@@ -21,10 +22,12 @@ columns are ignored.
 
 from __future__ import annotations
 
+import json
 from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +39,7 @@ from trainprep.session import scratch_dir
 CHUNK = 1 << 20  # ids; a longer document is a chunk alone
 MEMO = 300_000
 LINE = 64  # distinct pre-tokens in one call of the library
-CHUNK_SCHEMA = "seq long, n_docs int, n_ids long, doc_ids binary, no_id binary, sizes binary, control binary, data binary"
+CHUNK_SCHEMA = "place long, n_docs int, n_ids long, doc_ids binary, no_id binary, sizes binary, control binary, data binary"
 
 _LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.int64)
 _TOTALS = _LENGTHS.sum(axis=1)
@@ -72,21 +75,42 @@ class LibraryEncoder:
 
     def __init__(self, vocabulary: str) -> None:
         self.vocabulary = vocabulary  # the JSON text
-        self.library = None
+        self.added = [t["content"] for t in json.loads(vocabulary).get("added_tokens") or []]
+        self.whole = self.library = None
         self.memo = Recent(MEMO)
 
     def __getstate__(self):
-        return {"vocabulary": self.vocabulary, "library": None, "memo": self.memo}
+        return self.__dict__ | {"whole": None, "library": None}
 
-    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if self.library is None:
-            import os
+    def _open(self) -> None:
+        import os
 
-            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-            from tokenizers import Tokenizer
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
 
-            self.library = Tokenizer.from_str(self.vocabulary)
-            self.library.encode_special_tokens = True
+        self.whole = Tokenizer.from_str(self.vocabulary)
+        # pre-tokens of texts without added tokens, where joined ones must not make one up
+        self.library = Tokenizer.from_str(json.dumps(json.loads(self.vocabulary) | {"added_tokens": []}))
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, first id of each text)."""
+        if self.library is None:
+            self._open()
+        texts = pc.fill_null(texts, "")
+        special = np.zeros(len(texts), bool)
+        for content in self.added:
+            special |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        if not special.any():
+            return self._plain_column(texts)
+        mask = pa.array(special)
+        ids, at = self._plain_column(pc.if_else(mask, "", texts))
+        parts, sizes = np.split(ids, at[1:-1]), np.diff(at)
+        for i, text in zip(np.flatnonzero(special).tolist(), texts.filter(mask).to_pylist()):
+            parts[i] = np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
+            sizes[i] = len(parts[i])
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum(sizes)])
+
+    def _plain_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         pieces, first = pretokens(texts)
         coded = pieces.dictionary_encode()
         distinct = tb.to_bytes(coded.dictionary)
@@ -101,7 +125,6 @@ class LibraryEncoder:
         ids, offsets = spread(flat, sizes, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64))
         return ids, offsets[first]
 
-
     def _library_ids(self, pieces: list[str]) -> list[bytes]:
         """Ids of each piece.  Pieces of a space and no other white space
         split the same way side by side, so they share calls."""
@@ -171,12 +194,15 @@ def frequency_order(coded: DataFrame) -> np.ndarray:
     return counts.sort_values(["n", "v"], ascending=[False, True])["v"].to_numpy().astype(np.uint32)
 
 
-def write(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> tuple[str, np.ndarray]:
-    """Writes the files in ascending id order; their folder, and the ids by
-    rank that a reader needs."""
+def write(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> str:
+    """Writes the files in ascending id order, and the ids by rank beside
+    them; their folder."""
     spark = docs.sparkSession
+    path = path or scratch_dir(spark, "token-files")
     coded = staged(encode(docs, vocabulary, end_id, id_col, text_col), "token-ids")
     order = frequency_order(coded)
+    ranks = pa.table({"rank": np.arange(len(order), dtype=np.int64), "id": order.astype(np.int64)})
+    spark.createDataFrame(ranks).coalesce(1).write.parquet(f"{path}/ranks")
     rank = np.zeros(int(order.max()) + 1 if len(order) else 1, np.uint32)
     rank[order] = np.arange(len(order), dtype=np.uint32)
     shared = spark.sparkContext.broadcast(rank)
@@ -186,17 +212,17 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_id",
     def run(batches):
         import zstandard
 
-        expand, seq = zstandard.ZstdDecompressor(), 0
+        expand, place = zstandard.ZstdDecompressor(), 0
         rows: list = []
         held = 0
 
         def chunk():
-            nonlocal seq
+            nonlocal place
             v = np.concatenate([shared.value[r[2]] for r in rows])
             control, data = pack(v)
             ids = np.array([r[0] or 0 for r in rows], "<i8").tobytes()
-            row = [seq, len(rows), len(v), ids, np.array([r[0] is None for r in rows]).tobytes(), np.array([r[1] for r in rows], "<i8").tobytes(), control, data]
-            seq += 1
+            row = [place, len(rows), len(v), ids, np.array([r[0] is None for r in rows]).tobytes(), np.array([r[1] for r in rows], "<i8").tobytes(), control, data]
+            place += len(v)
             kinds = (pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 5)
             names = [c.split()[0] for c in CHUNK_SCHEMA.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], names=names)
@@ -211,32 +237,29 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_id",
         if rows:
             yield chunk()
 
-    path = path or scratch_dir(spark, "token-files")
     # the range number is the file: partitions in order hold ascending ids
     files = ranged.mapInArrow(run, CHUNK_SCHEMA).select(F.spark_partition_id().alias("file"), "*")
-    files.write.option("compression", "zstd").parquet(path)
-    return path, order
+    files.write.option("compression", "zstd").parquet(f"{path}/chunks")
+    return path
 
 
-def read(spark: SparkSession, path: str, order: np.ndarray, id_col: str = "doc_id") -> DataFrame:
+def read(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
     """Per document: id, ``start`` (ids of all documents before it),
-    ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit integers)."""
-    chunks = spark.read.schema(f"file int, {CHUNK_SCHEMA}").parquet(path)
+    ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit integers).  The
+    chunks stay where they are read: only a number for each file is joined."""
+    ranks = spark.read.schema("rank long, id long").parquet(f"{path}/ranks").toPandas()  # bounded by the vocabulary
+    shared = spark.sparkContext.broadcast(ranks.sort_values("rank")["id"].to_numpy().astype("<u4"))
+    chunks = spark.read.schema(f"file int, {CHUNK_SCHEMA}").parquet(f"{path}/chunks")
     totals = chunks.groupBy("file").agg(F.sum("n_ids").alias("n"))
     # one row per file, so a window over all of them is small
     before = totals.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("file_start"))
-    index = chunks.select("file", "seq", "n_ids")
-    inner = F.sum("n_ids").over(Window.partitionBy("file").orderBy("seq")) - F.col("n_ids")
-    starts = index.withColumn("inner", inner).join(F.broadcast(before), "file")
-    starts = starts.select("file", "seq", (F.col("inner") + F.col("file_start")).alias("at"))
-    rows = chunks.join(starts, ["file", "seq"]).select("at", "n_ids", "doc_ids", "no_id", "sizes", "control", "data")
-    shared = spark.sparkContext.broadcast(order)
+    rows = chunks.join(F.broadcast(before), "file").select((F.col("place") + F.col("file_start")).alias("at"), "n_ids", "doc_ids", "no_id", "sizes", "control", "data")
 
     def run(batches):
         for batch in batches:
             for k in range(batch.num_rows):
                 at, n, doc_ids, no_id, sizes, control, data = (c[k].as_py() for c in batch.columns)
-                ids = shared.value[unpack(control, data, n)].astype("<u4")
+                ids = shared.value[unpack(control, data, n)]
                 size = np.frombuffer(sizes, "<i8")
                 ends = np.cumsum(size)
                 offsets = np.concatenate([[0], ends * 4]).astype(np.int64)
