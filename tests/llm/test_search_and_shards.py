@@ -204,3 +204,36 @@ def test_short_items_are_found_at_their_own_limit(n_words):
     found = decontaminate._matches(index, pa.array(texts))
     assert [i for i, f in enumerate(found) if i not in f] == []
     assert all(f[i] <= limit for i, f in enumerate(found))
+
+
+@pytest.mark.parametrize("heavy", [[], [0.6], [0.03] * 10 + [0.2] * 10 + [0.011 * i for i in range(1, 11)]])
+def test_many_blocks_and_large_groups_stay_even(spark, heavy):
+    """500 blocks, sizes up to a shard's 64th, large groups of every size."""
+    rng = random.Random(len(heavy))
+    light = [int(rng.paretovariate(0.8) * 100) for _ in range(5000)]
+    top = sum(light) // (24 * 64)
+    light = [min(s, top) for s in light]
+    fair = sum(light) / 24
+    sizes = light + [int(h * fair) for h in heavy] + ([int(3 * fair)] if len(heavy) == 1 else [])
+    groups = spark.createDataFrame([(b"%d" % i, s) for i, s in enumerate(sizes)], "key binary, size long")
+    rows = sharding.assign(groups, 24, block_groups=10).collect()
+    assert sorted(int(r.key) for r in rows) == list(range(len(sizes)))
+    sums = [0] * 24
+    for r in rows:
+        sums[r.shard] += sizes[int(r.key)]
+    if max(sizes) > sum(sizes) / 24:
+        sums.remove(max(sizes))  # alone in its shard
+    assert max(sums) < 1.01 * sum(sums) / len(sums)
+
+
+def test_few_groups_get_plain_differencing(spark):
+    rng = random.Random(9)
+    sizes = [rng.randrange(1, 10_000) for _ in range(300)]
+    keys = [b"%03d" % i for i in range(300)]
+    rows = sharding.assign(spark.createDataFrame(list(zip(keys, sizes)), "key binary, size long"), 4).collect()
+    order = sorted(range(300), key=lambda i: -sizes[i])
+    want = sharding.difference([[(sizes[i], [i])] for i in order], 4)
+    got = [0] * 4
+    for r in rows:
+        got[r.shard] += sizes[int(r.key)]
+    assert sorted(got) == sorted(s for s, _ in want)

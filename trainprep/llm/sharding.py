@@ -7,14 +7,14 @@ order.  The two with the largest spread are combined first, until one is
 left.
 
 At scale the groups are cut into blocks of about ``block_groups`` by a hash,
-each differenced in a task of its own.  Groups over a ``heavy``-th of a
-shard's fair share (at most ``shards * heavy`` of them, so bounded) are
-differenced first on the driver; every block then starts from its share of
-that result as one more partial partition, so that light groups fill up the
-shards that heavy ones left behind.  Blocks are uneven by a few bytes each,
-and a last differencing of the blocks' sums would change little; where no
-group is heavy the block results are combined by differencing as well, in
-tasks of at most ``block_groups`` blocks, level by level.
+each differenced in a task of its own, and the blocks' partial partitions are
+differenced in turn, ``FAN_IN`` to a task, level by level.  They are not yet
+shards but ``pieces`` times as many pieces of near equal bytes.  Groups larger
+than a piece's fair share (fewer than there are pieces, so bounded) take no
+part in the blocks: they and the pieces, a few thousand sums, are differenced
+last.  So large groups of any size meet pieces that are small enough to fill
+the shards up around them, and a corpus of few groups, where every piece is
+one group, gets plain differencing.
 
 Slots number the rows of a shard without gaps: rows are counted in small
 units dealt by a hash of the id, and each unit starts after the units before
@@ -27,6 +27,7 @@ and a slot; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+from bisect import insort
 from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
@@ -36,12 +37,26 @@ from pyspark.sql import functions as F
 from trainprep.llm.common import parts_for, staged
 
 Partial = list[tuple[int, list]]  # (sum, groups), largest first
+PIECES = 128  # to a shard
+FAN_IN = 32
+
+
+def _least(x: tuple[int, list]) -> int:
+    return -x[0]
 
 
 def combine(a: Partial, b: Partial, shards: int) -> Partial:
-    """Largest sums of one with smallest of the other."""
+    """Largest sums of one with smallest of the other; both are used up."""
     if len(a) + len(b) <= shards:
+        if not a or not b or a[-1][0] >= b[0][0]:
+            a.extend(b)
+            return a
         out = a + b
+    elif len(a) == shards and len(b) == 1:
+        s, g = a.pop()
+        g.extend(b[0][1])
+        insort(a, (s + b[0][0], g), key=_least)
+        return a
     else:
         out = []
         for i, (s, g) in enumerate(a):
@@ -75,58 +90,49 @@ def difference(parts: list[Partial], shards: int) -> Partial:
     return heap[0][2] if heap else []
 
 
-def assign(groups: DataFrame, shards: int, block_groups: int = 8192, heavy: int = 64) -> DataFrame:
+def assign(groups: DataFrame, shards: int, block_groups: int = 8192, pieces: int = PIECES) -> DataFrame:
     """``(key, shard)`` for ``groups (key, size)``; keys are distinct."""
     spark = groups.sparkSession
     total, n = groups.agg(F.sum("size"), F.count("*")).first()
-    total = int(total or 0)
-    limit = max(1, total // (shards * heavy))
-    big = groups.where(F.col("size") > limit).orderBy(F.desc("size"), "key").collect()  # under shards * heavy rows
-    top = difference([[(int(r["size"]), [r["key"]])] for r in big], shards)
-    top += [(0, []) for _ in range(shards - len(top))]
-    head = [s for s, _ in top]
-    light = total - sum(head)
-    n_blocks = parts_for(int(n) - len(big), block_groups)
-    fixed = [(k, i) for i, (_, keys) in enumerate(top) for k in keys]
-    heavy_rows = spark.createDataFrame(fixed, "key binary, shard int") if fixed else None
+    total, n_pieces = int(total or 0), shards * pieces
+    limit = max(1, total // n_pieces)
+    large = groups.where(F.col("size") > limit).orderBy(F.desc("size"), "key").collect()  # under n_pieces rows
+    n_blocks = parts_for(int(n) - len(large), block_groups)
 
     def solve(table: pa.Table) -> pa.Table:
         keys, sizes = table["key"].to_pylist(), table["size"].to_pylist()
         order = sorted(range(len(keys)), key=lambda i: (-sizes[i], keys[i]))
-        parts: list[Partial] = [[(sizes[i], [i])] for i in order]
-        share = sum(sizes) / light if light else 0
-        marks = [(round(s * share), [-1 - i]) for i, s in enumerate(head)]
-        if any(head):
-            parts.append(sorted(marks, key=lambda x: -x[0]))
-        shard = [0] * len(keys)
-        for place, (_, members) in enumerate(difference(parts, shards)):
-            name = next((-1 - m for m in members if m < 0), place) if any(head) else place
+        piece = [0] * len(keys)
+        for place, (_, members) in enumerate(difference([[(sizes[i], [i])] for i in order], n_pieces)):
             for m in members:
-                if m >= 0:
-                    shard[m] = name
-        return pa.table({"block": table["block"], "key": table["key"], "size": table["size"], "shard": pa.array(shard, pa.int32())})
+                piece[m] = place
+        return pa.table({"block": table["block"], "key": table["key"], "size": table["size"], "piece": pa.array(piece, pa.int32())})
 
     blocked = groups.where(F.col("size") <= limit).withColumn("block", F.pmod(F.xxhash64("key"), F.lit(n_blocks)).cast("long"))
-    solved = staged(blocked.groupBy("block").applyInArrow(solve, "block long, key binary, size long, shard int"), "kk-blocks")
-    if any(head):
-        return solved.select("key", "shard").unionByName(heavy_rows)
-    return solved.join(_relabelled(solved, shards, block_groups), ["block", "shard"]).select("key", F.col("name").alias("shard"))
-
-
-def _relabelled(solved: DataFrame, shards: int, fan_in: int) -> DataFrame:
-    """``(block, shard, name)``: the blocks' partial partitions differenced in
-    levels; ``shards`` rows a block."""
-    now = staged(solved.groupBy("block", "shard").agg(F.sum("size").alias("size")), "kk-level")
-    names = now.select("block", "shard", F.col("block").alias("node"), F.col("shard").alias("name"))
+    solved = staged(blocked.groupBy("block").applyInArrow(solve, "block long, key binary, size long, piece int"), "kk-blocks")
+    names, sums = _relabelled(solved, n_pieces, FAN_IN)
+    parts: list[Partial] = [[(int(r["size"]), [bytes(r["key"])])] for r in large] + [[(s, [name])] for name, s in sums]
+    parts.sort(key=lambda p: -p[0][0])
+    place = {m: i for i, (_, members) in enumerate(difference(parts, shards)) for m in members}
+    whole = spark.createDataFrame([(bytes(r["key"]), place[bytes(r["key"])]) for r in large], "key binary, shard int")
+    of_piece = F.broadcast(spark.createDataFrame([(name, place[name]) for name, _ in sums], "name int, shard int"))  # n_pieces rows
+    return solved.join(names, ["block", "piece"]).join(of_piece, "name").select("key", "shard").unionByName(whole)
+
+
+def _relabelled(solved: DataFrame, pieces: int, fan_in: int) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """``(block, piece, name)``: the blocks' partial partitions differenced in
+    levels, ``pieces`` rows a block; and the sum under each name."""
+    now = staged(solved.groupBy("block", "piece").agg(F.sum("size").alias("size")), "kk-level")
+    names = now.select("block", "piece", F.col("block").alias("node"), F.col("piece").alias("name"))
     nodes = now.select("block").distinct().count()
-    level = now.select(F.col("block").alias("node"), F.col("shard").alias("name"), "size")
+    level = now.select(F.col("block").alias("node"), F.col("piece").alias("name"), "size")
 
     def solve(table: pa.Table) -> pa.Table:
         by: dict[int, Partial] = {}
         for node, name, size in zip(*(table[c].to_pylist() for c in ("node", "name", "size"))):
             by.setdefault(node, []).append((size, [(node, name)]))
         parts = [sorted(by[k], key=lambda x: (-x[0], x[1])) for k in sorted(by)]
-        out = [(node, name, place) for place, (_, members) in enumerate(difference(parts, shards)) for node, name in members]
+        out = [(node, name, place) for place, (_, members) in enumerate(difference(parts, pieces)) for node, name in members]
         up = table["up"][0].as_py() if table.num_rows else 0
         cols = list(zip(*out)) or [[], [], []]
         return pa.table({"node": pa.array(cols[0], pa.int64()), "name": pa.array(cols[1], pa.int32()), "up": pa.array([up] * len(out), pa.int64()), "place": pa.array(cols[2], pa.int32())})
@@ -135,10 +141,12 @@ def _relabelled(solved: DataFrame, shards: int, fan_in: int) -> DataFrame:
         nodes = parts_for(nodes, fan_in)
         grouped = level.withColumn("up", F.pmod(F.xxhash64("node"), F.lit(nodes)).cast("long")).groupBy("up")
         moved = staged(grouped.applyInArrow(solve, "node long, name int, up long, place int"), "kk-level")
-        names = names.join(moved, ["node", "name"]).select("block", "shard", F.col("up").alias("node"), F.col("place").alias("name"))
+        names = names.join(moved, ["node", "name"]).select("block", "piece", F.col("up").alias("node"), F.col("place").alias("name"))
         names = staged(names, "kk-names")
         level = level.join(moved, ["node", "name"]).groupBy(F.col("up").alias("node"), F.col("place").alias("name")).agg(F.sum("size").alias("size"))
-    return names.select("block", "shard", "name")
+        level = staged(level, "kk-sums")
+    sums = level.groupBy("name").agg(F.sum("size").alias("size")).orderBy("name").collect()  # at most ``pieces`` rows
+    return names.select("block", "piece", "name"), [(r["name"], int(r["size"])) for r in sums]
 
 
 def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", overhead: int = 8, unit_rows: int = 20_000, block_groups: int = 8192) -> DataFrame:
