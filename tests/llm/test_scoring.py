@@ -64,6 +64,71 @@ def test_lm_blocks_do_not_matter(spark, make_docs):
     assert all(r.score < 0 for r in rows)
 
 
+def brute_scores(texts, training, held):
+    """Deleted interpolation by dictionaries over lists of tokens."""
+    token_lists = [brute_tokens(t) for t in texts]
+
+    def counted(keep):
+        words, pairs = Counter(), Counter()
+        for tokens, k in zip(token_lists, keep):
+            if k:
+                words.update(tokens)
+                pairs.update(zip([None, *tokens], tokens))
+        return words, pairs, sum(words.values()), len(words)
+
+    def bucket(c):
+        return min(int(math.log2(c)) + 1, lm_scoring.BUCKETS - 1) if c else 0
+
+    def parts(words, pairs, n, v, tokens):
+        for before, t in zip([None, *tokens], tokens):
+            yield bucket(words[before]), pairs[before, t] / words[before] if words[before] else 0.0, words[t] / max(n, 1), 1 / (v + 1)
+
+    steps = lm_scoring.STEPS_PER_OCTAVE
+    rounded = lambda p: 2.0 ** (round(steps * math.log2(p)) / steps) if p else 0.0
+    kept = counted([t and not h for t, h in zip(training, held)])
+    cells = Counter()
+    for tokens, h in zip(token_lists, held):
+        if h:
+            cells.update((b, rounded(p2), rounded(p1)) for b, p2, p1, _ in parts(*kept, tokens))
+    uniform = 1 / (kept[3] + 1)
+
+    def em(rows):
+        w = [1 / 3] * 3
+        for _ in range(40):
+            sums = [0.0] * 3
+            for (_, p2, p1), k in rows:
+                share = [w[0] * p2, w[1] * p1, w[2] * uniform]
+                for i in range(3):
+                    sums[i] += k * share[i] / sum(share)
+            w = [x / sum(sums) for x in sums]
+        return w
+
+    weights = {}
+    for b in range(lm_scoring.BUCKETS):
+        rows = [c for c in cells.items() if c[0][0] == b]
+        w = [max(x, 1e-6) for x in em(rows or list(cells.items()))]
+        if b == 0:
+            w[0] = 0.0
+        weights[b] = [x / sum(w) for x in w]
+    whole = counted(training)
+    return [sum(math.log10(sum(x * y for x, y in zip(weights[b], p))) for b, *p in parts(*whole, tokens)) for tokens in token_lists]
+
+
+@pytest.mark.parametrize("fan, block_bytes", [(512, 4 << 20), (2, 100), (3, 400)])
+def test_lm_scores_equal_plain_python(spark, make_docs, fan, block_bytes):
+    """One block, or a tree of many levels; a very long text among them."""
+    from pyspark.sql import functions as F
+
+    texts = [*lm_texts(150), "w0 w1 nw1 " * 3_000]
+    df = make_docs(texts).repartition(3)
+    train = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2)
+    held = {r[0]: r[1] for r in df.select("doc_id", train & (F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(10)) == 0)).collect()}
+    rows = sorted(lm_scoring.score(df, train, block_bytes=block_bytes, fan=fan).collect())
+    want = brute_scores(texts, [crc(i) % 7 != 2 for i in range(len(texts))], [held[i] for i in range(len(texts))])
+    assert any(held.values())
+    assert [r.score for r in rows] == pytest.approx(want, rel=1e-9)
+
+
 def test_lm_estimates_sum_to_one():
     """Over all words, the end and one unknown word, after any context."""
     weights = lm_scoring.learn_weights(np.array([[1.0, 0.5, 0.1, 4], [2.0, 0.0, 0.2, 3]]), 0.01)

@@ -14,9 +14,14 @@ Execution, with counts of the whole corpus and no table of it in one place:
 1. the scan packs documents into blocks (about ``block_bytes`` of text):
    distinct words, and the text as word numbers; written once;
 2. each block sends its distinct words and bigrams, already counted, to
-   buckets of their hash: one row per block and bucket, so a frequent word
-   weighs as much as a rare one;
-3. a bucket adds the counts up and answers every block in its own order;
+   ``fan`` buckets of their hash, so a frequent word weighs as much as a rare
+   one.  A node is the bucket of ``fan`` blocks; it adds their counts up and
+   sends the sums on to ``fan`` finer buckets of ``fan`` times as many blocks,
+   and so on until one node has a bucket of all blocks.  Every level has
+   ``fan`` rows a block of the level below at most, whatever the corpus, and a
+   node holds about as much as one block;
+3. totals go back down the same tree: each node answers its senders in the
+   order in which they asked;
 4. a block meets its answers again: first the held-out blocks, for a bounded
    table of (context bucket, rounded estimates) from which the weights are
    learned, then all blocks, for the scores.
@@ -27,7 +32,8 @@ share a count with probability of about their number squared over 2^65.
 Defined results: a null text is empty and holds the end token alone; without
 training texts every score is 0; contexts of a bucket without held-out
 tokens take the weights of all buckets together; rows with equal ids each
-give a row; extra columns are ignored.
+give a row; extra columns are ignored; a text longer than a block is a block
+of its own, held whole in one task (about 60 bytes a byte of text).
 """
 
 from __future__ import annotations
@@ -40,7 +46,8 @@ from pyspark.sql import functions as F
 from trainprep.llm import textbytes as tb
 from trainprep.llm.common import staged
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+FAN = 512
 BUCKETS = 48  # of context frequency
 END = 0  # number of the end token; words count from 1
 _BLOCK = (
@@ -113,6 +120,23 @@ def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     return docs.mapInArrow(run, _BLOCK)
 
 
+def _word_hashes(words: list[bytes]) -> np.ndarray:
+    """The empty word stands for the end token."""
+    lengths = np.array([len(w) for w in words], np.int64)
+    ends = np.cumsum(lengths)
+    out = tb.span_hash(tb.prefix_hash(np.frombuffer(b"".join(words), np.uint8)), ends - lengths, ends)
+    out[lengths == 0] = _END_HASH
+    return out
+
+
+def _by_hash(hashes: np.ndarray, words: list[bytes]) -> np.ndarray:
+    """Order by hash; words of one hash by themselves."""
+    order = np.argsort(hashes, kind="stable")
+    if (hashes[order[1:]] == hashes[order[:-1]]).any():
+        order = np.array(sorted(order.tolist(), key=lambda i: (int(hashes[i]), words[i])), np.int64)
+    return order
+
+
 class Block:
     """A block opened: hashes and order of its words and bigrams."""
 
@@ -124,12 +148,8 @@ class Block:
         self.sizes = np.frombuffer(row["sizes"], "<i8")
         self.train = np.frombuffer(row["train"], bool)
         self.codes = _expand(row["codes"], np.uint32).astype(np.int64)
-        lengths = np.array([len(w) for w in self.words], np.int64)
-        ends = np.cumsum(lengths)
-        joined = np.frombuffer(b"".join(self.words), np.uint8)
-        own = tb.span_hash(tb.prefix_hash(joined), ends - lengths, ends) if self.words else np.empty(0, np.uint64)
-        self.hashes = np.concatenate([[_END_HASH], own]).astype(np.uint64)
-        self.order = np.argsort(self.hashes, kind="stable")  # answers come in this order
+        self.hashes = _word_hashes([b"", *self.words])
+        self.order = _by_hash(self.hashes, [b"", *self.words])  # answers come in this order
         first = np.cumsum(self.sizes) - self.sizes
         before = np.empty_like(self.codes)
         before[1:] = self.codes[:-1]
@@ -145,79 +165,146 @@ def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def _requests(blocks: DataFrame, buckets: int) -> DataFrame:
-    """``(block, held, bucket, kind, keys, counts)``: what each block holds."""
+_REQUEST = "node long, bucket long, child long, wants boolean, kind int, keys binary, total binary, held binary"
+_ANSWER = "child long, bucket long, kind int, total binary, kept binary, n long, v long, n_kept long, v_kept long"
+_KINDS = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
 
-    def run(batches):
-        import zstandard
 
+class _Rows:
+    """Rows of a schema, gathered by name."""
+
+    def __init__(self, schema: str) -> None:
+        self.shape = [c.split() for c in schema.split(", ")]
+        self.cells: dict[str, list] = {n: [] for n, _ in self.shape}
+
+    def add(self, **row) -> None:
+        for n, column in self.cells.items():
+            column.append(row.get(n))
+
+    def arrays(self) -> dict[str, pa.Array]:
+        return {n: pa.array(self.cells[n], _KINDS[t]) for n, t in self.shape}
+
+
+def _ask(out: _Rows, kind: int, hashes: np.ndarray, keys, total: np.ndarray, held: np.ndarray | None, buckets: int, first: int, fan: int, **row) -> None:
+    """A row for every bucket in use of entries in the order of their hash;
+    ``first`` and ``buckets`` give the buckets that they can fall into."""
+    import zstandard
+
+    cuts = np.searchsorted(_bucket(hashes, buckets), np.arange(first, first + fan + 1))
+    for k, (i, j) in enumerate(zip(cuts, cuts[1:])):
+        if i < j:
+            blob = zstandard.compress(b"\n".join(keys[i:j]), 1) if kind == 1 else _squeeze(np.diff(hashes[i:j], prepend=np.uint64(0)))
+            own = None if held is None or not held[i:j].any() else _squeeze(held[i:j])
+            out.add(bucket=first + k, kind=kind, keys=blob, total=_squeeze(total[i:j]), held=own, **row)
+
+
+def _requests(blocks: DataFrame, nodes: int, fan: int) -> DataFrame:
+    """What each block holds, for ``nodes`` groups of blocks."""
+
+    def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 b = Block(row)
                 words = [b"", *b.words]
-                n_word = np.bincount(b.codes[b.counted], minlength=len(words)).astype(np.uint32)[b.order]
-                n_pair = np.bincount(b.pair_of[b.counted], minlength=len(b.pairs)).astype(np.uint32)
-                out: list[list] = [[], [], [], []]
-                cuts = np.searchsorted(_bucket(b.hashes[b.order], buckets), np.arange(buckets + 1))
-                for k, (i, j) in enumerate(zip(cuts, cuts[1:])):
-                    if i < j:
-                        blob = zstandard.compress(b"\n".join(words[c] for c in b.order[i:j]), 1)
-                        for cell, x in zip(out, (k, 1, blob, _squeeze(n_word[i:j]))):
-                            cell.append(x)
-                cuts = np.searchsorted(_bucket(b.pairs, buckets), np.arange(buckets + 1))
-                for k, (i, j) in enumerate(zip(cuts, cuts[1:])):
-                    if i < j:
-                        gaps = np.diff(b.pairs[i:j], prepend=np.uint64(0))
-                        for cell, x in zip(out, (k, 2, _squeeze(gaps), _squeeze(n_pair[i:j]))):
-                            cell.append(x)
-                n = len(out[0])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["block"]] * n, pa.int64()), pa.array([row["held"]] * n), pa.array(out[0], pa.int32()),
-                     pa.array(out[1], pa.int32()), pa.array(out[2], pa.binary()), pa.array(out[3], pa.binary())],
-                    names=["block", "held", "bucket", "kind", "keys", "counts"],
-                )
-
-    return blocks.mapInArrow(run, "block long, held boolean, bucket int, kind int, keys binary, counts binary")
-
-
-_ANSWER = "block long, held boolean, bucket int, kind int, total binary, kept binary, n long, v long, n_kept long, v_kept long"
-
-
-def _answer(table: pa.Table) -> pa.Table:
-    """A bucket's totals in the order of each request; one row more with the
-    sums over its words."""
-    import zstandard
+                n_word = np.bincount(b.codes[b.counted], minlength=len(words))[b.order]
+                n_pair = np.bincount(b.pair_of[b.counted], minlength=len(b.pairs))
+                out = _Rows(_REQUEST)
+                name = {"node": int(tb.mix64(np.array([row["block"]], np.uint64))[0] % np.uint64(nodes)), "child": row["block"], "wants": row["held"]}
+                for kind, hashes, keys, n in ((1, b.hashes[b.order], [words[c] for c in b.order], n_word), (2, b.pairs, None, n_pair)):
+                    _ask(out, kind, hashes, keys, n, n if row["held"] else None, fan, 0, fan, **name)
+                yield pa.RecordBatch.from_pydict(out.arrays())
 
-    out: dict[str, list] = {c.split()[0]: [] for c in _ANSWER.split(", ")}
+    return blocks.mapInArrow(run, _REQUEST)
 
-    def add(**cells):
-        for c, column in out.items():
-            column.append(cells.get(c))
 
-    rows = sorted(table.to_pylist(), key=lambda r: (r["kind"], r["block"]))
+def _merged(table: pa.Table):
+    """For each kind: its requests by child, the entry of each of their keys,
+    the entries' hashes (ascending) and words, totals and held-out counts."""
+    import zstandard
+
+    rows = sorted(table.to_pylist(), key=lambda r: (r["kind"], r["child"]))
     for kind in (1, 2):
         own = [r for r in rows if r["kind"] == kind]
         if not own:
             continue
-        counts = [_expand(r["counts"], np.uint32).astype(np.int64) for r in own]
+        counts = [_expand(r["total"], np.int64) for r in own]
         if kind == 1:
-            words = [zstandard.decompress(r["keys"]).split(b"\n") for r in own]
-            codes = pa.array([w for ws in words for w in ws], pa.binary()).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            coded = pa.array([w for r in own for w in zstandard.decompress(r["keys"]).split(b"\n")], pa.binary()).dictionary_encode()
+            words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+            hashes = _word_hashes(words)
+            order = _by_hash(hashes, words)
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            words, hashes, codes = [words[i] for i in order], hashes[order], place[codes]
         else:
-            codes = np.unique(np.concatenate([np.cumsum(_expand(r["keys"], np.uint64)) for r in own]), return_inverse=True)[1]
-        every = np.concatenate(counts)
-        held = np.repeat([r["held"] for r in own], [len(c) for c in counts])
-        total = np.bincount(codes, every).astype(np.int64)
-        kept = total - np.bincount(codes, every * held, len(total)).astype(np.int64)
+            words = None
+            hashes, codes = np.unique(np.concatenate([np.cumsum(_expand(r["keys"], np.uint64)) for r in own]), return_inverse=True)
+        total = np.zeros(len(hashes), np.int64)
+        np.add.at(total, codes, np.concatenate(counts))
+        held = np.zeros(len(hashes), np.int64)
+        every = [np.zeros(len(c), np.int64) if r["held"] is None else _expand(r["held"], np.int64) for r, c in zip(own, counts)]
+        np.add.at(held, codes, np.concatenate(every))
+        yield kind, own, np.split(codes, np.cumsum([len(c) for c in counts])[:-1]), hashes, words, total, held
+
+
+def _sums_up(buckets: int, nodes: int, fan: int):
+    """A node's sums as requests to the level above."""
+
+    def run(table: pa.Table) -> pa.Table:
+        out = _Rows(_REQUEST)
+        node, bucket = table["node"][0].as_py(), table["bucket"][0].as_py()
+        for kind, _, _, hashes, words, total, held in _merged(table):
+            _ask(out, kind, hashes, words, total, held, buckets, bucket * fan, fan, node=node % nodes, child=node, wants=True)
+        return pa.table(out.arrays())
+
+    return run
+
+
+def _reply(out: _Rows, kind: int, own: list[dict], parts: list[np.ndarray], total: np.ndarray, kept: np.ndarray) -> None:
+    for r, part in zip(own, parts):
+        out.add(child=r["child"], bucket=r["bucket"], kind=kind, total=_squeeze(total[part]), kept=_squeeze(kept[part]) if r["wants"] else None)
+
+
+def _totals(table: pa.Table) -> pa.Table:
+    """The last level: totals in the order of each request; one row more with
+    the sums over the words."""
+    out = _Rows(_ANSWER)
+    for kind, own, parts, _, _, total, held in _merged(table):
+        kept = total - held
         if kind == 1:
-            add(block=-1, n=int(total.sum()), v=int((total > 0).sum()), n_kept=int(kept.sum()), v_kept=int((kept > 0).sum()))
-        at = 0
-        for r, c in zip(own, counts):
-            part = codes[at : at + len(c)]
-            at += len(c)
-            add(block=r["block"], held=r["held"], bucket=r["bucket"], kind=kind, total=_squeeze(total[part]), kept=_squeeze(kept[part]) if r["held"] else None)
-    kinds = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
-    return pa.table({n: pa.array(out[n], kinds[t]) for n, t in (c.split() for c in _ANSWER.split(", "))})
+            out.add(child=-1, n=int(total.sum()), v=int((total > 0).sum()), n_kept=int(kept.sum()), v_kept=int((kept > 0).sum()))
+        _reply(out, kind, own, parts, total, kept)
+    return pa.table(out.arrays())
+
+
+def _passed_down(asked: pa.Table, answers: pa.Table) -> pa.Table:
+    """A node's answers, in the order of its sums, dealt out to its senders."""
+    out = _Rows(_ANSWER)
+    if asked.num_rows:
+        rows = sorted(answers.to_pylist(), key=lambda r: (r["kind"], r["bucket"]))
+        for kind, own, parts, *_ in _merged(asked):
+            total, kept = (np.concatenate([_expand(r[c], np.int64) for r in rows if r["kind"] == kind]) for c in ("total", "kept"))
+            _reply(out, kind, own, parts, total, kept)
+    return pa.table(out.arrays())
+
+
+def _counted(blocks: DataFrame, n_blocks: int, fan: int) -> tuple[DataFrame, tuple[int, ...]]:
+    """Answers to every block, and the sums over the words."""
+    levels = 1
+    while fan**levels < n_blocks:
+        levels += 1
+    nodes = [max(1, -(-n_blocks // fan**k)) for k in range(1, levels + 1)]
+    asked = [_requests(blocks, nodes[0], fan)]
+    for k in range(1, levels):
+        asked[-1] = staged(asked[-1], "lm-asked")
+        asked.append(asked[-1].groupBy("node", "bucket").applyInArrow(_sums_up(fan ** (k + 1), nodes[k], fan), _REQUEST))
+    answers = staged(asked.pop().groupBy("node", "bucket").applyInArrow(_totals, _ANSWER), "lm-answers")
+    sums = answers.where("child = -1").agg(*[F.sum(c) for c in ("n", "v", "n_kept", "v_kept")]).first()
+    while asked:
+        above = answers.where("child >= 0").select("child", "bucket", "kind", "total", "kept", F.col("child").alias("node"), F.floor(F.col("bucket") / fan).cast("long").alias("of"))
+        answers = staged(asked.pop().groupBy("node", "bucket").cogroup(above.groupBy("node", "of")).applyInArrow(_passed_down, _ANSWER), "lm-answers")
+    own = answers.where("child >= 0").select(F.col("child").alias("block"), "bucket", "kind", "total", "kept")
+    return own, tuple(int(x or 0) for x in sums)
 
 
 def _counts(b: Block, answers: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray]:
@@ -265,7 +352,7 @@ def learn_weights(table: np.ndarray, uniform: float, rounds: int = 40) -> np.nda
 STEPS_PER_OCTAVE = 4
 
 
-def score(docs: DataFrame, is_training: Column, id_col: str = "doc_id", text_col: str = "text", held_share: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def score(docs: DataFrame, is_training: Column, id_col: str = "doc_id", text_col: str = "text", held_share: int = 10, block_bytes: int = BLOCK_BYTES, fan: int = FAN) -> DataFrame:
     """id, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and
     ``score`` (log10), one row per row of ``docs``."""
     spark = docs.sparkSession
@@ -273,12 +360,7 @@ def score(docs: DataFrame, is_training: Column, id_col: str = "doc_id", text_col
     train = F.coalesce(is_training, F.lit(False))
     held = train & (F.pmod(F.xxhash64(text), F.lit(held_share)) == 0)
     blocks = staged(_blocks(docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), train.alias("train"), held.alias("held")), block_bytes), "lm-blocks")
-    buckets = max(1, blocks.select("block").count())
-    asked = _requests(blocks, buckets)
-    answers = staged(asked.groupBy("bucket").applyInArrow(_answer, _ANSWER), "lm-answers")
-    sums = answers.where("block = -1").agg(*[F.sum(c) for c in ("n", "v", "n_kept", "v_kept")]).first()
-    n, v, n_kept, v_kept = (int(x or 0) for x in sums)
-    own = answers.where("block >= 0").select("block", "held", "bucket", "kind", "total", "kept")
+    own, (n, v, n_kept, v_kept) = _counted(blocks, blocks.select("block").count(), fan)
 
     def histogram(block: pa.Table, answer: pa.Table) -> pa.Table:
         b = Block(block.to_pylist()[0])
@@ -288,7 +370,7 @@ def score(docs: DataFrame, is_training: Column, id_col: str = "doc_id", text_col
         key, count = np.unique(np.stack([bucket, q2, q1]), axis=1, return_counts=True)
         return pa.table({"bucket": key[0], "q2": key[1], "q1": key[2], "n": count})
 
-    held_blocks = blocks.where("held").groupBy("block").cogroup(own.where("held").groupBy("block"))
+    held_blocks = blocks.where("held").groupBy("block").cogroup(own.where("kept is not null").groupBy("block"))
     cells = held_blocks.applyInArrow(histogram, "bucket long, q2 long, q1 long, n long").groupBy("bucket", "q2", "q1").agg(F.sum("n").alias("n"))
     cells = cells.toPandas()[["bucket", "q2", "q1", "n"]].to_numpy(dtype=float)  # bounded by the rounding, not by the corpus
     for c in (1, 2):  # 1 marks an estimate of zero
