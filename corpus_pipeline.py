@@ -25,12 +25,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _carried(docs: DataFrame) -> DataFrame:
+    """Id and text, and the whole row as one struct, so that no column of
+    the user's meets a name of an operator's."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("carried"))
+
+
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity operator does not predict as toxic."""
     _ready(spark)
-    model = toxicity.fit(toxicity.training_sample(docs, _table(spark, sf_dir, "labels").where(~fold_is(5, 0))), whole=True)
-    extra = [c for c in docs.columns if c != "doc_id"]
-    return toxicity.score(docs, model, extra=extra).where("predicted = 0").select(*docs.columns)
+    rows = _carried(docs)
+    model = toxicity.fit(toxicity.training_sample(rows.select("doc_id", "text"), _table(spark, sf_dir, "labels").where(~fold_is(5, 0))), whole=True)
+    return toxicity.score(rows, model, extra=["carried"]).where("predicted = 0").select("carried.*")
 
 
 def keep_one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,28 +44,27 @@ def keep_one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     id comes last), of rows with one id that of the least digest of its
     values."""
     _ready(spark)
-    values = F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"})
-    row = F.unhex(F.sha2(values, 256))
-    found = simhash.grouped(docs, shingle=3, radius=2, key=row)
+    rows = _carried(docs)
+    row = F.unhex(F.sha2(F.to_json("carried", {"ignoreNullFields": "false"}), 256))
+    found = simhash.grouped(rows, shingle=3, radius=2, key=row)
     best = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("m"))
-    kept = docs.withColumn("_row", row).join(best.select(F.col("m.key").alias("_row")), "_row", "left_semi")
+    kept = rows.select(row.alias("row"), "carried").join(best.select(F.col("m.key").alias("row")), "row", "left_semi")
     # equal rows have one digest
-    return kept.dropDuplicates(["_row"]).select(*docs.columns)
+    return kept.dropDuplicates(["row"]).select("carried.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
     _ready(spark)
-    extra = [c for c in docs.columns if c != "doc_id"]
-    found = decontaminate.contamination(docs, _table(spark, sf_dir, "benchmark"), extra=extra)
-    return found.where("not contaminated").select(*docs.columns)
+    found = decontaminate.contamination(_carried(docs), _table(spark, sf_dir, "benchmark"), extra=["carried"])
+    return found.where("not contaminated").select("carried.*")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, reported secrets replaced by a mask."""
     _ready(spark)
     masked = secret_scan.redact(docs)
-    return masked.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else masked
+    return masked.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else masked
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
