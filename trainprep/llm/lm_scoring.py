@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from trainprep.llm import textbytes as tb
 from trainprep.llm.common import staged
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 FAN = 512
 BUCKETS = 48  # of context frequency
 END = 0  # number of the end token; words count from 1
