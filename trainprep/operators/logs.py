@@ -6,12 +6,12 @@ from __future__ import annotations
 import ast
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trainprep.functions.text import py_float
 from trainprep.operators.columns import computed_once
-from trainprep.operators.ordinal import range_sorted, with_ordinal
+from trainprep.operators.ordinal import range_sorted
 from trainprep.operators.scan import stop_points
 
 # Output column order of the two log tables.
@@ -63,16 +63,21 @@ def _literal_items(text: str | None) -> dict | None:
 
 def parse_literal(text: str | Column) -> Column:
     """L2 by Python's own rules (trailing commas, ``.5``, ``1_0``, tuples,
-    other keys; ``true`` is no literal).  An Arrow-batched helper: slower
-    than :func:`parse_dict`, for logs that hold more than plain entries."""
+    other keys; ``true`` is no literal), in an Arrow-batched helper."""
 
     @F.pandas_udf("map<string,string>")
     def parse(texts: pd.Series) -> pd.Series:
-        return texts.map(_literal_items)
+        return texts.map(_literal_items, na_action="ignore")
 
     return parse.asNondeterministic()(F.col(text) if isinstance(text, str) else text)
 
 
+# Dict literals that JSON reads alike: plain strings, and numbers as both write them.
+_PLAIN_STRING = r"'[^'\\\p{Cntrl}]*'|\"[^\"\\\p{Cntrl}]*\""
+_PLAIN_VALUE = rf"(?:{_PLAIN_STRING}|-?(?:0|[1-9][0-9]{{0,15}})(?:\.[0-9]+)?(?:[eE][+-]?[0-9]{{1,2}})?)"
+PLAIN_DICT = rf"^\{{ *(?:(?:{_PLAIN_STRING}) *: *{_PLAIN_VALUE} *(?:, *(?:{_PLAIN_STRING}) *: *{_PLAIN_VALUE} *)*)?\}}$"
+
+
 def dict_get(d: Column, key: str) -> Column:
     """Value of ``key`` in a parsed dict, the last one when the key repeats
     (as a Python dict keeps it; a parsed map keeps every entry and ``d[key]``
@@ -81,15 +86,23 @@ def dict_get(d: Column, key: str) -> Column:
     return F.try_element_at(hits, F.lit(-1))["value"]
 
 
-def log_dicts(lines: DataFrame, line: str = "value", exact: bool = False) -> DataFrame:
+def log_dicts(lines: DataFrame, line: str = "value", exact: bool = True) -> DataFrame:
     """Lines -> parsed dicts (column ``d``), unmatched or unparsable lines
-    dropped; ``exact`` reads every form of a Python dict literal."""
+    dropped, by the rules of Python's literals.
+
+    Dicts of plain strings and numbers, nearly all of a log, are parsed by
+    Spark, which reads them as Python does; only the others go through the
+    helper (a null costs it nothing).  ``exact=False`` reads all of them by
+    JSON's rules instead, without Python workers.
+    """
     keep = [c for c in lines.columns if c != line]
     matched = computed_once(lines, keep, _m=first_dict(line))
-    if exact:
-        found = matched.where(F.col("_m").isNotNull()).select(*keep, parse_literal("_m").alias("d"))
-        return found.where(F.col("d").isNotNull())
-    parsed = computed_once(matched, keep, d=parse_dict("_m"))
+    if not exact:
+        parsed = computed_once(matched, keep, d=parse_dict("_m"))
+        return parsed.where(F.col("d").isNotNull())
+    routed = computed_once(matched.where(F.col("_m").isNotNull()), [*keep, "_m"], _plain=F.col("_m").rlike(PLAIN_DICT))
+    other = routed.withColumn("_other", parse_literal(F.when(~F.col("_plain"), F.col("_m"))))
+    parsed = computed_once(other, keep, d=F.when(F.col("_plain"), parse_dict("_m")).otherwise(F.col("_other")))
     return parsed.where(F.col("d").isNotNull())
 
 
@@ -127,14 +140,17 @@ def best_eval(evals: DataFrame, run: str = "rank") -> DataFrame:
 def compare_runs(dicts: DataFrame, run: str = "rank") -> DataFrame:
     """Runs side by side (A7), from the parsed dicts of :func:`log_dicts` in
     one pass: best eval loss and epoch, eval / train row counts, last train
-    loss, and the place of each run by best loss.
+    loss, and the place of each run by best loss.  Of train rows of one
+    epoch the last is the one of the greatest ``line`` where the dicts carry
+    it, else of the greatest loss.
 
     Equal losses share a place (NaN behind infinity, runs without an
     evaluation last, as SQL's ``rank`` with nulls last).
     """
     d = F.col("d")
     wanted = dict.fromkeys(["eval_loss", *TRAIN_COLUMNS])
-    rows = computed_once(dicts, [run], _eval=F.map_contains_key(d, "eval_loss"), **{c: py_float(dict_get(d, c)) for c in wanted})
+    late = "line" if "line" in dicts.columns else "loss"
+    rows = computed_once(dicts, list(dict.fromkeys([run, *(["line"] if late == "line" else [])])), _eval=F.map_contains_key(d, "eval_loss"), **{c: py_float(dict_get(d, c)) for c in wanted})
     evaluated = F.col("_eval") & F.col("eval_loss").isNotNull() & F.col("epoch").isNotNull()
     trained = ~F.col("_eval")
     for c in TRAIN_COLUMNS:
@@ -143,17 +159,15 @@ def compare_runs(dicts: DataFrame, run: str = "rank") -> DataFrame:
         F.min(F.when(evaluated, F.struct("eval_loss", "epoch"))).alias("_best"),
         F.nullif(F.count_if(evaluated), F.lit(0)).alias("n_evals"),
         F.nullif(F.count_if(trained), F.lit(0)).alias("n_train"),
-        F.max_by(F.when(trained, F.col("loss")), F.when(trained, F.col("epoch"))).alias("last_train_loss"),
+        F.max_by(F.when(trained, F.col("loss")), F.when(trained, F.struct("epoch", late))).alias("last_train_loss"),
     )
     runs = per_run.select(
         run, F.col("_best.eval_loss").alias("best_loss"), F.col("_best.epoch").alias("best_epoch"),
         "n_evals", "n_train", "last_train_loss",
     )
-    # rank() by best loss without a single-partition window: global ordinal
-    # on (best_loss, run), then the first ordinal of each loss value + 1
-    ordered = with_ordinal(runs, [F.col("best_loss").asc_nulls_last(), F.col(run)])
-    first = ordered.groupBy(F.col("best_loss").alias("_loss")).agg((F.min("ord") + 1).cast("long").alias("place"))
-    return ordered.join(first, F.col("best_loss").eqNullSafe(F.col("_loss"))).drop("_loss", "ord")
+    # one row per run, so the window that ranks them is small
+    place = F.rank().over(Window.orderBy(F.col("best_loss").asc_nulls_last())).cast("long").alias("place")
+    return runs.select("*", place)
 
 
 def early_stop(

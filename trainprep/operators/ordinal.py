@@ -67,10 +67,12 @@ def row_in_partition(rid: str | Column = RID) -> Column:
 
 
 def partition_offsets(ranged: DataFrame) -> DataFrame:
-    """``(_p, _offset)``: rows in all earlier partitions.  One row per partition."""
+    """``(_p, _offset, _total)``: rows in all earlier partitions, and in all.
+    One row per partition."""
     counts = ranged.groupBy(partition_of().alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long").alias("_offset"))
+    total = F.sum("_n").over(Window.partitionBy()).alias("_total")
+    return counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long").alias("_offset"), total)
 
 
 def with_ordinal(
@@ -79,12 +81,16 @@ def with_ordinal(
     name: str = "ord",
     num_partitions: int | None = None,
     persist_input: bool = False,
+    total: str | None = None,
 ) -> DataFrame:
-    """Add ``name`` = 0-based position of the row in ``order_by`` order."""
+    """Add ``name`` = 0-based position of the row in ``order_by`` order, and
+    ``total`` (if named) = the number of rows, known from the same offsets."""
     ranged = range_sorted(df, order_by, num_partitions, persist_input)
     offsets = partition_offsets(ranged)
     joined = ranged.withColumn("_p", partition_of()).join(F.broadcast(offsets), "_p")
-    return joined.withColumn(name, F.col("_offset") + row_in_partition()).drop("_p", "_offset", RID)
+    if total:
+        joined = joined.withColumn(total, F.col("_total"))
+    return joined.withColumn(name, F.col("_offset") + row_in_partition()).drop("_p", "_offset", "_total", RID)
 
 
 def chunk_by_count(df: DataFrame, ord_col: str, files_per_chunk: int, name: str = "chunk_id") -> DataFrame:
@@ -94,15 +100,21 @@ def chunk_by_count(df: DataFrame, ord_col: str, files_per_chunk: int, name: str
     return df.withColumn(name, F.floor(F.col(ord_col) / F.lit(files_per_chunk)).cast("long"))
 
 
-def ordered_split(df: DataFrame, ord_col: str, test_size: float = 0.1, n: int | None = None, name: str = "split") -> DataFrame:
+def ordered_split(df: DataFrame, ord_col: str, test_size: float = 0.1, n: int | str | None = None, name: str = "split") -> DataFrame:
     """Ordered train/test split (W5): the last ``ceil(test_size * n)`` rows are
     ``test``, the rest ``train``; no shuffle, no sort once ``ord`` exists.
 
-    ``n`` (the row count, one scalar) is counted when not given.
+    ``n`` is the row count, or the name of a column that holds it (as
+    :func:`with_ordinal` adds it; the column is dropped).  It is counted
+    when not given.
     """
     if not 0 < test_size < 1:
         raise ValueError("test_size must be in (0, 1)")
     if n is None:
         n = df.count()
-    n_train = n - math.ceil(float(test_size) * n)
-    return df.withColumn(name, F.when(F.col(ord_col) < F.lit(n_train), "train").otherwise("test"))
+    if isinstance(n, str):
+        n_train = F.col(n) - F.ceil(F.lit(float(test_size)) * F.col(n))
+    else:
+        n_train = F.lit(n - math.ceil(float(test_size) * n))
+    split = df.withColumn(name, F.when(F.col(ord_col) < n_train, "train").otherwise("test"))
+    return split.drop(n) if isinstance(n, str) else split

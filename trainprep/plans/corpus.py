@@ -59,8 +59,8 @@ FROM o
 """,
 )
 def train_test_split(spark, sf_dir):
-    ordered = with_ordinal(documents(spark, sf_dir).select("doc_id"), ["doc_id"])
-    return ordered_split(ordered, "ord", TEST_SIZE)
+    ordered = with_ordinal(documents(spark, sf_dir).select("doc_id"), ["doc_id"], total="n")
+    return ordered_split(ordered, "ord", TEST_SIZE, n="n")
 
 
 @query(

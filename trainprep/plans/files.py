@@ -10,12 +10,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from trainprep.functions.text import PY_WHITESPACE_CLASS, char_length
+from trainprep.operators.curate import dedup_first
 from trainprep.operators.ordinal import chunk_by_count, with_ordinal
 from trainprep.operators.packing import pack_by_chars
 from trainprep.plans.fixtures import (
     OPENERS_SQL,
     write_json_folder,
     write_openers_csv,
+    write_parquet_parts,
     write_txt_folder,
     write_zip_folder,
 )
@@ -24,6 +26,7 @@ from trainprep.plans.tables import MESSAGE_TURNS_SQL, table
 from trainprep.session import scratch_dir
 from trainprep.sinks.files import write_chunks
 from trainprep.sources.files import scan_json_folder, scan_openers, scan_txt_folder, scan_zip_txt
+from trainprep.sources.parquet import numbered_scan
 
 FILES_PER_CHUNK = 10
 PACK_LIMIT = 100_000
@@ -223,6 +226,39 @@ def shard_sink_roundtrip(spark, sf_dir):
     return spark.read.parquet(out).select("shard", "ord", F.md5("text").alias("text_md5"))
 
 
+@query(
+    "sharder_flow",
+    f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id DESC) AS BIGINT) AS rn, CAST(length(text) AS BIGINT) AS len
+  FROM (SELECT text, max(doc_id) AS doc_id FROM documents GROUP BY text) s),
+r AS (
+  SELECT rn, doc_id, len, CASE WHEN len >= {SHARD_LIMIT} THEN 0 ELSE len END AS cur, len >= {SHARD_LIMIT} AS closed,
+         CAST(1 AS BIGINT) AS shard_id FROM d WHERE rn = 1
+  UNION ALL
+  SELECT d.rn, d.doc_id, d.len,
+         CASE WHEN d.len >= {SHARD_LIMIT} THEN 0 WHEN r.closed OR r.cur + d.len > {SHARD_LIMIT} THEN d.len ELSE r.cur + d.len END,
+         d.len >= {SHARD_LIMIT},
+         CASE WHEN d.len >= {SHARD_LIMIT} OR r.closed OR r.cur + d.len > {SHARD_LIMIT} THEN r.shard_id + 1 ELSE r.shard_id END
+  FROM r JOIN d ON d.rn = r.rn + 1)
+SELECT 'part_' || printf('%04d', shard_id) AS shard, rn - 1 AS place, md5(text) AS text_md5
+FROM r JOIN documents USING (doc_id)
+""",
+)
+def sharder_flow(spark, sf_dir):
+    """The sharder end to end: a folder of parquet files, its rows in (file,
+    row) order, the first of equal texts kept, shards of 20,000 characters
+    written, read back with each text's place."""
+    rows = numbered_scan(spark, [write_parquet_parts(spark, sf_dir)], ["text"])
+    kept = dedup_first(rows, key="text", ord_col="ord")
+    sharded = pack_by_chars(kept, [F.col("ord")], char_length("text"), SHARD_LIMIT, isolate=True, ord_name="place")
+    out = scratch_dir(spark, "sharder")
+    write_chunks(
+        sharded, out, "chunk_id", "place", ["place", "text"], partition_name="shard", prefix="part", width=4, base=1, range_ordered=True, layout="sorted"
+    )
+    return spark.read.parquet(out).select("shard", "place", F.md5("text").alias("text_md5"))
+
+
 @query(
     "json_chunk_sink",
     f"""

@@ -85,17 +85,41 @@ def write_run_logs(spark: SparkSession, sf_dir: str) -> str:
     a glob of the files.  Spark writes each rank's lines in parallel."""
     out = scratch_dir(spark, "logs")
     ev = table(spark, sf_dir, "events")
-    lines = ev.select(
-        F.concat(F.lit("train_rank"), run_rank(F.col("user_id")).cast("string"), F.lit(".log")).alias("log"),
-        log_line(ev).alias("value"),
-    )
-    lines.write.partitionBy("log").text(out)
+    name = F.concat(F.lit("train_rank"), run_rank(F.col("user_id")).cast("string"), F.lit(".log")).alias("log")
+    lines = ev.select("event_id", name, log_line(ev).alias("value"))
+    # a run's lines stand in order of event, over several files
+    ranged = lines.repartitionByRange(4, "event_id").sortWithinPartitions("log", "event_id")
+    ranged.select("log", "value").write.partitionBy("log").text(out)
     return f"{out}/log=train_rank*.log/*.txt"
 
 
 RANK_SQL = "CAST(32 * (user_id % 5 + 1) AS BIGINT)"
 
 
+@once_per_session
+def write_parquet_parts(spark: SparkSession, sf_dir: str) -> str:
+    """``documents`` as several parquet files in a folder, by falling id;
+    column ``body`` is the text, null where ``doc_id % 9 = 0``."""
+    out = scratch_dir(spark, "parts")
+    docs = table(spark, sf_dir, "documents")
+    body = F.when(F.col("doc_id") % 9 != 0, F.col("text")).alias("body")
+    ranged = docs.select("doc_id", "text", body).repartitionByRange(6, F.desc("doc_id")).sortWithinPartitions(F.desc("doc_id"))
+    ranged.write.parquet(out)
+    return out
+
+
+@once_per_session
+def write_noisy_log(spark: SparkSession, sf_dir: str) -> str:
+    """One text file per task: lines ``<event_id> <bytes>`` in order of event,
+    some of whose bytes are no UTF-8."""
+    out = scratch_dir(spark, "noisy")
+    ev = table(spark, sf_dir, "events")
+    odd = F.when(F.col("event_id") % 3 == 0, F.unhex(F.lit("FF41C3"))).when(F.col("event_id") % 3 == 1, F.unhex(F.lit("C3A9"))).otherwise(F.unhex(F.lit("")))
+    lines = ev.select("event_id", F.concat(F.col("event_id").cast("string").cast("binary"), F.lit(" ").cast("binary"), odd, F.lit("|").cast("binary")).cast("string").alias("value"))
+    lines.repartitionByRange(3, "event_id").sortWithinPartitions("event_id").select("value").write.text(out)
+    return f"{out}/*.txt"
+
+
 def _conv_name(conv_id: Column, suffix: str = ".json") -> Column:
     return F.concat(F.lit("conv_"), zero_pad(conv_id, 6), F.lit(suffix))
 

@@ -112,6 +112,6 @@ def sft_split(spark, sf_dir):
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
     )
-    ordered = with_ordinal(data, ["_file", "_block", "_row"])
-    rendered = sft_text(ordered, keep=["ord"])
-    return ordered_split(rendered, "ord", 0.1)
+    ordered = with_ordinal(data, ["_file", "_block", "_row"], total="n")
+    rendered = sft_text(ordered, keep=["ord", "n"])
+    return ordered_split(rendered, "ord", 0.1, n="n")

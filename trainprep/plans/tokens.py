@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from trainprep.functions.tokenizers import NATIVE_PATTERNS
 from trainprep.operators.tokens import distinct_tokens, text_column, token_frequency, token_length_distribution
 from trainprep.plans.registry import query
 from trainprep.plans.tables import MESSAGE_TURNS_SQL, message_turns, table
-from trainprep.sources.parquet import corpus_scan
+from trainprep.plans.fixtures import write_parquet_parts
+from trainprep.sources.parquet import corpus_scan, numbered_scan
 
 WORD = NATIVE_PATTERNS["word"]
 SPACE = NATIVE_PATTERNS["whitespace"]
@@ -92,3 +95,27 @@ def token_json_roundtrip(spark, sf_dir):
     out = scratch_dir(spark, "tokens")
     token_frequency(table(spark, sf_dir, "documents"), "text", "word").orderBy("token").write.json(out)
     return spark.read.schema("token string, text string, count long").json(out)
+
+
+@query(
+    "token_freq_parquet",
+    f"""
+SELECT token, token AS text, count(*) AS count
+FROM (SELECT unnest(regexp_extract_all(text, '{WORD}')) AS token FROM documents WHERE doc_id % 9 <> 0) t GROUP BY token
+""",
+)
+def token_freq_parquet(spark, sf_dir):
+    """Token counts of a named column of parquet files, nulls left out; no
+    text at all would be an error."""
+    bodies = text_column(corpus_scan(spark, [write_parquet_parts(spark, sf_dir)], "body"), "body", require_rows=True)
+    return token_frequency(bodies, "text", "word")
+
+
+@query(
+    "rows_in_file_order",
+    "SELECT CAST(row_number() OVER (ORDER BY doc_id DESC) - 1 AS BIGINT) AS ord, doc_id, md5(text) AS text_md5 FROM documents",
+)
+def rows_in_file_order(spark, sf_dir):
+    """Each row's place over all files of a folder, from the footers."""
+    rows = numbered_scan(spark, [write_parquet_parts(spark, sf_dir)], ["doc_id", "text"])
+    return rows.select("ord", "doc_id", F.md5("text").alias("text_md5"))

@@ -7,13 +7,14 @@ import zipfile
 
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trainprep.functions.text import lossy_utf8, normalize_newlines, py_strip
 from trainprep.operators.columns import computed_once
 from trainprep.operators.ordinal import with_ordinal
 from trainprep.schemas import MESSAGES
+from trainprep.sources.parquet import plain_path
 
 DATASET_FORMATS = {".json": "json", ".jsonl": "json", ".parquet": "parquet", ".csv": "csv"}
 
@@ -55,18 +56,41 @@ def _whole_json(spark: SparkSession, path: str) -> bool:
 RUN_KEY_PATTERN = r"train_rank(\d+)\.log"
 
 
+def _numbered(raw: DataFrame, group: list[str]) -> DataFrame:
+    """``raw (group, value, _path, _block)`` with ``line``: the 0-based number
+    of the row among those of its group, in order of file name and place.
+
+    Lines are counted per split where they are read; prefix sums over the
+    splits, one row each, say how many come before.  The lines themselves
+    are neither sorted nor shuffled.
+    """
+    rows = raw.withColumn("_id", F.monotonically_increasing_id())
+    splits = rows.groupBy(*group, "_path", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    order = Window.partitionBy(*group) if group else Window.partitionBy()
+    before = order.orderBy(plain_path("_path"), "_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select("_path", "_block", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    placed = rows.join(F.broadcast(starts), ["_path", "_block"])
+    return placed.select(*group, (F.col("_id") + F.col("_shift")).cast("long").alias("line"), "value")
+
+
+def _raw_lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).select(
+        lossy_utf8("value").alias("value"), F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block")
+    )
+
+
 def log_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Log lines (S8): ``\\n``, ``\\r\\n`` and lone ``\\r`` end a line (as
+    """``(line, value)``: log lines (S8) with their 0-based number over all
+    files in name order.  ``\\n``, ``\\r\\n`` and lone ``\\r`` end a line (as
     Python's universal newlines); undecodable bytes become U+FFFD."""
-    return spark.read.text(path).select(lossy_utf8("value").alias("value"))
+    return _numbered(_raw_lines(spark, path), [])
 
 
 def run_log_lines(spark: SparkSession, pattern: str, key_pattern: str = RUN_KEY_PATTERN, key: str = "rank") -> DataFrame:
-    """A family of run logs (S11), the run key taken from each file path."""
-    raw = spark.read.text(pattern).select("value", F.col("_metadata.file_path").alias("_path"))
-    return raw.select(
-        F.regexp_extract("_path", key_pattern, 1).try_cast("long").alias(key), lossy_utf8("value").alias("value")
-    )
+    """``(key, line, value)``: a family of run logs (S11), the run key taken
+    from each file path, lines numbered within each run."""
+    run = F.regexp_extract("_path", key_pattern, 1).try_cast("long").alias(key)
+    return _numbered(_raw_lines(spark, pattern).select(run, "value", "_path", "_block"), [key])
 
 
 def whole_files(spark: SparkSession, folder: str, suffix_glob: str) -> DataFrame:
