@@ -14,7 +14,9 @@ from trainprep.functions.text import lossy_utf8, normalize_newlines, py_strip
 from trainprep.operators.columns import computed_once
 from trainprep.operators.ordinal import with_ordinal
 from trainprep.schemas import MESSAGES
+from trainprep.session import scratch_dir
 from trainprep.sources.parquet import plain_path
+from trainprep.sources.splits import csv_records, json_elements
 
 DATASET_FORMATS = {".json": "json", ".jsonl": "json", ".parquet": "parquet", ".csv": "csv"}
 
@@ -22,9 +24,10 @@ DATASET_FORMATS = {".json": "json", ".jsonl": "json", ".parquet": "parquet", ".c
 def load_dataset(spark: SparkSession, path: str, fmt: str | None = None, schema=None) -> DataFrame:
     """Generic dataset load (S10): format by suffix unless given.  JSON is
     read as JSON lines when the first line that is not blank is a whole
-    object, else as one array or object per file; malformed records and
-    folders that mix both forms are errors.  Callers ``persist()`` if they
-    want a cache."""
+    object, else as one array of objects, or one object, per file: its
+    elements are cut out by many tasks and written as JSON lines once, which
+    inference and every later use read.  Malformed records and folders that
+    mix both forms are errors."""
     if fmt is None:
         stem = path.rstrip("/").lower()
         fmt = next((f for suf, f in DATASET_FORMATS.items() if stem.endswith(suf)), "parquet")
@@ -34,23 +37,25 @@ def load_dataset(spark: SparkSession, path: str, fmt: str | None = None, schema=
     if fmt == "csv":
         reader = reader.option("header", "true")
     if fmt == "json":
-        reader = reader.option("mode", "FAILFAST").option("multiLine", str(_whole_json(spark, path)).lower())
+        reader = reader.option("mode", "FAILFAST")
+        if not _json_lines(spark, path):
+            lines = scratch_dir(spark, "json-lines")
+            json_elements(spark, path).select("element").write.text(lines)
+            return reader.load(lines)
     return reader.load(path)
 
 
-def _whole_json(spark: SparkSession, path: str) -> bool:
-    """True when the files hold one JSON value each, False for JSON lines."""
-    start = spark.read.text(path).where("value rlike '\\\\S'").select(
-        (F.get_json_object("value", "$").isNotNull() & F.col("value").rlike(r"^\s*\{")).alias("line")
-    ).first()
-    if start is None or start["line"]:
+def _json_lines(spark: SparkSession, path: str) -> bool:
+    """True for JSON lines, told by the first line that is not blank.  An
+    array is known by its first piece, however long its line."""
+    blank = r"^[ \t\r\n]*$"
+    piece = spark.read.option("lineSep", "}").text(path).where(~F.col("value").rlike(blank)).first()
+    if piece is None:
+        return True
+    if piece["value"].lstrip("\ufeff \t\r\n").startswith("["):
         return False
-    # an object, a line end and an object never stand in one JSON value
-    lines = spark.read.text(path, wholetext=True).where(F.col("value").rlike(r"\}[ \t\r]*\n\s*\{"))
-    mixed = lines.select(F.col("_metadata.file_path")).first()
-    if mixed is not None:
-        raise ValueError(f"JSON lines beside whole JSON files: {mixed[0]}")
-    return True
+    start = spark.read.text(path).where(~F.col("value").rlike(blank))
+    return start.select((F.get_json_object("value", "$").isNotNull() & F.col("value").rlike(r"^\s*\{")).alias("line")).first()["line"]
 
 
 RUN_KEY_PATTERN = r"train_rank(\d+)\.log"
@@ -272,25 +277,15 @@ def scan_zip_txt(spark: SparkSession, folder_or_glob: str) -> DataFrame:
 def scan_openers(spark: SparkSession, path: str, skip_header: bool = False) -> DataFrame:
     """Opener CSV scan (S6): ``think, respond``; extra fields ignored; rows
     with a missing or blank field dropped; both stripped.  ``opener_id`` is
-    the 0-based position in (file path, row) order."""
-    raw = (
-        spark.read.schema("think string, respond string")
-        .option("multiLine", "true")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("header", "true" if skip_header else "false")
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-        .select(
-            "think",
-            "respond",
-            F.col("_metadata.file_path").alias("_path"),
-            F.col("_metadata.file_block_start").alias("_block"),
-            F.monotonically_increasing_id().alias("_row"),
-        )
-    )
-    order = ["_path", "_block", "_row"]
-    stripped = computed_once(raw, order, think=py_strip("think"), respond=py_strip("respond"))
+    the 0-based position in (file name, row) order; ``skip_header`` leaves
+    out each file's first record.  One file of any size, quoted newlines and
+    all, is read by many tasks."""
+    records = csv_records(spark, path)
+    if skip_header:
+        records = records.where("begin > 0 or seq > 0")
+    order = ["path", "begin", "seq"]
+    field = lambda i: F.try_element_at("fields", F.lit(i))
+    stripped = computed_once(records, [plain_path("path").alias("path"), "begin", "seq"], think=py_strip(field(1)), respond=py_strip(field(2)))
     kept = stripped.where((F.length("think") > 0) & (F.length("respond") > 0))
     ordered = with_ordinal(kept, order, name="opener_id", persist_input=True)
     return ordered.select("opener_id", "think", "respond")
