@@ -229,3 +229,14 @@ def load_dataset_json(spark, sf_dir):
     out = scratch_dir(spark, "json_arrays")
     write_files(arrays.select(F.format_string("block_%06d.json", "block").alias("name"), "content"), out).collect()
     return load_dataset(spark, out, fmt="json").select("doc_id", "text", "lang")
+
+
+@query("load_mapped", "SELECT text FROM documents")
+def load_mapped_query(spark, sf_dir):
+    """A dataset through the CPT mapper, kept on disk and loaded again from there."""
+    from trainprep.session import scratch_dir
+    from trainprep.sources.kept import load_mapped
+
+    path, cache = f"{sf_dir.rstrip('/')}/documents.parquet", scratch_dir(spark, "mapped")
+    load_mapped(spark, path, cpt_text, load_from_cache=True, cache_dir=cache)
+    return load_mapped(spark, path, cpt_text, load_from_cache=True, cache_dir=cache)

@@ -157,22 +157,19 @@ def dialogue_rejects(spark, sf_dir):
     "session_json",
     f"""
 WITH t AS ({_TRANSCRIPT_SQL})
-SELECT 'session_' || printf('%04d', session) || '.json' AS name, count(*) AS n_messages,
-       CAST(sum(length(content)) AS BIGINT) AS n_chars
-FROM t GROUP BY session
+SELECT 'session_' || printf('%04d', session) || '.json' AS name,
+       CAST(row_number() OVER (PARTITION BY session ORDER BY pos) - 1 AS BIGINT) AS pos, role, content
+FROM t
 """,
 )
 def session_json(spark, sf_dir):
-    """Transcripts written as ``session_%04d.json`` files, read back."""
+    """Transcripts written as ``session_%04d.json`` files, read back with
+    each message's place and text."""
     kept, session_openers = _parts(spark, sf_dir)
     prompt_a, _ = prompts(spark, sf_dir)
     nested = nest_by(transcript(kept, session_openers, prompt_a, TURNS))
     name = F.concat(F.lit("session_"), zero_pad(F.col("session"), 4), F.lit(".json"))
     out = scratch_dir(spark, "sessions")
-    write_json_documents(nested.withColumn("name", name), out, "name", F.to_json(F.struct("messages"))).collect()
-    back = scan_json_folder(spark, out)
-    return back.select(
-        "name",
-        F.size("messages").cast("long").alias("n_messages"),
-        F.aggregate("messages", F.lit(0).cast("long"), lambda acc, m: acc + F.length(m["content"])).alias("n_chars"),
-    )
+    write_json_documents(nested.withColumn("name", name), out, "name", F.to_json(F.struct("messages")))
+    back = scan_json_folder(spark, out).select("name", F.posexplode("messages").alias("pos", "m"))
+    return back.select("name", F.col("pos").cast("long").alias("pos"), "m.role", "m.content")

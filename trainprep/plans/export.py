@@ -51,17 +51,21 @@ def export_rejects_query(spark, sf_dir):
 @query(
     "export_json_roundtrip",
     f"""
-SELECT {_NAME} AS name, CASE WHEN conv_id % 7 = 0 THEN 'unknown' ELSE role END AS role, text AS content
+SELECT {_NAME} AS name, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS pos,
+       CASE WHEN conv_id % 7 = 0 THEN 'unknown' ELSE role END AS role, text AS content
 FROM conversations WHERE conv_id % 19 <> 0 AND role <> 'system'
 """,
 )
 def export_json_roundtrip(spark, sf_dir):
-    """Converted exports written as one JSON array per file (K5), read back."""
+    """Converted exports written as one JSON array per file (K5), read back
+    with each message's place."""
     from trainprep.session import scratch_dir
     from trainprep.sinks.files import write_json_documents
+    from trainprep.sources.files import whole_files
 
     out = scratch_dir(spark, "converted")
     ok = converted(spark, sf_dir).where(F.col("status") == "ok")
-    write_json_documents(ok, out, "name", export_json("messages")).collect()
-    back = spark.read.schema("role string, content string").option("multiLine", "true").json(out)
-    return back.select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("name"), "role", "content")
+    write_json_documents(ok, out, "name", export_json("messages"))
+    array = F.from_json("value", "array<struct<role:string,content:string>>", {"mode": "FAILFAST"})
+    back = whole_files(spark, out, "*.json").select("name", F.posexplode(array).alias("pos", "m"))
+    return back.select("name", F.col("pos").cast("long").alias("pos"), "m.role", "m.content")

@@ -4,11 +4,13 @@ Chunk and shard sinks are partitioned parquet writes: the chunk number is
 the partition value (``chunk=chunk_000000``, ``shard=part_0001``), gzip,
 rows of a chunk sorted by their ordinal.  One-file-per-row sinks (session
 JSON, converted exports, text-file folders) are written by the executors
-through ``pyarrow.fs``; a retried task rewrites the same names.
+through ``pyarrow.fs`` into a staging folder and moved onto their names when
+all of them are there.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trainprep.functions.text import zero_pad
+from trainprep.session import scratch_dir
 
 
 def chunk_name(chunk_id: str | Column, prefix: str = "chunk", width: int = 6, base: int = 0) -> Column:
@@ -77,44 +80,79 @@ def write_chunks(
     )
 
 
-def _write_each(folder: str, binary: bool):
+def _stage(staging: str, binary: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
         from pyspark import TaskContext
 
         ctx = TaskContext.get()
-        attempt = f"{ctx.stageId()}-{ctx.partitionId()}-{ctx.attemptNumber()}" if ctx else "driver"
-        filesystem, root = fs.FileSystem.from_uri(folder)
+        attempt = f"{ctx.partitionId()}-{ctx.taskAttemptId()}"
+        filesystem, root = fs.FileSystem.from_uri(staging)
         filesystem.create_dir(root, recursive=True)
+        at = 0
         for pdf in batches:
-            sizes = []
+            staged, sizes = [], []
             for name, content in zip(pdf["name"], pdf["content"]):
-                if content is None:
+                if name is None or content is None:
                     raise ValueError(f"no content for {name}")
                 data = content if binary else content.encode("utf-8")
-                # a retried or speculative attempt writes its own temp file and
-                # moves it over the final name, so readers never see a torn file
-                tmp = f"{root}/.{name}.{attempt}.tmp"
-                with filesystem.open_output_stream(tmp) as out:
+                staged.append(f"{attempt}-{at}")
+                at += 1
+                with filesystem.open_output_stream(f"{root}/{staged[-1]}") as out:
                     out.write(data)
-                filesystem.move(tmp, f"{root}/{name}")
                 sizes.append(len(data))
-            yield pd.DataFrame({"name": pdf["name"], "bytes": pd.Series(sizes, dtype="int64")})
+            yield pd.DataFrame({"name": pdf["name"], "staged": staged, "bytes": pd.Series(sizes, dtype="int64")})
+
+    return run
+
+
+def _publish(staging: str, folder: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        filesystem, source = fs.FileSystem.from_uri(staging)
+        _, root = fs.FileSystem.from_uri(folder)
+        for pdf in batches:
+            for staged, name in zip(pdf["staged"], pdf["name"]):
+                # a repeated attempt finds what the one before has moved
+                if filesystem.get_file_info(f"{source}/{staged}").type == fs.FileType.File:
+                    filesystem.move(f"{source}/{staged}", f"{root}/{name}")
+            yield pdf[["name", "bytes"]]
 
     return run
 
 
 def write_files(df: DataFrame, folder: str, name: str = "name", content: str = "content", binary: bool = False) -> DataFrame:
-    """Write each row's ``content`` to ``folder/<name>``; returns the per-file
-    totals ``(files, bytes)`` as a frame whose action runs the job.  Rows
-    that share a name, and null contents, are errors."""
+    """Write each row's ``content`` to ``folder/<name>``; returns the totals
+    ``(files, bytes)`` as one row.
+
+    A job of two steps.  Tasks write into a hidden staging folder, and Spark
+    commits the list of what the successful attempts wrote; then that list is
+    checked, and tasks move its files onto their names.  Rows that share a
+    name, and null contents, are errors found before any name is touched: a
+    failing job leaves the folder as it was, and retried or speculative
+    attempts leave nothing behind.
+    """
+    from pyarrow import fs
+
+    spark = df.sparkSession
+    folder = folder.rstrip("/")
+    staging = f"{folder}/.staging-{uuid.uuid4().hex[:12]}"
+    written = scratch_dir(spark, "written")
     rows = df.select(F.col(name).alias("name"), F.col(content).alias("content"))
-    report = rows.mapInPandas(_write_each(folder, binary), "name string, bytes long")
-    totals = report.agg(F.count(F.lit(1)).alias("files"), F.count_distinct("name").alias("_names"), F.sum("bytes").alias("bytes"))
-    files = F.when(F.col("files") == F.col("_names"), F.col("files")).otherwise(
-        F.raise_error(F.lit("several rows share a file name")).cast("long")
-    )
-    return totals.select(files.alias("files"), "bytes")
+    try:
+        rows.mapInPandas(_stage(staging, binary), "name string, staged string, bytes long").write.parquet(written)
+        listed = spark.read.schema("name string, staged string, bytes long").parquet(written)
+        said = F.concat(F.lit("several rows share a file name: "), F.min("name"))
+        twice = listed.groupBy("name").count().where("count > 1").agg(F.when(F.count(F.lit(1)) > 0, F.raise_error(said)))
+        twice.collect()
+        done = listed.mapInPandas(_publish(staging, folder), "name string, bytes long")
+        totals = done.agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes")).first()
+    finally:
+        filesystem, root = fs.FileSystem.from_uri(staging)
+        if filesystem.get_file_info(root).type == fs.FileType.Directory:
+            filesystem.delete_dir(root)
+    return spark.createDataFrame([tuple(totals)], "files long, bytes long")
 
 
 def write_json_documents(df: DataFrame, folder: str, name: str, document: str | Column) -> DataFrame:

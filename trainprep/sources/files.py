@@ -109,20 +109,28 @@ def whole_files(spark: SparkSession, folder: str, suffix_glob: str) -> DataFrame
     apart = _underscore_files(spark, folder, suffix_glob)
     if not apart:
         return files
-    listed = spark.createDataFrame([(p,) for p in apart], "path string").repartition(len(apart))
+    # packed into tasks by their bytes, as Spark packs the others
+    limit = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    tasks, held, packed = 0, 0, []
+    for path, size in apart:
+        if held and held + size > limit:
+            tasks, held = tasks + 1, 0
+        held += size
+        packed.append((path, tasks))
+    listed = spark.createDataFrame(packed, "path string, task int").repartitionById(tasks + 1, "task").select("path")
     read = listed.mapInPandas(_read_bytes, "path string, value binary")
     return files.unionByName(
         read.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), F.col("value").cast("string").alias("value"))
     )
 
 
-def _underscore_files(spark: SparkSession, folder: str, suffix_glob: str) -> list[str]:
-    """Paths of the files that Spark's listing leaves out, written as the
-    ``file_path`` metadata column writes them."""
+def _underscore_files(spark: SparkSession, folder: str, suffix_glob: str) -> list[tuple[str, int]]:
+    """Paths and bytes of the files that Spark's listing leaves out, written
+    as the ``file_path`` metadata column writes them."""
     sc = spark.sparkContext
     pattern = sc._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/_{suffix_glob}")
     found = pattern.getFileSystem(sc._jsc.hadoopConfiguration()).globStatus(pattern)
-    return sorted(s.getPath().toUri().toString() for s in found or [] if s.isFile())
+    return sorted((s.getPath().toUri().toString(), s.getLen()) for s in found or [] if s.isFile())
 
 
 def _read_bytes(batches):
@@ -209,18 +217,21 @@ def scan_txt_folder(spark: SparkSession, folder: str, on_bad_utf8: str = "error"
 
 
 def _zip_listing(batches):
-    """Archive path -> one row per ``.txt`` member (central directory only)."""
+    """Archive path -> one row per ``.txt`` member (central directory only),
+    with its place and compressed bytes."""
     for pdf in batches:
         for path in pdf["path"]:
             filesystem, inner = fs.FileSystem.from_uri(path)
             with filesystem.open_input_file(inner) as f, zipfile.ZipFile(f) as zf:
-                names = [n for n in zf.namelist() if n.lower().endswith(".txt")]
-            if names:
-                yield pd.DataFrame({"archive": [path] * len(names), "member": names})
+                rows = [(path, i.filename, i.header_offset, i.compress_size) for i in zf.infolist() if i.filename.lower().endswith(".txt")]
+            if rows:
+                yield pd.DataFrame(rows, columns=["archive", "member", "place", "size"])
 
 
 #: Decoded bytes after which a batch of member texts is handed on.
 ZIP_BATCH_BYTES = 16 << 20
+#: Compressed bytes that one task reads at most, but for one member.
+ZIP_SLICE_BYTES = 32 << 20
 
 
 def _zip_read(batches):
@@ -254,24 +265,42 @@ def _zip_read(batches):
             handle.close()
 
 
+def zip_slices(spark: SparkSession, folder_or_glob: str, slice_bytes: int | None = None) -> DataFrame:
+    """``(archive, member, place, slice)``: members cut into slices of about
+    ``slice_bytes`` compressed bytes (by default a core's share of all, at
+    most ``ZIP_SLICE_BYTES``, as Spark cuts its own files), each a run of members as they stand in
+    one archive.  What follows a member larger than that is another slice."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder_or_glob).select("path")
+    members = listing.mapInPandas(_zip_listing, "archive string, member string, place long, size long")
+    if slice_bytes is None:
+        total = members.agg(F.sum(F.col("size") + 64)).first()[0] or 0
+        slice_bytes = max(1, min(ZIP_SLICE_BYTES, total // spark.sparkContext.defaultParallelism))
+    # where the member begins among its archive's; each weighs a little more than its bytes, for its header
+    own = Window.partitionBy("archive")
+    begins = F.sum(F.col("size") + 64).over(own.orderBy("place")) - F.col("size") - 64
+    cut = members.withColumn("cut", F.floor(begins / F.lit(slice_bytes))).withColumn("part", F.dense_rank().over(own.orderBy("cut")) - 1)
+    # one row per archive; numbers without gaps, so that each slice has a task of its own
+    parts = cut.groupBy("archive").agg((F.max("part") + 1).alias("n"))
+    before = F.sum("n").over(Window.orderBy("archive").rowsBetween(Window.unboundedPreceding, -1))
+    first = parts.select("archive", F.coalesce(before, F.lit(0)).alias("first"))
+    return cut.join(first, "archive").select("archive", "member", "place", (F.col("first") + F.col("part")).cast("int").alias("slice"))
+
+
 def scan_zip_txt(spark: SparkSession, folder_or_glob: str) -> DataFrame:
     """ZIP-of-TXT scan (S3): every member ending ``.txt`` (any case, any
     depth) of every ``*.zip``; one row per member, empty members kept, no
     newline translation, strict UTF-8.
 
     Two steps, so one huge archive is not one task: the central directories
-    are listed (metadata only), the member rows are cut into ranges of
-    (archive, member), and each task reads its own range with random access:
-    archives are opened once per range that holds members of them.  Order
-    within an archive is the member name.
+    are listed (metadata only), the members are cut into slices of even bytes,
+    and each task reads its own slice with random access.  Order within an
+    archive is the member name.
     """
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder_or_glob).select("path")
-    members = listing.mapInPandas(_zip_listing, "archive string, member string")
-    # an explicit count: the shuffle carries only names, so AQE would
-    # otherwise coalesce it into one task and one task would read everything
-    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    spread = members.repartitionByRange(tasks, "archive", "member").sortWithinPartitions("archive", "member")
-    return spread.mapInPandas(_zip_read, "archive string, member string, text string")
+    slices = zip_slices(spark, folder_or_glob)
+    n = slices.agg(F.max("slice")).first()[0]
+    # an id for each task: the shuffle carries only names, so sizes measured there would fold everything into one
+    spread = slices.repartitionById((n or 0) + 1, "slice").sortWithinPartitions("archive", "place")
+    return spread.select("archive", "member").mapInPandas(_zip_read, "archive string, member string, text string")
 
 
 def scan_openers(spark: SparkSession, path: str, skip_header: bool = False) -> DataFrame:
