@@ -363,3 +363,22 @@ def test_language_query(spark, sf_dir, pieces):
     none = QUERIES["op5_language_id"](spark, sf_dir(documents=docs.selectExpr("doc_id", "text", "cast(null as string) as lang").limit(9))).collect()
     assert {r.lang_pred for r in none} == {"und"}
     assert QUERIES["op5_language_id"](spark, sf_dir(documents=docs.limit(0))).collect() == []
+
+
+def test_language_sample_is_bounded_whatever_the_ids(spark, pieces, monkeypatch):
+    """A repeated or null id, and copies of one row, bring no more rows."""
+    rows = [(1, f"wort und satz {i}", "de") for i in range(300)] + [(None, f"the word of {i}", "en") for i in range(300)] + [(7, "le mot", "fr")] * 600
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    taken = []
+    staged = langid.staged
+    monkeypatch.setattr(langid, "staged", lambda df, name: taken.append(df) or staged(df, name))
+    for max_rows in (50, 10_000):
+        model = langid.fit(docs, pieces, max_rows=max_rows, rounds=1)
+        words = Counter()
+        for r in taken[-1].collect():
+            words[r.lang] += r.n
+        # three to four words a row, twice as many with their marks at most
+        assert sum(words.values()) <= max_rows * 5
+        if max_rows == 10_000:
+            assert model.languages == ["de", "en", "fr"] and words["fr"] == 2
+            assert words["de"] == 300 * 4 and words["en"] == 300 * 4

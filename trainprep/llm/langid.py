@@ -257,14 +257,23 @@ def fit(
     max_rows: int = 12_000, rounds: int = 4, floor: float = 0.02,
 ) -> LanguageModel:
     """Piece probabilities per language from at most ``max_rows`` labelled
-    rows; ``floor`` is the pseudo-count of every piece."""
+    rows, those of least hash of id and text; ``floor`` is the pseudo-count of every piece."""
     spark = docs.sparkSession
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    rows = rows.select(F.xxhash64(id_col).alias("h"), F.col(lang_col).alias("l"), F.octet_length(text_col).alias("n"), F.col(text_col).alias("t"))
-    bound = rows.select("h").orderBy("h").limit(max_rows).agg(F.max("h")).first()[0]
-    if bound is None:
+    rows = rows.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"), F.col(lang_col).alias("l"), F.col(text_col).alias("t"))
+    n, share = rows.count(), 4.0 * max_rows
+    if not n:
         return LanguageModel([], pieces, np.zeros((len(pieces), 0)))
-    sample = rows.where(F.col("h") <= bound).select("l", "t")
+    # the least hashes, of which a share of the range holds enough unless most rows are copies
+    while True:
+        top = -(2**63) + int(min(1.0, share / n) * (2**64 - 1))
+        least = rows.select("h").where(F.col("h") <= min(top, 2**63 - 1)).distinct().orderBy("h").limit(max_rows)
+        found, bound = least.agg(F.count("*"), F.max("h")).first()
+        if found == max_rows or share >= n:
+            break
+        share *= 16
+    # equal texts of one id are one row of the sample, so it holds max_rows at most
+    sample = rows.where(F.col("h") <= bound).groupBy("h").agg(F.min(F.struct("l", "t")).alias("r")).select("r.l", "r.t")
 
     def count(batches):
         for batch in sliced(batches, 1, 1 << 20):
