@@ -36,7 +36,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from trainprep.llm import textbytes as tb
 from trainprep.llm.common import sliced
@@ -305,19 +305,22 @@ def score(
     """id and ``extra`` columns with ``score double``, ``predicted int`` and
     ``evidence array<struct<example, cosine, toxic>>``; one row per row."""
     keep = list(dict.fromkeys([id_col, *(extra or [])]))
-    df = docs.select(*keep, F.col(text_col).cast("string").alias("_body"))
+    # a text that is kept goes to the workers once
+    kept_text = text_col in keep and docs.schema[text_col].dataType == StringType()
+    df = docs.select(*keep) if kept_text else docs.select(*keep, F.col(text_col).cast("string").alias("_body"))
+    body = keep.index(text_col) if kept_text else len(keep)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    shape = df.drop("_body").schema.add("score", "double").add("predicted", "integer")
+    shape = docs.select(*keep).schema.add("score", "double").add("predicted", "integer")
     shape = shape.add("evidence", ArrayType(StructType().add("example", "long").add("cosine", "double").add("toxic", "integer")))
     kind = pa.list_(pa.struct([("example", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
 
     def run(batches):
         m = shared.value
         memo: dict = {}
-        for batch in sliced(batches, len(keep), 1 << 19):
+        for batch in sliced(batches, body, 1 << 19):
             values, why = [m.base] * len(batch), [[] for _ in range(len(batch))]
             if len(m.ids):
-                text, term, count = term_counts(batch.column(len(keep)), m.lookup())
+                text, term, count = term_counts(batch.column(body), m.lookup())
                 weight = _unit(text, term, count, m.idf, len(batch))
                 cuts = np.flatnonzero(np.r_[True, text[1:] != text[:-1]]) if len(text) else np.empty(0, np.int64)
                 ends = np.r_[cuts[1:], len(text)]
