@@ -26,9 +26,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _carried(docs: DataFrame) -> DataFrame:
-    """Id and text, and the whole row as one struct, so that no column of
-    the user's meets a name of an operator's."""
-    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("carried"))
+    """Id and text, and the other values of the row as one struct, so that
+    no column of the user's meets a name of an operator's."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("carried"))
+
+
+def _unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, in their order."""
+    return rows.select(*[F.col("text") if c == "text" else F.col("carried").getField(c).alias(c) for c in docs.columns])
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +41,7 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _ready(spark)
     rows = _carried(docs)
     model = toxicity.fit(toxicity.training_sample(rows.select("doc_id", "text"), _table(spark, sf_dir, "labels").where(~fold_is(5, 0))), whole=True)
-    return toxicity.score(rows, model, extra=["carried"]).where("predicted = 0").select("carried.*")
+    return _unpacked(toxicity.score(rows, model, extra=["carried", "text"]).where("predicted = 0"), docs)
 
 
 def keep_one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,19 +50,19 @@ def keep_one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     values."""
     _ready(spark)
     rows = _carried(docs)
-    row = F.unhex(F.sha2(F.to_json("carried", {"ignoreNullFields": "false"}), 256))
+    row = F.unhex(F.sha2(F.to_json(F.struct("text", "carried"), {"ignoreNullFields": "false"}), 256))
     found = simhash.grouped(rows, shingle=3, radius=2, key=row)
     best = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("m"))
-    kept = rows.select(row.alias("row"), "carried").join(best.select(F.col("m.key").alias("row")), "row", "left_semi")
+    kept = rows.select(row.alias("row"), "text", "carried").join(best.select(F.col("m.key").alias("row")), "row", "left_semi")
     # equal rows have one digest
-    return kept.dropDuplicates(["row"]).select("carried.*")
+    return _unpacked(kept.dropDuplicates(["row"]), docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
     _ready(spark)
-    found = decontaminate.contamination(_carried(docs), _table(spark, sf_dir, "benchmark"), extra=["carried"])
-    return found.where("not contaminated").select("carried.*")
+    found = decontaminate.contamination(_carried(docs), _table(spark, sf_dir, "benchmark"), extra=["carried", "text"])
+    return _unpacked(found.where("not contaminated"), docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
