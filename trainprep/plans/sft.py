@@ -54,12 +54,34 @@ FROM m
 """,
 )
 def reasoning_fold(spark, sf_dir):
-    folded = conversation_messages(spark, sf_dir).select("conv_id", fold_reasoning("messages").alias("m"))
+    return _folded(spark, sf_dir, "empty")
+
+
+def _folded(spark, sf_dir, policy):
+    folded = conversation_messages(spark, sf_dir).select("conv_id", fold_reasoning("messages", policy).alias("m"))
     return folded.select("conv_id", F.posexplode("m").alias("pos", "msg")).select(
         "conv_id", F.col("pos").cast("long").alias("pos"), "msg.role", "msg.content"
     )
 
 
+@query(
+    "reasoning_literal",
+    f"""
+WITH m AS ({MESSAGE_TURNS_SQL})
+SELECT conv_id,
+       CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS pos,
+       role,
+       CASE WHEN role = 'assistant'
+            THEN '<think>' || chr(10) || coalesce(reasoning, 'None') || chr(10) || '</think>' || chr(10) || chr(10) || content
+            ELSE content END AS content
+FROM m
+""",
+)
+def reasoning_literal(spark, sf_dir):
+    """A missing reasoning printed as Python prints it."""
+    return _folded(spark, sf_dir, "literal")
+
+
 @query(
     "max_context",
     f"""
