@@ -139,6 +139,7 @@ def max_context(df: DataFrame, text: str = "text") -> DataFrame:
     return df.agg(F.greatest(F.lit(1).cast("long"), F.max(char_length(text))).alias("max_context"))
 
 
-def apply_mapper(df: DataFrame, mapper) -> DataFrame:
-    """The pluggable row mapper: any ``DataFrame -> DataFrame`` function."""
-    return df.transform(mapper)
+def apply_mapper(df: DataFrame, mapper, **args) -> DataFrame:
+    """The pluggable row mapper: any ``DataFrame -> DataFrame`` function,
+    with its arguments."""
+    return df.transform(mapper, **args)

@@ -17,6 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trainprep.operators.chat import apply_mapper
 from trainprep.session import ensure_checkpoint_dir
 from trainprep.sources.files import load_dataset
 
@@ -68,7 +69,7 @@ def load_mapped(
     target = f"{base}/{key.hexdigest()[:32]}"
     if not (load_from_cache and _complete(spark, target)):
         df = load_dataset(spark, path, fmt, schema)
-        (mapper(df, **mapper_args) if mapper else df).write.mode("overwrite").parquet(target)
+        (apply_mapper(df, mapper, **mapper_args) if mapper else df).write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
 
 
