@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from trainprep.llm import langid, lm_scoring, toxicity
@@ -247,6 +248,42 @@ def test_toxicity_whole_vocabulary_in_small_samples(spark, make_docs, sf_dir):
         assert [round(e.cosine, 9) for e in r.evidence] == [round(-c, 9) for c, _ in near]
 
 
+def test_toxicity_block_max_index_is_exact_and_skips(spark, make_docs):
+    rng = np.random.default_rng(12)
+    texts, toxic = [], []
+    for i in range(3000):
+        if i % 10 == 9:  # repeated examples: ties go to the smaller id
+            texts.append(texts[i - 7])
+            toxic.append(toxic[i - 7])
+            continue
+        topic, bad = int(rng.integers(40)), int(rng.integers(8) == 0)
+        words = [f"t{topic}x{j}" for j in rng.integers(0, 12, 8)] + [f"c{j}" for j in rng.integers(0, 200, 30)]
+        words += [f"bad{j}" for j in rng.integers(0, 12, 2)] * bad
+        texts.append(" ".join(words))
+        toxic.append(bad)
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    model = toxicity.fit(toxicity.training_sample(make_docs(texts), labels), whole=True)
+    asked = [*texts[:200], "bad1", "c5 bad2", "t3x1 t3x2", "unseen words"]
+    text, term, count = toxicity.term_counts(pa.array(asked), model.lookup())
+    weight = toxicity._unit(text, term, count, model.idf, len(asked))
+    cuts = np.r_[np.searchsorted(text, np.unique(text)), len(text)]
+    seen: list = []
+    got = toxicity.neighbours(model, cuts, term, weight, seen)
+    table = np.zeros((len(model.ids), len(model.idf)))
+    held = np.repeat(np.arange(len(model.idf)), np.diff(model.first))
+    table[model.rows, held] = (1 + np.log(model.counts.astype(float))) * model.idf[held] / model.norms[model.rows]
+    assert len(got) == len(np.unique(text)) == len(asked) - 1
+    for (rows, cosines), a, b in zip(got, cuts, cuts[1:]):
+        cos = np.round(table[:, term[a:b]] @ weight[a:b], 12)
+        want = np.lexsort((np.arange(len(cos)), -cos))[: model.k]
+        want = want[cos[want] > 0]
+        assert np.abs(cosines - cos[want]).max(initial=0) < 1e-9
+        sure = np.abs(cos[want] - cos[want[-1]]) > 1e-9  # a tie at the end may round apart
+        assert set(want[sure].tolist()) <= set(rows.tolist())
+    read, every = (sum(x) for x in zip(*seen))
+    assert read < every / 2
+
+
 def test_toxicity_sample_holds_one_row_per_id(spark, make_docs):
     docs = make_docs(["b", "c", None]).unionByName(make_docs(["a", None] * 50).selectExpr("cast(0 as long) doc_id", "text", "lang", "source", "n_chars", "row", "fp", "kind"))
     labels = spark.createDataFrame([(0, 0), (0, 1), (1, 0), (2, 0), (9, 1)], "doc_id long, toxic int")

@@ -1,4 +1,4 @@
-"""Toxicity by nearest labelled examples under exact weighted cosine.
+"""Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
 Model (:func:`fit`): a bounded sample of labelled training documents
 (``max_examples``, drawn by a hash of the id) gives the document frequencies
@@ -10,10 +10,12 @@ most associated with the toxic label (G-squared of at least ``min_g2``, at
 least ``min_docs`` toxic documents) are terms, with plain idf.  Each example
 is a unit vector of (1 + log tf) * weight in an inverted index.
 
-Scoring (:func:`score`): the cosines of a document to all examples are summed
-in full, so the neighbours are exact: the most common terms as one product of
-dense matrices for ``block`` documents at a time, the others from their lists
-of examples.  Votes are weighted by cosine and smoothed towards the rate of
+Scoring (:func:`score`): the k nearest examples are found by a block-max
+inverted index and are exact.  Examples lie in blocks; the lists of rare terms
+are summed first, their greatest sum in a block and the maxima of the common
+terms there bound the cosines in it.  The blocks of the highest bounds are read
+first; of the others only those whose bound reaches the k-th best cosine so
+far.  Votes are weighted by cosine and smoothed towards the rate of
 toxic labels among the examples without any term, which is also the score of
 documents without any term; so a score is a calibrated share of toxic
 neighbours.  The neighbours are returned as evidence.
@@ -43,6 +45,8 @@ from trainprep.llm.common import sliced
 
 
 DENSE = 384  # terms
+LISTED = 64  # a common term is in more than one of so many examples
+BLOCK = 16  # examples
 
 
 @dataclass
@@ -70,28 +74,44 @@ class ToxicModel:
             self._sorted = hashes[order], order, joined, ends - sizes, sizes
         return self._sorted
 
-    def dense(self):
-        """Place of each term among the ``DENSE`` most common ones (the others
-        -1), their weights in every example, and the weights of all ``rows``."""
-        if not hasattr(self, "_dense"):
-            held = np.diff(self.first)
+    def blocks(self):
+        """The block-max index: the weights of all ``rows``; the place of each
+        term among the ``DENSE`` most common ones (the others -1); the order of
+        the examples, those with one strongest term side by side; the places of
+        ``rows`` in it; for every
+        block of ``BLOCK`` examples the weights of the common terms; and their
+        maxima in it.  The list of any other term is shorter than one example
+        a block, so its entries are their own maxima."""
+        if not hasattr(self, "_blocks"):
+            n, held = len(self.ids), np.diff(self.first)
             weights = np.log(self.counts, dtype=np.float64)
             weights += 1
             weights *= np.repeat(self.idf, held)
+            strongest, top = np.zeros(n, np.int64), np.zeros(n)
             for at in range(0, len(weights), 1 << 18):
-                weights[at : at + (1 << 18)] /= self.norms[self.rows[at : at + (1 << 18)]]
+                some = slice(at, at + (1 << 18))
+                weights[some] /= self.norms[self.rows[some]]
+                np.maximum.at(top, self.rows[some], weights[some])
+            for at in range(0, len(weights), 1 << 18):
+                some = slice(at, at + (1 << 18))
+                is_top = np.flatnonzero(weights[some] == top[self.rows[some]]) + at
+                strongest[self.rows[is_top]] = np.searchsorted(self.first, is_top, "right") - 1
+            order = np.lexsort((top, strongest))
+            spot = np.empty(n, np.int64)
+            spot[order] = np.arange(n)
             common = np.argsort(-held, kind="stable")[:DENSE]
-            common = common[held[common] * 64 > len(self.ids)]
+            common = common[held[common] * LISTED > n]
             place = np.full(len(held), -1, np.int64)
             place[common] = np.arange(len(common))
-            table = np.zeros((len(common), len(self.ids)))
+            table = np.zeros((-(-n // BLOCK), len(common), BLOCK))
             for i, t in enumerate(common.tolist()):
-                table[i, self.rows[self.first[t] : self.first[t + 1]]] = weights[self.first[t] : self.first[t + 1]]
-            self._dense = place, table, weights
-        return self._dense
+                at = spot[self.rows[self.first[t] : self.first[t + 1]]]
+                table[at // BLOCK, i, at % BLOCK] = weights[self.first[t] : self.first[t + 1]]
+            self._blocks = weights, place, order, spot.astype(np.int32)[self.rows], table, table.max(axis=2).T.copy()
+        return self._blocks
 
     def __getstate__(self):
-        state = {k: v for k, v in self.__dict__.items() if k not in ("_sorted", "_dense")}
+        state = {k: v for k, v in self.__dict__.items() if k not in ("_sorted", "_blocks")}
         return state | {"terms": _joined(self.terms) if isinstance(self.terms, list) else self.terms}  # a worker holds no object per term
 
 
@@ -264,30 +284,60 @@ def training_sample(
     return rows.select(F.col("_i").alias(id_col), F.col("_t").alias(text_col), F.col("_y").alias(label_col))
 
 
-def neighbours(model: ToxicModel, cuts: np.ndarray, term: np.ndarray, weight: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+def _add_blocks(total: np.ndarray, asked: np.ndarray, table: np.ndarray, pairs: np.ndarray) -> None:
+    """Adds the common terms of every (document, block) marked in ``pairs``."""
+    block, doc = np.nonzero(pairs.T)
+    cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True]) if len(block) else [0]
+    for a, z in zip(cuts[:-1], cuts[1:]):
+        b, docs = block[a], doc[a:z]
+        total[docs, b * BLOCK : (b + 1) * BLOCK] += asked[docs] @ table[b]
+
+
+def neighbours(
+    model: ToxicModel, cuts: np.ndarray, term: np.ndarray, weight: np.ndarray, seen: list | None = None
+) -> list[tuple[np.ndarray, np.ndarray]]:
     """(rows, cosines) of the exact k nearest examples that share a term, for
-    each document ``d`` with terms ``cuts[d]:cuts[d + 1]``."""
-    place, table, every = model.dense()
-    n, out = len(model.ids), []
+    each document ``d`` with terms ``cuts[d]:cuts[d + 1]``.  ``seen`` collects
+    (blocks read, blocks) per group of documents."""
+    every, place, order, spots, table, most = model.blocks()
+    n, n_blocks, out = len(model.ids), len(table), []
     common = place[term] >= 0
     for at in range(0, len(cuts) - 1, model.block):
         some = cuts[at : at + model.block + 1]
         own = np.flatnonzero(common[some[0] : some[-1]]) + some[0]
-        asked = np.zeros((len(some) - 1, len(table)))
+        asked = np.zeros((len(some) - 1, len(most)))
         asked[np.searchsorted(some, own, "right") - 1, place[term[own]]] = weight[own]
-        totals = asked @ table
+        totals = np.zeros((len(some) - 1, n_blocks * BLOCK))
         for total, a, b in zip(totals, some.tolist(), some[1:].tolist()):
             rare = np.flatnonzero(~common[a:b]) + a
             if len(rare):
                 begin, end = model.first[term[rare]], model.first[term[rare] + 1]
                 lists = list(zip(begin.tolist(), end.tolist()))
-                rows = np.concatenate([model.rows[x:y] for x, y in lists])
+                rows = np.concatenate([spots[x:y] for x, y in lists])
                 weights = np.concatenate([every[x:y] for x, y in lists])
                 weights *= np.repeat(weight[rare], end - begin)
-                total += np.bincount(rows, weights, n)
-            least = np.partition(total, n - model.k)[n - model.k] if n > model.k else 0.0
+                total += np.bincount(rows, weights, len(total))
+        # no example of a block scores above its bound
+        bounds = totals.reshape(len(totals), n_blocks, BLOCK).max(axis=2)
+        bounds += asked @ most
+        # the most promising blocks first: they tell what the others must reach
+        ahead = min(n_blocks, -(-model.k // BLOCK) * 3)
+        best = np.argpartition(-bounds, ahead - 1, axis=1)[:, :ahead]
+        read = np.zeros(bounds.shape, bool)
+        np.put_along_axis(read, best, True, axis=1)
+        _add_blocks(totals, asked, table, read)
+        floor = np.zeros(len(totals))
+        if ahead * BLOCK >= model.k:
+            first = np.take_along_axis(totals.reshape(len(totals), n_blocks, BLOCK), best[:, :, None], axis=1).reshape(len(totals), -1)
+            floor = np.partition(first, first.shape[1] - model.k, axis=1)[:, -model.k]
+        more = ~read & (bounds > 0) & (bounds >= floor[:, None] - 1e-9)
+        _add_blocks(totals, asked, table, more)
+        if seen is not None:
+            seen.append((int(read.sum() + more.sum()), read.size))
+        for total in totals:
+            least = np.partition(total, len(total) - model.k)[-model.k] if n > model.k else 0.0
             near = np.flatnonzero((total >= least - 1e-11) & (total > 0))
-            cosines = np.round(total[near], 12)
+            cosines, near = np.round(total[near], 12), order[near]
             best = np.lexsort((near, -cosines))[: model.k]
             best = best[cosines[best] > 0]
             out.append((near[best], cosines[best]))
