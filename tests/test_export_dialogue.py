@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from trainprep.functions.text import json_query, json_reply
 from trainprep.operators.dialogue import complete_sessions, transcript, validate_replies, view_a, view_b
-from trainprep.operators.export import convert_document, find_key_path, frames_to_messages
+from trainprep.operators.export import LAYOUTS, _convert_known, convert_document, convert_export, find_key_path, frames_to_messages
 
 
 def test_key_search_is_preorder():
@@ -91,3 +91,50 @@ def test_export_json_wrap_reads_back(spark, tmp_folder):
     write_json_documents(conv, tmp_folder, "name", export_json("messages", wrap=True)).collect()
     back = scan_json_folder(spark, tmp_folder).first()
     assert back.status == "ok" and back.messages[0].content == "hi" and back.messages[0].reasoning is None
+
+
+EXPORTS = [
+    '{"data":{"session":{"messages":[{"role":"user","contentParts":[{"text":"a"},{"text":"b"}]},{"contentParts":[{"text":"c"}]}]}}}',
+    '{"data":{"inner":{"session":{"messages":[{"role":null,"contentParts":[{"text":null}]},{"role":"x","contentParts":[]},"junk",null,5]}}}}',
+    '{"messages":[]}',
+    ' {"messages" : [ {"role":"r\\n\\"q\\"", "contentParts":[{"type":"text","text":"\u00fc \u65e5 \\u65e5"}]} ] } ',
+    '{"other":[1,{"deep":{"messages":[{"role":"u","contentParts":[{"text":"d"}]}]}}]}',  # unknown layout
+    '{"data":{"session":{"note":"messages","messages":[{"role":"u","contentParts":[{"text":"e"}]}]}}}',
+    '{"x":{"messages":null},"data":{"session":{"messages":[{"role":"u","contentParts":[{"text":"f"}]}]}}}',
+    '{"data":{"m\\u0065ssages":[{"role":"hid","contentParts":[{"text":"g"}]}],"session":{"messages":[]}}}',
+    '{"data":{"session":{"messages":[{"role":7,"contentParts":[{"text":{"k":[1,"v"]}}]}]}}}',
+    '{"data":{"session":{"messages":{"a":1}}}}',
+    '{"data":{"session":{"messages":null}}}',
+    '{"data":{"session":{"messages":"text"}}}',
+    '{"data":{"session":{"messages":[{"role":"u","contentParts":{"0":{"text":"h"}}}]}}}',
+    '{"data":{"session":{"messages":[{"role":"u","contentParts":[{"text":"\\ud83d\\ude00"}]}]}}}',
+    '{"data":{"session":{"messages":[{"role":"u","contentParts":[{"text":"i"}]}]}},"data":4}',
+    '{"data":{"session":{"messages":[[{"role":"u"}],{"role":"u","contentParts":[["text"]]}]}}}',
+    '{"messages":[]} trailing',
+    '{"messages":[]} {"a":1}',
+    '{"a":1},{"messages":[]}',
+    '{"a":1},',
+    ',{"a":1}',
+    '{"a":1}],[2', '{"a":1},"end of the document"],[2', '{"messages":[],"a":"end of the document"}',
+    '{"n":NaN,"messages":[{"role":"u","contentParts":[{"text":"j"}]}]}',
+    '{"n":NaN}', "[]", "{}", "null", "12", '"messages"', "", "   ", "{bad", '{"a":01}', '{"Messages":[]}', '{"a":"\t"}',
+]
+
+
+def test_known_layouts_convert_as_the_search_does(spark):
+    rows = [(str(i), t, "own") for i, t in enumerate(EXPORTS)] + [("null", None, "own")]
+    df = spark.createDataFrame(rows, "name string, value string, _t string")
+    got = {r.name: r for r in convert_export(df.drop("_t")).collect()}
+    plain = {r.name: r for r in convert_export(df.drop("_t"), layouts=()).collect()}
+    for name, text, _ in rows:
+        want = convert_document(text)
+        for r in (got[name], plain[name]):
+            found = None if r.messages is None else [m.asDict() for m in r.messages]
+            assert (r.status, r.key_path, found) == (want["status"], want["key_path"], want["messages"]), text
+
+
+def test_known_layouts_need_no_search(spark):
+    df = spark.createDataFrame([(t,) for t in EXPORTS], "value string")
+    done = [r.x is not None for r in _convert_known(df, F.col("value"), "messages", LAYOUTS, "x").collect()]
+    assert all(done[:4]) and not any(done[4:12] + done[13:15])
+    assert convert_export(df.limit(0)).collect() == []
