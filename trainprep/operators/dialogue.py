@@ -60,19 +60,20 @@ def complete_sessions(replies: DataFrame, turns: int, sessions: DataFrame | None
     """
     if turns < 0:
         raise ValueError("turns must be >= 0")
-    if sessions is None:
-        sessions = replies
-    sessions = sessions.select("session").distinct()
     if turns == 0:
-        return sessions, sessions.where(F.lit(False)).select("session", F.lit("").alias("reason"))
+        asked = (replies if sessions is None else sessions).select("session").distinct()
+        return asked, asked.where(F.lit(False)).select("session", F.lit("").alias("reason"))
     need = F.when(F.col("agent") == "A", F.col("turn") < turns).otherwise(F.col("turn") < turns - 1)
-    used = replies.where(need)
-    # two partial aggregates: a session of very many rows is small after the first
-    places = used.groupBy("session", "turn", "agent").agg(
-        F.count(F.when(F.col("valid"), 1)).alias("v"), F.count(F.lit(1)).alias("n")
-    )
-    asked = sessions.select("session", F.lit(0).cast("long").alias("v"), F.lit(0).cast("long").alias("n"))
-    stats = places.select("session", "v", "n").unionByName(asked).groupBy("session").agg(
+    need = F.coalesce(need, F.lit(False))
+    # two partial aggregates: a session of very many rows is small after the
+    # first; a reply that is not needed only tells that its session is asked for
+    places = (replies if sessions is None else replies.where(need)).groupBy("session", "turn", "agent").agg(
+        F.count(F.when(need & F.col("valid"), 1)).alias("v"), F.count(F.when(need, 1)).alias("n")
+    ).select("session", "v", "n")
+    if sessions is not None:
+        none = F.lit(0).cast("long")
+        places = places.unionByName(sessions.select("session", none.alias("v"), none.alias("n")))
+    stats = places.groupBy("session").agg(
         F.sum("v").alias("n_valid"), F.sum("n").alias("n_used"), F.count_if(F.col("n") > 0).alias("n_places")
     )
     whole = F.col("n_places") == 2 * turns - 1
