@@ -26,16 +26,14 @@ from trainprep.operators.ordinal import RID, ROW_BITS
 FRESH = (0, None, False)
 
 
-def _segments(batch: pa.RecordBatch) -> Iterator[tuple[object, list, np.ndarray]]:
+def _segments(batch: pa.RecordBatch) -> Iterator[tuple[object, pa.Array, np.ndarray]]:
     """``(run, orders, losses)`` of each stretch of one run in a batch."""
-    runs = batch.column(0).to_pylist()
-    orders = batch.column(1).to_pylist()
+    runs, orders = batch.column(0), batch.column(1)
     losses = batch.column(2).to_numpy(zero_copy_only=False).astype(np.float64)
-    start = 0
-    for i in range(1, len(runs) + 1):
-        if i == len(runs) or runs[i] != runs[start]:
-            yield runs[start], orders[start:i], losses[start:i]
-            start = i
+    codes = runs.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+    cuts = [0, *(np.flatnonzero(codes[1:] != codes[:-1]) + 1).tolist(), len(codes)]
+    for a, z in zip(cuts, cuts[1:]):
+        yield runs[a].as_py(), orders.slice(a, z - a), losses[a:z]
 
 
 def _advance(state, losses: np.ndarray):
@@ -125,12 +123,12 @@ def _pieces(batches, entries, patience: int, threshold: float, schema: pa.Schema
                 j = np.searchsorted(marks, at, side="right") - 1
                 over = np.nonzero((j >= 0) & (at - marks[j] >= patience))[0]
                 if over.size:
-                    piece.update(stop=int(at[over[0]]), stop_order=orders[over[0]])
+                    piece.update(stop=int(at[over[0]]), stop_order=orders[int(over[0])].as_py())
             if hits.size:
                 piece["first_imp"] = int(hits[0]) if piece["first_imp"] is None else piece["first_imp"]
                 piece["last_imp"] = int(hits[-1])
             piece["n"] += losses.size
-            piece["head"] += orders[: max(0, patience - len(piece["head"]))]
+            piece["head"] += orders.slice(0, max(0, patience - len(piece["head"]))).to_pylist()
             state = _advance(state, losses)
         if len(done) >= 1000:
             yield pa.RecordBatch.from_pylist(done, schema=schema)
