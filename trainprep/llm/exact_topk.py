@@ -8,7 +8,8 @@ table.  A task multiplies tile by tile, selects the best of each tile with a
 partial sort and keeps a top list per query; lists are merged in a tree, at
 most ``fan_in`` at a time.
 
-Products run in float64 where every sum is below 2^53, hence exact, and in
+Tiles are kept and shuffled in the narrowest integers that hold them; a task
+widens one query tile at a time.  Products run in float64 where every sum is below 2^53, hence exact, and in
 Python integers otherwise; scores beyond 64 bits are cut to them.
 Defined results: vectors null or holding null or non-finite components take
 no part; only vectors of equal length meet; a row with a null
@@ -27,13 +28,14 @@ from pyspark.sql import functions as F
 from trainprep.llm.common import parts_for, staged
 
 TILE = 2048
-_TILE_SCHEMA = "dim int, tile long, n int, ids binary, rows binary, asks binary, mat binary, wide boolean"
+_TILE_SCHEMA = "dim int, tile long, n int, ids binary, rows binary, asks binary, mat binary, cell string, wide boolean"
 
 
 def _tile(dim: int, tile: int, ids, rows, asks, mat) -> pa.RecordBatch:
-    wide = bool(mat.size) and float(np.abs(mat).max()) ** 2 * dim >= 2.0**52
-    cells = [dim, tile, len(mat), ids.astype("<i8").tobytes(), rows.astype("<i8").tobytes(), asks.astype(bool).tobytes(), mat.astype("<f8").tobytes(), wide]
-    kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.bool_())
+    top = float(np.abs(mat).max()) if mat.size else 0.0
+    cell = "<i2" if top < 2**15 else "<i4" if top < 2**31 else "<f8"  # the narrowest that holds the integers
+    cells = [dim, tile, len(mat), *(x.tobytes() for x in (ids.astype("<i8"), rows.astype("<i8"), asks.astype(bool), mat.astype(cell))), cell, top**2 * dim >= 2.0**52]
+    kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.string(), pa.bool_())
     names = [c.split()[0] for c in _TILE_SCHEMA.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(cells, kinds)], names=names)
 
@@ -42,11 +44,15 @@ def _opened(row: dict) -> dict:
     """A tile's arrays, its vectors by ascending id."""
     ids, rows = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["rows"], "<i8")
     order = np.lexsort((rows, ids))
-    mat = np.frombuffer(row["mat"], "<f8").reshape(row["n"], row["dim"])
+    mat = np.frombuffer(row["mat"], row["cell"]).reshape(row["n"], row["dim"])
     asks = np.frombuffer(row["asks"], bool)
     return row | {"ids": ids[order], "rows": rows[order], "mat": mat[order], "asks": asks[order]}
 
 
+def _widened(tile: dict) -> dict:
+    return tile | {"mat": tile["mat"].astype("<f8")}
+
+
 def _packer(tile: int):
     """Collects (ids, rows, asks, matrix) parts by dimension into tiles."""
     from pyspark import TaskContext
@@ -136,7 +142,7 @@ def _merge(scores: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int):
 
 def top_k(
     vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 256.0,
-    tile: int = TILE, group_tiles: int = 8, shard_tiles: int = 2, fan_in: int = 32,
+    tile: int = TILE, group_tiles: int = 32, shard_tiles: int = 2, fan_in: int = 32,
 ) -> DataFrame:
     """``(query_id, rank, id, score)`` of the rows where ``is_query`` holds,
     against all rows."""
@@ -153,8 +159,8 @@ def top_k(
 
     def search(cand: pa.Table, quer: pa.Table) -> pa.Table:
         out: dict[str, list] = {c: [np.empty(0, np.int64)] for c in names}
-        tiles_of = [_opened(r) for r in cand.to_pylist()]
-        for q in (_opened(r) for r in quer.to_pylist()):
+        tiles_of = [_widened(_opened(r)) for r in cand.to_pylist()]
+        for q in (_widened(_opened(r.as_py())) for r in quer.to_struct_array()):
             top = tuple(np.empty((q["n"], 0), np.int64) for _ in range(3))
             for c in tiles_of:
                 if c["dim"] == q["dim"]:
