@@ -237,3 +237,65 @@ def test_few_groups_get_plain_differencing(spark):
     for r in rows:
         got[r.shard] += sizes[int(r.key)]
     assert sorted(got) == sorted(s for s, _ in want)
+
+
+def brute_words(text):
+    import regex
+
+    alone = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
+    return [w.encode() for w in regex.findall(rf"(?V1)[{alone}&&[\p{{L}}\p{{M}}\p{{N}}]]|[[\p{{L}}\p{{M}}\p{{N}}]--{alone}]+", text)]
+
+
+@given(st.lists(st.text(st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from("aZ9 éÊ中文かナไท—’́ 😀ẞſ")), max_size=30), max_size=6))
+@settings(max_examples=200, deadline=None)
+def test_unicode_words_equal_a_pattern(texts):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from trainprep.llm import textbytes as tb
+
+    column = pa.array([*texts, None], pa.string())
+    data, starts, ends, first = tb.unicode_words(column)
+    raw = data.tobytes()
+    got = [[raw[s:e] for s, e in zip(starts[a:b], ends[a:b])] for a, b in zip(first, first[1:])]
+    assert got == [brute_words(t or "") for t in pc.utf8_lower(column).to_pylist()]
+
+
+def test_items_in_any_script_case_and_punctuation(spark, make_docs):
+    """Items inside a paragraph without spaces, in other case, between
+    typographic quotes and dashes; a passage over its limit stays clean."""
+    items = ["今天天气很好我们一起去公园散步吧", "la fête était très animée à l’école hier soir", "it was said that nobody knew the answer", "ein Bär größer als Öl und Äpfel im Übermaß"]
+    docs = ["早上他说:" + items[0] + "。大家都同意了。", items[1].upper().replace("’", "'"), "“It was said—that nobody knew the answer…”", items[3].upper().replace("SS", "ẞ"),
+            "今天天气不好他们明天去商店买东西", "la fête"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = decontaminate.contamination(make_docs(docs), bench).orderBy("doc_id").collect()
+    assert [r.item_ids for r in got] == [[0], [1], [2], [3], [], []]
+    assert [r.edits[0] for r in got[:3]] == [0, 0, 0]
+
+
+def test_one_item_of_two_texts_and_a_very_long_text(spark, make_docs):
+    """An id in two passes is reported once, by its fewest edits; a text of
+    5 MB is searched whole."""
+    a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "xy")
+    bench = spark.createDataFrame([(1, a), (1, b), (1, a), (2, b)], "item_id long, text string")
+    docs = make_docs([f"{a} and {b.replace('y7 ', '')}", "filler words " * 400_000 + b])
+    for bound in (64 << 20, 4_000):
+        got = decontaminate.contamination(docs, bench, max_index_bytes=bound).orderBy("doc_id").collect()
+        assert [(r.item_ids, r.edits) for r in got] == [([1, 2], [0, 1]), ([1, 2], [0, 0])]
+
+
+def test_walks_find_short_items_too():
+    """Every item that allows an edit is in the index of the walks."""
+    texts = [" ".join(f"i{k}w{j}" for j in range(n)) for k, n in enumerate((3, 5, 9, 12, 20, 31, 32, 60))]
+    index = decontaminate.ItemIndex(list(range(len(texts))), texts, 0.8, 3, 5, 16, 7)
+    walked = {int(i) for t in index.tables for _, items, _, _ in t.values() for i in items}
+    assert walked == {1, 2, 3, 4, 5, 6, 7}
+
+
+@pytest.mark.parametrize("top,cell", [(100.0, "<i2"), (1e6, "<i4"), (1e12, "<f8")])
+def test_tiles_are_kept_narrow(top, cell):
+    mat = np.array([[top, -top], [1.0, 0.0]])
+    row = exact_topk._tile(2, 1, np.array([4, 2]), np.array([0, 1]), np.array([True, False]), mat).to_pylist()[0]
+    assert row["cell"] == cell
+    opened = exact_topk._opened(row)
+    assert opened["mat"].tolist() == [[1.0, 0.0], [top, -top]] and opened["ids"].tolist() == [2, 4]

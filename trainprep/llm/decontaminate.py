@@ -10,17 +10,21 @@ differ by few edits walk together again soon after each edit.  For every
 start word of a document (an item-sized window) and for ``anchors`` starts
 spread over each item, a signature samples ``samples`` steps of the walk; equal
 signatures make a candidate.  ``repeats`` independent walks and samples
-reach the recall.  An item under ``SHORT`` words has too few starts for that:
-it is cut in one run of words more than the edits it allows, one of which
-every such passage holds unchanged, so all of its passages are candidates.
+reach the recall.  An item under ``SHORT`` words has too few starts for that,
+so beside its walks it is cut in one run of words more than the edits it
+allows, one of which every such passage holds unchanged: all of its passages
+are candidates.  (An item that allows no edit is one run and needs no walk.)
 Every candidate is decided by an exact edit distance on the words themselves.
 
 Windows of all documents are walked by numpy inside the tasks that scan
 them, without a shuffle.  The index of the items is broadcast: its size is
 checked against ``max_index_bytes``, and a larger benchmark is matched in
-several passes, each over a part of the items that fits.
+several passes, each over a part of the items that fits; what a pass finds is
+written before the next one starts, so one index is alive at a time.
 
-Words are runs of letters and digits, A-Z lower-cased.  Defined results: a
+Words are runs of letters, marks and numbers in lower case, and single
+characters in scripts written without spaces (``textbytes.unicode_words``).  A
+text is held whole by one task, in batches of 1 MiB of shorter ones.  Defined results: a
 null or empty text is clean; an item without a word matches nothing; equal
 items are all reported; rows with equal ids each give a row; extra columns
 are ignored; no items leave every document clean.
@@ -35,10 +39,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trainprep.llm import textbytes as tb
-from trainprep.llm.common import sliced
+from trainprep.llm.common import parts_for, sliced, staged
 
 STEPS = (12, 6, 3, 1)  # a walk reads no further than the item goes on
 SHORT = 32  # words
+WORD = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]|[\p{L}\p{M}\p{N}]+"
 
 
 def edit_distance_within(item: list, region: list, limit: int) -> int | None:
@@ -132,9 +137,7 @@ def _widest(words, starts, item, off, moves, steps, anchors):
 
 
 def _prepare(texts: list[str]) -> list[list[bytes]]:
-    data, offsets = tb.buffer_of(pa.array(texts, pa.string()))
-    low = tb.LOWER[data]
-    starts, ends, first = tb.words_in(low, offsets, tb.ALNUM[low])
+    low, starts, ends, first = tb.unicode_words(pa.array(texts, pa.string()))
     raw = low.tobytes()
     return [[raw[s:e] for s, e in zip(starts[a:b], ends[a:b])] for a, b in zip(first, first[1:])]
 
@@ -161,7 +164,7 @@ class ItemIndex:
             cuts = [len(words) * i // parts for i in range(parts + 1)]
             for off, end in zip(cuts, cuts[1:]) if len(words) < SHORT else ():
                 runs.setdefault(end - off, []).append((base + off, k, off))
-            for off in range(len(words)) if len(words) >= SHORT else ():
+            for off in range(len(words)) if self.limits[k] or len(words) >= SHORT else ():
                 # short walks only where an item has no room for a longer one
                 longest = next(n for n in STEPS if n <= len(words) - off)
                 if longest == next(n for n in STEPS if n <= len(words)):
@@ -202,10 +205,8 @@ def _matches(index: ItemIndex, texts: pa.Array) -> list[dict[int, int]]:
     """Per text: {item id: word edits}."""
     import numpy as np
 
-    data, offsets = tb.buffer_of(texts)
     found: list[dict[int, int]] = [{} for _ in range(len(texts))]
-    low = tb.LOWER[data]
-    starts, ends, first = tb.words_in(low, offsets, tb.ALNUM[low])
+    low, starts, ends, first = tb.unicode_words(texts)
     if not len(starts) or not index.ids:
         return found
     longest = max([*index.lengths, *index.runs])
@@ -259,15 +260,19 @@ def contamination(
     out = out.withColumn("_hits", F.array().cast("array<struct<item:long,edits:int>>"))
     rows = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).cast("string").alias("t"))
     rows = rows.where(F.col("i").isNotNull() & F.col("t").isNotNull())
-    # items per pass, so that one broadcast index stays within its bound
-    size = rows.agg(F.sum(F.octet_length("t")), F.count("*")).first()
-    passes = max(1, -(-int(size[0] or 0) * 160 // max_index_bytes))
-    for p in range(passes if size[1] else 0):
-        part = rows.where(F.pmod(F.xxhash64("i"), F.lit(passes)) == p) if passes > 1 else rows
-        got = part.orderBy("i", "t").collect()
+    # bytes of an item in the index: its words as objects, its runs, the signatures of its starts
+    n_words = F.regexp_count("t", F.lit(WORD))
+    cost = F.octet_length("t") + 110 * n_words + 24 * repeats * F.least(n_words, F.lit(anchors))
+    rows = rows.distinct()
+    passes = parts_for(int(rows.agg(F.sum(cost)).first()[0] or 0), max_index_bytes)
+    for p in range(passes):
+        got = rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(passes)) == p).orderBy("i", "t").collect()
+        if not got:
+            continue
+        if p:
+            out = staged(out, "hits")
         index = ItemIndex([r[0] for r in got], [r[1] for r in got], similarity, repeats, samples, anchors, seed)
-        shared = spark.sparkContext.broadcast(index)
-        out = _pass(out, text_col, shared)
+        out = _pass(out, text_col, spark.sparkContext.broadcast(index))
     hits = F.array_sort("_hits")
     out = out.withColumn("item_ids", F.transform(hits, lambda h: h["item"])).withColumn("edits", F.transform(hits, lambda h: h["edits"]))
     return out.select(*keep, (F.size("_hits") > 0).alias("contaminated"), "item_ids", "edits")
@@ -280,9 +285,12 @@ def _pass(df: DataFrame, text_col: str, shared) -> DataFrame:
 
     def run(batches):
         for batch in sliced(batches, body, 1 << 20):
-            new = _matches(shared.value, batch.column(body))
-            old = batch.column(hits).to_pylist()
-            merged = [[*o, *({"item": i, "edits": e} for i, e in sorted(m.items()))] for o, m in zip(old, new)]
+            merged = []
+            for old, new in zip(batch.column(hits).to_pylist(), _matches(shared.value, batch.column(body))):
+                best = {e["item"]: e["edits"] for e in old}
+                for i, e in new.items():
+                    best[i] = min(e, best.get(i, e))
+                merged.append([{"item": i, "edits": e} for i, e in sorted(best.items())])
             arrays = [batch.column(i) for i in range(len(names))]
             arrays[hits] = pa.array(merged, kind)
             yield pa.RecordBatch.from_arrays(arrays, names=names)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,9 +14,9 @@ LOWER[65:91] += 32
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[32, *range(9, 14)]] = True
 
-# letters, digits and every byte of a non-ASCII character
+# ASCII letters and digits
 ALNUM = np.zeros(256, dtype=bool)
-ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = ALNUM[128:] = True
+ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = True
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _M1 = np.uint64(0xFF51AFD7ED558CCD)
@@ -39,13 +41,15 @@ def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def words_in(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words_in(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, breaks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, first): runs of bytes that are word bytes (``inside``
-    is a mask over ``data``), never across texts; words of text d are
-    ``first[d]:first[d + 1]``."""
+    is a mask over ``data``), never across texts nor over a place in
+    ``breaks``; words of text d are ``first[d]:first[d + 1]``."""
     n = len(data)
     cut = np.zeros(n + 1, dtype=bool)
     cut[offsets] = True
+    if breaks is not None:
+        cut[breaks] = True
     before = np.zeros(n, dtype=bool)
     before[1:] = inside[:-1]
     before &= ~cut[:-1]
@@ -57,6 +61,43 @@ def words_in(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """Of every code point: 0 outside words, 1 within words (letters, marks,
+    numbers), 2 a word of its own (those of scripts without spaces)."""
+    import regex
+
+    points = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    table = np.zeros(0x110000, np.uint8)
+    scripts = "".join(rf"\p{{{s}}}" for s in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
+    for kind, pattern in ((1, r"[\p{L}\p{M}\p{N}]+"), (2, rf"(?V1)[[{scripts}]&&[\p{{L}}\p{{M}}\p{{N}}]]+")):
+        for m in regex.finditer(pattern, points):
+            table[np.frombuffer(m.group().encode("utf-32-le"), np.uint32)] = kind
+    return table
+
+
+def unicode_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, ends, first) of the words of every text, in lower case
+    by Unicode's simple mapping: runs of letters, marks and numbers, single
+    characters in scripts that are written without spaces."""
+    data, offsets = buffer_of(pc.utf8_lower(texts))
+    inside = ALNUM[data]
+    lead = np.flatnonzero(data >= 0xC0)
+    if not len(lead):
+        return data, *words_in(data, offsets, inside)
+    point = data[lead].astype(np.int32)
+    width = 2 + (point >= 0xE0) + (point >= 0xF0)
+    point &= 0x7F >> width
+    for k in (1, 2, 3):
+        more = np.flatnonzero(width > k)
+        point[more] = point[more] << 6 | data[lead[more] + k] & 0x3F
+    kind = _kinds()[point]
+    for k in range(4):
+        inside[lead[(kind > 0) & (width > k)] + k] = True
+    alone = np.flatnonzero(kind == 2)
+    return data, *words_in(data, offsets, inside, np.concatenate([lead[alone], lead[alone] + width[alone]]))
+
+
 def mix64(h: np.ndarray) -> np.ndarray:
     """The public 64-bit finaliser of MurmurHash3."""
     h = (h ^ (h >> _S33)) * _M1

@@ -8,7 +8,8 @@ twice the rows, so no size of sample switches a word on or off); a word of no
 information weighs nothing.  Without ``whole`` only the ``max_terms`` words
 most associated with the toxic label (G-squared of at least ``min_g2``, at
 least ``min_docs`` toxic documents) are terms, with plain idf.  Each example
-is a unit vector of (1 + log tf) * weight in an inverted index.
+is a unit vector of (1 + log tf) * weight in an inverted index.  Words are those of
+``textbytes.unicode_words``; a text is held whole by one task.
 
 Scoring (:func:`score`): the k nearest examples are found by a block-max
 inverted index and are exact.  Examples lie in blocks; the lists of rare terms
@@ -129,7 +130,7 @@ def term_counts(texts: pa.Array, lookup) -> tuple[np.ndarray, np.ndarray, np.nda
     """(text, term, count) of every term that occurs, by text then term."""
     known, order, joined, begin, sizes = lookup
     none = np.empty(0, np.int64)
-    low, starts, ends, first = _split(texts)
+    low, starts, ends, first = tb.unicode_words(texts)
     if not len(starts) or not len(known):
         return none, none, none
     hashes = tb.span_hash(tb.prefix_hash(low), starts, ends)
@@ -149,13 +150,6 @@ def term_counts(texts: pa.Array, lookup) -> tuple[np.ndarray, np.ndarray, np.nda
     return key // len(known), key % len(known), count
 
 
-def _split(texts: pa.Array):
-    """(lower-cased bytes, starts, ends, first) of the words of all texts."""
-    data, offsets = tb.buffer_of(texts)
-    low = tb.LOWER[data]
-    return low, *tb.words_in(low, offsets, tb.ALNUM[low])
-
-
 def _unit(text, term, count, idf, n) -> np.ndarray:
     weight = (1 + np.log(count)) * idf[term]
     norm = np.sqrt(np.bincount(text, weight**2, n))
@@ -168,7 +162,7 @@ def _word_lists(sample: DataFrame) -> pa.Table:
 
     def run(batches):
         for batch in sliced(batches, 0, 1 << 20):
-            low, starts, ends, first = _split(batch.column(0))
+            low, starts, ends, first = tb.unicode_words(batch.column(0))
             words = tb.gather(low, starts, ends).dictionary_encode()
             codes = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
             doc = np.repeat(np.arange(len(batch)), np.diff(first))
