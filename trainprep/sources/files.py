@@ -3,9 +3,17 @@ opener CSV, whole-file scalars, log lines and run-log families."""
 
 from __future__ import annotations
 
+import os
+import re
+import unicodedata
 import zipfile
+import zlib
+from collections.abc import Iterator
+from itertools import islice
+from urllib.parse import quote
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -98,13 +106,134 @@ def run_log_lines(spark: SparkSession, pattern: str, key_pattern: str = RUN_KEY_
     return _numbered(_raw_lines(spark, pattern).select(run, "value", "_path", "_block"), [key])
 
 
+#: Tasks that list a folder: each reads all names and takes its share of them.
+LISTING_TASKS = 16
+#: Bytes that one task reads at most, but for one file; each file counts FILE_COST more, for its opening.
+SLICE_BYTES = 32 << 20
+FILE_COST = 16 << 10
+#: Bytes after which a batch of files is handed on.
+READ_BATCH_BYTES = 16 << 20
+
+
 def whole_files(spark: SparkSession, folder: str, suffix_glob: str) -> DataFrame:
     """Whole files directly in ``folder`` matching the glob: ``(path, name, value)``.
 
     Names that start with ``.`` are hidden, as for a shell's ``*``.  Names
-    that start with ``_`` are data; Spark's file sources hide them, so they
-    are listed apart and read by the tasks.
+    that start with ``_`` are data, though Spark's file sources hide them.
+
+    A folder of millions of small files is listed by tasks, cut into slices
+    by bytes and read by tasks; no list of files passes through the driver.
+    Spark's text source, which lists on the driver and plans a 4 MB share of a
+    task for each file, reads what Arrow's file systems cannot open.
     """
+    listed = _listed_folder(spark, folder, suffix_glob)
+    if listed is None:
+        return _text_files(spark, folder, suffix_glob)
+    root, slices, n = listed
+    spread = slices.repartitionById(n, "slice").select("name")
+    read = spread.mapInArrow(_read_files(root), "path string, name string, value binary")
+    return read.select("path", "name", F.col("value").cast("string").alias("value"))
+
+
+def _listed_folder(spark: SparkSession, folder: str, suffix_glob: str) -> tuple[str, DataFrame, int] | None:
+    """The folder's URI, its files ``(slice, name)`` and the number of slices;
+    none for what is no folder, a glob of several parts, or a file system
+    that Arrow does not know."""
+    sc = spark.sparkContext
+    if not re.fullmatch(r"\*[^*?\[\]{}\\]*", suffix_glob):
+        return None
+    at = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    hadoop = at.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not hadoop.exists(at) or not hadoop.getFileStatus(at).isDirectory():
+        return None
+    # written as the parent of a file, as Hadoop has it in a listing
+    root = sc._jvm.org.apache.hadoop.fs.Path(hadoop.makeQualified(at), "x").toUri().toString()[: -len("/x")]
+    try:
+        fs.FileSystem.from_uri(root)
+    except (OSError, ValueError):
+        return None
+    tasks = max(1, min(LISTING_TASKS, sc.defaultParallelism))
+    listing = scratch_dir(spark, "listing")
+    shares = spark.range(tasks, numPartitions=tasks).mapInPandas(_list_share(root, suffix_glob[1:], tasks), "slice int, name string")
+    shares.write.parquet(listing)
+    slices = spark.read.schema("slice int, name string").parquet(listing)
+    return root, slices, (slices.agg(F.max("slice")).first()[0] or 0) + 1
+
+
+def _folder_files(root: str, suffix: str, tasks: int, task: int) -> Iterator[tuple[str, int]]:
+    """``(name, bytes)`` of one task's share.  Empty files are passed over as
+    Spark's reader does, but for names that it hides."""
+    filesystem, inner = fs.FileSystem.from_uri(root)
+    mine = lambda name: name.endswith(suffix) and not name.startswith(".") and zlib.crc32(name.encode()) % tasks == task
+    if isinstance(filesystem, fs.LocalFileSystem):
+        # Arrow's listing holds every name and asks for the state of each
+        with os.scandir(inner) as entries:
+            found = ((e.name, e.stat().st_size) for e in entries if mine(e.name) and e.is_file())
+            yield from (f for f in found if f[1] or f[0].startswith("_"))
+        return
+    for f in filesystem.get_file_info(fs.FileSelector(inner)):
+        if f.type == fs.FileType.File and mine(f.base_name) and (f.size or f.base_name.startswith("_")):
+            yield f.base_name, f.size
+
+
+def _list_share(root: str, suffix: str, tasks: int):
+    def run(batches):
+        for pdf in batches:
+            for task in pdf["id"]:
+                cut, held = 0, 0
+                files = _folder_files(root, suffix, tasks, task)
+                while rows := list(islice(files, 10_000)):
+                    slices = []
+                    for _, size in rows:
+                        if held and held + size + FILE_COST > SLICE_BYTES:
+                            cut, held = cut + 1, 0
+                        held += size + FILE_COST
+                        slices.append(cut * tasks + task)
+                    yield pd.DataFrame({"slice": pd.Series(slices, dtype="int32"), "name": [name for name, _ in rows]})
+
+    return run
+
+
+def _uri_name(name: str) -> str:
+    """A file name as Java writes it in a URI, and so the ``file_path``
+    metadata column: letters outside of ASCII stay."""
+
+    def kept(c: str) -> bool:
+        if c.isascii():
+            return c.isalnum() or c in "_-!.~'()*:@&=+$,;"
+        return unicodedata.category(c) not in ("Zs", "Zl", "Zp", "Cc")
+
+    return "".join(c if kept(c) else quote(c, safe="") for c in name)
+
+
+def _read_files(root: str):
+    def run(batches):
+        filesystem, inner = fs.FileSystem.from_uri(root)
+        rows, held = [], 0
+
+        def batch() -> pa.RecordBatch:
+            paths, names, values = zip(*rows)
+            return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(names, pa.string()), pa.array(values, pa.binary())], names=["path", "name", "value"])
+
+        for listed in batches:
+            for name in listed.column(0).to_pylist():
+                with filesystem.open_input_stream(f"{inner}/{name}") as f:
+                    value = f.read()
+                shown = _uri_name(name)
+                rows.append((f"{root}/{shown}", shown, value))
+                held += len(value) + len(root)
+                if held >= READ_BATCH_BYTES:
+                    yield batch()
+                    rows, held = [], 0
+        if rows:
+            yield batch()
+
+    return run
+
+
+def _text_files(spark: SparkSession, folder: str, suffix_glob: str) -> DataFrame:
+    """:func:`whole_files` by Spark's text source; names that it hides are
+    listed apart and read by the tasks."""
     files = with_file_name(spark.read.option("pathGlobFilter", suffix_glob).text(folder, wholetext=True))
     apart = _underscore_files(spark, folder, suffix_glob)
     if not apart:
