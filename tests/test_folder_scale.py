@@ -1,7 +1,12 @@
 """Folders of very many small files, and parts that follow the data."""
 
+import tracemalloc
+from types import SimpleNamespace
+
 import pandas as pd
+import pyarrow as pa
 
+from trainprep.sinks.files import _stage
 from trainprep.sources import files
 from trainprep.sources.files import whole_files
 
@@ -51,3 +56,20 @@ def test_paths_are_those_of_the_text_source(spark, tmp_path):
 
 def test_a_folder_without_files(spark, tmp_path):
     assert whole_files(spark, str(tmp_path), "*.txt").collect() == []
+
+
+def test_staged_texts_are_not_copied_into_python(tmp_path, monkeypatch):
+    monkeypatch.setattr("pyspark.TaskContext.get", lambda: SimpleNamespace(partitionId=lambda: 3, taskAttemptId=lambda: 7))
+    text = "é中" * 20_000
+    batch = lambda k: pa.RecordBatch.from_pydict({"name": [f"{k}-{i}" for i in range(100)], "content": [text] * 100})
+    given, staged = [batch(k) for k in range(2)], []
+    tracemalloc.start()
+    try:
+        for out in _stage(str(tmp_path), False)(iter(given)):
+            staged += out.to_pylist()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 1 << 20 < given[0].nbytes
+    assert {r["name"]: r["bytes"] for r in staged} == {f"{k}-{i}": 100_000 for k in range(2) for i in range(100)}
+    assert all((tmp_path / r["staged"]).read_text(encoding="utf-8") == text for r in staged[::50])

@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,27 +82,33 @@ def write_chunks(
 
 
 def _stage(staging: str, binary: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
         from pyspark import TaskContext
 
         ctx = TaskContext.get()
+        # a folder for each attempt: tasks that make files in one folder wait for each other
         attempt = f"{ctx.partitionId()}-{ctx.taskAttemptId()}"
         filesystem, root = fs.FileSystem.from_uri(staging)
-        filesystem.create_dir(root, recursive=True)
+        filesystem.create_dir(f"{root}/{attempt}", recursive=True)
         at = 0
-        for pdf in batches:
+        for batch in batches:
+            names, contents = batch.column(0), batch.column(1)
+            if not binary:
+                contents.validate(full=True)  # UTF-8
             staged, sizes = [], []
-            for name, content in zip(pdf["name"], pdf["content"]):
-                if name is None or content is None:
+            # written from the batch's own memory: texts are not copied into Python
+            for name, content in zip(names.to_pylist(), contents):
+                data = content.as_buffer()
+                if name is None or data is None:
                     raise ValueError(f"no content for {name}")
-                data = content if binary else content.encode("utf-8")
-                staged.append(f"{attempt}-{at}")
+                staged.append(f"{attempt}/{at}")
                 at += 1
                 with filesystem.open_output_stream(f"{root}/{staged[-1]}") as out:
                     out.write(data)
-                sizes.append(len(data))
-            yield pd.DataFrame({"name": pdf["name"], "staged": staged, "bytes": pd.Series(sizes, dtype="int64")})
+                sizes.append(data.size)
+            yield pa.RecordBatch.from_arrays([names, pa.array(staged, pa.string()), pa.array(sizes, pa.int64())], names=["name", "staged", "bytes"])
+            batch = names = contents = content = data = None  # let go of before the next one comes
 
     return run
 
@@ -141,7 +148,7 @@ def write_files(df: DataFrame, folder: str, name: str = "name", content: str = "
     written = scratch_dir(spark, "written")
     rows = df.select(F.col(name).alias("name"), F.col(content).alias("content"))
     try:
-        rows.mapInPandas(_stage(staging, binary), "name string, staged string, bytes long").write.parquet(written)
+        rows.mapInArrow(_stage(staging, binary), "name string, staged string, bytes long").write.parquet(written)
         listed = spark.read.schema("name string, staged string, bytes long").parquet(written)
         said = F.concat(F.lit("several rows share a file name: "), F.min("name"))
         twice = listed.groupBy("name").count().where("count > 1").agg(F.when(F.count(F.lit(1)) > 0, F.raise_error(said)))
