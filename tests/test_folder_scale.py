@@ -58,6 +58,15 @@ def test_a_folder_without_files(spark, tmp_path):
     assert whole_files(spark, str(tmp_path), "*.txt").collect() == []
 
 
+def test_files_are_handed_on_in_batches_of_bytes(tmp_path, monkeypatch):
+    for i in range(50):
+        (tmp_path / f"{i:02d}.txt").write_bytes(b"x" * 100)
+    monkeypatch.setattr(files, "READ_BATCH_BYTES", 1_000)
+    listed = pa.RecordBatch.from_pydict({"name": [f"{i:02d}.txt" for i in range(50)]})
+    batches = list(files._read_files(str(tmp_path))(iter([listed])))
+    assert max(b.num_rows for b in batches) <= 10 and sum(b.num_rows for b in batches) == 50
+
+
 def test_staged_texts_are_not_copied_into_python(tmp_path, monkeypatch):
     monkeypatch.setattr("pyspark.TaskContext.get", lambda: SimpleNamespace(partitionId=lambda: 3, taskAttemptId=lambda: 7))
     text = "é中" * 20_000

@@ -109,10 +109,10 @@ def run_log_lines(spark: SparkSession, pattern: str, key_pattern: str = RUN_KEY_
 #: Tasks that list a folder: each reads all names and takes its share of them.
 LISTING_TASKS = 16
 #: Bytes that one task reads at most, but for one file; each file counts FILE_COST more, for its opening.
-SLICE_BYTES = 32 << 20
+SLICE_BYTES = 128 << 20
 FILE_COST = 16 << 10
 #: Bytes after which a batch of files is handed on.
-READ_BATCH_BYTES = 16 << 20
+READ_BATCH_BYTES = 4 << 20
 
 
 def whole_files(spark: SparkSession, folder: str, suffix_glob: str) -> DataFrame:
