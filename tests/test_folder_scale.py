@@ -6,6 +6,7 @@ from types import SimpleNamespace
 import pandas as pd
 import pyarrow as pa
 
+from trainprep.plans import fixtures
 from trainprep.sinks.files import _stage
 from trainprep.sources import files
 from trainprep.sources.files import whole_files
@@ -82,3 +83,13 @@ def test_staged_texts_are_not_copied_into_python(tmp_path, monkeypatch):
     assert peak < 1 << 20 < given[0].nbytes
     assert {r["name"]: r["bytes"] for r in staged} == {f"{k}-{i}": 100_000 for k in range(2) for i in range(100)}
     assert all((tmp_path / r["staged"]).read_text(encoding="utf-8") == text for r in staged[::50])
+
+
+def test_parquet_parts_follow_the_data(spark, tmp_path, monkeypatch):
+    rows = [(i, "x" * 1_000 if i % 4 else None) for i in range(400)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(fixtures, "PART_BYTES", 10_000)
+    out = spark.read.parquet(fixtures.write_parquet_parts(spark, str(tmp_path)))
+    by_file = out.groupBy(out["_metadata.file_name"].alias("f")).count().collect()
+    assert 20 <= len(by_file) <= 30 and max(r["count"] for r in by_file) <= 40
+    assert sorted(tuple(r) for r in out.select("doc_id", "text").collect()) == rows

@@ -96,14 +96,22 @@ def write_run_logs(spark: SparkSession, sf_dir: str) -> str:
 RANK_SQL = "CAST(32 * (user_id % 5 + 1) AS BIGINT)"
 
 
+#: Parquet parts at least, and bytes of text in one of more.
+PARTS = 6
+PART_BYTES = 32 << 20
+
+
 @once_per_session
 def write_parquet_parts(spark: SparkSession, sf_dir: str) -> str:
-    """``documents`` as several parquet files in a folder, by falling id;
-    column ``body`` is the text, null where ``doc_id % 9 = 0``."""
+    """``documents`` as several parquet files in a folder, by falling id,
+    their number by the bytes of the texts; column ``body`` is the text, null
+    where ``doc_id % 9 = 0``."""
     out = scratch_dir(spark, "parts")
     docs = table(spark, sf_dir, "documents")
     body = F.when(F.col("doc_id") % 9 != 0, F.col("text")).alias("body")
-    ranged = docs.select("doc_id", "text", body).repartitionByRange(6, F.desc("doc_id")).sortWithinPartitions(F.desc("doc_id"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(PARTS, -(-size // PART_BYTES))
+    ranged = docs.select("doc_id", "text", body).repartitionByRange(parts, F.desc("doc_id")).sortWithinPartitions(F.desc("doc_id"))
     ranged.write.parquet(out)
     return out
 
